@@ -100,3 +100,30 @@ def global_mode(df: DataFrame, value_col: str) -> Column:
     """Scalar-subquery column: most frequent non-NULL value, smallest of ties."""
     vc = df.where(F.col(value_col).isNotNull()).groupBy(value_col).agg(F.count(F.lit(1)).alias("__n"))
     return vc.orderBy(F.desc("__n"), F.asc(value_col)).limit(1).select(value_col).scalar()
+
+
+def rows_before(vc: DataFrame, group_cols: Sequence[str], value_col: str, n_col: str,
+                n_buckets: int = 128, out: str = "__before") -> DataFrame:
+    """Distributed prefix count: for each distinct ``(group, value, n)`` row,
+    the number of rows of its group with a smaller value.
+
+    Values are cut into buckets from a bounded sketch; bucket totals (a
+    ``groups x buckets`` table) give each bucket its offset, and a window
+    per *bucket* (not per group) adds the local running count.  A hot group
+    is thus ranked by ``n_buckets`` tasks instead of one.
+    """
+    g = list(group_cols)
+    fracs = [i / n_buckets for i in range(1, n_buckets)]
+    dv = F.col(value_col).cast("double")
+    sketch = F.percentile_approx(dv, fracs, 4 * n_buckets).alias("__bounds")
+    if g:
+        b = vc.join(vc.groupBy(*g).agg(sketch), g)  # one sketch row per group
+    else:
+        b = vc.withColumn("__bounds", vc.select(sketch).scalar())
+    b = b.withColumn("__b", F.size(F.filter("__bounds", lambda x: x < dv))).drop("__bounds")
+    tot = b.groupBy(*g, "__b").agg(F.sum(n_col).alias("__bn"))
+    wo = Window.partitionBy(*g).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    tot = tot.select(*g, "__b", F.coalesce(F.sum("__bn").over(wo), F.lit(0)).alias("__off"))
+    wl = Window.partitionBy(*g, "__b").orderBy(value_col).rowsBetween(Window.unboundedPreceding, -1)
+    b = b.withColumn("__loc", F.coalesce(F.sum(n_col).over(wl), F.lit(0)))
+    return b.join(tot, [*g, "__b"]).withColumn(out, F.col("__off") + F.col("__loc")).drop("__b", "__off", "__loc")
