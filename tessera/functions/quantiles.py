@@ -114,7 +114,7 @@ def rows_before(vc: DataFrame, group_cols: Sequence[str], value_col: str, n_col:
     """
     g = list(group_cols)
     fracs = [i / n_buckets for i in range(1, n_buckets)]
-    dv = F.col(value_col).cast("double")
+    dv = sort_key(vc, value_col)
     sketch = F.percentile_approx(dv, fracs, 4 * n_buckets).alias("__bounds")
     if g:
         b = vc.join(vc.groupBy(*g).agg(sketch), g)  # one sketch row per group
@@ -127,3 +127,18 @@ def rows_before(vc: DataFrame, group_cols: Sequence[str], value_col: str, n_col:
     wl = Window.partitionBy(*g, "__b").orderBy(value_col).rowsBetween(Window.unboundedPreceding, -1)
     b = b.withColumn("__loc", F.coalesce(F.sum(n_col).over(wl), F.lit(0)))
     return b.join(tot, [*g, "__b"]).withColumn(out, F.col("__off") + F.col("__loc")).drop("__b", "__off", "__loc")
+
+
+def sort_key(df: DataFrame, value_col: str) -> Column:
+    """A double that never decreases as the value increases.
+
+    Numbers map to themselves; strings to their first 7 UTF-8 bytes read as
+    an unsigned integer (byte order is Spark's string order).  Used only to
+    cut buckets: ties between different values are resolved by the exact
+    ordering inside a bucket.
+    """
+    c = F.col(value_col)
+    if df.schema[value_col].dataType.typeName() == "string":
+        prefix = F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), 1, 7)), 14, "0")
+        return F.conv(prefix, 16, 10).cast("double")
+    return c.cast("double")

@@ -1,6 +1,6 @@
 """Named queries over the driver tables (see ``registry``)."""
 
-from tessera.plans import q_clean, q_labels  # noqa: F401
+from tessera.plans import q_clean, q_labels, q_profile  # noqa: F401
 from tessera.plans.registry import QUERIES, SQLS
 
 __all__ = ["QUERIES", "SQLS"]
