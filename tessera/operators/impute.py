@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.quantiles import exact_median, global_median, global_mode
@@ -69,3 +71,136 @@ def impute_price_by_class(df: DataFrame, class_col: str, price_col: str,
     todo = (df.where(p.isNull() & c.isNotNull()).join(lookup, c == F.col("__c"), "left")
             .withColumn(out, F.coalesce(F.col("__med"), dflt)).drop("__c", "__med"))
     return known.unionByName(todo)
+
+
+# ---- feature imputation (I3-I5) -------------------------------------------
+
+def _indicator_cols(fit: DataFrame, cols) -> list[str]:
+    """Columns that hold a NULL in the fit data (one bounded row collected)."""
+    flags = fit.select(*[F.max(F.col(c).isNull().cast("int")).alias(c) for c in cols]).first()
+    return [c for c in cols if flags[c]]
+
+
+def simple_impute(df: DataFrame, cols, strategy: str = "mean", fit_on: DataFrame | None = None,
+                  fill_value: float = 0.0, add_indicator: bool = True,
+                  indicator_prefix: str = "missingindicator_") -> DataFrame:
+    """Constant / mean / median fill plus missing-indicator columns.
+
+    Statistics come from ``fit_on`` (default: ``df``); an indicator column is
+    added for each column that had a NULL at fit time.  The statistics are
+    one row read by a scalar subquery, so applying them never shuffles.
+    """
+    from tessera.functions.quantiles import exact_median
+
+    cols = list(cols)
+    fit = fit_on if fit_on is not None else df
+    if strategy == "constant":
+        stats = {c: F.lit(fill_value) for c in cols}
+    elif strategy == "mean":
+        row = fit.select(F.struct(*[F.avg(c).alias(c) for c in cols]).alias("s")).scalar()
+        stats = {c: row[c] for c in cols}
+    elif strategy == "median":
+        long = fit.select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols])).alias("kv")
+        ).select("kv.*")
+        med = exact_median(long, ["column"], "v", "m")
+        row = med.agg(F.map_from_entries(F.collect_list(F.struct("column", "m"))).alias("m")).scalar()
+        stats = {c: row[c] for c in cols}
+    else:
+        raise ValueError("strategy must be constant, mean or median")
+    ind = _indicator_cols(fit, cols) if add_indicator else []
+    out = df.withColumns({f"{indicator_prefix}{c}": F.col(c).isNull().cast("int") for c in ind})
+    return out.withColumns({c: F.coalesce(F.col(c).cast("double"), stats[c]) for c in cols})
+
+
+def impute_knn(df: DataFrame, id_col: str, cols, k: int = 5, fit_on: DataFrame | None = None,
+               add_indicator: bool = True, indicator_prefix: str = "missingindicator_") -> DataFrame:
+    """I4: k-nearest-neighbour fill with NaN-aware Euclidean distance.
+
+    For a row missing column ``f``: donors are fit rows with ``f`` present;
+    distance uses the features both rows have, scaled by
+    ``sqrt(n_features / n_shared)``; the ``k`` nearest donors (ties to the
+    smaller id) are averaged.  No donor sharing a feature -> the fit mean.
+
+    Rows are grouped by missing-value pattern, and each (receiver pattern,
+    donor pattern) pair is one exact grid-blocked KNN join in the shared
+    subspace (see ``neighbors.knn_join``) -- never all pairs.
+    Complete rows stream through untouched.
+    """
+    from tessera.operators.neighbors import knn_join
+
+    cols = list(cols)
+    fit = fit_on if fit_on is not None else df
+    n_feat = len(cols)
+    pat = F.array(*[F.col(c).isNotNull() for c in cols])
+    fit_pats = [tuple(r[0]) for r in fit.select(pat.alias("p")).distinct().collect()]
+    df_pats = [tuple(r[0]) for r in df.select(pat.alias("p")).distinct().collect()]
+    means = fit.select(F.struct(*[F.avg(c).alias(c) for c in cols]).alias("s")).scalar()
+    ind = _indicator_cols(fit, cols) if add_indicator else []
+
+    any_null = F.lit(False)
+    for c in cols:
+        any_null = any_null | F.col(c).isNull()
+    complete = df.where(~any_null)
+    partial = df.where(any_null)
+
+    filled = partial
+    for j, f in enumerate(cols):
+        recv_pats = [p for p in df_pats if not p[j]]
+        if not recv_pats:
+            continue
+        parts = []
+        for rp in recv_pats:
+            for dp in fit_pats:
+                if not dp[j]:
+                    continue
+                shared = [c for i, c in enumerate(cols) if rp[i] and dp[i]]
+                if not shared:
+                    continue
+                q = partial.where(pat == F.array(*[F.lit(b) for b in rp]))
+                r = fit.where(pat == F.array(*[F.lit(b) for b in dp]))
+                nn = knn_join(q, r, id_col, id_col, shared, k, scale=math.sqrt(n_feat / len(shared)),
+                              out_id="__donor")
+                parts.append(nn)
+        if parts:
+            nn = parts[0]
+            for p in parts[1:]:
+                nn = nn.unionByName(p)
+            w = Window.partitionBy(id_col).orderBy("dist", "__donor")
+            nn = nn.withColumn("__rk", F.row_number().over(w)).where(F.col("__rk") <= k)
+            donors = fit.where(F.col(f).isNotNull()).select(F.col(id_col).alias("__donor"), F.col(f).alias("__fv"))
+            est = nn.join(donors, "__donor").groupBy(id_col).agg(F.avg("__fv").alias(f"__est_{j}"))
+            filled = filled.join(est, id_col, "left")
+        else:
+            filled = filled.withColumn(f"__est_{j}", F.lit(None).cast("double"))
+        filled = filled.withColumn(f"__est_{j}", F.coalesce(F.col(f"__est_{j}"), means[f]))
+
+    def finish(frame, has_est):
+        frame = frame.withColumns({f"{indicator_prefix}{c}": F.col(c).isNull().cast("int") for c in ind})
+        exprs = {}
+        for j, c in enumerate(cols):
+            est = F.col(f"__est_{j}") if has_est and f"__est_{j}" in frame.columns else F.lit(None)
+            exprs[c] = F.coalesce(F.col(c).cast("double"), est)
+        out = frame.withColumns(exprs)
+        return out.drop(*[x for x in out.columns if x.startswith("__est_")])
+
+    return finish(complete, False).unionByName(finish(filled, True))
+
+
+def inject_missing(df: DataFrame, id_col: str, cols, frac: float = 0.5, seed: int = 42) -> DataFrame:
+    """Blank one feature in about ``frac`` of the rows.
+
+    Row choice and feature choice are md5 hashes of ``(seed, id)``, so the
+    result is the same under any partitioning and has a SQL twin.  Adds
+    ``injected`` (the blanked column name or NULL).
+    """
+    from tessera.functions.hashing import hash_u32
+
+    cols = list(cols)
+    pick = hash_u32(F.lit(seed), F.col(id_col))
+    chosen = (pick % 1000000) < int(round(frac * 1000000))
+    which = F.when(chosen, F.element_at(F.array(*[F.lit(c) for c in cols]),
+                                        (hash_u32(F.lit(seed), F.lit("col"), F.col(id_col)) % len(cols) + 1).cast("int")))
+    out = df.withColumn("injected", which)
+    return out.withColumns({c: F.when(F.col("injected") == c, F.lit(None).cast(df.schema[c].dataType))
+                            .otherwise(F.col(c)) for c in cols})
