@@ -38,7 +38,7 @@ def value_counts_by_group(df: DataFrame, group_cols: Sequence[str], value_col: s
 
 
 def exact_median(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                 out: str = "median", n_buckets: int = 64) -> DataFrame:
+                 out: str = "median", n_buckets: int = 32) -> DataFrame:
     """Exact median (mean of the two middle values) per group, NULLs skipped.
 
     Groups whose values are all NULL are absent from the result.
@@ -49,7 +49,7 @@ def exact_median(df: DataFrame, group_cols: Sequence[str], value_col: str,
     fracs = [i / n_buckets for i in range(1, n_buckets)]
     sketch = vc.groupBy(*g).agg(
         F.sum("__n").alias("__tot"),
-        F.percentile_approx(v, fracs, 2000).alias("__bounds"),
+        F.percentile_approx(v, fracs, 40 * n_buckets).alias("__bounds"),
     )
     # bucket = number of boundaries strictly below the value
     bucketed = vc.join(sketch, g).withColumn(
@@ -78,7 +78,7 @@ def exact_median(df: DataFrame, group_cols: Sequence[str], value_col: str,
     return res if group_cols else res.drop(_ONE)
 
 
-def global_median(df: DataFrame, value_col: str, n_buckets: int = 64) -> Column:
+def global_median(df: DataFrame, value_col: str, n_buckets: int = 32) -> Column:
     """Scalar-subquery column holding the exact median of ``value_col``."""
     return exact_median(df.select(value_col), [], value_col, "m", n_buckets).select("m").scalar()
 

@@ -9,11 +9,18 @@ from pyspark.sql import functions as F
 
 from tessera.functions.quantiles import exact_median, global_median, global_mode
 from tessera.operators.joins import tolerance_match
+from tessera.session import cut_lineage
 
 
-def price_lookup(df: DataFrame, class_col: str, price_col: str, out: str = "median_price") -> DataFrame:
-    """E4 as a fitted table: ``(class, median price)`` over rows with a class."""
-    return exact_median(df.where(F.col(class_col).isNotNull()), [class_col], price_col, out)
+def price_lookup(df: DataFrame, class_col: str, price_col: str, out: str = "median_price",
+                 materialize: bool = False) -> DataFrame:
+    """E4 as a fitted table: ``(class, median price)`` over rows with a class.
+
+    ``materialize`` writes the fitted table once to the shared checkpoint
+    folder, so the several joins that read it do not recompute it.
+    """
+    lk = exact_median(df.where(F.col(class_col).isNotNull()), [class_col], price_col, out)
+    return cut_lineage(lk) if materialize else lk
 
 
 def repair_labels(df: DataFrame, class_col: str, price_col: str, tol: float = 0.04,
@@ -35,7 +42,7 @@ def repair_labels(df: DataFrame, class_col: str, price_col: str, tol: float = 0.
     class_out = class_out or class_col
     price_out = price_out or price_col
     c, p = F.col(class_col), F.col(price_col)
-    lookup = price_lookup(df, class_col, price_col, "__med")
+    lookup = price_lookup(df, class_col, price_col, "__med", materialize=True)
     dflt_class = global_mode(df, class_col)
     dflt_price = global_median(df, price_col)
     keep = [x for x in df.columns if x not in (class_out, price_out)]

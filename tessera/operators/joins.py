@@ -55,8 +55,8 @@ def tolerance_match(probe: DataFrame, lookup: DataFrame, value_col: str,
     both neighbours and the exact test stays as a residual filter.  The
     lookup is tiny (one row per class) and AQE broadcasts it.
     Negative p makes the ratio negative, so every lookup row with a value
-    matches; that branch takes the overall smallest key.  p = 0 or NULL
-    matches nothing.
+    matches: each lookup row is also copied to one shared sentinel bucket
+    that only negative probes use.  p = 0 or NULL matches nothing.
 
     Returns ``probe`` with one extra column ``out`` (NULL when no match).
     The probe rows are grouped back by all their columns, so the only
@@ -66,21 +66,21 @@ def tolerance_match(probe: DataFrame, lookup: DataFrame, value_col: str,
         raise ValueError("pick must be 'first' or 'nearest'")
     width = -math.log1p(-tol) * (1 + 1e-6)
     cols = probe.columns
+    neg = F.lit(-(2 ** 62)).cast("bigint")  # bucket shared by every lookup row, probed by p < 0
     lk = lookup.where(F.col(lookup_value).isNotNull()).select(
         F.col(lookup_key).alias("__k"), F.col(lookup_value).cast("double").alias("__m"))
-    pos = lk.where(F.col("__m") > 0).select(
-        "__k", "__m", F.explode(F.array(*[_log_bucket(F.col("__m"), width) + d for d in (-1, 0, 1)])).alias("__b"))
+    near = F.when(F.col("__m") > 0, F.array(*[_log_bucket(F.col("__m"), width) + d for d in (-1, 0, 1)])) \
+        .otherwise(F.array().cast("array<bigint>"))
+    rep = lk.select("__k", "__m", F.explode(F.concat(near, F.array(neg))).alias("__b"))
     p = F.col(value_col).cast("double")
-    tagged = probe.withColumn("__b", F.when(p > 0, _log_bucket(p, width)))
-    cond = (tagged["__b"] == pos["__b"]) & (F.abs(p - pos["__m"]) / p <= tol)
-    joined = tagged.join(pos, cond, "left")
+    tagged = probe.withColumn("__b", F.when(p > 0, _log_bucket(p, width)).when(p < 0, neg))
+    cond = (tagged["__b"] == rep["__b"]) & (F.abs(p - rep["__m"]) / p <= tol)
+    joined = tagged.join(rep, cond, "left")
     if pick == "first":
         agg = F.min("__k")
     else:
         agg = F.min_by("__k", F.struct(F.abs(p - F.col("__m")), F.col("__k")))
-    matched = joined.groupBy(*cols).agg(agg.alias(out))
-    neg_first = lk.select(F.min("__k")).scalar()
-    return matched.withColumn(out, F.when(p < 0, neg_first).otherwise(F.col(out)))
+    return joined.groupBy(*cols).agg(agg.alias(out))
 
 
 def zip_by_id(left: DataFrame, right: DataFrame, id_col: str) -> DataFrame:
