@@ -49,11 +49,11 @@ def two_target_model(train: DataFrame, class_col: str, price_z_col: str, feature
     reg = price_model(features, price_z_col)
     clf_tuned = TrainValidationSplit(
         estimator=clf, estimatorParamMaps=ParamGridBuilder().addGrid(clf.regParam, list(regs)).build(),
-        evaluator=_LogLossEvaluator(), trainRatio=0.8, seed=seed)
+        evaluator=_LogLossEvaluator(), trainRatio=0.8, seed=seed, parallelism=len(regs))
     reg_tuned = TrainValidationSplit(
         estimator=reg, estimatorParamMaps=ParamGridBuilder().addGrid(reg.regParam, list(regs)).build(),
         evaluator=RegressionEvaluator(labelCol=price_z_col, predictionCol="price_pred", metricName="mse"),
-        trainRatio=0.8, seed=seed)
+        trainRatio=0.8, seed=seed, parallelism=len(regs))
     return Pipeline(stages=[indexer, clf_tuned, reg_tuned]).fit(train)
 
 

@@ -173,3 +173,13 @@ def q_imputation_study(spark, d):
                                        F.col("p_retailprice").alias("t1"), (F.col("p_size") * 3.0).alias("t2"))
     study = ST.imputation_study(e, "id", ["x", "z"], ["t1", "t2"], num_trees=10)
     return study
+
+
+@query("two_target_model")
+def q_two_target_model(spark, d):
+    """K3/K5: both heads tuned on a validation split; in-sample predictions."""
+    from pyspark.ml import PipelineModel
+    df, _ = _model_frame(spark, d)
+    model = K.two_target_model(df, "band", "price_z")
+    heads = PipelineModel(stages=model.stages[1:])
+    return heads.transform(df).select("id", F.col("class_pred").cast("int").alias("class_pred"), "price_pred")

@@ -293,3 +293,12 @@ def q_feature_matrix(spark, d):
     m, _ = H.feature_matrix(c, "c_custkey", one_hot_cols=["c_mktsegment"], ordinal_cols=["c_nationkey"],
                             scaled_cols=["c_acctbal"])
     return m.select("c_custkey", vector_to_array("features").alias("features"))
+
+
+@query("crosstab_margins", """
+WITH ct AS (SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY 1, 2)
+SELECT sum(n) AS total, count(DISTINCT l_returnflag) AS n_rows, count(DISTINCT l_linestatus) AS n_cols FROM ct
+""")
+def q_crosstab_margins(spark, d):
+    ct = G.crosstab_long(table(spark, d, "lineitem"), "l_returnflag", "l_linestatus")
+    return G.crosstab_margins(ct, "l_returnflag", "l_linestatus")
