@@ -103,7 +103,7 @@ def global_mode(df: DataFrame, value_col: str) -> Column:
 
 
 def rows_before(vc: DataFrame, group_cols: Sequence[str], value_col: str, n_col: str,
-                n_buckets: int = 128, out: str = "__before") -> DataFrame:
+                n_buckets: int = 64, out: str = "__before") -> DataFrame:
     """Distributed prefix count: for each distinct ``(group, value, n)`` row,
     the number of rows of its group with a smaller value.
 

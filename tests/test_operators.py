@@ -293,3 +293,16 @@ def test_softmax_argmax_norm(spark):
 
 def test_pairs_are_combinations():
     assert AS.column_pairs(["a", "b", "c"]) == list(itertools.combinations("abc", 2))
+
+
+def test_tolerance_match_equals_brute_force(spark):
+    rnd = random.Random(7)
+    meds = [(f"K{i:02d}", rnd.choice([rnd.uniform(50, 500), float(rnd.randint(50, 500))])) for i in range(40)]
+    probes = [m * f for _, m in meds[:10] for f in (0.96, 1.04, 1 / 1.04, 1 / 0.96, 0.9599999, 1.0400001)]
+    probes += [rnd.uniform(-10, 600) for _ in range(300)] + [0.0]
+    lookup = spark.createDataFrame(meds, "k string, m double")
+    probe = spark.createDataFrame(list(enumerate(probes)), "id int, p double")
+    got = dict(tolerance_match(probe, lookup, "p", "k", "m", 0.04).select("id", "match").collect())
+    for i, p in enumerate(probes):
+        hits = [k for k, m in meds if p != 0 and abs(p - m) / p <= 0.04]
+        assert got[i] == (min(hits) if hits else None), (i, p)
