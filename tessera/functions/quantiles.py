@@ -6,10 +6,12 @@ distinct values lands in a single buffer.  The versions here:
 
 * pre-aggregate to ``(group, value, n)`` first (map-side combine, shuffle on
   the *pair*, so a hot group spreads over many partitions);
-* split every group into value buckets from a bounded-memory sketch
-  (``percentile_approx``), count per bucket, and locate the bucket holding
-  the middle rank from a tiny ``groups x buckets`` table;
-* rank exactly only inside the one or two target buckets.
+* rank groups with a bounded number of distinct values directly; narrow
+  larger groups round by round: a bounded-memory sketch
+  (``percentile_approx``) cuts the values into ranges, a tiny
+  ``groups x buckets`` count table locates the range holding the middle
+  rank, and only that range survives (distributed selection);
+* rank exactly only the survivors.
 
 The answer is exact whatever the sketch returns; the sketch only decides
 how evenly the work spreads.
@@ -37,50 +39,85 @@ def value_counts_by_group(df: DataFrame, group_cols: Sequence[str], value_col: s
             .groupBy(*g, value_col).agg(F.count(F.lit(1)).alias("__n")))
 
 
+# Distinct values of one group that a single task may rank in one window.
+MAX_DISTINCT_PER_TASK = 1_000_000
+
+
 def exact_median(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                 out: str = "median", n_buckets: int = 32) -> DataFrame:
+                 out: str = "median", n_buckets: int = 32,
+                 max_per_task: int = MAX_DISTINCT_PER_TASK, max_rounds: int = 12) -> DataFrame:
     """Exact median (mean of the two middle values) per group, NULLs skipped.
 
-    Groups whose values are all NULL are absent from the result.
+    Distributed selection:
+
+    1. ``(group, value, n)`` pre-aggregation; group totals give the two
+       middle ranks ``lo = floor((N-1)/2)`` and ``hi = floor(N/2)``.
+    2. Groups with at most ``max_per_task`` distinct values are ranked by a
+       running count in one window per group (bounded work per task).
+    3. Larger groups are narrowed round by round: a sketch cuts the
+       remaining values into ``n_buckets`` ranges, per-range counts (a
+       ``groups x buckets`` table) locate the range(s) holding ``lo`` and
+       ``hi``, and only those values survive, together with the count of
+       values below them.  Each round is checkpointed to the shared folder.
+       When every survivor set fits a task, step 2 finishes the job.
+
+    The answer is exact whatever the sketch returns; the sketch only decides
+    how fast the candidate sets shrink.  Groups whose values are all NULL
+    are absent from the result.
     """
+    from tessera.session import cut_lineage
+
     g = _groups(group_cols)
     v = value_col
     vc = value_counts_by_group(df, group_cols, v).withColumn(v, F.col(v).cast("double"))
-    fracs = [i / n_buckets for i in range(1, n_buckets)]
-    sketch = vc.groupBy(*g).agg(
-        F.sum("__n").alias("__tot"),
-        F.percentile_approx(v, fracs, 40 * n_buckets).alias("__bounds"),
-    )
-    # bucket = number of boundaries strictly below the value
-    bucketed = vc.join(sketch, g).withColumn(
-        "__b", F.size(F.filter("__bounds", lambda x: x < F.col(v)))
-    )
-    per_bucket = bucketed.groupBy(*g, "__b").agg(F.sum("__n").alias("__bn"), F.first("__tot").alias("__tot"))
-    w = Window.partitionBy(*g).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    per_bucket = per_bucket.withColumn("__before", F.coalesce(F.sum("__bn").over(w), F.lit(0)))
-    # 0-based middle ranks: lo = floor((n-1)/2), hi = floor(n/2)
-    ranks = per_bucket.select(
-        *g, "__b", "__before", "__bn",
-        F.floor((F.col("__tot") - 1) / 2).alias("__lo"),
-        F.floor(F.col("__tot") / 2).alias("__hi"),
-    )
-    target = ranks.where(
-        ((F.col("__lo") >= F.col("__before")) & (F.col("__lo") < F.col("__before") + F.col("__bn")))
-        | ((F.col("__hi") >= F.col("__before")) & (F.col("__hi") < F.col("__before") + F.col("__bn")))
-    )
-    cand = bucketed.select(*g, "__b", v, "__n").join(target, [*g, "__b"])
-    wv = Window.partitionBy(*g, "__b").orderBy(v).rowsBetween(Window.unboundedPreceding, -1)
-    cand = cand.withColumn("__start", F.col("__before") + F.coalesce(F.sum("__n").over(wv), F.lit(0)))
-    hit = cand.withColumn("__end", F.col("__start") + F.col("__n"))
+    tot = vc.groupBy(*g).agg(F.sum("__n").alias("__tot"), F.count(F.lit(1)).alias("__nd"))
+    ranks = tot.select(*g, "__nd",
+                       F.floor((F.col("__tot") - 1) / 2).alias("__lo"),
+                       F.floor(F.col("__tot") / 2).alias("__hi"))
+    cur = vc.join(ranks, g).withColumn("__base", F.lit(0).cast("bigint"))
+    if ranks.where(F.col("__nd") > max_per_task).limit(1).count() == 0:
+        res = _finish_median(cur, g, v, out)
+    else:
+        small = cur.where(F.col("__nd") <= max_per_task)
+        big = cut_lineage(cur.where(F.col("__nd") > max_per_task).drop("__nd"))
+        fracs = [i / n_buckets for i in range(1, n_buckets)]
+        prev = None
+        for _ in range(max_rounds):
+            nd = big.groupBy(*g).agg(F.count(F.lit(1)).alias("c")).agg(F.max("c")).first()[0] or 0
+            if nd <= max_per_task or (prev is not None and nd >= prev):
+                break
+            prev = nd
+            sk = big.groupBy(*g).agg(F.percentile_approx(v, fracs, 40 * n_buckets).alias("__bounds"))
+            b = big.join(sk, g).withColumn("__b", F.size(F.filter("__bounds", lambda x: x < F.col(v)))) \
+                .drop("__bounds")
+            pb = b.groupBy(*g, "__b").agg(F.sum("__n").alias("__bn"), F.first("__base").alias("__base"),
+                                         F.first("__lo").alias("__lo"), F.first("__hi").alias("__hi"))
+            w = Window.partitionBy(*g).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+            pb = pb.withColumn("__before", F.col("__base") + F.coalesce(F.sum("__bn").over(w), F.lit(0)))
+            end = F.col("__before") + F.col("__bn")
+            keep = pb.where((F.col("__hi") >= F.col("__before")) & (F.col("__lo") < end))
+            newbase = keep.groupBy(*g).agg(F.min("__before").alias("__nb"))
+            big = cut_lineage(
+                b.join(keep.select(*g, "__b"), [*g, "__b"], "left_semi").join(newbase, g)
+                .withColumn("__base", F.col("__nb")).drop("__nb", "__b"))
+        res = _finish_median(small.drop("__nd"), g, v, out).unionByName(_finish_median(big, g, v, out))
+    return res if group_cols else res.drop(_ONE)
+
+
+def _finish_median(cur: DataFrame, g: list[str], v: str, out: str) -> DataFrame:
+    """Rank the surviving values with a running count and read off lo/hi."""
+    w = Window.partitionBy(*g).orderBy(v).rowsBetween(Window.unboundedPreceding, -1)
+    hit = cur.withColumn("__start", F.col("__base") + F.coalesce(F.sum("__n").over(w), F.lit(0)))
+    hit = hit.withColumn("__end", F.col("__start") + F.col("__n"))
     lo = F.when((F.col("__lo") >= F.col("__start")) & (F.col("__lo") < F.col("__end")), F.col(v))
     hi = F.when((F.col("__hi") >= F.col("__start")) & (F.col("__hi") < F.col("__end")), F.col(v))
-    res = hit.groupBy(*g).agg(((F.max(lo) + F.max(hi)) / 2).alias(out))
-    return res if group_cols else res.drop(_ONE)
+    return hit.groupBy(*g).agg(((F.max(lo) + F.max(hi)) / 2).alias(out))
 
 
-def global_median(df: DataFrame, value_col: str, n_buckets: int = 32) -> Column:
+def global_median(df: DataFrame, value_col: str, n_buckets: int = 32,
+                  max_per_task: int = MAX_DISTINCT_PER_TASK) -> Column:
     """Scalar-subquery column holding the exact median of ``value_col``."""
-    return exact_median(df.select(value_col), [], value_col, "m", n_buckets).select("m").scalar()
+    return exact_median(df.select(value_col), [], value_col, "m", n_buckets, max_per_task).select("m").scalar()
 
 
 def group_modes(df: DataFrame, group_cols: Sequence[str], value_col: str) -> DataFrame:
