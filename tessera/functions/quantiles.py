@@ -140,19 +140,30 @@ def global_mode(df: DataFrame, value_col: str) -> Column:
 
 
 def rows_before(vc: DataFrame, group_cols: Sequence[str], value_col: str, n_col: str,
-                n_buckets: int = 64, out: str = "__before") -> DataFrame:
+                n_buckets: int | None = None, out: str = "__before",
+                max_per_task: int = MAX_DISTINCT_PER_TASK) -> DataFrame:
     """Distributed prefix count: for each distinct ``(group, value, n)`` row,
     the number of rows of its group with a smaller value.
 
-    Values are cut into buckets from a bounded sketch; bucket totals (a
-    ``groups x buckets`` table) give each bucket its offset, and a window
-    per *bucket* (not per group) adds the local running count.  A hot group
-    is thus ranked by ``n_buckets`` tasks instead of one.
+    When every group has at most ``max_per_task`` distinct values, one
+    running-count window per group does it.  Otherwise values are cut into
+    buckets from a bounded sketch (enough buckets that each holds about
+    ``max_per_task / 2`` values of the largest group); bucket totals (a
+    ``groups x buckets`` table) give each bucket its offset, and a window per
+    *bucket* adds the local running count, so a hot group is ranked by many
+    tasks instead of one.
     """
     g = list(group_cols)
+    nd_max = (vc.groupBy(*g).agg(F.count(F.lit(1)).alias("c")).agg(F.max("c")).first()[0]
+              if g else vc.count()) or 0
+    if n_buckets is None and nd_max <= max_per_task:
+        w = Window.partitionBy(*g).orderBy(value_col).rowsBetween(Window.unboundedPreceding, -1)
+        return vc.withColumn(out, F.coalesce(F.sum(n_col).over(w), F.lit(0)))
+    if n_buckets is None:
+        n_buckets = int(min(max(64, 2 * -(-nd_max // max_per_task)), 4096))
     fracs = [i / n_buckets for i in range(1, n_buckets)]
     dv = sort_key(vc, value_col)
-    sketch = F.percentile_approx(dv, fracs, 4 * n_buckets).alias("__bounds")
+    sketch = F.percentile_approx(dv, fracs, 10 * n_buckets).alias("__bounds")
     if g:
         b = vc.join(vc.groupBy(*g).agg(sketch), g)  # one sketch row per group
     else:

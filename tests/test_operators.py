@@ -129,6 +129,19 @@ def test_average_rank_ties(spark):
     assert got == {1: 2.0, 2: 3.5, 3: 3.5, 4: 1.0, 5: None}
 
 
+def test_rows_before_bucketed_equals_direct(spark):
+    from tessera.functions.quantiles import rows_before
+    rnd = random.Random(5)
+    rows = [(rnd.choice("ab"), rnd.choice(["p", "q", "r", "s", "t", "u"]) + str(rnd.randint(0, 40)), rnd.randint(1, 3))
+            for _ in range(600)]
+    vc = spark.createDataFrame(rows, "g string, v string, n long").groupBy("g", "v").agg(F.sum("n").alias("n"))
+    direct = sorted(map(tuple, rows_before(vc, ["g"], "v", "n").select("g", "v", "__before").collect()))
+    forced = sorted(map(tuple, rows_before(vc, ["g"], "v", "n", max_per_task=10).select("g", "v", "__before").collect()))
+    nogrp = rows_before(vc.where(F.col("g") == "a").drop("g"), [], "v", "n", max_per_task=10)
+    assert direct == forced
+    assert sorted(map(tuple, nogrp.select("v", "__before").collect())) == [(v, b) for g, v, b in direct if g == "a"]
+
+
 def test_cap_per_class_bounded_and_stable(spark):
     df = spark.createDataFrame([(i, "big" if i % 10 else "small") for i in range(500)], "id int, c string")
     a = W.cap_per_class(df, "c", "id", 30)
