@@ -18,8 +18,9 @@ Plan, per call:
    the query sits in those cells, so a query whose ``cap``-th best
    candidate is within ``W`` is final.  The rest go to the next round with
    the cells doubled (still ``3^d`` probes).  A round whose cells cover
-   the whole bounding box is final for everyone.  Unresolved sets are
-   checkpointed to the shared checkpoint folder between rounds.
+   the whole bounding box is final for everyone.  Deduplicated inputs and
+   each round's flagged candidates are checkpointed to the shared
+   checkpoint folder, so no round is recomputed and lineage stays short.
 4. **Expand back** to query rows, drop self matches, keep the first ``k``
    by ``(distance, id)``.
 
@@ -75,17 +76,19 @@ def knn_join(queries: DataFrame, refs: DataFrame, qid: str, rid: str, features:
 
     Q = queries.where(ok).select(F.col(qid).alias("__qid"), *[F.col(f).cast("double").alias(x) for f, x in zip(features, fq)])
     QL = Q.select(*fq).distinct()
-
-    # bounding box of both sides and grid size: one small aggregate row each
-    st = R.agg(*[F.min(x).alias(f"lo{i}") for i, x in enumerate(fr)],
-               *[F.max(x).alias(f"hi{i}") for i, x in enumerate(fr)],
-               F.count(F.lit(1)).alias("n")).first()
-    sq = QL.agg(*[F.min(x).alias(f"lo{i}") for i, x in enumerate(fq)],
-                *[F.max(x).alias(f"hi{i}") for i, x in enumerate(fq)]).first()
-    if st is None or not st["n"] or sq[f"lo0"] is None:
+    if checkpoint:  # both are read by every round: compute them once
+        R, QL = cut_lineage(R), cut_lineage(QL)
+
+    # bounding box of both sides and the reference count: one small job
+    both = R.select(*[F.col(x).alias(f"__f{i}") for i, x in enumerate(fr)], F.lit(1).alias("__isr")) \
+        .unionByName(QL.select(*[F.col(x).alias(f"__f{i}") for i, x in enumerate(fq)], F.lit(0).alias("__isr")))
+    st = both.agg(*[F.min(f"__f{i}").alias(f"lo{i}") for i in range(d)],
+                  *[F.max(f"__f{i}").alias(f"hi{i}") for i in range(d)],
+                  F.sum("__isr").alias("n"), F.count(F.lit(1)).alias("m")).first()
+    if st is None or not st["n"] or st["m"] == st["n"]:
         return queries.sparkSession.createDataFrame([], f"{qid} bigint, {out_id} bigint, dist double, rank int")
-    lo = [min(float(st[f"lo{i}"]), float(sq[f"lo{i}"])) for i in range(d)]
-    span = [max(max(float(st[f"hi{i}"]), float(sq[f"hi{i}"])) - lo[i], 0.0) for i in range(d)]
+    lo = [float(st[f"lo{i}"]) for i in range(d)]
+    span = [max(float(st[f"hi{i}"]) - lo[i], 0.0) for i in range(d)]
     if cell_width is None:
         n_cells = max(st["n"] / (_TARGET_PER_CELL * cap), 1.0)
         vol = math.prod(max(s, 1e-9) for s in span)
@@ -111,12 +114,14 @@ def knn_join(queries: DataFrame, refs: DataFrame, qid: str, rid: str, features:
         if last:
             resolved.append(top)
             break
-        per = top.groupBy(*fq).agg(F.count(F.lit(1)).alias("__m"), F.max("__d2").alias("__worst"))
-        good = per.where((F.col("__m") >= cap) & (F.col("__worst") <= width * width)).select(*fq)
-        resolved.append(top.join(good, fq, "left_semi"))
-        todo = todo.join(good, fq, "left_anti")
+        # same partitioning as the ranking window: no further shuffle
+        wl = Window.partitionBy(*fq)
+        flagged = top.withColumn(
+            "__ok", (F.count(F.lit(1)).over(wl) >= cap) & (F.max("__d2").over(wl) <= width * width))
         if checkpoint:
-            todo = cut_lineage(todo)
+            flagged = cut_lineage(flagged)  # candidates computed once per round
+        resolved.append(flagged.where("__ok").drop("__ok"))
+        todo = flagged.where(~F.col("__ok")).select(*fq).distinct()
         if todo.isEmpty():
             break
         width *= 2.0
