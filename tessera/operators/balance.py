@@ -36,11 +36,10 @@ def edited_nn(df: DataFrame, id_col: str, features: Sequence[str], label_col: st
     A row survives when all of its ``k`` nearest other rows (ties to the
     smaller id) carry its label.  Rows with a NULL feature are dropped.
     """
-    nn = knn_join(df, df, id_col, id_col, features, k, exclude_self=True, out_id="__nb")
-    labels = df.select(F.col(id_col).alias("__nb"), F.col(label_col).alias("__nl"))
-    own = df.select(id_col, F.col(label_col).alias("__own"))
-    bad = (nn.join(labels, "__nb").join(own, id_col)
-           .where(~F.col("__nl").eqNullSafe(F.col("__own"))).select(id_col).distinct())
+    own = df.select(id_col, *features, F.col(label_col).alias("__own"))
+    nn = knn_join(own, df, id_col, id_col, features, k, exclude_self=True, out_id="__nb",
+                  q_carry=["__own"], r_carry=[label_col])
+    bad = nn.where(~F.col(f"nb_{label_col}").eqNullSafe(F.col("__own"))).select(id_col).distinct()
     ok = F.lit(True)
     for f in features:
         ok = ok & F.col(f).isNotNull()
@@ -61,10 +60,8 @@ def adasyn_weights(df: DataFrame, id_col: str, features: Sequence[str], label_co
     n_minor = df.where(F.col(label_col) == mino).select(F.count(F.lit(1))).scalar()
     G = n_major - n_minor
     mdf = df.where(F.col(label_col) == mino)
-    nn = knn_join(mdf, df, id_col, id_col, features, k, exclude_self=True, out_id="__nb")
-    labels = df.select(F.col(id_col).alias("__nb"), F.col(label_col).alias("__nl"))
-    other = nn.join(labels, "__nb").groupBy(id_col).agg(
-        F.count_if(~F.col("__nl").eqNullSafe(mino)).alias("n_other"))
+    nn = knn_join(mdf, df, id_col, id_col, features, k, exclude_self=True, out_id="__nb", r_carry=[label_col])
+    other = nn.groupBy(id_col).agg(F.count_if(~F.col(f"nb_{label_col}").eqNullSafe(mino)).alias("n_other"))
     total = other.select(F.sum("n_other")).scalar()
     g = F.bround(F.col("n_other") / total * G, 0).cast("int")
     return other.select(id_col, "n_other", g.alias("g"))
@@ -81,15 +78,13 @@ def adasyn(df: DataFrame, id_col: str, features: Sequence[str], label_col: str,
     mino = minority if minority is not None else minority_class(df, label_col)
     w = adasyn_weights(df, id_col, features, label_col, k, mino).where(F.col("g") > 0)
     mdf = df.where(F.col(label_col) == mino)
-    mnn = knn_join(mdf, mdf, id_col, id_col, features, k, exclude_self=True, out_id="__nb")
+    mnn = knn_join(mdf, mdf, id_col, id_col, features, k, exclude_self=True, out_id="__nb",
+                   q_carry=list(features), r_carry=list(features))
     n_nb = mnn.groupBy(id_col).agg(F.count(F.lit(1)).alias("__cnt"))
     draws = (w.join(n_nb, id_col).select(id_col, "__cnt", F.explode(F.sequence(F.lit(1), F.col("g"))).alias("j"))
              .withColumn("rank", (hash_u32(F.lit(seed), F.col(id_col), F.col("j")) % F.col("__cnt") + 1).cast("int"))
              .withColumn("__lam", hash_unit(F.lit(seed), F.lit("step"), F.col(id_col), F.col("j"))))
-    draws = draws.join(mnn.select(id_col, "rank", "__nb"), [id_col, "rank"])
-    xs = mdf.select(id_col, *features)
-    nb = mdf.select(F.col(id_col).alias("__nb"), *[F.col(f).alias(f"__n_{f}") for f in features])
-    out = draws.join(xs, id_col).join(nb, "__nb")
+    out = draws.join(mnn, [id_col, "rank"])
     return out.select(F.col(id_col).alias("src_id"), "j",
-                      *[(F.col(f) + F.col("__lam") * (F.col(f"__n_{f}") - F.col(f))).alias(f) for f in features],
+                      *[(F.col(f) + F.col("__lam") * (F.col(f"nb_{f}") - F.col(f))).alias(f) for f in features],
                       F.lit(mino).alias(label_col))

@@ -167,16 +167,15 @@ def impute_knn(df: DataFrame, id_col: str, cols, k: int = 5, fit_on: DataFrame |
                 q = partial.where(pat == F.array(*[F.lit(b) for b in rp]))
                 r = fit.where(pat == F.array(*[F.lit(b) for b in dp]))
                 nn = knn_join(q, r, id_col, id_col, shared, k, scale=math.sqrt(n_feat / len(shared)),
-                              out_id="__donor")
-                parts.append(nn)
+                              out_id="__donor", r_carry=[f])
+                parts.append(nn.withColumnRenamed(f"nb_{f}", "__fv"))
         if parts:
             nn = parts[0]
             for p in parts[1:]:
                 nn = nn.unionByName(p)
             w = Window.partitionBy(id_col).orderBy("dist", "__donor")
             nn = nn.withColumn("__rk", F.row_number().over(w)).where(F.col("__rk") <= k)
-            donors = fit.where(F.col(f).isNotNull()).select(F.col(id_col).alias("__donor"), F.col(f).alias("__fv"))
-            est = nn.join(donors, "__donor").groupBy(id_col).agg(F.avg("__fv").alias(f"__est_{j}"))
+            est = nn.groupBy(id_col).agg(F.avg("__fv").alias(f"__est_{j}"))
             filled = filled.join(est, id_col, "left")
         else:
             filled = filled.withColumn(f"__est_{j}", F.lit(None).cast("double"))

@@ -53,15 +53,17 @@ def _sqdist(fa: Sequence[str], fb: Sequence[str]):
 
 def knn_join(queries: DataFrame, refs: DataFrame, qid: str, rid: str, features: Sequence[str],
              k: int, exclude_self: bool = False, scale: float = 1.0, cell_width: float | None = None,
-             checkpoint: bool = True, out_id: str = "neighbor") -> DataFrame:
+             checkpoint: bool = True, out_id: str = "neighbor", q_carry: Sequence[str] = (),
+             r_carry: Sequence[str] = ()) -> DataFrame:
     """For every query row, its ``k`` nearest reference rows.
 
     Distance is Euclidean over ``features`` times ``scale``; ties go to the
     smaller reference id.  Rows with a NULL feature are skipped on both
     sides.  ``exclude_self`` drops pairs with ``qid == rid``.
 
-    Returns ``(qid, out_id, dist, rank)`` with ``rank`` 1..k (fewer when
-    there are fewer references).
+    Returns ``(qid, out_id, dist, rank, *q_carry, *nb_<r_carry>)`` with
+    ``rank`` 1..k (fewer when there are fewer references).  Carried columns
+    ride along with their rows, so callers need no join back on the ids.
     """
     d = len(features)
     cap = k + 1 if exclude_self else k
@@ -70,11 +72,14 @@ def knn_join(queries: DataFrame, refs: DataFrame, qid: str, rid: str, features:
     ok = F.lit(True)
     for f in features:
         ok = ok & F.col(f).isNotNull()
-    R = refs.where(ok).select(F.col(rid).alias("__rid"), *[F.col(f).cast("double").alias(x) for f, x in zip(features, fr)])
+    rc = [f"__rc{i}" for i in range(len(r_carry))]
+    R = refs.where(ok).select(F.col(rid).alias("__rid"), *[F.col(f).cast("double").alias(x) for f, x in zip(features, fr)],
+                              *[F.col(c).alias(a) for c, a in zip(r_carry, rc)])
     wl = Window.partitionBy(*fr).orderBy("__rid")
     R = R.withColumn("__rn", F.row_number().over(wl)).where(F.col("__rn") <= cap).drop("__rn")
 
-    Q = queries.where(ok).select(F.col(qid).alias("__qid"), *[F.col(f).cast("double").alias(x) for f, x in zip(features, fq)])
+    Q = queries.where(ok).select(F.col(qid).alias("__qid"), *[F.col(f).cast("double").alias(x) for f, x in zip(features, fq)],
+                                 *q_carry)
     QL = Q.select(*fq).distinct()
     if checkpoint:  # both are read by every round: compute them once
         R, QL = cut_lineage(R), cut_lineage(QL)
@@ -86,7 +91,10 @@ def knn_join(queries: DataFrame, refs: DataFrame, qid: str, rid: str, features:
                   *[F.max(f"__f{i}").alias(f"hi{i}") for i in range(d)],
                   F.sum("__isr").alias("n"), F.count(F.lit(1)).alias("m")).first()
     if st is None or not st["n"] or st["m"] == st["n"]:
-        return queries.sparkSession.createDataFrame([], f"{qid} bigint, {out_id} bigint, dist double, rank int")
+        empty = queries.select(F.col(qid), F.lit(None).cast("bigint").alias(out_id),
+                               F.lit(None).cast("double").alias("dist"), F.lit(None).cast("int").alias("rank"),
+                               *q_carry, *[F.lit(None).alias(f"nb_{c}") for c in r_carry])
+        return empty.limit(0)
     lo = [float(st[f"lo{i}"]) for i in range(d)]
     span = [max(float(st[f"hi{i}"]) - lo[i], 0.0) for i in range(d)]
     if cell_width is None:
@@ -103,12 +111,12 @@ def knn_join(queries: DataFrame, refs: DataFrame, qid: str, rid: str, features:
     while True:
         last = width >= full + cell_width  # +-1 cells cover the whole box
         rcell = [F.floor((F.col(x) - lo[i]) / width).cast("bigint").alias(f"__c{i}") for i, x in enumerate(fr)]
-        Rc = R.select("__rid", *fr, *rcell)
+        Rc = R.select("__rid", *fr, *rc, *rcell)
         probe = todo.select(*fq, F.explode(offsets).alias("__off")).select(
             *fq, *[(F.floor((F.col(x) - lo[i]) / width).cast("bigint") + F.col("__off")[i]).alias(f"__c{i}")
                    for i, x in enumerate(fq)])
         cand = probe.join(Rc, [f"__c{i}" for i in range(d)]).select(
-            *fq, "__rid", _sqdist(fq, fr).alias("__d2"))
+            *fq, "__rid", *rc, _sqdist(fq, fr).alias("__d2"))
         wq = Window.partitionBy(*fq).orderBy("__d2", "__rid")
         top = cand.withColumn("__rk", F.row_number().over(wq)).where(F.col("__rk") <= cap)
         if last:
@@ -129,10 +137,11 @@ def knn_join(queries: DataFrame, refs: DataFrame, qid: str, rid: str, features:
     loc_nn = resolved[0]
     for extra in resolved[1:]:
         loc_nn = loc_nn.unionByName(extra)
-    pairs = Q.join(loc_nn.select(*fq, "__rid", "__d2"), fq)
+    pairs = Q.join(loc_nn.select(*fq, "__rid", "__d2", *rc), fq)
     if exclude_self:
         pairs = pairs.where(F.col("__qid") != F.col("__rid"))
     w = Window.partitionBy("__qid").orderBy("__d2", "__rid")
     out = pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     return out.select(F.col("__qid").alias(qid), F.col("__rid").alias(out_id),
-                      (F.sqrt("__d2") * F.lit(scale)).alias("dist"), F.col("rank").cast("int"))
+                      (F.sqrt("__d2") * F.lit(scale)).alias("dist"), F.col("rank").cast("int"), *q_carry,
+                      *[F.col(a).alias(f"nb_{c}") for c, a in zip(r_carry, rc)])
