@@ -36,8 +36,11 @@ def repair_labels(df: DataFrame, class_col: str, price_col: str, tol: float = 0.
     * both missing -> the two defaults.
 
     Both fills read the original labels, so they do not feed each other.
-    Rows are split by which labels they miss; only the rows that need a
-    lookup take part in a join, the rest stream through unchanged.
+    Two streams over the input: rows with a class take a left join with the
+    fitted median table (a few rows per class, broadcast by AQE from its
+    measured size, so no shuffle of the input); rows without a class take
+    the tolerance join, and only they are shuffled (to collapse multiple
+    matches).  The fitted table is checkpointed once and read by both.
     """
     class_out = class_out or class_col
     price_out = price_out or price_col
@@ -50,15 +53,12 @@ def repair_labels(df: DataFrame, class_col: str, price_col: str, tol: float = 0.
     def finish(frame: DataFrame, cls: Column, prc: Column) -> DataFrame:
         return frame.select(*keep, cls.alias(class_out), prc.alias(price_out))
 
-    complete = finish(df.where(c.isNotNull() & p.isNotNull()), c, p)
-    both = finish(df.where(c.isNull() & p.isNull()), dflt_class.cast("string"), dflt_price)
-    need_class = tolerance_match(df.where(c.isNull() & p.isNotNull()), lookup, price_col,
-                                 class_col, "__med", tol, pick, "__match")
-    need_class = finish(need_class, F.coalesce(F.col("__match"), dflt_class), p)
-    need_price = df.where(c.isNotNull() & p.isNull()).join(
+    with_class = df.where(c.isNotNull()).join(
         lookup.withColumnRenamed(class_col, "__c"), c == F.col("__c"), "left")
-    need_price = finish(need_price, c, F.coalesce(F.col("__med"), dflt_price))
-    return complete.unionByName(both).unionByName(need_class).unionByName(need_price)
+    with_class = finish(with_class, c, F.coalesce(p, F.col("__med"), dflt_price))
+    no_class = tolerance_match(df.where(c.isNull()), lookup, price_col, class_col, "__med", tol, pick, "__match")
+    no_class = finish(no_class, F.coalesce(F.col("__match"), dflt_class), F.coalesce(p, dflt_price))
+    return with_class.unionByName(no_class)
 
 
 def impute_class_by_price(df: DataFrame, class_col: str, price_col: str, tol: float = 0.04,
