@@ -46,8 +46,11 @@ def repair_labels(df: DataFrame, class_col: str, price_col: str, tol: float = 0.
     price_out = price_out or price_col
     c, p = F.col(class_col), F.col(price_col)
     lookup = price_lookup(df, class_col, price_col, "__med", materialize=True)
-    dflt_class = global_mode(df, class_col)
-    dflt_price = global_median(df, price_col)
+    # the two fitted defaults: one small job, then plain literals in both streams
+    dflt = df.sparkSession.range(1).select(global_mode(df, class_col).alias("c"),
+                                           global_median(df, price_col).alias("p")).first()
+    dflt_class = F.lit(dflt["c"]).cast(df.schema[class_col].dataType)
+    dflt_price = F.lit(dflt["p"]).cast("double")
     keep = [x for x in df.columns if x not in (class_out, price_out)]
 
     def finish(frame: DataFrame, cls: Column, prc: Column) -> DataFrame:
