@@ -143,6 +143,7 @@ def impute_knn(df: DataFrame, id_col: str, cols, k: int = 5, fit_on: DataFrame |
     fit = fit_on if fit_on is not None else df
     n_feat = len(cols)
     pat = F.array(*[F.col(c).isNotNull() for c in cols])
+    # missing-value patterns: at most 2^len(cols) rows reach the driver
     fit_pats = [tuple(r[0]) for r in fit.select(pat.alias("p")).distinct().collect()]
     df_pats = [tuple(r[0]) for r in df.select(pat.alias("p")).distinct().collect()]
     means = fit.select(F.struct(*[F.avg(c).alias(c) for c in cols]).alias("s")).scalar()
