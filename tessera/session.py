@@ -12,10 +12,16 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
                 app: str = "tessera") -> SparkSession:
     """Build (or reuse) a session with AQE on and the UI off.
 
-    On a cluster the master and most settings come from spark-submit; the
-    values here only fill what is unset.
+    On a cluster, master, memory and shuffle sizing come from spark-submit /
+    spark-defaults and are left alone; only a local run (no master
+    configured, or an explicit ``local[...]``) gets a local master, driver
+    memory and shuffle partitions sized to its cores.
     """
-    cpus = os.environ.get("BENCH_CPUS") or str(os.cpu_count() or 8)
+    from pyspark import SparkConf
+
+    conf = SparkConf()
+    configured = master or conf.get("spark.master", None) or os.environ.get("SPARK_MASTER")
+    is_local = configured is None or configured.startswith("local")
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.ui.enabled", "false")
@@ -25,13 +31,18 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "16g"))
     )
-    if master or not os.environ.get("SPARK_MASTER"):
-        builder = builder.master(master or f"local[{cpus}]")
-    if shuffle_partitions is None:
-        shuffle_partitions = int(os.environ.get("TESSERA_SHUFFLE_PARTITIONS", cpus))
-    builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if master:
+        builder = builder.master(master)
+    if is_local:
+        cpus = os.environ.get("BENCH_CPUS") or str(os.cpu_count() or 8)
+        if not master:
+            builder = builder.master(f"local[{cpus}]")
+        builder = builder.config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "16g"))
+        if shuffle_partitions is None:
+            shuffle_partitions = int(os.environ.get("TESSERA_SHUFFLE_PARTITIONS", cpus))
+    if shuffle_partitions is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
