@@ -18,6 +18,7 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
 from tessera.functions.quantiles import rows_before
+from tessera.session import cut_lineage
 
 
 def column_pairs(cols: Sequence[str]) -> list[tuple[str, str]]:
@@ -49,7 +50,8 @@ def chi_square(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     correction is applied (each |O - E| shrinks by min(0.5, |O - E|)) and
     the four cells are enumerated explicitly.
     """
-    ct = crosstabs(df, cols)
+    # the long crosstab feeds five aggregates/joins: compute it once
+    ct = cut_lineage(crosstabs(df, cols))
     keys = ["var1", "var2"]
     rows = ct.groupBy(*keys, "a").agg(F.sum("n").alias("ra"))
     colm = ct.groupBy(*keys, "b").agg(F.sum("n").alias("cb"))
