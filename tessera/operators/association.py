@@ -96,17 +96,26 @@ def cramers_v(df: DataFrame, cols: Sequence[str], threshold: float = 0.5) -> Dat
     return out.where(F.col("cramers_v") >= threshold).orderBy(F.desc("cramers_v"), "var1", "var2")
 
 
-def _ranked_pairs(df: DataFrame, cols: Sequence[str], nulls: str) -> DataFrame:
-    long = _pairs_long(df, cols, "double")
+def _rank_cells(df: DataFrame, cols: Sequence[str], nulls: str) -> DataFrame:
+    """``(var1, var2, a, b, n, ra, rb)``: distinct value pairs per column pair
+    with their multiplicity and the average ranks of each side.
+
+    The input is scanned and exploded once; everything after works on the
+    pre-aggregated cells (materialized once), so repeated values never
+    travel twice and no consumer re-reads the input.
+    """
+    keys = ["var1", "var2"]
+    long = _pairs_long(df, cols, "double").withColumns(
+        {s: F.nanvl(F.col(s), F.lit(None).cast("double")) for s in ("a", "b")})
     if nulls == "drop":
-        long = long.where(F.col("a").isNotNull() & F.col("b").isNotNull()
-                          & ~F.isnan("a") & ~F.isnan("b"))
-    out = long
+        long = long.where(F.col("a").isNotNull() & F.col("b").isNotNull())
+    cells = cut_lineage(long.groupBy(*keys, "a", "b").agg(F.count(F.lit(1)).alias("n")))
+    out = cells
     for side in ("a", "b"):
-        vc = out.where(F.col(side).isNotNull()).groupBy("var1", "var2", side).agg(F.count(F.lit(1)).alias("__n"))
-        rk = rows_before(vc, ["var1", "var2"], side, "__n").select(
-            "var1", "var2", side, (F.col("__before") + (F.col("__n") + 1) / 2.0).alias(f"r{side}"))
-        out = out.join(rk, ["var1", "var2", side], "left")
+        vc = cells.where(F.col(side).isNotNull()).groupBy(*keys, side).agg(F.sum("n").alias("__n"))
+        rk = rows_before(vc, keys, side, "__n").select(
+            *keys, side, (F.col("__before") + (F.col("__n") + 1) / 2.0).alias(f"r{side}"))
+        out = out.join(rk, [*keys, side], "left")
     return out
 
 
@@ -117,16 +126,24 @@ def spearman_pairs(df: DataFrame, cols: Sequence[str], threshold: float = 0.1,
     Output ``(var1, var2, sign, abs_rho, n[, p_value])`` sorted by |rho|.
     Ranks are average ranks over the rows where both values are present
     (``nulls="drop"``); ``"propagate"`` returns NULL rho for a pair with any
-    missing value, as the reference's default did.
+    missing value, as the reference's default did.  rho is the Pearson
+    correlation of the ranks, weighted by cell multiplicity.
     """
     if nulls not in ("drop", "propagate"):
         raise ValueError("nulls must be 'drop' or 'propagate'")
-    rp = _ranked_pairs(df, cols, nulls)
-    agg = rp.groupBy("var1", "var2").agg(
-        F.corr("ra", "rb").alias("rho"), F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("a").isNull() | F.col("b").isNull()).alias("__miss"))
-    rho = F.when(F.col("__miss") > 0, F.lit(None)).otherwise(F.col("rho"))
-    out = agg.select("var1", "var2", rho.alias("rho"), "n")
+    rc = _rank_cells(df, cols, nulls)
+    n, ra, rb = F.col("n"), F.col("ra"), F.col("rb")
+    agg = rc.groupBy("var1", "var2").agg(
+        F.sum(n).alias("__w"), F.sum(n * ra).alias("__sa"), F.sum(n * rb).alias("__sb"),
+        F.sum(n * ra * ra).alias("__saa"), F.sum(n * rb * rb).alias("__sbb"), F.sum(n * ra * rb).alias("__sab"),
+        F.sum(F.when(F.col("a").isNull() | F.col("b").isNull(), n).otherwise(0)).alias("__miss"))
+    w = F.col("__w")
+    cov = F.col("__sab") - F.col("__sa") * F.col("__sb") / w
+    va = F.col("__saa") - F.col("__sa") * F.col("__sa") / w
+    vb = F.col("__sbb") - F.col("__sb") * F.col("__sb") / w
+    rho = F.when((F.col("__miss") > 0) | (va <= 0) | (vb <= 0), F.lit(None)).otherwise(
+        F.least(F.lit(1.0), F.greatest(F.lit(-1.0), cov / F.sqrt(va * vb))))
+    out = agg.select("var1", "var2", rho.alias("rho"), w.alias("n"))
     out = out.where(F.abs("rho") >= threshold)
     cols_out = ["var1", "var2", F.signum("rho").alias("sign"), F.abs("rho").alias("abs_rho"), "n"]
     if with_p:
