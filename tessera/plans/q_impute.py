@@ -114,10 +114,34 @@ def q_adasyn_weights(spark, d):
     return J.adasyn_weights(fx.part_imbalanced(spark, d), "id", ["x", "y"], "label", k=5)
 
 
-@query("adasyn")
+_D2 = "(a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)"
+
+
+@query("adasyn", fx.with_fixtures("part_imbalanced") + f""",
+cnt AS (SELECT label, count(*) AS n FROM part_imbalanced GROUP BY label),
+mino AS (SELECT label FROM cnt ORDER BY n, label LIMIT 1),
+m AS (SELECT * FROM part_imbalanced WHERE label = (SELECT label FROM mino)),
+allnn AS (SELECT a.id, b.label AS nl, row_number() OVER (PARTITION BY a.id ORDER BY {_D2}, b.id) AS rk
+          FROM m a JOIN part_imbalanced b ON a.id <> b.id),
+oth AS (SELECT id, count(*) FILTER (WHERE nl <> (SELECT label FROM mino)) AS n_other FROM allnn WHERE rk <= 5 GROUP BY id),
+w AS (SELECT id, CAST(round_even(n_other / (SELECT sum(n_other) FROM oth)
+        * ((SELECT max(n) FROM cnt) - (SELECT min(n) FROM cnt)), 0) AS INTEGER) AS g FROM oth),
+mnn AS (SELECT a.id, a.x, a.y, b.x AS nx, b.y AS ny,
+               row_number() OVER (PARTITION BY a.id ORDER BY {_D2}, b.id) AS rk
+        FROM m a JOIN m b ON a.id <> b.id),
+mnn5 AS (SELECT * FROM mnn WHERE rk <= 5),
+nbc AS (SELECT id, count(*) AS c FROM mnn5 GROUP BY id),
+draws AS (SELECT id, c, unnest(generate_series(1, g)) AS j FROM w JOIN nbc USING (id) WHERE g > 0),
+pick AS (SELECT id, j, CAST({sql_hash_u32('42', 'id', 'j')} % c + 1 AS BIGINT) AS rk,
+                {sql_hash_u32('42', "'step'", 'id', 'j')} / 4294967296.0 AS lam FROM draws)
+SELECT p.id AS src_id, p.j, round(n.x + p.lam * (n.nx - n.x), 6) AS x, round(n.y + p.lam * (n.ny - n.y), 6) AS y,
+       (SELECT label FROM mino) AS label
+FROM pick p JOIN mnn5 n ON p.id = n.id AND p.rk = n.rk
+""")
 def q_adasyn(spark, d):
-    """J2 synthetic rows (hash-drawn neighbour and step; rows-only check)."""
-    return J.adasyn(fx.part_imbalanced(spark, d), "id", ["x", "y"], "label", k=5)
+    """J2 synthetic rows (md5-drawn neighbour and step, reproducible in SQL)."""
+    out = J.adasyn(fx.part_imbalanced(spark, d), "id", ["x", "y"], "label", k=5)
+    return out.select("src_id", F.col("j").cast("bigint").alias("j"), r6("x").alias("x"), r6("y").alias("y"), "label")
 
 
 @query("train_val_split", fx.with_fixtures("orders_labelled") + f"""
