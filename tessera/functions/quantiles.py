@@ -32,9 +32,11 @@ def _groups(group_cols: Sequence[str]) -> list[str]:
 
 
 def value_counts_by_group(df: DataFrame, group_cols: Sequence[str], value_col: str) -> DataFrame:
-    """``(group..., value, n)`` with NULL values dropped (pandas semantics)."""
+    """``(group..., value, n)`` with NULL and NaN values dropped (pandas semantics)."""
     g = _groups(group_cols)
     src = df if group_cols else df.withColumn(_ONE, F.lit(0))
+    if src.schema[value_col].dataType.typeName() in ("double", "float"):
+        src = src.withColumn(value_col, F.nanvl(value_col, F.lit(None).cast(src.schema[value_col].dataType)))
     return (src.where(F.col(value_col).isNotNull())
             .groupBy(*g, value_col).agg(F.count(F.lit(1)).alias("__n")))
 

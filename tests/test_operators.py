@@ -84,6 +84,12 @@ def test_exact_median_random_against_numpy(spark):
         assert got[key] == float(np.median([v for k, v in rows if k == key]))
 
 
+def test_median_skips_nan(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", float("nan")), ("a", 3.0), ("b", float("nan"))], "g string, v double")
+    got = {r["g"]: r["median"] for r in exact_median(df, ["g"], "v").collect()}
+    assert got == {"a": 2.0}
+
+
 def test_modes(spark):
     df = spark.createDataFrame([(1, "x"), (1, "y"), (2, "z"), (2, "z"), (2, None)], "g int, v string")
     got = sorted((r["g"], r["v"]) for r in group_modes(df, ["g"], "v").collect())
