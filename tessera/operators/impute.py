@@ -102,8 +102,11 @@ def simple_impute(df: DataFrame, cols, strategy: str = "mean", fit_on: DataFrame
     """
     from tessera.functions.quantiles import exact_median
 
+    from tessera.operators.clean import nan_to_null
+
     cols = list(cols)
-    fit = fit_on if fit_on is not None else df
+    df = nan_to_null(df, cols)  # NaN is missing, as in the reference's imputers
+    fit = nan_to_null(fit_on, cols) if fit_on is not None else df
     if strategy == "constant":
         stats = {c: F.lit(fill_value) for c in cols}
     elif strategy == "mean":
@@ -139,8 +142,11 @@ def impute_knn(df: DataFrame, id_col: str, cols, k: int = 5, fit_on: DataFrame |
     """
     from tessera.operators.neighbors import knn_join
 
+    from tessera.operators.clean import nan_to_null
+
     cols = list(cols)
-    fit = fit_on if fit_on is not None else df
+    df = nan_to_null(df, cols)
+    fit = nan_to_null(fit_on, cols) if fit_on is not None else df
     n_feat = len(cols)
     pat = F.array(*[F.col(c).isNotNull() for c in cols])
     # missing-value patterns: at most 2^len(cols) rows reach the driver

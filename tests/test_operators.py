@@ -266,6 +266,14 @@ def test_knn_impute_mixed_patterns(spark):
     assert out[3]["missingindicator_a"] == 1 and out[1]["missingindicator_a"] == 0
 
 
+def test_imputers_treat_nan_as_missing(spark):
+    df = spark.createDataFrame([(1, 1.0, 1.0), (2, float("nan"), 2.0), (3, 3.0, 3.0)], "id long, x double, y double")
+    got = {r["id"]: r["x"] for r in I.simple_impute(df, ["x", "y"], "mean").collect()}
+    assert got[2] == 2.0
+    got = {r["id"]: r["x"] for r in I.impute_knn(df, "id", ["x", "y"], k=1).collect()}
+    assert got[2] in (1.0, 3.0)
+
+
 def test_simple_impute_indicators(spark):
     df = spark.createDataFrame([(1.0, 1.0), (None, 2.0), (3.0, 3.0)], "x double, y double")
     out = I.simple_impute(df, ["x", "y"], "median")
