@@ -26,9 +26,9 @@ def q_project(spark, d):
 
 
 @query("short_long_values", """
-SELECT p_partkey, p_name, length(p_name) AS len FROM part WHERE length(p_name) > 10
+SELECT p_partkey, p_name, CAST(length(p_name) AS INTEGER) AS len FROM part WHERE length(p_name) > 10
 UNION ALL
-SELECT p_partkey, p_brand, length(p_brand) FROM part WHERE length(p_brand) < 8
+SELECT p_partkey, p_brand, CAST(length(p_brand) AS INTEGER) FROM part WHERE length(p_brand) < 8
 """)
 def q_short_long(spark, d):
     p = table(spark, d, "part")
@@ -175,7 +175,7 @@ def q_keyword_collapse(spark, d):
 
 
 @query("split_parts", fx.with_fixtures("line_history") + """
-SELECT history, len(string_split(history, ',')) AS n_parts,
+SELECT history, CAST(len(string_split(history, ',')) AS INTEGER) AS n_parts,
   string_split(history, ',')[2] AS second_part, string_split(history, ' ')[1] AS first_word
 FROM line_history
 """)
@@ -187,7 +187,7 @@ def q_split_parts(spark, d):
 
 
 @query("json_array", fx.with_fixtures("part_json") + """
-SELECT id, len(CAST(json(feats) AS VARCHAR[])) AS n_items, CAST(json(feats) AS VARCHAR[])[2] AS second_item
+SELECT id, CAST(len(CAST(json(feats) AS VARCHAR[])) AS INTEGER) AS n_items, CAST(json(feats) AS VARCHAR[])[2] AS second_item
 FROM part_json
 """)
 def q_json_array(spark, d):
@@ -215,7 +215,7 @@ def q_leading_number(spark, d):
 
 
 @query("tokenize_count", fx.with_fixtures("docs_en") + """
-SELECT id, len(regexp_extract_all(lower(text), '(\\w+)', 1)) AS n_tokens,
+SELECT id, CAST(len(regexp_extract_all(lower(text), '(\\w+)', 1)) AS INTEGER) AS n_tokens,
   regexp_extract_all(lower(text), '(\\w+)', 1)[1] AS first_token
 FROM docs_en
 """)
@@ -239,7 +239,7 @@ toks AS (
       lambda t: NOT list_contains({_stop_sql()}, t)),
     lambda t: regexp_replace(t, '[^a-z0-9]', '', 'g')), lambda t: t <> '') AS tokens
   FROM docs_en)
-SELECT id, len(tokens) AS n_tokens, md5(array_to_string(tokens, ' ')) AS digest FROM toks
+SELECT id, CAST(len(tokens) AS INTEGER) AS n_tokens, md5(array_to_string(tokens, ' ')) AS digest FROM toks
 """)
 def q_clean_tokens(spark, d):
     docs = fx.docs_en(spark, d)
@@ -249,8 +249,8 @@ def q_clean_tokens(spark, d):
 
 
 @query("remove_stopwords", fx.with_fixtures("docs_en") + f"""
-SELECT id, len(list_filter(regexp_extract_all(lower(text), '(\\w+)', 1),
-                           lambda t: NOT list_contains({_stop_sql()}, t))) AS n_kept
+SELECT id, CAST(len(list_filter(regexp_extract_all(lower(text), '(\\w+)', 1),
+                           lambda t: NOT list_contains({_stop_sql()}, t))) AS INTEGER) AS n_kept
 FROM docs_en
 """)
 def q_remove_stopwords(spark, d):

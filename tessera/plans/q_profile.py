@@ -22,7 +22,7 @@ def q_csv_roundtrip(spark, d):
 
 
 @query("matrix_scan", """
-SELECT vec_id, len(embedding) AS n_features,
+SELECT vec_id, CAST(len(embedding) AS INTEGER) AS n_features,
   round(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE))), 6) AS total
 FROM embeddings
 """)
@@ -297,7 +297,7 @@ def q_feature_matrix(spark, d):
 
 @query("crosstab_margins", """
 WITH ct AS (SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY 1, 2)
-SELECT sum(n) AS total, count(DISTINCT l_returnflag) AS n_rows, count(DISTINCT l_linestatus) AS n_cols FROM ct
+SELECT CAST(sum(n) AS BIGINT) AS total, count(DISTINCT l_returnflag) AS n_rows, count(DISTINCT l_linestatus) AS n_cols FROM ct
 """)
 def q_crosstab_margins(spark, d):
     ct = G.crosstab_long(table(spark, d, "lineitem"), "l_returnflag", "l_linestatus")

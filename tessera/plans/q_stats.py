@@ -45,7 +45,7 @@ _CHI_COLS = ["p_type", "size_band", "big", "p_size"]
 
 
 @query("chi_square", _ct_sql(_CHI_COLS) + """
-SELECT var1, var2, round(chi2, 6) AS chi2, (r - 1) * (k - 1) AS dof, N AS n_total, r, k FROM chi
+SELECT var1, var2, round(chi2, 6) AS chi2, (r - 1) * (k - 1) AS dof, CAST(N AS BIGINT) AS n_total, r, k FROM chi
 """)
 def q_chi_square(spark, d):
     out = AS.chi_square(_part_cats(spark, d), _CHI_COLS)
@@ -88,7 +88,7 @@ def _spearman_sql():
 
 
 @query("spearman_pairs", _spearman_sql() + """
-SELECT var1, var2, round(sign(rho), 6) AS sign, round(abs(rho), 6) AS abs_rho, n FROM rho WHERE abs(rho) >= 0.1
+SELECT var1, var2, CAST(sign(rho) AS DOUBLE) AS sign, round(abs(rho), 6) AS abs_rho, n FROM rho WHERE abs(rho) >= 0.1
 """)
 def q_spearman_pairs(spark, d):
     out = AS.spearman_pairs(_part_nums(spark, d), _NUM, threshold=0.1, with_p=False)

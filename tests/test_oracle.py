@@ -12,6 +12,7 @@ import __spark_entry__ as E  # noqa: E402
 from oracle_check import duck, rows_of  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
+_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 NAMES = sorted(E.oracle_sql())
 
 
@@ -23,8 +24,13 @@ def con():
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_sql(spark, con, name):
-    got = E.queries()[name](spark, SF).toPandas()
-    want = con.sql(E.oracle_sql()[name]).df()
+    sdf = E.queries()[name](spark, SF)
+    rel = con.sql(E.oracle_sql()[name])
+    spark_types = {f.name: _DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema.fields}
+    duck_types = dict(zip(rel.columns, map(str, rel.types)))
+    assert spark_types == duck_types
+    got = sdf.toPandas()
+    want = rel.df()
     gc, gr = rows_of(got)
     wc, wr = rows_of(want)
     assert gc == wc
