@@ -135,6 +135,7 @@ def q_compare_distribution(spark, d):
 
 
 # ---- scaling ---------------------------------------------------------------
+# (``+ 0.0`` turns a rounded -0.0 into 0.0, as Spark's decimal rounding does)
 
 _Z_SQL = """
 SELECT avg(value) AS m, CASE WHEN stddev_pop(value) IS NULL OR stddev_pop(value) = 0 THEN 1.0
@@ -143,7 +144,7 @@ SELECT avg(value) AS m, CASE WHEN stddev_pop(value) IS NULL OR stddev_pop(value)
 
 @query("z_score", f"""
 WITH p AS ({_Z_SQL})
-SELECT event_id, round((value - p.m) / p.s, 6) AS value_z FROM events, p
+SELECT event_id, round((value - p.m) / p.s, 6) + 0.0 AS value_z FROM events, p
 """)
 def q_z_score(spark, d):
     e = table(spark, d, "events").select("event_id", "value")
@@ -171,7 +172,7 @@ def q_inverse_scale(spark, d):
 @query("log_scaled", """
 WITH l AS (SELECT event_id, ln(1 + value) AS lv FROM events),
 p AS (SELECT avg(lv) AS m, CASE WHEN stddev_pop(lv) IS NULL OR stddev_pop(lv) = 0 THEN 1.0 ELSE stddev_pop(lv) END AS s FROM l)
-SELECT event_id, round((lv - p.m) / p.s, 6) AS value FROM l, p
+SELECT event_id, round((lv - p.m) / p.s, 6) + 0.0 AS value FROM l, p
 """)
 def q_log_scaled(spark, d):
     e = table(spark, d, "events").select("event_id", "value")
@@ -183,7 +184,7 @@ WITH l AS (SELECT value AS raw, ln(1 + value) AS lv FROM events),
 p AS (SELECT avg(lv) AS m, CASE WHEN stddev_pop(lv) = 0 THEN 1.0 ELSE stddev_pop(lv) END AS s FROM l),
 st AS (SELECT 'raw' AS stage, raw AS v FROM l UNION ALL SELECT 'log1p', lv FROM l
        UNION ALL SELECT 'log1p_z', (lv - p.m) / p.s FROM l, p)
-SELECT stage, round(avg(v), 6) AS mean, round(median(v), 6) AS median, round(stddev_samp(v), 6) AS std
+SELECT stage, round(avg(v), 6) + 0.0 AS mean, round(median(v), 6) + 0.0 AS median, round(stddev_samp(v), 6) AS std
 FROM st GROUP BY stage
 """)
 def q_distribution_stages(spark, d):
