@@ -64,11 +64,13 @@ query("impute_knn15", _knn_impute_sql(15))(_knn(15))
 m AS (SELECT id, x, y, CASE WHEN {sql_hash_u32('42', 'id')} % 1000000 < 500000
         THEN ['x', 'y'][CAST({sql_hash_u32('42', "'col'", 'id')} % 2 + 1 AS INTEGER)] END AS injected
       FROM part_gaps)
-SELECT id, CASE WHEN injected = 'x' THEN NULL ELSE x END AS x,
-  CASE WHEN injected = 'y' THEN NULL ELSE y END AS y, injected FROM m
+SELECT id, CAST(CASE WHEN injected = 'x' THEN NULL ELSE x END AS DOUBLE) AS x,
+  CAST(CASE WHEN injected = 'y' THEN NULL ELSE y END AS DOUBLE) AS y, injected FROM m
 """)
 def q_inject_missing(spark, d):
-    return I.inject_missing(fx.part_gaps(spark, d), "id", ["x", "y"], 0.5, 42).select("id", "x", "y", "injected")
+    # nullable integers are reported as doubles on both engines (one NULL marker in every client)
+    out = I.inject_missing(fx.part_gaps(spark, d), "id", ["x", "y"], 0.5, 42)
+    return out.select("id", F.col("x").cast("double"), F.col("y").cast("double"), "injected")
 
 
 _KNN_SQL = """,

@@ -248,12 +248,13 @@ def q_label_decode(spark, d):
 @query("ordinal_encode", """
 WITH codes AS (SELECT p_size AS value, CAST(dense_rank() OVER (ORDER BY p_size) - 1 AS INTEGER) AS idx
                FROM (SELECT DISTINCT p_size FROM part WHERE p_size <= 40))
-SELECT p_partkey, p_size, c.idx AS p_size_code FROM part LEFT JOIN codes c ON part.p_size = c.value
+SELECT p_partkey, p_size, CAST(c.idx AS DOUBLE) AS p_size_code FROM part LEFT JOIN codes c ON part.p_size = c.value
 """)
 def q_ordinal_encode(spark, d):
     p = table(spark, d, "part").select("p_partkey", "p_size")
     codes = H.fit_codes(p.where(F.col("p_size") <= 40), "p_size")  # fit on a part: larger sizes are unknown
-    return H.ordinal_encode(p, "p_size", codes)
+    # unknown -> NULL code: reported as a double on both engines
+    return H.ordinal_encode(p, "p_size", codes).withColumn("p_size_code", F.col("p_size_code").cast("double"))
 
 
 _TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
