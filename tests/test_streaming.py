@@ -29,3 +29,31 @@ def test_stream_equals_batch(spark):
     q.stop()
     streamed = sorted(map(tuple, spark.read.parquet(out).select("id", "class", F.col("price")).collect()))
     assert streamed == batch
+
+
+def test_scoring_stream_equals_batch(spark):
+    from pyspark.ml.feature import VectorAssembler
+
+    from tessera.operators import models as K
+    from tessera.operators import scale as S
+    from tessera.streaming.scoring import score_file_stream, score_rows
+
+    rows = [(i, float(i % 10), float(i % 7), "hi" if i % 10 > 4 else "lo", 100.0 + 3 * (i % 10) + (i % 7))
+            for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, band string, price double")
+    params = S.fit_standard(df, ["price"]).first()
+    train = S.apply_standard(df, S.fit_standard(df, ["price"]), ["price"], suffix="_z")
+    train = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(train)
+    model = K.two_target_model(train, "band", "price_z", regs=(0.001,))
+    batch = sorted(map(tuple, score_rows(model, df, "id", ["a", "b"], params["mean_price"],
+                                         params["scale_price"]).collect()))
+    src = scratch_path(spark, "score-src")
+    df.drop("band", "price").repartition(2).write.parquet(src)
+    out = scratch_path(spark, "score-out")
+    q = score_file_stream(spark, src, "id long, a double, b double", model, "id", ["a", "b"],
+                          params["mean_price"], params["scale_price"], out, scratch_path(spark, "score-ckpt"))
+    q.processAllAvailable()
+    q.stop()
+    streamed = sorted(map(tuple, spark.read.parquet(out).collect()))
+    assert streamed == batch
+    assert {r[1] for r in batch} <= {"hi", "lo"}
