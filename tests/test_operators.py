@@ -345,3 +345,18 @@ def test_tolerance_match_equals_brute_force(spark):
     for i, p in enumerate(probes):
         hits = [k for k, m in meds if p != 0 and abs(p - m) / p <= 0.04]
         assert got[i] == (min(hits) if hits else None), (i, p)
+
+
+def test_text_vectors_train_only(spark):
+    from tessera.operators.textvec import text_norm_feature, vocabulary, word2vec_features
+    train = spark.createDataFrame([(i, "red car fast road " * 3) for i in range(20)], "id long, t string")
+    test = spark.createDataFrame([(100, "zebra unknown words"), (101, None), (102, "red car")], "id long, t string")
+    _, (tr, te) = word2vec_features(train, [test], "t", "id", vector_size=5, min_count=3)
+    got = {r["id"]: r["norm"] for r in te.collect()}
+    assert got[100] == 0.0 and got[101] == 0.0 and got[102] > 0.0
+    assert all(len(r["vec"]) == 5 for r in tr.collect())
+    tr2, te2 = text_norm_feature(train, [test], ["t"], "id", vector_size=5)
+    assert dict(te2.select("id", "t").collect())[100] == 0.0
+    voc = {r["token"]: r["n"] for r in vocabulary(
+        train.select(F.split("t", " ").alias("toks")), "toks", min_count=3).collect()}
+    assert voc["red"] == 60
