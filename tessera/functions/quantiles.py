@@ -106,6 +106,22 @@ def exact_median(df: DataFrame, group_cols: Sequence[str], value_col: str,
     return res if group_cols else res.drop(_ONE)
 
 
+def group_median(df: DataFrame, group_cols: Sequence[str], value_col: str, out: str = "median",
+                 approx: bool = False, accuracy: int = 10000) -> DataFrame:
+    """E4 entry point: exact (default) or sketch-based median per group.
+
+    ``approx=True`` uses ``percentile_approx`` (bounded memory per group, one
+    shuffle; rank error about 1/accuracy) for very large tables where an
+    exact answer is not needed.
+    """
+    if not approx:
+        return exact_median(df, group_cols, value_col, out)
+    v = F.nanvl(F.col(value_col).cast("double"), F.lit(None).cast("double"))
+    src = df.where(v.isNotNull())
+    agg = F.percentile_approx(v, 0.5, accuracy).alias(out)
+    return src.groupBy(*group_cols).agg(agg) if group_cols else src.agg(agg)
+
+
 def _finish_median(cur: DataFrame, g: list[str], v: str, out: str) -> DataFrame:
     """Rank the surviving values with a running count and read off lo/hi."""
     w = Window.partitionBy(*g).orderBy(v).rowsBetween(Window.unboundedPreceding, -1)

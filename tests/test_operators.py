@@ -84,6 +84,20 @@ def test_exact_median_random_against_numpy(spark):
         assert got[key] == float(np.median([v for k, v in rows if k == key]))
 
 
+def test_group_median_approx_close(spark):
+    from tessera.functions.quantiles import group_median
+    df = spark.createDataFrame([("a", float(v)) for v in range(1001)], "g string, v double")
+    exact = group_median(df, ["g"], "v").first()["median"]
+    approx = group_median(df, ["g"], "v", approx=True).first()["median"]
+    assert exact == 500.0 and abs(approx - 500.0) <= 2
+
+
+def test_profile_approx(spark):
+    df = spark.createDataFrame([(i, str(i % 7), None if i % 5 else 1.0) for i in range(200)], "id int, s string, x double")
+    prof = {r["column"]: (r["n_distinct"], r["n_null"]) for r in B.column_profile(df, approx=True).collect()}
+    assert prof["s"] == (7, 0) and prof["x"] == (2, 160) and abs(prof["id"][0] - 200) <= 10
+
+
 def test_median_skips_nan(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", float("nan")), ("a", 3.0), ("b", float("nan"))], "g string, v double")
     got = {r["g"]: r["median"] for r in exact_median(df, ["g"], "v").collect()}
