@@ -115,7 +115,7 @@ def linear_fit(df: DataFrame, x: str, targets: Sequence[str], group_cols: Sequen
 
 
 def forest_cv_mse(df: DataFrame, features: str, targets: Sequence[str], fold_col: str, n_folds: int,
-                  num_trees: int = 20, max_depth: int = 5, seed: int = 42, parallelism: int = 4) -> list[float]:
+                  num_trees: int = 20, max_depth: int = 5, seed: int = 42, parallelism: int = 8) -> list[float]:
     """K8 inside I6: k-fold MSE of a random forest, averaged over the targets.
 
     The ``folds x targets`` fits are independent Spark jobs; like
