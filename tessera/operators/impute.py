@@ -140,11 +140,20 @@ def impute_knn(df: DataFrame, id_col: str, cols, k: int = 5, fit_on: DataFrame |
     subspace (see ``neighbors.knn_join``) -- never all pairs.
     Complete rows stream through untouched.
     """
-    from tessera.operators.neighbors import knn_join
+    return impute_knn_many(df, id_col, cols, [k], fit_on, add_indicator, indicator_prefix)[k]
+
 
+def impute_knn_many(df: DataFrame, id_col: str, cols, ks, fit_on: DataFrame | None = None,
+                    add_indicator: bool = True, indicator_prefix: str = "missingindicator_"
+                    ) -> dict[int, DataFrame]:
+    """I4 for several ``k`` at once: one neighbour search with the largest
+    ``k`` serves every smaller one (the first k of the k_max nearest)."""
     from tessera.operators.clean import nan_to_null
+    from tessera.operators.neighbors import knn_join
 
     cols = list(cols)
+    ks = sorted(set(int(k) for k in ks))
+    kmax = ks[-1]
     df = nan_to_null(df, cols)
     fit = nan_to_null(fit_on, cols) if fit_on is not None else df
     n_feat = len(cols)
@@ -161,7 +170,7 @@ def impute_knn(df: DataFrame, id_col: str, cols, k: int = 5, fit_on: DataFrame |
     complete = df.where(~any_null)
     partial = df.where(any_null)
 
-    filled = partial
+    filled = {k: partial for k in ks}
     for j, f in enumerate(cols):
         recv_pats = [p for p in df_pats if not p[j]]
         if not recv_pats:
@@ -176,20 +185,21 @@ def impute_knn(df: DataFrame, id_col: str, cols, k: int = 5, fit_on: DataFrame |
                     continue
                 q = partial.where(pat == F.array(*[F.lit(b) for b in rp]))
                 r = fit.where(pat == F.array(*[F.lit(b) for b in dp]))
-                nn = knn_join(q, r, id_col, id_col, shared, k, scale=math.sqrt(n_feat / len(shared)),
+                nn = knn_join(q, r, id_col, id_col, shared, kmax, scale=math.sqrt(n_feat / len(shared)),
                               out_id="__donor", r_carry=[f])
                 parts.append(nn.withColumnRenamed(f"nb_{f}", "__fv"))
-        if parts:
-            nn = parts[0]
-            for p in parts[1:]:
-                nn = nn.unionByName(p)
-            w = Window.partitionBy(id_col).orderBy("dist", "__donor")
-            nn = nn.withColumn("__rk", F.row_number().over(w)).where(F.col("__rk") <= k)
-            est = nn.groupBy(id_col).agg(F.avg("__fv").alias(f"__est_{j}"))
-            filled = filled.join(est, id_col, "left")
-        else:
-            filled = filled.withColumn(f"__est_{j}", F.lit(None).cast("double"))
-        filled = filled.withColumn(f"__est_{j}", F.coalesce(F.col(f"__est_{j}"), means[f]))
+        for k in ks:
+            if parts:
+                nn = parts[0]
+                for p in parts[1:]:
+                    nn = nn.unionByName(p)
+                w = Window.partitionBy(id_col).orderBy("dist", "__donor")
+                nn = nn.withColumn("__rk", F.row_number().over(w)).where(F.col("__rk") <= k)
+                est = nn.groupBy(id_col).agg(F.avg("__fv").alias(f"__est_{j}"))
+                filled[k] = filled[k].join(est, id_col, "left")
+            else:
+                filled[k] = filled[k].withColumn(f"__est_{j}", F.lit(None).cast("double"))
+            filled[k] = filled[k].withColumn(f"__est_{j}", F.coalesce(F.col(f"__est_{j}"), means[f]))
 
     def finish(frame, has_est):
         frame = frame.withColumns({f"{indicator_prefix}{c}": F.col(c).isNull().cast("int") for c in ind})
@@ -200,7 +210,7 @@ def impute_knn(df: DataFrame, id_col: str, cols, k: int = 5, fit_on: DataFrame |
         out = frame.withColumns(exprs)
         return out.drop(*[x for x in out.columns if x.startswith("__est_")])
 
-    return finish(complete, False).unionByName(finish(filled, True))
+    return {k: finish(complete, False).unionByName(finish(filled[k], True)) for k in ks}
 
 
 def inject_missing(df: DataFrame, id_col: str, cols, frac: float = 0.5, seed: int = 42) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators.balance import kfold_ids
 from tessera.operators.clean import drop_null_rows
-from tessera.operators.impute import impute_knn, inject_missing, simple_impute
+from tessera.operators.impute import impute_knn, impute_knn_many, inject_missing, simple_impute
 from tessera.operators.models import forest_cv_mse
 
 METHODS = ("zero", "mean", "median", "knn5", "knn15")
@@ -33,6 +33,15 @@ def apply_method(df: DataFrame, id_col: str, cols: Sequence[str], method: str) -
     raise ValueError(method)
 
 
+def _knn_fills(df: DataFrame, id_col: str, cols: Sequence[str], methods: Sequence[str]) -> dict[str, DataFrame]:
+    """All ``knnK`` methods from one neighbour search (largest K)."""
+    ks = [int(m[3:]) for m in methods if m.startswith("knn")]
+    if not ks:
+        return {}
+    many = impute_knn_many(df, id_col, cols, ks)
+    return {f"knn{k}": many[k] for k in ks}
+
+
 def imputation_error(df: DataFrame, id_col: str, cols: Sequence[str], methods: Sequence[str] = METHODS,
                      frac: float = 0.5, seed: int = 42) -> DataFrame:
     """Masked truth against filled value: ``(method, column, n, mae, rmse)``."""
@@ -40,9 +49,10 @@ def imputation_error(df: DataFrame, id_col: str, cols: Sequence[str], methods: S
     truth = drop_null_rows(df.select(id_col, *cols), cols)
     inj = inject_missing(truth, id_col, cols, frac, seed)
     t = truth.select(id_col, *[F.col(c).cast("double").alias(f"__t_{c}") for c in cols])
+    knn = _knn_fills(inj.drop("injected"), id_col, cols, methods)
     out = None
     for m in methods:
-        filled = apply_method(inj.drop("injected"), id_col, cols, m)
+        filled = knn[m] if m in knn else apply_method(inj.drop("injected"), id_col, cols, m)
         j = filled.join(inj.select(id_col, "injected"), id_col).join(t, id_col)
         long = j.where(F.col("injected").isNotNull()).select(
             F.lit(m).alias("method"), F.col("injected").alias("column"),
@@ -63,9 +73,10 @@ def imputation_study(df: DataFrame, id_col: str, features: Sequence[str], target
     complete = drop_null_rows(df.select(id_col, *features, *targets), features + targets)
     inj = inject_missing(complete, id_col, features, 0.5, seed).drop("injected")
     asm = VectorAssembler(inputCols=features, outputCol="__x", handleInvalid="keep")
+    knn = _knn_fills(inj, id_col, features, methods)
     rows = []
     for m in ("full", *methods):
-        data = complete if m == "full" else apply_method(inj, id_col, features, m)
+        data = complete if m == "full" else knn[m] if m in knn else apply_method(inj, id_col, features, m)
         data = kfold_ids(asm.transform(data.withColumns({c: F.col(c).cast("double") for c in features})),
                          id_col, n_folds, seed)
         scores = forest_cv_mse(data, "__x", targets, "fold", n_folds, num_trees=num_trees, seed=seed)
