@@ -53,3 +53,19 @@ def test_fitted_scalars_do_not_shuffle_the_data(spark):
     df = spark.range(100).select(F.col("id").cast("double").alias("x"))
     plan = _plan(z_score(df, ["x"]))
     assert "Join" not in plan  # parameters arrive as a scalar subquery
+
+
+@pytest.mark.parametrize("name", ["repair_labels", "knn_join", "cap_per_class", "spearman_pairs", "adasyn"])
+def test_results_do_not_depend_on_partitioning(spark, name):
+    import sys
+    sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
+    from oracle_check import duck, rows_of
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "37")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        got = rows_of(E.queries()[name](spark, SF).toPandas())
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got == rows_of(duck(SF).sql(E.oracle_sql()[name]).df())
