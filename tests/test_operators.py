@@ -374,3 +374,23 @@ def test_text_vectors_train_only(spark):
     voc = {r["token"]: r["n"] for r in vocabulary(
         train.select(F.split("t", " ").alias("toks")), "toks", min_count=3).collect()}
     assert voc["red"] == 60
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.one_of(st.none(), st.integers(-50, 50)), st.one_of(st.none(), st.integers(-50, 50))),
+                min_size=3, max_size=25),
+       st.sampled_from(["constant", "mean", "median"]))
+def test_fills_keep_known_cells(spark, cells, strategy):
+    rows = [(i, None if a is None else float(a), None if b is None else float(b)) for i, (a, b) in enumerate(cells)]
+    df = spark.createDataFrame(rows, "id long, a double, b double")
+    out = {r["id"]: r for r in I.simple_impute(df, ["a", "b"], strategy).collect()}
+    for i, a, b in rows:
+        for col, v in (("a", a), ("b", b)):
+            if v is not None:
+                assert out[i][col] == v
+            elif any(r[1 if col == "a" else 2] is not None for r in rows) or strategy == "constant":
+                assert out[i][col] is not None
