@@ -31,6 +31,16 @@ def _groups(group_cols: Sequence[str]) -> list[str]:
     return list(group_cols) if group_cols else [_ONE]
 
 
+def _attach(df: DataFrame, small: DataFrame, g: list[str]) -> DataFrame:
+    """Join per-group values onto rows; for the single whole-column group the
+    one row is read as a scalar subquery instead of a (nested-loop) join."""
+    if g != [_ONE]:
+        return df.join(small, g)
+    cols = [c for c in small.columns if c != _ONE]
+    row = small.select(F.struct(*cols).alias("s")).scalar()
+    return df.withColumns({c: row[c] for c in cols})
+
+
 def value_counts_by_group(df: DataFrame, group_cols: Sequence[str], value_col: str) -> DataFrame:
     """``(group..., value, n)`` with NULL and NaN values dropped (pandas semantics)."""
     g = _groups(group_cols)
@@ -76,7 +86,7 @@ def exact_median(df: DataFrame, group_cols: Sequence[str], value_col: str,
     ranks = tot.select(*g, "__nd",
                        F.floor((F.col("__tot") - 1) / 2).alias("__lo"),
                        F.floor(F.col("__tot") / 2).alias("__hi"))
-    cur = vc.join(ranks, g).withColumn("__base", F.lit(0).cast("bigint"))
+    cur = _attach(vc, ranks, g).withColumn("__base", F.lit(0).cast("bigint"))
     if ranks.where(F.col("__nd") > max_per_task).limit(1).count() == 0:
         res = _finish_median(cur, g, v, out)
     else:
@@ -90,7 +100,7 @@ def exact_median(df: DataFrame, group_cols: Sequence[str], value_col: str,
                 break
             prev = nd
             sk = big.groupBy(*g).agg(F.percentile_approx(v, fracs, 40 * n_buckets).alias("__bounds"))
-            b = big.join(sk, g).withColumn("__b", F.size(F.filter("__bounds", lambda x: x < F.col(v)))) \
+            b = _attach(big, sk, g).withColumn("__b", F.size(F.filter("__bounds", lambda x: x < F.col(v)))) \
                 .drop("__bounds")
             pb = b.groupBy(*g, "__b").agg(F.sum("__n").alias("__bn"), F.first("__base").alias("__base"),
                                          F.first("__lo").alias("__lo"), F.first("__hi").alias("__hi"))
@@ -100,7 +110,7 @@ def exact_median(df: DataFrame, group_cols: Sequence[str], value_col: str,
             keep = pb.where((F.col("__hi") >= F.col("__before")) & (F.col("__lo") < end))
             newbase = keep.groupBy(*g).agg(F.min("__before").alias("__nb"))
             big = cut_lineage(
-                b.join(keep.select(*g, "__b"), [*g, "__b"], "left_semi").join(newbase, g)
+                _attach(b.join(keep.select(*g, "__b"), [*g, "__b"], "left_semi"), newbase, g)
                 .withColumn("__base", F.col("__nb")).drop("__nb", "__b"))
         res = _finish_median(small.drop("__nd"), g, v, out).unionByName(_finish_median(big, g, v, out))
     return res if group_cols else res.drop(_ONE)

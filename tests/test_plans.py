@@ -16,7 +16,8 @@ def _plan(df) -> str:
 
 
 @pytest.mark.parametrize("name", ["knn_join", "edited_nn", "impute_knn5", "tolerance_match", "repair_labels",
-                                  "cramers_v", "spearman_pairs", "adasyn_weights"])
+                                  "cramers_v", "spearman_pairs", "adasyn_weights", "global_mode_median",
+                                  "histogram_markers", "impute_price_by_class", "describe"])
 def test_no_cartesian_products(spark, name):
     plan = _plan(E.queries()[name](spark, SF))
     assert "CartesianProduct" not in plan
