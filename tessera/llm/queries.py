@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.llm.packing import pack_documents
 from tessera.llm.token_counts import count_tokens, tokenizer_path
 from tessera.sources.tables import table
 
@@ -25,3 +26,8 @@ def query(name: str, sql: str | None = None):
 @query("op2_token_counts")
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
+@query("op4_packing")
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
