@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -70,27 +71,56 @@ _CACHE: dict[str, dict[str, bytes]] = {}
 def _word_ids(path: str, words: list[str]) -> list[bytes]:
     """Little-endian unsigned 32-bit ids of every word, kept between blocks up to a fixed number of words."""
     cache = _CACHE.setdefault(path, {})
-    missing = [w for w in words if w not in cache]
+    coded = list(map(cache.get, words))
+    missing = [i for i, ids in enumerate(coded) if ids is None]
     if len(cache) + len(missing) > MAX_CACHED_WORDS:
         cache.clear()
-        missing = words
-    for at in range(0, len(missing), 4096):
-        part = missing[at:at + 4096]
-        cache.update(zip(part, _encode_words(_tokenizer(path), part), strict=True))
-    return [cache[w] for w in words]
-
-
-def _encode_words(tok, words: list[str], joined: int = 64) -> list[bytes]:
-    """Ids of every word; the words go through the library by lines of several, cut apart by the tokens' offsets."""
-    groups = [words[i:i + joined] for i in range(0, len(words), joined)]
-    out = []
-    for group, e in zip(groups, tok.encode_batch(["\n".join(g) for g in groups], add_special_tokens=False),
-                        strict=True):
-        ids = np.array(e.ids, dtype="<u4")
-        at = np.array([o[0] for o in e.offsets], dtype=np.int64)
-        begin = np.cumsum([0] + [len(w) + 1 for w in group])
-        cut = np.searchsorted(at, begin)
-        out += [ids[i:j].tobytes() for i, j in zip(cut[:-1], cut[1:], strict=True)]
+    for at in range(0, len(missing), 8192):
+        part = missing[at:at + 8192]
+        for i, ids in zip(part, _encode_words(path, [words[i] for i in part]), strict=True):
+            coded[i] = cache[words[i]] = ids
+    return coded
+
+
+@lru_cache(maxsize=4)
+def _word_ends(path: str) -> np.ndarray:
+    """For every id, whether its token ends a unit of the splitter."""
+    tok = _tokenizer(path)
+    suffix = tok.model.end_of_word_suffix
+    ends = np.zeros(tok.get_vocab_size(with_added_tokens=True), bool)
+    if suffix:
+        for token, i in tok.get_vocab(with_added_tokens=False).items():
+            ends[i] = token.endswith(suffix)
+    return ends
+
+
+#: Runs of these letters are one unit of the splitter, whatever the normaliser does to them.
+_PLAIN_LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
+
+
+def _encode_words(path: str, words: list[str], joined: int = 64) -> list[bytes]:
+    """Ids of every word.
+
+    Runs of plain letters go through the library by lines of several and are cut
+    apart after each token that ends a unit; other words go one by one.
+    """
+    tok, ends = _tokenizer(path), _word_ends(path)
+    plain = [i for i, w in enumerate(words) if _PLAIN_LETTERS(w)] if word_mode(path) == "cores" and ends.any() else []
+    out: list[bytes | None] = [None] * len(words)
+    lines = [" ".join(words[i] for i in plain[k:k + joined]) for k in range(0, len(plain), joined)]
+    ids = [np.array(e.ids, dtype="<u4") for e in tok.encode_batch_fast(lines, add_special_tokens=False)]
+    if ids:
+        ids = np.concatenate(ids)
+        cuts = np.flatnonzero(ends[ids]) + 1
+        if len(cuts) != len(plain):
+            raise ValueError("a run of letters is not one unit of this tokenizer")
+        raw, begin = ids.tobytes(), 0
+        for i, end in zip(plain, (cuts * 4).tolist(), strict=True):
+            out[i] = raw[begin:end]
+            begin = end
+    rest = [i for i, ids_ in enumerate(out) if ids_ is None]
+    for i, e in zip(rest, tok.encode_batch_fast([words[i] for i in rest], add_special_tokens=False), strict=True):
+        out[i] = np.array(e.ids, dtype="<u4").tobytes()
     return out
 
 
@@ -113,18 +143,25 @@ def encode_block(path: str, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         starts = np.concatenate(([0], np.cumsum([len(e) for e in encoded], dtype=np.int64)))
         return np.array([i for e in encoded for i in e], dtype="<u4"), starts
     words = split_words(text)
-    if word_mode(path) == "cores":
-        core, end = (x.dictionary_encode() for x in _simplified(words.vocab))
-        cores, ends_ = _word_ids(path, core.dictionary.to_pylist()), _word_ids(path, end.dictionary.to_pylist())
-        coded = [cores[i] + ends_[j] for i, j in zip(core.indices.to_pylist(), end.indices.to_pylist(), strict=True)]
-    else:
-        coded = _word_ids(path, words.vocab.to_pylist())
-    lens = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
-    flat = np.frombuffer(b"".join(coded), dtype="<u4")
-    begin = np.concatenate(([0], np.cumsum(lens)))[:-1] if len(lens) else lens
-    n = lens[words.ids]
-    ends = np.concatenate(([0], np.cumsum(n)))
-    if ends[-1] == 0:
-        return np.zeros(0, "<u4"), np.zeros(len(words.starts), np.int64)
-    place = np.arange(ends[-1]) + np.repeat(begin[words.ids] - ends[:-1], n)
-    return flat[place], ends[words.starts]
+    segments = [words.vocab] if word_mode(path) == "words" else _simplified(words.vocab)
+    begin, length, flat, done = [], [], [], 0  # of every distinct word, segment by segment
+    for segment in segments:
+        coded = segment.dictionary_encode()
+        ids = _word_ids(path, coded.dictionary.to_pylist())
+        n = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        own = coded.indices.to_numpy(zero_copy_only=False)
+        begin.append((done + np.cumsum(n) - n)[own])
+        length.append(n[own])
+        flat += ids
+        done += int(n.sum())
+    ids, ends = _gather(np.frombuffer(b"".join(flat), dtype="<u4"), np.stack(begin, 1).ravel(), np.stack(length, 1).ravel())
+    ends = ends[::len(segments)]
+    ids, ends = _gather(ids, ends[:-1][words.ids], np.diff(ends)[words.ids])
+    return ids, ends[words.starts]
+
+
+def _gather(flat: np.ndarray, begin: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``flat`` one after another, and where each begins (one more entry than runs)."""
+    ends = np.concatenate((np.zeros(1, np.int64), np.cumsum(length, dtype=np.int64)))
+    place = np.arange(ends[-1]) + np.repeat(begin - ends[:-1], length)
+    return flat[place], ends
