@@ -5,9 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tessera.llm.labelled import fold, score_texts
 from tessera.llm.packing import pack_documents
+from tessera.llm.quality import fit_quality
 from tessera.llm.token_counts import count_tokens, tokenizer_path
+from tessera.llm.toxicity import fit_toxicity
 from tessera.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +27,18 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def held_out(n: int, remainder: int):
+    return F.coalesce(fold("doc_id", n) == remainder, F.lit(False))
+
+
+@query("op1_toxicity")
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = fit_toxicity(docs, labels.where(~held_out(5, 0)))
+    return score_texts(docs, model, ["doc_id"]).select(
+        "doc_id", held_out(5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query("op2_token_counts")
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
@@ -31,3 +47,11 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_packing")
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+@query("op5_quality")
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = fit_quality(docs, labels.where(~held_out(4, 2)))
+    return score_texts(docs, model, ["doc_id"]).select(
+        "doc_id", held_out(4, 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
