@@ -27,6 +27,7 @@ from tessera.llm.word_tokens import encode_block
 SEQUENCE_TOKENS = 2048
 OPEN_BINS = 16_384
 PIECES_PER_PARTITION = 32_768
+BLOCK_BYTES = 16 << 20  # larger blocks hold fewer distinct words a MB
 
 
 def token_pieces(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -41,7 +42,7 @@ def token_pieces(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", tex
     schema = f"id {id_type}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * keep_ids
 
     def run(batches):
-        for block in text_blocks(batches, "text"):
+        for block in text_blocks(batches, "text", BLOCK_BYTES):
             ids, starts = encode_block(tokenizer_path, block.column("text"))
             rows, piece, start, length, crc, kept = [], [], [], [], [], []
             for row in range(block.num_rows):

@@ -9,7 +9,9 @@ distinct word.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,6 +41,18 @@ def text_blocks(batches: Iterator[pa.RecordBatch], text_col: str = "text",
             start, done = end, int(ends[end - 1])
 
 
+@contextmanager
+def no_cycle_search():
+    """Hold back the search for reference cycles, which walks over every list of a block's words again and again."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 @dataclass
 class Words:
     """Words of a block: ``ids`` index ``vocab``; text ``i`` has ``ids[starts[i]:starts[i+1]]``."""

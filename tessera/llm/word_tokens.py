@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from tessera.llm.text_blocks import split_words
+from tessera.llm.text_blocks import no_cycle_search, split_words
 
 MAX_CACHED_WORDS = 500_000
 
@@ -65,20 +65,24 @@ def word_mode(path: str) -> str:
     return "cores" if known and any(n["type"] == "Lowercase" for n in normalizers) else "words"
 
 
-_CACHE: dict[str, dict[str, bytes]] = {}
+#: Ids of the words seen last, by tokenizer: those of this generation and of the one before.
+_CACHE: dict[str, tuple[dict[str, bytes], dict[str, bytes]]] = {}
 
 
 def _word_ids(path: str, words: list[str]) -> list[bytes]:
-    """Little-endian unsigned 32-bit ids of every word, kept between blocks up to a fixed number of words."""
-    cache = _CACHE.setdefault(path, {})
-    coded = list(map(cache.get, words))
+    """Little-endian unsigned 32-bit ids of every word, kept between blocks for a bounded number of words."""
+    new, old = _CACHE.setdefault(path, ({}, {}))
+    coded = list(map(new.get, words))
+    for i, ids in enumerate(coded):
+        if ids is None and (ids := old.get(words[i])) is not None:
+            coded[i] = new[words[i]] = ids
     missing = [i for i, ids in enumerate(coded) if ids is None]
-    if len(cache) + len(missing) > MAX_CACHED_WORDS:
-        cache.clear()
     for at in range(0, len(missing), 8192):
         part = missing[at:at + 8192]
         for i, ids in zip(part, _encode_words(path, [words[i] for i in part]), strict=True):
-            coded[i] = cache[words[i]] = ids
+            coded[i] = new[words[i]] = ids
+    if len(new) > MAX_CACHED_WORDS // 2:
+        _CACHE[path] = ({}, new)
     return coded
 
 
@@ -138,6 +142,11 @@ def _simplified(vocab: pa.Array) -> tuple[pa.Array, pa.Array]:
 
 def encode_block(path: str, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All ids of a block of texts, and where each text's ids begin (one more entry than texts)."""
+    with no_cycle_search():
+        return _encode_block(path, text)
+
+
+def _encode_block(path: str, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     if word_mode(path) == "texts":
         encoded = [e.ids for e in _tokenizer(path).encode_batch_fast(text.to_pylist(), add_special_tokens=False)]
         starts = np.concatenate(([0], np.cumsum([len(e) for e in encoded], dtype=np.int64)))
