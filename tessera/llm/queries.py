@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tessera.llm.labelled import fold, score_texts
 from tessera.llm.packing import pack_documents
 from tessera.llm.quality import fit_quality
+from tessera.llm.secrets import fit_secrets, scan_secrets
 from tessera.llm.token_counts import count_tokens, tokenizer_path
 from tessera.llm.toxicity import fit_toxicity
 from tessera.sources.tables import table
@@ -55,3 +56,9 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit_quality(docs, labels.where(~held_out(4, 2)))
     return score_texts(docs, model, ["doc_id"]).select(
         "doc_id", held_out(4, 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query("op3_secrets")
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return scan_secrets(docs, fit_secrets(docs), ["doc_id"])
