@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.labelled import fold, score_texts
+from tessera.llm.minhash import edited_fingerprints
 from tessera.llm.packing import pack_documents
 from tessera.llm.quality import fit_quality
 from tessera.llm.secrets import fit_secrets, scan_secrets
@@ -62,3 +63,8 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return scan_secrets(docs, fit_secrets(docs), ["doc_id"])
+
+
+@query("op6_minhash")
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
