@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.labelled import fold, score_texts
 from tessera.llm.minhash import edited_fingerprints
+from tessera.llm.multi_index import nearest
 from tessera.llm.packing import pack_documents
 from tessera.llm.quality import fit_quality
 from tessera.llm.secrets import fit_secrets, scan_secrets
@@ -68,3 +69,8 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_minhash")
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query("op8_multi_index")
+def op8_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
