@@ -48,7 +48,7 @@ class BinaryCodes:
         rng = np.random.default_rng(seed)
         mean = sample.mean(axis=0)
         bits = min(MAX_BITS, sample.shape[1])
-        _, _, axes = np.linalg.svd(np.cov((sample - mean).T).reshape(sample.shape[1], -1))
+        _, _, axes = np.linalg.svd((sample - mean).T @ (sample - mean))
         axes = axes[:bits].T
         flat = (sample - mean) @ axes
         rotation = np.linalg.qr(rng.normal(size=(bits, bits)))[0]
