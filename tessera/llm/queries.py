@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.llm.jaccard_join import jaccard_components
 from tessera.llm.labelled import fold, score_texts
 from tessera.llm.minhash import edited_fingerprints
 from tessera.llm.multi_index import nearest
@@ -74,3 +75,8 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_multi_index")
 def op8_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query("op10_jaccard_join")
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
