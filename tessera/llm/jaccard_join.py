@@ -404,3 +404,27 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return rows.join(component, "node", "left").select(
         F.col("id").cast(df.schema[id_col].dataType).alias(id_col), F.col("n").alias("n_shingles"),
         F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"))
+
+
+def one_per_component(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Of every component the row with the smallest id, with all columns of ``df``.
+
+    Rows that share an id count as one document: they go or stay together, and
+    of those that stay the smallest row is kept.  Rows without an id and texts
+    without shingles are linked with nothing and stay.
+    """
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    component = cut_lineage(jaccard_components(df, id_col, text_col).select(F.col(id_col).cast("long").alias("id"), "component_id")
+                            .where(F.col("id").isNotNull()))
+    going = component.where(F.col("component_id") < F.col("id")).select("id")
+    repeated = component.groupBy("id").agg(F.count("*").alias("k")).where("k > 1").select("id")
+    # only rows that may be concerned are shuffled
+    concerned = going.select("id", F.lit(True).alias("goes")).union(repeated.select("id", F.lit(False).alias("goes")))
+    concerned = cut_lineage(concerned.groupBy("id").agg(F.max("goes").alias("goes")))
+    may = ids_filter(concerned.select("id"))
+    rows = df.select(F.struct(*columns).alias("row"), F.col(id_col).cast("long").alias("id"))
+    clear = rows.where(F.col("id").isNull() | ~may("id"))
+    checked = rows.where(F.col("id").isNotNull() & may("id")).join(concerned, "id", "left")
+    others = checked.where(F.col("goes").isNull())
+    once = checked.where(~F.col("goes")).groupBy("id").agg(F.min("row").alias("row"))
+    return clear.select("row.*").union(others.select("row.*")).union(once.select("row.*"))

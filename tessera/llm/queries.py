@@ -12,6 +12,7 @@ from tessera.llm.labelled import fold, score_texts
 from tessera.llm.minhash import edited_fingerprints
 from tessera.llm.multi_index import nearest
 from tessera.llm.packing import pack_documents
+from tessera.llm.piece_codec import encode_pieces
 from tessera.llm.quality import fit_quality
 from tessera.llm.secrets import fit_secrets, scan_secrets
 from tessera.llm.token_counts import count_tokens, tokenizer_path
@@ -80,3 +81,8 @@ def op8_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_jaccard_join")
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query("op7_piece_codec")
+def op7_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_pieces(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
