@@ -26,7 +26,7 @@ def test_whole_texts_have_parity():
 def test_encode_and_decode(spark):
     schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()),
                            T.StructField("ids", T.StringType()), T.StructField("id", T.StringType())])
-    rows = [(i, t) for i, t in enumerate(texts())] + [(None, None), (1, "a"), (5000, "der Hund ungkeit 日本 " * 30_000)]
+    rows = [(i, t) for i, t in enumerate(texts())] + [(None, None), (6000, "a"), (5000, "der Hund ungkeit 日本 " * 30_000)]
     df = spark.createDataFrame([(*r, "c", "c") for r in rows], schema)
     out = pc.encode_pieces(df, MODEL, keep_ids=True)
     sp = pc._reference(MODEL)
