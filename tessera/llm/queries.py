@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.llm.backoff import score_documents
 from tessera.llm.jaccard_join import jaccard_components
 from tessera.llm.labelled import fold, score_texts
 from tessera.llm.minhash import edited_fingerprints
@@ -86,3 +87,23 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_piece_codec")
 def op7_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_pieces(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
+@query("op9_backoff", r"""
+WITH w AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS ws
+           FROM documents),
+u AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM w),
+p AS (SELECT doc_id, w, lag(w) OVER (PARTITION BY doc_id ORDER BY i) AS v FROM u),
+c1 AS (SELECT w, count(*) AS c FROM u GROUP BY w),
+c2 AS (SELECT v, w, count(*) AS c FROM p WHERE v IS NOT NULL GROUP BY v, w),
+n AS (SELECT count(*) AS t FROM u),
+s AS (SELECT p.doc_id, count(*) AS n_words,
+             sum(CASE WHEN p.v IS NULL THEN ln(c1.c / n.t) WHEN c2.c >= 2 THEN ln(c2.c / cv.c)
+                 ELSE ln(0.4 * c1.c / n.t) END) AS log_score
+      FROM p CROSS JOIN n JOIN c1 ON c1.w = p.w LEFT JOIN c1 AS cv ON cv.w = p.v
+      LEFT JOIN c2 ON c2.v = p.v AND c2.w = p.w GROUP BY p.doc_id)
+SELECT d.doc_id, coalesce(s.n_words, 0) AS n_words, round(coalesce(s.log_score, 0.0), 4) AS log_score
+FROM documents d LEFT JOIN s ON s.doc_id = d.doc_id
+""")
+def op9_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(table(spark, sf_dir, "documents")).withColumn("log_score", F.round("log_score", 4))
