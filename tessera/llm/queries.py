@@ -79,7 +79,24 @@ def op8_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
-@query("op10_jaccard_join")
+@query("op10_jaccard_join", r"""
+WITH RECURSIVE a AS (
+  SELECT doc_id, string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                              'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') AS ws FROM documents),
+b AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM a),
+t AS (SELECT doc_id, list(w ORDER BY i) AS ws, count(*) AS n FROM b WHERE w <> '' GROUP BY doc_id),
+g AS (SELECT doc_id, ws, unnest(generate_series(1, greatest(n - 4, 1))) AS i FROM t),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS shingle FROM g),
+z AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id < y.doc_id
+      GROUP BY x.doc_id, y.doc_id),
+l AS (SELECT a, b FROM c JOIN z x ON x.doc_id = a JOIN z y ON y.doc_id = b WHERE 100 * k >= 80 * (x.n + y.n - k)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b),
+m AS (SELECT a, min(b) AS b FROM r GROUP BY a)
+SELECT d.doc_id, coalesce(z.n, 0) AS n_shingles, least(d.doc_id, coalesce(m.b, d.doc_id)) AS component_id
+FROM documents d LEFT JOIN z ON z.doc_id = d.doc_id LEFT JOIN m ON m.a = d.doc_id
+""")
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -90,9 +107,9 @@ def op7_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("op9_backoff", r"""
-WITH w AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS ws
-           FROM documents),
-u AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM w),
+WITH a AS (SELECT doc_id, string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+') AS ws FROM documents),
+b AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS i FROM a),
+u AS (SELECT doc_id, w, i FROM b WHERE w <> ''),
 p AS (SELECT doc_id, w, lag(w) OVER (PARTITION BY doc_id ORDER BY i) AS v FROM u),
 c1 AS (SELECT w, count(*) AS c FROM u GROUP BY w),
 c2 AS (SELECT v, w, count(*) AS c FROM p WHERE v IS NOT NULL GROUP BY v, w),
