@@ -3,9 +3,10 @@
 Two documents link when 100 * intersection >= 80 * union of their shingle sets.
 
 1. *Classes.* Documents with equal sets are one class; its smallest id stands for it.
-2. *Groups.* Classes that share a band of MinHash values with the band's
-   smallest class, and turn out to link with it, are put together; a group is a
-   connected set of such links.  Other classes are groups of their own.
+2. *Groups.* Classes that share a band of MinHash values are compared with one
+   of them, the one whose bands most others share (the likely original of edited
+   copies), and put together if they link with it; a group is a connected set of
+   such links.  Other classes are groups of their own.
 3. *Matrix.* Shingles are put in one order (frequent ones last).  To link, two
    sets must share one of the first ``n - ceil(4n/5) + 1`` shingles of each.  The
    matrix holds, for every shingle, the groups whose union of such beginnings
@@ -40,7 +41,7 @@ from tessera.session import cut_lineage
 
 SIGNATURE = 16
 BAND_ROWS = 2
-FREQUENT_IN_BLOCK = 4
+FREQUENT_IN_BLOCK = 3
 MAX_FREQUENT = 1 << 17
 ENTRIES_PER_BUCKET = 1_500_000
 MEMBERS_PER_BLOCK = 256
@@ -81,7 +82,8 @@ def describe(docs: DataFrame) -> DataFrame:
                 pa.array([_signature(s) if f else None for s, f in zip(sets, full, strict=True)], pa.binary()),
                 pa.nulls(len(sets), pa.list_(pa.int64())), pa.nulls(len(sets), pa.list_(pa.int64()))],
                 names=["id", "n", "node", "signature", "shingle", "count"])
-            every = np.sort(np.concatenate(sets)) if sets else np.zeros(0, np.uint64)
+            once = {s.tobytes(): s for s in sets}
+            every = np.sort(np.concatenate(list(once.values())))
             if len(every) >= FREQUENT_IN_BLOCK:  # a run of equal values that is long enough
                 far = every[FREQUENT_IN_BLOCK - 1:] == every[:-FREQUENT_IN_BLOCK + 1]
                 found = np.unique(every[:-FREQUENT_IN_BLOCK + 1][far])
@@ -199,7 +201,7 @@ def matches(members: dict[int, np.ndarray], asked: dict[int, np.ndarray]) -> lis
 
 
 def group_classes(classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Groups of similar classes: ``node`` and ``group`` of every class that links with its band's smallest one."""
+    """Links (``a``, ``b``) of classes with the class of their band that most others agree with."""
 
     @F.pandas_udf(T.ArrayType(T.LongType()))
     def bands(signatures: pd.Series) -> pd.Series:
@@ -212,9 +214,13 @@ def group_classes(classes: DataFrame, docs: DataFrame) -> DataFrame:
         x, y = (np.frombuffer(b"".join(s), np.uint32).reshape(-1, SIGNATURE) for s in (a, b))
         return pd.Series((x == y).sum(axis=1).astype(np.int32))
 
-    keyed = classes.select("node", "signature", F.posexplode(bands("signature")).alias("band", "key"))
-    first = (keyed.groupBy("band", "key").agg(F.min(F.struct("node", "signature")).alias("c"), F.count("*").alias("k"))
-             .where("k > 1").select("band", "key", "c"))
+    every = classes.select("node", "signature", F.posexplode(bands("signature")).alias("band", "key"))
+    crowd = every.groupBy("band", "key").agg(F.count("*").alias("k")).where("k > 1")
+    keyed = cut_lineage(every.join(crowd, ["band", "key"]))
+    # the text that others are edits of agrees with more of them than they do with each other
+    popular = keyed.groupBy("node").agg((-F.sum("k")).alias("order"))
+    first = (keyed.join(popular, "node").groupBy("band", "key")
+             .agg(F.min(F.struct("order", "node", "signature")).alias("c")).select("band", "key", "c"))
     pairs = cut_lineage(
         keyed.join(first, ["band", "key"]).where(F.col("node") != F.col("c.node"))
         .where(agree("signature", F.col("c.signature")) >= SIGNATURE // 2)  # others are left to the exact steps
