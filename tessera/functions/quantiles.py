@@ -1,20 +1,14 @@
-"""Exact medians and modes that survive a hot group.
+"""Exact medians, modes and prefix counts that survive a hot group.
 
 Spark's built-in ``median`` / ``mode`` keep a value->count map per group and
 merge it in one task, so one group holding a third of the rows with many
-distinct values lands in a single buffer.  The versions here:
-
-* pre-aggregate to ``(group, value, n)`` first (map-side combine, shuffle on
-  the *pair*, so a hot group spreads over many partitions);
-* rank groups with a bounded number of distinct values directly; narrow
-  larger groups round by round: a bounded-memory sketch
-  (``percentile_approx``) cuts the values into ranges, a tiny
-  ``groups x buckets`` count table locates the range holding the middle
-  rank, and only that range survives (distributed selection);
-* rank exactly only the survivors.
-
-The answer is exact whatever the sketch returns; the sketch only decides
-how evenly the work spreads.
+distinct values lands in a single buffer.  The versions here pre-aggregate to
+``(group, value, n)`` first (map-side combine, shuffle on the *pair*), and
+count the rows below a value by ranges of the real values: a range partitioner
+cuts the sorted ``(group, value)`` rows into pieces of bounded size, a small
+table of the pieces' totals gives each its offset, and a window per piece adds
+the running count inside it.  So neither a hot group nor values with a long
+common prefix are ranked by one task.
 """
 
 from __future__ import annotations
@@ -35,7 +29,11 @@ def _attach(df: DataFrame, small: DataFrame, g: list[str]) -> DataFrame:
     """Join per-group values onto rows; for the single whole-column group the
     one row is read as a scalar subquery instead of a (nested-loop) join."""
     if g != [_ONE]:
-        return df.join(small, g)
+        on, renamed = F.lit(True), small
+        for c in g:  # a NULL group is a group
+            renamed = renamed.withColumnRenamed(c, f"__a_{c}")
+            on = on & F.col(c).eqNullSafe(F.col(f"__a_{c}"))
+        return df.join(renamed, on).drop(*[f"__a_{c}" for c in g])
     cols = [c for c in small.columns if c != _ONE]
     row = small.select(F.struct(*cols).alias("s")).scalar()
     return df.withColumns({c: row[c] for c in cols})
@@ -56,63 +54,23 @@ MAX_DISTINCT_PER_TASK = 1_000_000
 
 
 def exact_median(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                 out: str = "median", n_buckets: int = 32,
-                 max_per_task: int = MAX_DISTINCT_PER_TASK, max_rounds: int = 12) -> DataFrame:
-    """Exact median (mean of the two middle values) per group, NULLs skipped.
-
-    Distributed selection:
-
-    1. ``(group, value, n)`` pre-aggregation; group totals give the two
-       middle ranks ``lo = floor((N-1)/2)`` and ``hi = floor(N/2)``.
-    2. Groups with at most ``max_per_task`` distinct values are ranked by a
-       running count in one window per group (bounded work per task).
-    3. Larger groups are narrowed round by round: a sketch cuts the
-       remaining values into ``n_buckets`` ranges, per-range counts (a
-       ``groups x buckets`` table) locate the range(s) holding ``lo`` and
-       ``hi``, and only those values survive, together with the count of
-       values below them.  Each round is checkpointed to the shared folder.
-       When every survivor set fits a task, step 2 finishes the job.
-
-    The answer is exact whatever the sketch returns; the sketch only decides
-    how fast the candidate sets shrink.  Groups whose values are all NULL
-    are absent from the result.
-    """
-    from tessera.session import cut_lineage
+                 out: str = "median", max_per_task: int = MAX_DISTINCT_PER_TASK) -> DataFrame:
+    """Exact median (mean of the two middle values) per group, NULLs and NaN skipped.
 
+    ``(group, value, n)`` pre-aggregation, then the rows below each value
+    (``rows_before``); the values that cover the middle ranks
+    ``floor((N-1)/2)`` and ``floor(N/2)`` are read off.  Groups whose values are
+    all missing are absent from the result; a NULL group is a group.
+    """
     g = _groups(group_cols)
-    v = value_col
-    vc = value_counts_by_group(df, group_cols, v).withColumn(v, F.col(v).cast("double"))
-    tot = vc.groupBy(*g).agg(F.sum("__n").alias("__tot"), F.count(F.lit(1)).alias("__nd"))
-    ranks = tot.select(*g, "__nd",
-                       F.floor((F.col("__tot") - 1) / 2).alias("__lo"),
-                       F.floor(F.col("__tot") / 2).alias("__hi"))
-    cur = _attach(vc, ranks, g).withColumn("__base", F.lit(0).cast("bigint"))
-    if ranks.where(F.col("__nd") > max_per_task).limit(1).count() == 0:
-        res = _finish_median(cur, g, v, out)
-    else:
-        small = cur.where(F.col("__nd") <= max_per_task)
-        big = cut_lineage(cur.where(F.col("__nd") > max_per_task).drop("__nd"))
-        fracs = [i / n_buckets for i in range(1, n_buckets)]
-        prev = None
-        for _ in range(max_rounds):
-            nd = big.groupBy(*g).agg(F.count(F.lit(1)).alias("c")).agg(F.max("c")).first()[0] or 0
-            if nd <= max_per_task or (prev is not None and nd >= prev):
-                break
-            prev = nd
-            sk = big.groupBy(*g).agg(F.percentile_approx(v, fracs, 40 * n_buckets).alias("__bounds"))
-            b = _attach(big, sk, g).withColumn("__b", F.size(F.filter("__bounds", lambda x: x < F.col(v)))) \
-                .drop("__bounds")
-            pb = b.groupBy(*g, "__b").agg(F.sum("__n").alias("__bn"), F.first("__base").alias("__base"),
-                                         F.first("__lo").alias("__lo"), F.first("__hi").alias("__hi"))
-            w = Window.partitionBy(*g).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-            pb = pb.withColumn("__before", F.col("__base") + F.coalesce(F.sum("__bn").over(w), F.lit(0)))
-            end = F.col("__before") + F.col("__bn")
-            keep = pb.where((F.col("__hi") >= F.col("__before")) & (F.col("__lo") < end))
-            newbase = keep.groupBy(*g).agg(F.min("__before").alias("__nb"))
-            big = cut_lineage(
-                _attach(b.join(keep.select(*g, "__b"), [*g, "__b"], "left_semi"), newbase, g)
-                .withColumn("__base", F.col("__nb")).drop("__nb", "__b"))
-        res = _finish_median(small.drop("__nd"), g, v, out).unionByName(_finish_median(big, g, v, out))
+    vc = value_counts_by_group(df, group_cols, value_col).withColumn(value_col, F.col(value_col).cast("double"))
+    tot = vc.groupBy(*g).agg(F.sum("__n").alias("__tot"))
+    ranks = tot.select(*g, F.floor((F.col("__tot") - 1) / 2).alias("__lo"), F.floor(F.col("__tot") / 2).alias("__hi"))
+    pos = rows_before(vc, [] if g == [_ONE] else g, value_col, "__n", out="__start", max_per_task=max_per_task)
+    cur = _attach(pos, ranks, g).withColumn("__end", F.col("__start") + F.col("__n"))
+    lo = F.when((F.col("__lo") >= F.col("__start")) & (F.col("__lo") < F.col("__end")), F.col(value_col))
+    hi = F.when((F.col("__hi") >= F.col("__start")) & (F.col("__hi") < F.col("__end")), F.col(value_col))
+    res = cur.groupBy(*g).agg(((F.max(lo) + F.max(hi)) / 2).alias(out))
     return res if group_cols else res.drop(_ONE)
 
 
@@ -132,20 +90,9 @@ def group_median(df: DataFrame, group_cols: Sequence[str], value_col: str, out:
     return src.groupBy(*group_cols).agg(agg) if group_cols else src.agg(agg)
 
 
-def _finish_median(cur: DataFrame, g: list[str], v: str, out: str) -> DataFrame:
-    """Rank the surviving values with a running count and read off lo/hi."""
-    w = Window.partitionBy(*g).orderBy(v).rowsBetween(Window.unboundedPreceding, -1)
-    hit = cur.withColumn("__start", F.col("__base") + F.coalesce(F.sum("__n").over(w), F.lit(0)))
-    hit = hit.withColumn("__end", F.col("__start") + F.col("__n"))
-    lo = F.when((F.col("__lo") >= F.col("__start")) & (F.col("__lo") < F.col("__end")), F.col(v))
-    hi = F.when((F.col("__hi") >= F.col("__start")) & (F.col("__hi") < F.col("__end")), F.col(v))
-    return hit.groupBy(*g).agg(((F.max(lo) + F.max(hi)) / 2).alias(out))
-
-
-def global_median(df: DataFrame, value_col: str, n_buckets: int = 32,
-                  max_per_task: int = MAX_DISTINCT_PER_TASK) -> Column:
+def global_median(df: DataFrame, value_col: str, max_per_task: int = MAX_DISTINCT_PER_TASK) -> Column:
     """Scalar-subquery column holding the exact median of ``value_col``."""
-    return exact_median(df.select(value_col), [], value_col, "m", n_buckets, max_per_task).select("m").scalar()
+    return exact_median(df.select(value_col), [], value_col, "m", max_per_task).select("m").scalar()
 
 
 def group_modes(df: DataFrame, group_cols: Sequence[str], value_col: str) -> DataFrame:
@@ -156,8 +103,8 @@ def group_modes(df: DataFrame, group_cols: Sequence[str], value_col: str) -> Dat
     """
     vc = value_counts_by_group(df, group_cols, value_col)
     g = _groups(group_cols)
-    top = vc.groupBy(*g).agg(F.max("__n").alias("__n"))
-    res = vc.join(top, [*g, "__n"]).withColumnRenamed("__n", "n")
+    top = vc.groupBy(*g).agg(F.max("__n").alias("__top"))
+    res = _attach(vc, top, g).where(F.col("__n") == F.col("__top")).drop("__top").withColumnRenamed("__n", "n")
     return res if group_cols else res.drop(_ONE)
 
 
@@ -168,53 +115,35 @@ def global_mode(df: DataFrame, value_col: str) -> Column:
 
 
 def rows_before(vc: DataFrame, group_cols: Sequence[str], value_col: str, n_col: str,
-                n_buckets: int | None = None, out: str = "__before",
-                max_per_task: int = MAX_DISTINCT_PER_TASK) -> DataFrame:
+                out: str = "__before", max_per_task: int = MAX_DISTINCT_PER_TASK) -> DataFrame:
     """Distributed prefix count: for each distinct ``(group, value, n)`` row,
     the number of rows of its group with a smaller value.
 
     When every group has at most ``max_per_task`` distinct values, one
-    running-count window per group does it.  Otherwise values are cut into
-    buckets from a bounded sketch (enough buckets that each holds about
-    ``max_per_task / 2`` values of the largest group); bucket totals (a
-    ``groups x buckets`` table) give each bucket its offset, and a window per
-    *bucket* adds the local running count, so a hot group is ranked by many
-    tasks instead of one.
+    running-count window per group does it.  Otherwise the rows are cut into
+    ranges of ``(group, value)`` of about half that many rows by Spark's range
+    partitioner (any number of ranges; real values, not prefixes of them) and
+    checkpointed with the range's number, so a lost task reads the same cuts
+    again.  Both ways give the same numbers.
     """
+    from tessera.session import cut_lineage
+
     g = list(group_cols)
-    nd_max = (vc.groupBy(*g).agg(F.count(F.lit(1)).alias("c")).agg(F.max("c")).first()[0]
+    nd_max = (vc.groupBy(*g).agg(F.count(F.lit(1)).alias("__nd")).agg(F.max("__nd")).first()[0]
               if g else vc.count()) or 0
-    if n_buckets is None and nd_max <= max_per_task:
+    if nd_max <= max_per_task:
         w = Window.partitionBy(*g).orderBy(value_col).rowsBetween(Window.unboundedPreceding, -1)
         return vc.withColumn(out, F.coalesce(F.sum(n_col).over(w), F.lit(0)))
-    if n_buckets is None:
-        n_buckets = int(min(max(64, 2 * -(-nd_max // max_per_task)), 4096))
-    fracs = [i / n_buckets for i in range(1, n_buckets)]
-    dv = sort_key(vc, value_col)
-    sketch = F.percentile_approx(dv, fracs, 10 * n_buckets).alias("__bounds")
-    if g:
-        b = vc.join(vc.groupBy(*g).agg(sketch), g)  # one sketch row per group
-    else:
-        b = vc.withColumn("__bounds", vc.select(sketch).scalar())
-    b = b.withColumn("__b", F.size(F.filter("__bounds", lambda x: x < dv))).drop("__bounds")
+    n_ranges = -(-2 * vc.count() // max_per_task)
+    b = cut_lineage(vc.repartitionByRange(n_ranges, *g, value_col).withColumn("__b", F.spark_partition_id()))
     tot = b.groupBy(*g, "__b").agg(F.sum(n_col).alias("__bn"))
     wo = Window.partitionBy(*g).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     tot = tot.select(*g, "__b", F.coalesce(F.sum("__bn").over(wo), F.lit(0)).alias("__off"))
     wl = Window.partitionBy(*g, "__b").orderBy(value_col).rowsBetween(Window.unboundedPreceding, -1)
     b = b.withColumn("__loc", F.coalesce(F.sum(n_col).over(wl), F.lit(0)))
-    return b.join(tot, [*g, "__b"]).withColumn(out, F.col("__off") + F.col("__loc")).drop("__b", "__off", "__loc")
-
-
-def sort_key(df: DataFrame, value_col: str) -> Column:
-    """A double that never decreases as the value increases.
-
-    Numbers map to themselves; strings to their first 7 UTF-8 bytes read as
-    an unsigned integer (byte order is Spark's string order).  Used only to
-    cut buckets: ties between different values are resolved by the exact
-    ordering inside a bucket.
-    """
-    c = F.col(value_col)
-    if df.schema[value_col].dataType.typeName() == "string":
-        prefix = F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), 1, 7)), 14, "0")
-        return F.conv(prefix, 16, 10).cast("double")
-    return c.cast("double")
+    t = tot.select(*[F.col(c).alias(f"__g{i}") for i, c in enumerate(g)], F.col("__b").alias("__tb"), "__off")
+    on = F.col("__b") == F.col("__tb")
+    for i, c in enumerate(g):  # a NULL group is a group
+        on = on & F.col(c).eqNullSafe(F.col(f"__g{i}"))
+    return (b.join(t, on).withColumn(out, F.col("__off") + F.col("__loc"))
+            .drop("__b", "__tb", "__off", "__loc", *[f"__g{i}" for i in range(len(g))]))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.quantiles import exact_median
+from tessera.session import cut_lineage
 
 
 def value_counts(df: DataFrame, col: str, ascending: bool = False) -> DataFrame:
@@ -21,8 +22,9 @@ def value_counts(df: DataFrame, col: str, ascending: bool = False) -> DataFrame:
 def value_shares(df: DataFrame, col: str) -> DataFrame:
     """``(value, n, share)``; share of the non-NULL rows."""
     vc = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    total = df.where(F.col(col).isNotNull()).select(F.count(F.lit(1))).scalar()
-    return vc.withColumn("share", F.col("n") / total)
+    # one scan: the total is the sum of the (checkpointed) counts
+    vc = cut_lineage(vc)
+    return vc.withColumn("share", F.col("n") / vc.select(F.sum("n")).scalar())
 
 
 def describe(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str] = ()) -> DataFrame:
@@ -39,7 +41,12 @@ def describe(df: DataFrame, cols: Sequence[str], group_cols: Sequence[str] = ())
         F.count("v").alias("n"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
         F.stddev_pop("v").alias("std_pop"), F.min("v").alias("min"), F.max("v").alias("max"))
     med = exact_median(long, [*g, "column"], "v", "median")
-    return stats.join(med, [*g, "column"], "left")
+    # a NULL group is a group
+    on = F.col("column") == F.col("__m_column")
+    for c in g:
+        on = on & F.col(c).eqNullSafe(F.col(f"__m_{c}"))
+    med = med.select("median", *[F.col(c).alias(f"__m_{c}") for c in [*g, "column"]])
+    return stats.join(med, on, "left").drop(*[f"__m_{c}" for c in [*g, "column"]])
 
 
 def crosstab_long(df: DataFrame, a: str, b: str) -> DataFrame:

@@ -156,11 +156,15 @@ def pearson_matrix(df: DataFrame, cols: Sequence[str], lower_only: bool = True)
     ``(var1, var2, i, j, corr)``; ``lower_only`` keeps i >= j (diagonal too)."""
     cols = list(cols)
     aggs, meta = [], []
+
+    def value(c):
+        return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+
     for i, a in enumerate(cols):
         for j, b in enumerate(cols):
             if lower_only and i < j:
                 continue
-            aggs.append(F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{i}_{j}"))
+            aggs.append(F.corr(value(a), value(b)).alias(f"c{i}_{j}"))
             meta.append((a, b, i, j))
     wide = df.agg(*aggs)
     return wide.select(F.explode(F.array(*[

@@ -87,12 +87,14 @@ def map_values(df: DataFrame, col: str, mapping: Mapping, out: str | None = None
 
 
 def fill_constant(df: DataFrame, values: Mapping[str, object], empty_as_null: bool = True) -> DataFrame:
-    """NULL (and, for strings, "") -> a constant, per column."""
+    """NULL or NaN (and, for strings, "") -> a constant, per column."""
     exprs = {}
     for c, v in values.items():
         x = F.col(c)
         if empty_as_null and df.schema[c].dataType.typeName() == "string":
             x = F.nullif(x, F.lit(""))
+        elif df.schema[c].dataType.typeName() in ("double", "float"):
+            x = F.nanvl(x, F.lit(None).cast(df.schema[c].dataType))
         exprs[c] = F.coalesce(x, F.lit(v).cast(df.schema[c].dataType))
     return df.withColumns(exprs)
 

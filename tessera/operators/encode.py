@@ -1,10 +1,12 @@
 """Label, one-hot, dummy and ordinal encoding; feature matrix (H1-H7).
 
-Fitted encoders are small ``(value, idx)`` DataFrames computed with a
-distributed prefix count over the distinct values (no single-task
-``dense_rank`` over the whole column), applied with a join that AQE
-broadcasts when the table is small.  Wide one-hot needs its levels as
-column names, so those levels are collected once, behind a cap.
+Fitted encoders are ``(value, idx)`` DataFrames computed with a distributed
+prefix count over the distinct values (no single-task ``dense_rank`` over the
+whole column), applied with a join that AQE broadcasts when the table is
+small.  The feature matrix keeps one-hot blocks as sparse vectors by position,
+so any number of levels, and levels with any spelling, fit; the levels' names
+are rows of a table.  Only the wide form (one column per level) collects
+its levels, which become column names.
 """
 
 from __future__ import annotations
@@ -18,9 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from tessera.functions.quantiles import rows_before
+from tessera.session import cut_lineage
 
 NULL_LEVEL = "__null__"
-MAX_WIDE_LEVELS = 256
 
 
 def fit_codes(df: DataFrame, col: str, descending: bool = False) -> DataFrame:
@@ -62,10 +64,7 @@ def string_indexer(col: str, out: str, order: str = "alphabetAsc") -> StringInde
 def _levels(df: DataFrame, col: str, with_null: bool) -> list:
     d = df.select(F.col(col).cast("string").alias("v")).distinct()
     d = d if with_null else d.where(F.col("v").isNotNull())
-    lv = [r[0] for r in d.orderBy(F.col("v").asc_nulls_last()).limit(MAX_WIDE_LEVELS + 1).collect()]
-    if len(lv) > MAX_WIDE_LEVELS:
-        raise ValueError(f"{col}: more than {MAX_WIDE_LEVELS} levels; use one_hot_sparse")
-    return lv
+    return [r[0] for r in d.orderBy(F.col("v").asc_nulls_last()).collect()]
 
 
 def one_hot(df: DataFrame, col: str, levels: Sequence | None = None, fit_on: DataFrame | None = None,
@@ -74,7 +73,9 @@ def one_hot(df: DataFrame, col: str, levels: Sequence | None = None, fit_on: Dat
 
     H3 (``null_is_level``): NULL is its own level (sorted last); a value not
     seen at fit time gets all zeros.  H4 (``drop_first``, no NULL level): the
-    first sorted level is dropped and NULL gives all zeros.
+    first sorted level is dropped and NULL gives all zeros.  Of level names
+    that differ in case only, the later ones get a number.  For very many
+    levels use ``feature_matrix`` or ``one_hot_sparse``.
     """
     if levels is None:
         levels = _levels(fit_on if fit_on is not None else df, col, null_is_level and not drop_first)
@@ -82,9 +83,14 @@ def one_hot(df: DataFrame, col: str, levels: Sequence | None = None, fit_on: Dat
     if drop_first:
         levels = levels[1:]
     v = F.col(col).cast("string")
-    cols = {}
+    cols, taken = {}, {c.lower() for c in df.columns}
     for lv in levels:
-        name = f"{col}_{NULL_LEVEL if lv is None else lv}"
+        name = plain = f"{col}_{NULL_LEVEL if lv is None else lv}"
+        n = 1
+        while name.lower() in taken:
+            n += 1
+            name = f"{plain}__{n}"
+        taken.add(name.lower())
         cols[name] = (v.isNull() if lv is None else F.coalesce(v == F.lit(lv), F.lit(False))).cast("int")
     return df.withColumns(cols).drop(col)
 
@@ -107,6 +113,31 @@ def feature_names(groups: Sequence[tuple[str, Sequence[str]]]) -> list[tuple[int
     return out
 
 
+def _one_hot_vector(df: DataFrame, fit: DataFrame, col: str, out: str, dummies: bool) -> tuple[DataFrame, DataFrame, int]:
+    """``df`` with a sparse one-hot vector ``out``, the table ``(idx, name)`` of its positions, and their number.
+
+    The encoder's extra slot for unknown codes is its dropped last one, so
+    unknown values (and for dummies the first level and NULL) are all zeros.
+    """
+    text = F.col(f"`{col}`").cast("string")
+    codes = cut_lineage(fit_codes(fit.select(text.alias("value")), "value"))
+    if dummies:
+        codes = codes.where("idx > 0").withColumn("idx", F.col("idx") - 1)
+    elif fit.where(F.col(f"`{col}`").isNull()).limit(1).count():
+        null = codes.agg(F.lit(None).cast("string").alias("value"), F.count("*").cast("int").alias("idx"))
+        codes = codes.select("value", "idx").unionByName(null)
+    size = codes.count()
+    if not size:
+        return df, codes.select("idx", F.lit("").alias("name")), 0
+    c = codes.select(F.col("value").alias("__v"), F.col("idx").cast("double").alias("__i"))
+    match = F.col("__t").eqNullSafe(F.col("__v")) if not dummies else F.col("__t") == F.col("__v")
+    coded = df.withColumn("__t", text).join(c, match, "left").withColumn(f"{out}__i", F.coalesce("__i", F.lit(float(size))))
+    encoder = OneHotEncoder(inputCol=f"{out}__i", outputCol=out, dropLast=True, handleInvalid="keep")
+    model = encoder.fit(codes.select(F.col("idx").cast("double").alias(f"{out}__i")))
+    names = codes.select("idx", F.concat(F.lit(f"{col}_"), F.coalesce("value", F.lit(NULL_LEVEL))).alias("name"))
+    return model.transform(coded).drop("__t", "__v", "__i", f"{out}__i"), names, size
+
+
 def feature_matrix(df: DataFrame, id_col: str, one_hot_cols: Sequence[str] = (), dummy_cols: Sequence[str] = (),
                    ordinal_cols: Sequence[str] = (), scaled_cols: Sequence[str] = (),
                    passthrough: Sequence[str] = (), fit_on: DataFrame | None = None,
@@ -114,34 +145,41 @@ def feature_matrix(df: DataFrame, id_col: str, one_hot_cols: Sequence[str] = (),
     """H6/H7: combined transform into one vector column plus its name table.
 
     Returns ``(matrix (id, features), names (position, group, name))``.
-    Columns not named are dropped (C5).  NULLs inside numeric features
-    become NaN in the vector (``handleInvalid="keep"``).
+    One-hot blocks are sparse and hold any number of levels.  Columns not named
+    are dropped (C5).  NULLs inside numeric features become NaN in the vector
+    (``handleInvalid="keep"``).
     """
     from tessera.operators.scale import apply_standard, fit_standard
 
     fit = fit_on if fit_on is not None else df
-    cur = df
-    groups: list[tuple[str, list[str]]] = []
-    for c in one_hot_cols:
-        before = set(cur.columns)
-        cur = one_hot(cur, c, fit_on=fit)
-        groups.append(("onehot", [x for x in cur.columns if x not in before]))
-    for c in dummy_cols:
-        before = set(cur.columns)
-        cur = one_hot(cur, c, fit_on=fit, null_is_level=False, drop_first=True)
-        groups.append(("dummies", [x for x in cur.columns if x not in before]))
+    spark = df.sparkSession
+    cur, inputs, tables, at = df, [], [], 0
+
+    def named(group, names):
+        nonlocal at
+        tables.append(names.select((F.col("idx") + at).cast("int").alias("position"), F.lit(group).alias("group"), "name"))
+
+    for group, cols in (("onehot", one_hot_cols), ("dummies", dummy_cols)):
+        for c in cols:
+            vec = f"__{group}_{len(inputs)}"
+            cur, names, size = _one_hot_vector(cur, fit, c, vec, group == "dummies")
+            if size:
+                named(group, names)
+                inputs.append(vec)
+                at += size
+    plain = []
     for c in ordinal_cols:
         cur = label_encode(cur, c, fit_codes(fit, c), out=f"{c}_ord")
-        groups.append(("ordinal", [f"{c}_ord"]))
+        plain.append(("ordinal", f"{c}_ord"))
     if scaled_cols:
         cur = apply_standard(cur, fit_standard(fit, scaled_cols), scaled_cols, suffix="_z")
-        groups.append(("scaled", [f"{c}_z" for c in scaled_cols]))
-    if passthrough:
-        groups.append(("passthrough", list(passthrough)))
-    names = [n for _, ns in groups for n in ns]
-    cur = cur.withColumns({n: F.col(n).cast("double") for n in names})
-    asm = VectorAssembler(inputCols=names, outputCol=out, handleInvalid="keep")
+        plain += [("scaled", f"{c}_z") for c in scaled_cols]
+    plain += [("passthrough", c) for c in passthrough]
+    cur = cur.withColumns({f"__n{i}": F.col(f"`{n}`").cast("double") for i, (_, n) in enumerate(plain)})
+    rest = spark.createDataFrame([(at + i, g, n) for i, (g, n) in enumerate(plain)], "position int, group string, name string")
+    asm = VectorAssembler(inputCols=[*inputs, *[f"__n{i}" for i in range(len(plain))]], outputCol=out, handleInvalid="keep")
     matrix = asm.transform(cur).select(id_col, out)
-    spark = df.sparkSession
-    table = spark.createDataFrame(feature_names(groups), "position int, group string, name string")
+    table = rest
+    for t in tables:
+        table = table.unionByName(t)
     return matrix, table

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.quantiles import exact_median, global_median, global_mode
+from tessera.operators.clean import nan_to_null
 from tessera.operators.joins import tolerance_match
 from tessera.session import cut_lineage
 
@@ -39,11 +40,13 @@ def repair_labels(df: DataFrame, class_col: str, price_col: str, tol: float = 0.
     Two streams over the input: rows with a class take a left join with the
     fitted median table (a few rows per class, broadcast by AQE from its
     measured size, so no shuffle of the input); rows without a class take
-    the tolerance join, and only they are shuffled (to collapse multiple
-    matches).  The fitted table is checkpointed once and read by both.
+    the tolerance join over their distinct prices.  Equal rows stay separate
+    rows.  NaN prices are missing.  The fitted table is checkpointed once and
+    read by both.
     """
     class_out = class_out or class_col
     price_out = price_out or price_col
+    df = nan_to_null(df, [price_col])
     c, p = F.col(class_col), F.col(price_col)
     lookup = price_lookup(df, class_col, price_col, "__med", materialize=True)
     # the two fitted defaults: one small job, then plain literals in both streams
@@ -74,6 +77,7 @@ def impute_class_by_price(df: DataFrame, class_col: str, price_col: str, tol: fl
 def impute_price_by_class(df: DataFrame, class_col: str, price_col: str,
                           out: str = "price_filled") -> DataFrame:
     """I2 alone: adds ``out``; the class column is left as it is."""
+    df = nan_to_null(df, [price_col])
     c, p = F.col(class_col), F.col(price_col)
     lookup = price_lookup(df, class_col, price_col, "__med").withColumnRenamed(class_col, "__c")
     dflt = global_median(df, price_col)
@@ -102,8 +106,6 @@ def simple_impute(df: DataFrame, cols, strategy: str = "mean", fit_on: DataFrame
     """
     from tessera.functions.quantiles import exact_median
 
-    from tessera.operators.clean import nan_to_null
-
     cols = list(cols)
     df = nan_to_null(df, cols)  # NaN is missing, as in the reference's imputers
     fit = nan_to_null(fit_on, cols) if fit_on is not None else df
@@ -148,7 +150,6 @@ def impute_knn_many(df: DataFrame, id_col: str, cols, ks, fit_on: DataFrame | No
                     ) -> dict[int, DataFrame]:
     """I4 for several ``k`` at once: one neighbour search with the largest
     ``k`` serves every smaller one (the first k of the k_max nearest)."""
-    from tessera.operators.clean import nan_to_null
     from tessera.operators.neighbors import knn_join
 
     cols = list(cols)

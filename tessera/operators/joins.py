@@ -49,38 +49,41 @@ def tolerance_match(probe: DataFrame, lookup: DataFrame, value_col: str,
     (the reference's first match in key order), ``"nearest"`` the key with
     the smallest gap (ties to the smaller key).
 
-    Plan: equi-join on a log-scale bucket.  With bucket width
-    ``W = -ln(1 - tol)`` every match of a positive p lies in the bucket of p
-    or a neighbour, so each lookup row is replicated to its own bucket and
-    both neighbours and the exact test stays as a residual filter.  The
-    lookup is tiny (one row per class) and AQE broadcasts it.
-    Negative p makes the ratio negative, so every lookup row with a value
-    matches: each lookup row is also copied to one shared sentinel bucket
-    that only negative probes use.  p = 0 or NULL matches nothing.
+    Plan: the *distinct* probe values are matched and joined back, so equal
+    probe rows stay separate rows.  The match is an equi-join on a log-scale
+    bucket.  With bucket width ``W = -ln(1 - tol)`` every match of a positive p
+    lies in the bucket of p or a neighbour, so each lookup row is replicated to
+    its own bucket and both neighbours and the exact test stays as a residual
+    filter.  Negative p makes the ratio negative, so every lookup row with a
+    value matches: ``first`` is then one scalar; ``nearest`` only looks at the
+    lookup rows at or below zero and the smallest one above.  p = 0, NaN or NULL
+    matches nothing.
 
     Returns ``probe`` with one extra column ``out`` (NULL when no match).
-    The probe rows are grouped back by all their columns, so the only
-    shuffle is over the probe rows themselves.
     """
     if pick not in ("first", "nearest"):
         raise ValueError("pick must be 'first' or 'nearest'")
     width = -math.log1p(-tol) * (1 + 1e-6)
-    cols = probe.columns
-    neg = F.lit(-(2 ** 62)).cast("bigint")  # bucket shared by every lookup row, probed by p < 0
-    lk = lookup.where(F.col(lookup_value).isNotNull()).select(
-        F.col(lookup_key).alias("__k"), F.col(lookup_value).cast("double").alias("__m"))
-    near = F.when(F.col("__m") > 0, F.array(*[_log_bucket(F.col("__m"), width) + d for d in (-1, 0, 1)])) \
-        .otherwise(F.array().cast("array<bigint>"))
-    rep = lk.select("__k", "__m", F.explode(F.concat(near, F.array(neg))).alias("__b"))
-    p = F.col(value_col).cast("double")
-    tagged = probe.withColumn("__b", F.when(p > 0, _log_bucket(p, width)).when(p < 0, neg))
-    cond = (tagged["__b"] == rep["__b"]) & (F.abs(p - rep["__m"]) / p <= tol)
-    joined = tagged.join(rep, cond, "left")
+    p = F.nanvl(F.col(value_col).cast("double"), F.lit(None).cast("double"))
+    lk = lookup.select(F.col(lookup_key).alias("__k"), F.nanvl(F.col(lookup_value).cast("double"), F.lit(None).cast("double"))
+                       .alias("__m")).where(F.col("__m").isNotNull() & F.col("__k").isNotNull())
+    values = probe.select(p.alias("__p")).where(F.col("__p").isNotNull() & (F.col("__p") != 0)).distinct()
+    up, down = values.where("__p > 0"), values.where("__p < 0")
+    gap = F.struct(F.abs(F.col("__p") - F.col("__m")), F.col("__k"))
+    agg = F.min("__k") if pick == "first" else F.min_by("__k", gap)
+    near = lk.where("__m > 0").select("__k", "__m", F.explode(
+        F.array(*[_log_bucket(F.col("__m"), width) + d for d in (-1, 0, 1)])).alias("__b"))
+    found = (up.withColumn("__b", _log_bucket(F.col("__p"), width)).join(near, "__b")
+             .where(F.abs(F.col("__p") - F.col("__m")) / F.col("__p") <= tol)
+             .groupBy("__p").agg(agg.alias(out)))
     if pick == "first":
-        agg = F.min("__k")
+        below = down.select("__p", lk.select(F.min("__k")).scalar().alias(out))
     else:
-        agg = F.min_by("__k", F.struct(F.abs(p - F.col("__m")), F.col("__k")))
-    return joined.groupBy(*cols).agg(agg.alias(out))
+        least = lk.where("__m > 0").select(F.min("__m")).scalar()
+        few = lk.where((F.col("__m") <= 0) | (F.col("__m") == least)).withColumn("__b", F.lit(0))
+        below = down.withColumn("__b", F.lit(0)).join(few, "__b").groupBy("__p").agg(agg.alias(out))
+    found = found.unionByName(below)
+    return probe.withColumn("__v", p).join(found, F.col("__v") == F.col("__p"), "left").drop("__v", "__p")
 
 
 def zip_by_id(left: DataFrame, right: DataFrame, id_col: str) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import IndexToString, StringIndexer
@@ -42,7 +42,10 @@ def price_model(features: str = "features", label: str = "price_z", reg: float =
 def two_target_model(train: DataFrame, class_col: str, price_z_col: str, features: str = "features",
                      regs: Sequence[float] = (0.001, 0.01), seed: int = 42) -> PipelineModel:
     """K3/K5: label indexer + class head + price head, each tuned over ``regs``
-    on an 80/20 split (the best validation loss wins, as early stopping did)."""
+    on an 80/20 split (the best validation loss wins, as early stopping did).
+
+    Each head learns from the rows that have its own target: rows without a
+    class still teach the price head, and the other way round."""
     indexer = StringIndexer(inputCol=class_col, outputCol="label_idx", stringOrderType="alphabetAsc",
                             handleInvalid="skip")
     clf = class_model(features)
@@ -54,7 +57,11 @@ def two_target_model(train: DataFrame, class_col: str, price_z_col: str, feature
         estimator=reg, estimatorParamMaps=ParamGridBuilder().addGrid(reg.regParam, list(regs)).build(),
         evaluator=RegressionEvaluator(labelCol=price_z_col, predictionCol="price_pred", metricName="mse"),
         trainRatio=0.8, seed=seed, parallelism=len(regs))
-    return Pipeline(stages=[indexer, clf_tuned, reg_tuned]).fit(train)
+    classed = train.where(F.col(class_col).isNotNull())
+    indexed = indexer.fit(classed)
+    heads = [clf_tuned.fit(indexed.transform(classed)),
+             reg_tuned.fit(train.where(F.col(price_z_col).isNotNull() & ~F.isnan(price_z_col)))]
+    return PipelineModel(stages=[indexed, *heads])
 
 
 def _LogLossEvaluator():
@@ -99,24 +106,34 @@ def compare_predictions(a: DataFrame, b: DataFrame, id_col: str, class_col: str
 
 def linear_fit(df: DataFrame, x: str, targets: Sequence[str], group_cols: Sequence[str] = ()) -> DataFrame:
     """K9: least squares of each target on one predictor from grouped moments,
-    with the in-sample root mean squared error: ``(group..., target, slope, intercept, rmse)``."""
+    with the in-sample root mean squared error: ``(group..., target, slope, intercept, rmse)``.
+
+    One scan: the squared error is ``Syy - Sxy^2 / Sxx`` of the centred moments
+    over the rows where both values are present (NULL and NaN are not).
+    """
     g = list(group_cols)
-    fits = df.groupBy(*g).agg(*[F.struct(F.regr_slope(t, x).alias("slope"), F.regr_intercept(t, x).alias("icpt"))
-                                .alias(f"__fit_{t}") for t in targets])
-    j = df.join(fits, g) if g else df.withColumns(
-        {f"__fit_{t}": fits.select(f"__fit_{t}").scalar() for t in targets})
-    long = j.select(*g, F.explode(F.array(*[
-        F.struct(F.lit(t).alias("target"), F.col(f"__fit_{t}.slope").alias("slope"),
-                 F.col(f"__fit_{t}.icpt").alias("intercept"),
-                 (F.col(t) - (F.col(f"__fit_{t}.icpt") + F.col(f"__fit_{t}.slope") * F.col(x))).alias("err"))
-        for t in targets])).alias("r")).select(*g, "r.*")
-    return long.groupBy(*g, "target").agg(F.first("slope").alias("slope"), F.first("intercept").alias("intercept"),
-                                          F.sqrt(F.avg(F.col("err") * F.col("err"))).alias("rmse"))
+
+    def value(c):
+        return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+
+    fits = df.groupBy(*g).agg(*[F.struct(
+        F.regr_slope(value(t), value(x)).alias("slope"), F.regr_intercept(value(t), value(x)).alias("intercept"),
+        F.regr_syy(value(t), value(x)).alias("syy"), F.regr_sxy(value(t), value(x)).alias("sxy"),
+        F.regr_sxx(value(t), value(x)).alias("sxx"), F.regr_count(value(t), value(x)).alias("n")).alias(f"__fit{i}")
+        for i, t in enumerate(targets)])
+    long = fits.select(*g, F.explode(F.array(*[
+        F.struct(F.lit(t).alias("target"), F.col(f"__fit{i}").alias("f")) for i, t in enumerate(targets)])).alias("r"))
+    f = F.col("r.f")
+    sse = F.greatest(f["syy"] - f["sxy"] * f["sxy"] / f["sxx"], F.lit(0.0))
+    return long.select(*g, "r.target", f["slope"].alias("slope"), f["intercept"].alias("intercept"),
+                       F.when(f["slope"].isNotNull(), F.sqrt(sse / f["n"])).alias("rmse"))
 
 
 def forest_cv_mse(df: DataFrame, features: str, targets: Sequence[str], fold_col: str, n_folds: int,
-                  num_trees: int = 20, max_depth: int = 5, seed: int = 42, parallelism: int = 8) -> list[float]:
-    """K8 inside I6: k-fold MSE of a random forest, averaged over the targets.
+                  num_trees: int = 20, max_depth: int = 5, seed: int = 42, parallelism: int = 8,
+                  folds: Sequence[int] | None = None) -> list[float]:
+    """K8 inside I6: k-fold MSE of a random forest, averaged over the targets
+    (of the ``folds`` asked for, or of all).
 
     The ``folds x targets`` fits are independent Spark jobs; like
     ``CrossValidator(parallelism=...)`` they are submitted from a small
@@ -134,8 +151,9 @@ def forest_cv_mse(df: DataFrame, features: str, targets: Sequence[str], fold_col
         pred = rf.fit(tr).transform(te)
         return k, RegressionEvaluator(labelCol=t, metricName="mse").evaluate(pred)
 
-    jobs = [(k, t) for k in range(n_folds) for t in targets]
+    folds = list(range(n_folds)) if folds is None else list(folds)
+    jobs = [(k, t) for k in folds for t in targets]
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         results = list(pool.map(one, jobs))
     df.unpersist()
-    return [sum(m for kk, m in results if kk == k) / len(targets) for k in range(n_folds)]
+    return [sum(m for kk, m in results if kk == k) / len(targets) for k in folds]

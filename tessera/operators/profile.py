@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from tessera.operators.clean import any_null
+
 
 def schema_table(df: DataFrame) -> DataFrame:
     """B1: ``(position, column, type, nullable)`` as a DataFrame."""
@@ -37,7 +39,7 @@ def column_profile(df: DataFrame, cols: Sequence[str] | None = None, approx: boo
     """
     cols = list(cols or df.columns)
     long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols
+        F.struct(F.lit(c).alias("column"), F.when(~any_null(df, [c]), F.col(c).cast("string")).alias("value")) for c in cols
     ])).alias("kv")).select("kv.column", "kv.value")
     if approx:
         res = long.groupBy("column").agg(
@@ -83,14 +85,14 @@ def drop_constant_columns(df: DataFrame) -> DataFrame:
 
 
 def has_null(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """One row, one 0/1 flag per column."""
+    """One row, one 0/1 flag per column; NaN is missing too."""
     cols = list(cols or df.columns)
-    return df.select(*[F.max(F.col(c).isNull().cast("int")).alias(c) for c in cols])
+    return df.select(*[F.max(any_null(df, [c]).cast("int")).alias(c) for c in cols])
 
 
 def expect_null_count(df: DataFrame, col: str, expected: int) -> int:
     """Count NULLs and fail loudly if the count is not what was expected."""
-    got = df.select(F.count_if(F.col(col).isNull())).first()[0]
+    got = df.select(F.count_if(any_null(df, [col]))).first()[0]
     if got != expected:
         raise AssertionError(f"{col}: {got} NULL values, expected {expected}")
     return got

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.quantiles import exact_median
+from tessera.operators.clean import finite_only
 
 
 def fit_standard(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -55,7 +56,7 @@ def inverse_standard(df: DataFrame, params: DataFrame, col: str, fitted_col: str
 def log_scaled(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
     """``log1p`` then z-score (NULL where x <= -1)."""
     def logs(f):
-        return f.withColumns({c: F.log1p(F.col(c).cast("double")) for c in cols})
+        return f.withColumns({c: F.log1p(finite_only(F.col(c).cast("double"))) for c in cols})
     base = logs(df)
     return z_score(base, cols, logs(fit_on) if fit_on is not None else base)
 
@@ -63,9 +64,10 @@ def log_scaled(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = No
 def distribution_stages(df: DataFrame, col: str) -> DataFrame:
     """Mean, median, std of a column raw, after log1p, after log1p + z-score.
 
-    Output ``(stage, mean, median, std)``; std is the sample std.
+    Output ``(stage, mean, median, std)``; std is the sample std.  Missing and
+    infinite values are left out.
     """
-    v = F.col(col).cast("double")
+    v = finite_only(F.col(col).cast("double"))
     staged = log_scaled(df.select(v.alias("__raw"), v.alias("__log")), ["__log"])
     staged = staged.select(
         F.explode(F.array(
@@ -80,9 +82,10 @@ def distribution_stages(df: DataFrame, col: str) -> DataFrame:
 def histogram(df: DataFrame, col: str, n_bins: int = 20) -> DataFrame:
     """Equal-width bins over ``[min, max]`` (max falls in the last bin).
 
-    Output ``(bin, bin_lo, bin_hi, n)`` for non-empty bins.
+    Output ``(bin, bin_lo, bin_hi, n)`` for non-empty bins.  Missing and
+    infinite values are left out.
     """
-    v = F.col(col).cast("double")
+    v = finite_only(F.col(col).cast("double"))
     rng = df.agg(F.min(v).alias("lo"), F.max(v).alias("hi"))
     p = rng.select(F.struct("lo", "hi").alias("p")).scalar()
     lo, hi = p["lo"], p["hi"]
@@ -97,7 +100,7 @@ def histogram_markers(df: DataFrame, col: str, n_bins: int = 20) -> DataFrame:
     """Histogram bins flagged with the bin holding the mean, the median
     and mean +/- one (sample) std."""
     h = histogram(df, col, n_bins)
-    v = F.col(col).cast("double")
+    v = finite_only(F.col(col).cast("double"))
     st = df.agg(F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"))
     med = exact_median(df.select(v.alias("v")), [], "v", "median")
     s = st.select(F.struct("mean", "std").alias("s")).scalar()

@@ -19,42 +19,48 @@ from tessera.operators.balance import kfold_ids
 from tessera.operators.clean import drop_null_rows
 from tessera.operators.impute import impute_knn, impute_knn_many, inject_missing, simple_impute
 from tessera.operators.models import forest_cv_mse
+from tessera.session import cut_lineage
 
 METHODS = ("zero", "mean", "median", "knn5", "knn15")
 
 
-def apply_method(df: DataFrame, id_col: str, cols: Sequence[str], method: str) -> DataFrame:
+def apply_method(df: DataFrame, id_col: str, cols: Sequence[str], method: str,
+                 fit_on: DataFrame | None = None) -> DataFrame:
     if method == "zero":
-        return simple_impute(df, cols, "constant", fill_value=0.0)
+        return simple_impute(df, cols, "constant", fit_on, fill_value=0.0)
     if method in ("mean", "median"):
-        return simple_impute(df, cols, method)
+        return simple_impute(df, cols, method, fit_on)
     if method.startswith("knn"):
-        return impute_knn(df, id_col, cols, k=int(method[3:]))
+        return impute_knn(df, id_col, cols, k=int(method[3:]), fit_on=fit_on)
     raise ValueError(method)
 
 
-def _knn_fills(df: DataFrame, id_col: str, cols: Sequence[str], methods: Sequence[str]) -> dict[str, DataFrame]:
+def _knn_fills(df: DataFrame, id_col: str, cols: Sequence[str], methods: Sequence[str],
+               fit_on: DataFrame | None = None) -> dict[str, DataFrame]:
     """All ``knnK`` methods from one neighbour search (largest K)."""
     ks = [int(m[3:]) for m in methods if m.startswith("knn")]
     if not ks:
         return {}
-    many = impute_knn_many(df, id_col, cols, ks)
+    many = impute_knn_many(df, id_col, cols, ks, fit_on)
     return {f"knn{k}": many[k] for k in ks}
 
 
 def imputation_error(df: DataFrame, id_col: str, cols: Sequence[str], methods: Sequence[str] = METHODS,
                      frac: float = 0.5, seed: int = 42) -> DataFrame:
-    """Masked truth against filled value: ``(method, column, n, mae, rmse)``."""
+    """Masked truth against filled value: ``(method, column, n, mae, rmse)``.
+
+    The truth and the masked column's name ride along with the rows (the fills
+    keep other columns), so a method costs its fill and one aggregate.
+    """
     cols = list(cols)
     truth = drop_null_rows(df.select(id_col, *cols), cols)
-    inj = inject_missing(truth, id_col, cols, frac, seed)
-    t = truth.select(id_col, *[F.col(c).cast("double").alias(f"__t_{c}") for c in cols])
-    knn = _knn_fills(inj.drop("injected"), id_col, cols, methods)
+    truth = truth.withColumns({f"__t_{c}": F.col(c).cast("double") for c in cols})
+    inj = cut_lineage(inject_missing(truth, id_col, cols, frac, seed))
+    knn = _knn_fills(inj, id_col, cols, methods)
     out = None
     for m in methods:
-        filled = knn[m] if m in knn else apply_method(inj.drop("injected"), id_col, cols, m)
-        j = filled.join(inj.select(id_col, "injected"), id_col).join(t, id_col)
-        long = j.where(F.col("injected").isNotNull()).select(
+        filled = knn[m] if m in knn else apply_method(inj, id_col, cols, m)
+        long = filled.where(F.col("injected").isNotNull()).select(
             F.lit(m).alias("method"), F.col("injected").alias("column"),
             F.coalesce(*[F.when(F.col("injected") == c, F.col(c) - F.col(f"__t_{c}")) for c in cols]).alias("err"))
         res = long.groupBy("method", "column").agg(
@@ -68,19 +74,27 @@ def imputation_study(df: DataFrame, id_col: str, features: Sequence[str], target
                      methods: Sequence[str] = METHODS, n_folds: int = 5, seed: int = 42,
                      num_trees: int = 20) -> DataFrame:
     """``(method, mean_mse, std_mse)`` of a random forest under k-fold CV,
-    one row per fill method plus ``full`` (no values masked)."""
+    one row per fill method plus ``full`` (no values masked).
+
+    In every fold the fill is fitted on the training rows alone and applied to
+    both parts, and the missing indicators are features next to the filled
+    values.
+    """
     features, targets = list(features), list(targets)
     complete = drop_null_rows(df.select(id_col, *features, *targets), features + targets)
-    inj = inject_missing(complete, id_col, features, 0.5, seed).drop("injected")
-    asm = VectorAssembler(inputCols=features, outputCol="__x", handleInvalid="keep")
-    knn = _knn_fills(inj, id_col, features, methods)
-    rows = []
-    for m in ("full", *methods):
-        data = complete if m == "full" else knn[m] if m in knn else apply_method(inj, id_col, features, m)
-        data = kfold_ids(asm.transform(data.withColumns({c: F.col(c).cast("double") for c in features})),
-                         id_col, n_folds, seed)
-        scores = forest_cv_mse(data, "__x", targets, "fold", n_folds, num_trees=num_trees, seed=seed)
-        rows.append((m, float(statistics.fmean(scores)), float(statistics.pstdev(scores))))
+    complete = kfold_ids(complete, id_col, n_folds, seed, out="fold")
+    inj = cut_lineage(inject_missing(complete, id_col, features, 0.5, seed).drop("injected"))
+    scores: dict[str, list[float]] = {m: [] for m in ("full", *methods)}
+    for fold in range(n_folds):
+        train = inj.where(F.col("fold") != fold)
+        knn = _knn_fills(inj, id_col, features, methods, fit_on=train)
+        for m in scores:
+            data = complete if m == "full" else knn[m] if m in knn else apply_method(inj, id_col, features, m, fit_on=train)
+            x = [c for c in data.columns if c in features or c.startswith("missingindicator_")]
+            data = VectorAssembler(inputCols=x, outputCol="__x", handleInvalid="keep").transform(
+                data.withColumns({c: F.col(c).cast("double") for c in x}))
+            scores[m].append(forest_cv_mse(data, "__x", targets, "fold", n_folds, num_trees=num_trees, seed=seed, folds=[fold])[0])
+    rows = [(m, float(statistics.fmean(s)), float(statistics.pstdev(s))) for m, s in scores.items()]
     return df.sparkSession.createDataFrame(rows, "method string, mean_mse double, std_mse double")
 
 

@@ -19,12 +19,25 @@ def cap_per_class(df: DataFrame, class_col: str, id_col: str, n: int) -> DataFra
     """At most ``n`` rows per class without replacement.
 
     Rows are drawn in md5(id) order, so the draw is reproducible under any
-    repartitioning.  ``row_number() <= n`` is planned as a WindowGroupLimit:
-    each map task keeps only its own first ``n`` per class before the
-    shuffle, so a hot class ships at most ``n`` rows per task.
+    repartitioning.  A count of rows per class and md5 prefix (three digits, so
+    at most 4,096 rows per class) finds the prefix in which the ``n``-th row of
+    a class lies.  Rows before that prefix stay, rows after it go, and only
+    the rows of that one prefix are ranked: a window holds about a 4,096th of a
+    class, whatever ``n`` and the size of the class are.
     """
-    w = Window.partitionBy(class_col).orderBy(hash_order(id_col), F.col(id_col))
-    return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= n).drop("__rn")
+    prefix = F.substring(hash_order(id_col), 1, 3)
+    counts = df.groupBy(F.col(class_col).alias("__cls"), prefix.alias("__pre")).agg(F.count(F.lit(1)).alias("__c"))
+    w = Window.partitionBy("__cls").orderBy("__pre")
+    upto = counts.withColumn("__upto", F.sum("__c").over(w))
+    # the first prefix that fills the quota, or none: then all rows stay
+    cut = upto.where(F.col("__upto") >= n).groupBy("__cls").agg(
+        F.min(F.struct("__pre", (n - F.col("__upto") + F.col("__c")).alias("__left"))).alias("__cut"))
+    j = df.withColumn("__pre", prefix).join(cut, F.col(class_col).eqNullSafe(F.col("__cls")), "left")
+    whole = j.where(F.col("__cut").isNull() | (F.col("__pre") < F.col("__cut.__pre")))
+    edge = j.where(F.col("__pre") == F.col("__cut.__pre"))
+    we = Window.partitionBy(class_col, "__pre").orderBy(hash_order(id_col), F.col(id_col))
+    edge = edge.withColumn("__rn", F.row_number().over(we)).where(F.col("__rn") <= F.col("__cut.__left"))
+    return whole.select(*df.columns).unionByName(edge.select(*df.columns))
 
 
 def top_n(df: DataFrame, order: Sequence, n: int) -> DataFrame:
@@ -47,10 +60,14 @@ def average_rank(df: DataFrame, col: str, out: str = "rank", group_cols: Sequenc
     Ranks are computed on the *distinct values* with their counts by a
     bucketed prefix count (``rows_before``), then joined back, so neither
     duplicates nor one whole group ever sit in a single window task.
-    NULL values get a NULL rank.
+    NULL and NaN values get a NULL rank.
     """
     g = list(group_cols)
-    vc = df.where(F.col(col).isNotNull()).groupBy(*g, col).agg(F.count(F.lit(1)).alias("__n"))
+    if df.schema[col].dataType.typeName() in ("double", "float"):
+        missing = F.col(col).isNull() | F.isnan(col)
+    else:
+        missing = F.col(col).isNull()
+    vc = df.where(~missing).groupBy(*g, col).agg(F.count(F.lit(1)).alias("__n"))
     ranks = rows_before(vc, g, col, "__n").select(
         *g, col, (F.col("__before") + (F.col("__n") + 1) / 2.0).alias(out))
     return df.join(ranks, [*g, col], "left")

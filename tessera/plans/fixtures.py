@@ -81,9 +81,8 @@ def part_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def docs_en(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents")
-    return d.filter(F.col("lang") == "en").select(F.col("doc_id").alias("id"), "text")
+def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
 
 
 def train_flag(key):
@@ -123,7 +122,7 @@ SQL = {
   FROM lineitem)""",
     "part_json": """part_json AS (
   SELECT p_partkey AS id, '["' || p_brand || '","' || p_type || '"]' AS feats FROM part)""",
-    "docs_en": """docs_en AS (SELECT doc_id AS id, text FROM documents WHERE lang = 'en')""",
+    "docs": """docs AS (SELECT doc_id AS id, text FROM documents)""",
 }
 
 _DEPS = {"orders_gaps": ["orders_labelled"]}

@@ -118,6 +118,15 @@ def q_cap_per_class(spark, d):
     return W.cap_per_class(fx.events_skewed(spark, d), "class", "id", 900).select("id", "class")
 
 
+@query("cap_per_class_5000", fx.with_fixtures("events_skewed") + """
+SELECT id, class FROM (
+  SELECT id, class, row_number() OVER (PARTITION BY class ORDER BY md5(CAST(id AS VARCHAR)), id) AS rn
+  FROM events_skewed) WHERE rn <= 5000
+""")
+def q_cap_per_class_5000(spark, d):
+    return W.cap_per_class(fx.events_skewed(spark, d), "class", "id", 5000).select("id", "class")
+
+
 @query("average_rank", fx.with_fixtures("events_skewed") + """
 SELECT id, round(rank() OVER (ORDER BY value) + (count(*) OVER (PARTITION BY value) - 1) / 2.0, 6) AS rank
 FROM events_skewed
@@ -214,13 +223,13 @@ def q_leading_number(spark, d):
     return h.select("history", A.leading_number(T.split_parts("history", ",")).alias("num_owners"))
 
 
-@query("tokenize_count", fx.with_fixtures("docs_en") + """
+@query("tokenize_count", fx.with_fixtures("docs") + """
 SELECT id, CAST(len(regexp_extract_all(lower(text), '(\\w+)', 1)) AS INTEGER) AS n_tokens,
   regexp_extract_all(lower(text), '(\\w+)', 1)[1] AS first_token
-FROM docs_en
+FROM docs
 """)
 def q_tokenize_count(spark, d):
-    docs = fx.docs_en(spark, d)
+    docs = fx.docs(spark, d)
     toks = T.tokens("text", r"\w+")
     return docs.select("id", F.size(toks).alias("n_tokens"), F.get(toks, 0).alias("first_token"))
 
@@ -232,41 +241,41 @@ def _stop_sql() -> str:
 _PAT_SQL = T.TOKEN_PATTERN
 
 
-@query("clean_tokens", fx.with_fixtures("docs_en") + f""",
+@query("clean_tokens", fx.with_fixtures("docs") + f""",
 toks AS (
   SELECT id, list_filter(list_transform(list_filter(
       regexp_extract_all(lower(CASE WHEN text IS NULL OR text = '' THEN 'none' ELSE text END), '({_PAT_SQL})', 1),
       lambda t: NOT list_contains({_stop_sql()}, t)),
     lambda t: regexp_replace(t, '[^a-z0-9]', '', 'g')), lambda t: t <> '') AS tokens
-  FROM docs_en)
+  FROM docs)
 SELECT id, CAST(len(tokens) AS INTEGER) AS n_tokens, md5(array_to_string(tokens, ' ')) AS digest FROM toks
 """)
 def q_clean_tokens(spark, d):
-    docs = fx.docs_en(spark, d)
+    docs = fx.docs(spark, d)
     toks = T.clean_tokens("text")
     return docs.select("id", toks.alias("t")).select(
         "id", F.size("t").alias("n_tokens"), F.md5(F.array_join("t", " ")).alias("digest"))
 
 
-@query("remove_stopwords", fx.with_fixtures("docs_en") + f"""
+@query("remove_stopwords", fx.with_fixtures("docs") + f"""
 SELECT id, CAST(len(list_filter(regexp_extract_all(lower(text), '(\\w+)', 1),
                            lambda t: NOT list_contains({_stop_sql()}, t))) AS INTEGER) AS n_kept
-FROM docs_en
+FROM docs
 """)
 def q_remove_stopwords(spark, d):
     from tessera.operators.textvec import remove_stopwords
-    docs = fx.docs_en(spark, d).select("id", T.tokens("text", r"\w+").alias("toks"))
+    docs = fx.docs(spark, d).select("id", T.tokens("text", r"\w+").alias("toks"))
     return remove_stopwords(docs, "toks", "kept").select("id", F.size("kept").alias("n_kept"))
 
 
-@query("vocabulary", fx.with_fixtures("docs_en") + """
+@query("vocabulary", fx.with_fixtures("docs") + """
 SELECT token, count(*) AS n FROM (
-  SELECT unnest(regexp_extract_all(lower(text), '(\\w+)', 1)) AS token FROM docs_en)
+  SELECT unnest(regexp_extract_all(lower(text), '(\\w+)', 1)) AS token FROM docs)
 GROUP BY token HAVING count(*) >= 3
 """)
 def q_vocabulary(spark, d):
     from tessera.operators.textvec import vocabulary
-    docs = fx.docs_en(spark, d).select(T.tokens("text", r"\w+").alias("toks"))
+    docs = fx.docs(spark, d).select(T.tokens("text", r"\w+").alias("toks"))
     return vocabulary(docs, "toks", min_count=3).select("token", "n")
 
 
@@ -282,14 +291,14 @@ def q_embedding_norm(spark, d):
 
 
 @query("softmax_argmax", """
-WITH s AS (SELECT vec_id, list_slice(embedding, 1, 10) AS z FROM embeddings),
+WITH s AS (SELECT vec_id, embedding AS z FROM embeddings),
 e AS (SELECT vec_id, z, list_transform(z, lambda x: exp(CAST(x AS DOUBLE) - list_max(z))) AS ex FROM s)
 SELECT vec_id, CAST(list_position(z, list_max(z)) - 1 AS INTEGER) AS argmax,
   round(list_max(ex) / list_sum(ex), 6) AS p_max
 FROM e
 """)
 def q_softmax_argmax(spark, d):
-    e = table(spark, d, "embeddings").select("vec_id", F.slice("embedding", 1, 10).alias("z"))
+    e = table(spark, d, "embeddings").select("vec_id", F.col("embedding").alias("z"))
     zd = F.transform("z", lambda x: x.cast("double"))
     return e.select("vec_id", A.argmax("z").alias("argmax"), r6(F.array_max(A.softmax(zd))).alias("p_max"))
 

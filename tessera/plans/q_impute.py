@@ -90,6 +90,40 @@ def q_knn_join(spark, d):
     return nn.select("id", "neighbor", r6("dist").alias("dist"), "rank")
 
 
+@query("knn_far_queries", """
+WITH r AS (SELECT p_partkey AS id, p_size AS x, floor(p_retailprice) AS y FROM part),
+q AS (SELECT s_suppkey AS id, 1000000 + s_suppkey % 7 AS x, -s_nationkey AS y FROM supplier),
+pairs AS (SELECT q.id, r.id AS neighbor, (q.x - r.x) * (q.x - r.x) + (q.y - r.y) * (q.y - r.y) AS d2,
+    row_number() OVER (PARTITION BY q.id ORDER BY (q.x - r.x) * (q.x - r.x) + (q.y - r.y) * (q.y - r.y), r.id) AS rank FROM q, r)
+SELECT id, neighbor, round(sqrt(d2), 6) AS dist, CAST(rank AS INTEGER) AS rank FROM pairs WHERE rank <= 3
+""")
+def q_knn_far_queries(spark, d):
+    """Queries far from every reference: no cell near them holds one."""
+    refs = fx.part_class(spark, d)
+    s = fx.table(spark, d, "supplier")
+    q = s.select(F.col("s_suppkey").alias("id"), (1000000 + F.col("s_suppkey") % 7).alias("x"), (-F.col("s_nationkey")).alias("y"))
+    nn = knn_join(q, refs, "id", "id", ["x", "y"], 3)
+    return nn.select("id", "neighbor", r6("dist").alias("dist"), "rank")
+
+
+@query("impute_knn_isolated", """
+WITH g AS (SELECT p_partkey AS id, CASE WHEN p_partkey % 7 = 3 THEN NULL ELSE CAST(p_size AS DOUBLE) END AS x,
+                  floor(p_retailprice) + CASE WHEN p_partkey % 35 = 3 THEN 10000000 ELSE 0 END AS y FROM part),
+nn AS (SELECT a.id, b.x AS v, row_number() OVER (PARTITION BY a.id ORDER BY abs(a.y - b.y), b.id) AS rk
+       FROM g a JOIN g b ON b.x IS NOT NULL WHERE a.x IS NULL),
+f AS (SELECT id, avg(v) AS v FROM nn WHERE rk <= 5 GROUP BY id)
+SELECT g.id, round(coalesce(g.x, f.v), 6) AS x, round(CAST(g.y AS DOUBLE), 6) AS y FROM g LEFT JOIN f ON f.id = g.id
+""")
+def q_impute_knn_isolated(spark, d):
+    """Receivers far from every donor get the nearest donors' average, not the column's mean."""
+    p = fx.table(spark, d, "part")
+    k = F.col("p_partkey")
+    g = p.select(k.alias("id"), F.when(k % 7 != 3, F.col("p_size").cast("double")).alias("x"),
+                 (F.floor("p_retailprice") + F.when(k % 35 == 3, 10000000).otherwise(0)).cast("double").alias("y"))
+    out = I.impute_knn(g, "id", ["x", "y"], k=5, add_indicator=False)
+    return out.select("id", r6("x").alias("x"), r6("y").alias("y"))
+
+
 @query("edited_nn", fx.with_fixtures("part_class") + _KNN_SQL.format(t="part_class") + """,
 bad AS (SELECT DISTINCT p.id FROM pairs p JOIN part_class a ON a.id = p.id JOIN part_class b ON b.id = p.neighbor
         WHERE p.rank <= 3 AND a.label <> b.label)
@@ -116,6 +150,26 @@ def q_adasyn_weights(spark, d):
     return J.adasyn_weights(fx.part_imbalanced(spark, d), "id", ["x", "y"], "label", k=5)
 
 
+@query("adasyn_three_classes", """
+WITH t AS (SELECT p_partkey AS id, CAST(p_size AS BIGINT) AS x, CAST(floor(p_retailprice) AS BIGINT) AS y,
+                  CASE WHEN p_size > 42 THEN 'L' WHEN p_size > 30 THEN 'M' ELSE 'S' END AS label FROM part),
+cnt AS (SELECT label, count(*) AS n FROM t GROUP BY label),
+need AS (SELECT label, (SELECT max(n) FROM cnt) - n AS need FROM cnt WHERE n < (SELECT max(n) FROM cnt)),
+pairs AS (SELECT a.id, a.label, b.label AS nl,
+            row_number() OVER (PARTITION BY a.id ORDER BY (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y), b.id) AS rk
+          FROM t a JOIN t b ON a.id <> b.id WHERE a.label IN (SELECT label FROM need)),
+oth AS (SELECT id, label, count(*) FILTER (WHERE nl <> label) AS n_other FROM pairs WHERE rk <= 5 GROUP BY id, label),
+tot AS (SELECT label, sum(n_other) AS s FROM oth GROUP BY label)
+SELECT id, n_other, CAST(CASE WHEN s > 0 THEN round_even(n_other / s * need, 0) ELSE 0 END AS INTEGER) AS g
+FROM oth JOIN tot USING (label) JOIN need USING (label)
+""")
+def q_adasyn_three(spark, d):
+    p = fx.table(spark, d, "part")
+    t = p.select(F.col("p_partkey").alias("id"), F.col("p_size").cast("bigint").alias("x"), F.floor("p_retailprice").cast("bigint").alias("y"),
+                 F.when(F.col("p_size") > 42, "L").when(F.col("p_size") > 30, "M").otherwise("S").alias("label"))
+    return J.adasyn_weights(t, "id", ["x", "y"], "label", k=5)
+
+
 _D2 = "(a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)"
 
 

@@ -33,6 +33,23 @@ def q_repair_labels(spark, sf_dir):
     return rep.select("id", "class", r6("price").alias("price"))
 
 
+@query("repair_labels_keyless", fx.with_fixtures("orders_gaps") + f""",
+g AS (SELECT class, round(price, -4) AS price FROM orders_gaps),
+med AS (SELECT class AS mclass, median(price) AS med FROM g WHERE class IS NOT NULL GROUP BY class),
+p AS (SELECT price, min(mclass) AS mclass FROM (SELECT DISTINCT price FROM g WHERE class IS NULL) x JOIN med
+      ON price <> 0 AND abs(price - med) / price <= 0.04 GROUP BY price)
+SELECT CASE WHEN g.class IS NOT NULL THEN g.class
+            ELSE coalesce(p.mclass, (SELECT class FROM g WHERE class IS NOT NULL GROUP BY class ORDER BY count(*) DESC, class LIMIT 1)) END AS class,
+  round(CAST(CASE WHEN g.price IS NOT NULL THEN g.price WHEN g.class IS NULL THEN (SELECT median(price) FROM g)
+       ELSE coalesce((SELECT med FROM med WHERE med.mclass = g.class), (SELECT median(price) FROM g)) END AS DOUBLE), 6) AS price
+FROM g LEFT JOIN p ON g.price = p.price
+""")
+def q_repair_labels_keyless(spark, sf_dir):
+    """Rows without a key, many of them equal: every one is kept and repaired (prices missing as NaN)."""
+    g = fx.orders_gaps(spark, sf_dir).select("class", F.coalesce(F.round("price", -4), F.lit(float("nan"))).alias("price"))
+    return repair_labels(g, "class", "price").select("class", r6("price").alias("price"))
+
+
 @query("impute_class_by_price", fx.with_fixtures("orders_gaps") + f""",
 {_LOOKUP_SQL},
 firstmatch AS (

@@ -12,6 +12,7 @@ from tessera.operators import study as ST
 from tessera.operators.textvec import text_norm_feature, word2vec_features
 from tessera.plans import fixtures as fx
 from tessera.plans.registry import query, r6
+from tessera.session import cut_lineage
 from tessera.sources.tables import table
 
 
@@ -56,7 +57,7 @@ def q_score_table(spark, d):
 
 
 @query("eval_losses", """
-WITH z AS (SELECT vec_id, label % 3 AS lbl, list_transform(list_slice(embedding, 1, 3), lambda x: CAST(x AS DOUBLE)) AS z,
+WITH z AS (SELECT vec_id, label AS lbl, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS z,
                   CAST(embedding[4] AS DOUBLE) * 3 AS pred, CAST(embedding[5] AS DOUBLE) * 3 AS tgt FROM embeddings),
 p AS (SELECT *, list_transform(z, lambda x: exp(x - list_max(z))) AS ex FROM z),
 q AS (SELECT *, ex[lbl + 1] / list_sum(ex) AS pl, pred - tgt AS e FROM p)
@@ -67,8 +68,8 @@ FROM q
 """)
 def q_eval_losses(spark, d):
     e = table(spark, d, "embeddings")
-    z = F.transform(F.slice("embedding", 1, 3), lambda x: x.cast("double"))
-    df = e.select(softmax(z).alias("prob"), (F.col("label") % 3).alias("lbl"),
+    z = F.transform("embedding", lambda x: x.cast("double"))
+    df = e.select(softmax(z).alias("prob"), F.col("label").alias("lbl"),
                   (F.get("embedding", 3).cast("double") * 3).alias("pred"),
                   (F.get("embedding", 4).cast("double") * 3).alias("tgt"))
     out = K.eval_losses(df, "prob", "lbl", "pred", "tgt")
@@ -113,7 +114,7 @@ def q_linear_fit(spark, d):
 @query("word2vec_features")
 def q_word2vec(spark, d):
     """H8/H9: document vectors fitted on the training split only."""
-    docs = fx.docs_en(spark, d).withColumn("split", fx.train_flag(F.col("id")))
+    docs = fx.docs(spark, d).withColumn("split", fx.train_flag(F.col("id")))
     _, (tr, te) = word2vec_features(docs.where(F.col("split") == "train"), [docs.where(F.col("split") == "test")],
                                     "text", "id")
     return tr.unionByName(te)
@@ -122,7 +123,7 @@ def q_word2vec(spark, d):
 @query("text_norm_feature")
 def q_text_norm(spark, d):
     """Text column replaced by the norm of its document vector."""
-    docs = fx.docs_en(spark, d).withColumn("split", fx.train_flag(F.col("id")))
+    docs = fx.docs(spark, d).withColumn("split", fx.train_flag(F.col("id")))
     tr, te = text_norm_feature(docs.where(F.col("split") == "train"), [docs.where(F.col("split") == "test")],
                                ["text"], "id")
     return tr.unionByName(te)
@@ -165,6 +166,52 @@ def q_imputation_error(spark, d):
     return out.select("method", "column", "n", r6("mae").alias("mae"), r6("rmse").alias("rmse"))
 
 
+# Thresholds on planted signals: the learned heads must find what the table holds.
+
+@query("class_model_check", "SELECT count(*) AS n, true AS good FROM part")
+def q_class_model_check(spark, d):
+    m = q_class_model(spark, d)
+    df, _ = _model_frame(spark, d)
+    names = F.element_at(F.array(*[F.lit(x) for x in ("large", "medium", "small")]), F.col("class_pred") + 1)
+    right = F.avg((names == F.col("band")).cast("double"))
+    return m.agg(F.count("*").alias("n"), (right > 0.9).alias("good"))
+
+
+@query("price_model_check", "SELECT count(*) AS n, true AS finite, true AS fits FROM part")
+def q_price_model_check(spark, d):
+    """A price that is a line of the features plus nothing is predicted to a hundredth of its spread."""
+    df, _ = _model_frame(spark, d)
+    df = df.withColumn("price_z", 0.1 * F.col("size") - 0.05 * F.col("name_len"))
+    out = K.price_model(reg=0.0).fit(df).transform(df)
+    err = F.col("price_pred") - F.col("price_z")
+    return out.agg(F.count("*").alias("n"), (~F.isnan(F.sum("price_pred"))).alias("finite"),
+                   (F.sqrt(F.avg(err * err)) < 0.01 * F.stddev_pop("price_z")).alias("fits"))
+
+
+@query("two_target_check", "SELECT count(*) AS n, true AS good FROM part")
+def q_two_target_check(spark, d):
+    out = q_two_target_model(spark, d).join(_model_frame(spark, d)[0].select("id", "band"), "id")
+    names = F.element_at(F.array(*[F.lit(x) for x in ("large", "medium", "small")]), F.col("class_pred") + 1)
+    return out.agg(F.count("*").alias("n"), (F.avg((names == F.col("band")).cast("double")) > 0.9).alias("good"))
+
+
+@query("score_table_check", "SELECT true AS good, true AS positive")
+def q_score_table_check(spark, d):
+    out = q_score_table(spark, d).join(_model_frame(spark, d)[0].select("id", "band"), "id")
+    return out.agg((F.avg((F.col("class_name") == F.col("band")).cast("double")) > 0.9).alias("good"),
+                   (F.min("price") > 0).alias("positive"))
+
+
+@query("study_bounds", "SELECT true AS ordered, 6 AS n_methods, true AS full_is_best")
+def q_study_bounds(spark, d):
+    """I7 on the study: the bounds are in order, and no fill beats the full data."""
+    study = cut_lineage(q_imputation_study(spark, d))
+    b = ST.study_bounds(study)
+    full = study.where("method = 'full'").select("mean_mse").scalar()
+    return study.agg(F.count("*").cast("int").alias("n_methods"), F.min(F.col("mean_mse") >= full).alias("full_is_best")) \
+        .withColumn("ordered", b.select(F.col("lower") <= F.col("upper")).scalar()).select("ordered", "n_methods", "full_is_best")
+
+
 @query("imputation_study")
 def q_imputation_study(spark, d):
     """Forest MSE per fill method under 5-fold CV (learned: rows-only)."""

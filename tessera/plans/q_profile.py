@@ -64,15 +64,16 @@ def q_distinct_values(spark, d):
 
 
 @query("constant_columns", """
-WITH e AS (SELECT doc_id, lang, source FROM documents WHERE lang = 'en')
+WITH e AS (SELECT doc_id, lang, source, n_chars >= 0 AS counted FROM documents)
 SELECT "column" FROM (
   SELECT 'doc_id' AS column, count(DISTINCT doc_id) + (count(*) > count(doc_id))::INT AS nd FROM e
   UNION ALL SELECT 'lang', count(DISTINCT lang) + (count(*) > count(lang))::INT FROM e
-  UNION ALL SELECT 'source', count(DISTINCT source) + (count(*) > count(source))::INT FROM e)
+  UNION ALL SELECT 'source', count(DISTINCT source) + (count(*) > count(source))::INT FROM e
+  UNION ALL SELECT 'counted', count(DISTINCT counted) + (count(*) > count(counted))::INT FROM e)
 WHERE nd = 1
 """)
 def q_constant_columns(spark, d):
-    docs = table(spark, d, "documents").where(F.col("lang") == "en").select("doc_id", "lang", "source")
+    docs = table(spark, d, "documents").select("doc_id", "lang", "source", (F.col("n_chars") >= 0).alias("counted"))
     return B.constant_columns(docs)
 
 
@@ -297,6 +298,24 @@ def q_feature_matrix(spark, d):
     return m.select("c_custkey", vector_to_array("features").alias("features"))
 
 
+@query("feature_matrix_wide", """
+WITH l AS (SELECT c_name, CAST(row_number() OVER (ORDER BY c_name) - 1 AS INTEGER) AS pos FROM (SELECT DISTINCT c_name FROM customer)),
+s AS (SELECT avg(c_acctbal) AS m, stddev_pop(c_acctbal) AS sd FROM customer)
+SELECT c_custkey, pos, CAST((SELECT count(*) FROM l) + 1 AS INTEGER) AS size, 'c_name_' || c_name AS name,
+       round((c_acctbal - m) / sd, 6) + 0.0 AS z
+FROM customer JOIN l USING (c_name), s
+""")
+def q_feature_matrix_wide(spark, d):
+    """H3/H6 with as many levels as rows: the vector's length, its one-hot place and that place's name."""
+    from pyspark.ml.functions import vector_to_array
+    c = table(spark, d, "customer")
+    m, names = H.feature_matrix(c, "c_custkey", one_hot_cols=["c_name"], scaled_cols=["c_acctbal"])
+    v = vector_to_array("features")
+    out = m.select("c_custkey", F.size(v).alias("size"), (F.array_position(F.slice(v, 1, F.size(v) - 1), 1.0) - 1).cast("int").alias("pos"),
+                   r6(F.element_at(v, -1)).alias("z"))
+    return out.join(names.select(F.col("position").alias("pos"), "name"), "pos").select("c_custkey", "pos", "size", "name", "z")
+
+
 @query("crosstab_margins", """
 WITH ct AS (SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY 1, 2)
 SELECT CAST(sum(n) AS BIGINT) AS total, count(DISTINCT l_returnflag) AS n_rows, count(DISTINCT l_linestatus) AS n_cols FROM ct

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -52,8 +54,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins.  Only when nothing is configured (a
-    laptop or a test) do we fall back to a fresh scratch folder.
+    The cluster's setting always wins.  Only a local run (a laptop or a test)
+    without one gets a fresh scratch folder, removed when Python ends; on a
+    cluster a machine-local folder would be out of the executors' reach, so a
+    missing setting is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -61,11 +65,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if not is_local_master(sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf = tempfile.mkdtemp(prefix="tessera-ckpt-")
+        atexit.register(shutil.rmtree, conf, ignore_errors=True)
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
 
 
+def is_local_master(master: str) -> bool:
+    """Whether driver and executors are one process (``local-cluster`` isn't)."""
+    return master == "local" or master.startswith("local[")
+
+
 def cut_lineage(df):
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)

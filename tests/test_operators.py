@@ -67,7 +67,7 @@ def test_exact_median_even_odd_and_hot_group(spark):
     df = spark.createDataFrame(rows, "g string, v double")
     want_h = float(np.median([v % 97 for v in range(3000)]))
     for cap in (1_000_000, 3):  # direct ranking, and forced narrowing rounds
-        got = {r["g"]: r["median"] for r in exact_median(df, ["g"], "v", n_buckets=8, max_per_task=cap).collect()}
+        got = {r["g"]: r["median"] for r in exact_median(df, ["g"], "v", max_per_task=cap).collect()}
         assert got["a"] == 2.5 and got["b"] == 5.0 and "c" not in got
         assert got["h"] == want_h
     allv = [r[1] for r in rows if r[1] is not None]
@@ -79,7 +79,7 @@ def test_exact_median_random_against_numpy(spark):
     rnd = random.Random(3)
     rows = [(rnd.choice("xyz"), float(rnd.randint(0, 400)) + rnd.choice([0.0, 0.5])) for _ in range(2500)]
     df = spark.createDataFrame(rows, "g string, v double")
-    got = {r["g"]: r["median"] for r in exact_median(df, ["g"], "v", n_buckets=4, max_per_task=7).collect()}
+    got = {r["g"]: r["median"] for r in exact_median(df, ["g"], "v", max_per_task=7).collect()}
     for key in "xyz":
         assert got[key] == float(np.median([v for k, v in rows if k == key]))
 
