@@ -43,7 +43,8 @@ SIGNATURE = 16
 BAND_ROWS = 2
 FREQUENT_IN_BLOCK = 3
 MAX_FREQUENT = 1 << 17
-ENTRIES_PER_BUCKET = 1_500_000
+ENTRIES_PER_BUCKET = 1_000_000
+PAIRS_AT_ONCE = 200_000
 MEMBERS_PER_BLOCK = 256
 ASKED_PER_BLOCK = 512
 FILTER_BITS = 26
@@ -243,7 +244,7 @@ def prefix_entries(rows: DataFrame, frequent, n_buckets: int) -> DataFrame:
         for block in text_blocks(batches, "text"):
             sets = _sets(block.column("text"))
             known = [block.column(c).to_pylist() for c in ("node", "group", "members", "least", "most")]
-            info, tokens, owner, seen = [], [], [], set()
+            info, tokens, owner, frequent_, seen = [], [], [], [], set()
             for i, s in enumerate(sets):
                 if not len(s):
                     continue
@@ -252,18 +253,21 @@ def prefix_entries(rows: DataFrame, frequent, n_buckets: int) -> DataFrame:
                 if (grouped and known[0][i] != node) or (node, grouped) in seen:
                     continue
                 seen.add((node, grouped))
-                n, rank = len(s), s >> np.uint64(1)
+                n, rank, hot = len(s), s >> np.uint64(1), np.zeros(len(s), bool)
                 if len(sorted_values):
                     at = np.minimum(np.searchsorted(sorted_values, s), len(sorted_values) - 1)
                     hot = sorted_values[at] == s
                     rank = np.where(hot, np.uint64(1 << 63) | by_value[at].astype(np.uint64), rank)
                 p = n - (4 * n + 4) // 5 + 1
-                tokens.append(s[np.argpartition(rank, p - 1)[:p]] if p < n else s)
+                picked = np.argpartition(rank, p - 1)[:p] if p < n else np.arange(n)
+                tokens.append(s[picked])
+                frequent_.append(hot[picked])
                 owner.append(np.full(p, len(info), np.uint32))
-                info.append((node, n, *((x[i] for x in known[1:]) if grouped else (node, 1, n, n))))
+                info.append((node, n, *((x[i] for x in known[1:]) if grouped else (node, 1, n, n)), int(hot[picked].sum())))
             if not info:
                 continue
             tokens, owner, info = np.concatenate(tokens), np.concatenate(owner), np.array(info, np.int64)
+            frequent_ = np.concatenate(frequent_)
             bucket = (tokens % np.uint64(n_buckets)).astype(np.int64)
             by_bucket = np.argsort(bucket, kind="stable")
             cuts = np.searchsorted(bucket[by_bucket], np.arange(n_buckets + 1))
@@ -273,7 +277,8 @@ def prefix_entries(rows: DataFrame, frequent, n_buckets: int) -> DataFrame:
                 used, at = np.unique(owner[part], return_inverse=True)
                 out["bucket"].append(int(b))
                 out["tokens"].append(tokens[part].tobytes())
-                out["owner"].append(at.astype(np.uint32).tobytes())
+                # the lowest bit: a frequent shingle
+                out["owner"].append((at.astype(np.uint32) * 2 + frequent_[part]).astype(np.uint32).tobytes())
                 out["info"].append(info[used].tobytes())
             yield pa.RecordBatch.from_pydict(out, schema=pa.schema([
                 ("bucket", pa.int32()), ("tokens", pa.binary()), ("owner", pa.binary()), ("info", pa.binary())]))
@@ -289,19 +294,24 @@ def qualifying(entries: DataFrame, n_buckets: int) -> DataFrame:
             yield from _shared(bucket)
 
     shared = (entries.repartition(n_buckets, "bucket").sortWithinPartitions("bucket")
-              .mapInPandas(run, "node long, n long, group long, least long, most long, c long"))
-    total = shared.groupBy("node", "n", "group", "least", "most").agg(F.sum("c").alias("c"))
-    n, c = F.col("n"), F.col("c")
+              .mapInPandas(run, "node long, group long, least long, c long"))
+    # ``least``: shared first shingles that a link needs, less those that were not counted
+    total = shared.groupBy("node", "group", "least").agg(F.sum("c").alias("c"))
+    return total.where(F.col("c") >= F.col("least")).select("node", "group")
 
-    def fifths(x):
-        return F.floor((4 * x + 4) / 5)
 
-    def needed(m):  # shared first shingles that sets of n and m shingles need to link
-        return F.ceil(4 * (n + m) / 9) - F.greatest(fifths(n), fifths(m)) + 1
+def _needed(n: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Fewest first shingles that a set of ``n`` shares with one of between ``low`` and ``high`` that it links with.
 
-    low = F.greatest("least", fifths(n))
-    high = F.least("most", F.floor(5 * n / 4))
-    return (total.where((low <= high) & (c >= F.least(needed(low), needed(high)))).select("node", "group"))
+    Two sets need ``ceil(4 (n + m) / 9)`` shared ones, and at most the last
+    ``ceil(4 n / 5) - 1`` (or that of ``m``) of them are not among the first.
+    Between the two sizes the number is least at an end.
+    """
+
+    def at(m):
+        return -(-4 * (n + m) // 9) - np.maximum(-(-4 * n // 5), -(-4 * m // 5)) + 1
+
+    return np.minimum(at(np.maximum(low, -(-4 * n // 5))), at(np.minimum(high, 5 * n // 4)))
 
 
 def _by_bucket(frames):
@@ -319,50 +329,71 @@ def _by_bucket(frames):
 
 
 def _shared(rows):
-    """Numbers of shared shingles of (class, group) within one bucket; the class is of the smaller group."""
+    """Numbers of shared first shingles of (class, group) within one bucket; the class is of the smaller group.
+
+    A class with fewer frequent shingles among its first ones than a link with
+    the group needs must share one that isn't frequent.  For such a pair only
+    those are counted, and its frequent ones are taken as shared; so passages
+    that very many documents share bring no pairs of documents that have more
+    of their own.
+    """
     tokens = np.concatenate([np.frombuffer(r.tokens, np.uint64) for r in rows])
-    infos = [np.frombuffer(r.info, np.int64).reshape(-1, 6) for r in rows]
+    infos = [np.frombuffer(r.info, np.int64).reshape(-1, 7) for r in rows]
     base = np.cumsum([0] + [len(i) for i in infos])
-    owner = np.concatenate([np.frombuffer(r.owner, np.uint32).astype(np.int64) + b for r, b in zip(rows, base[:-1], strict=True)])
+    packed = np.concatenate([np.frombuffer(r.owner, np.uint32).astype(np.int64) + 2 * b for r, b in zip(rows, base[:-1], strict=True)])
     info = np.concatenate(infos)
     order = np.argsort(tokens, kind="stable")
-    tokens, owner = tokens[order], owner[order]
+    tokens, owner, hot = tokens[order], packed[order] >> 1, (packed[order] & 1).astype(bool)
     same = tokens[1:] == tokens[:-1]
     keep = np.concatenate((same, [False])) | np.concatenate(([False], same))  # shingles of one class only can't link any
-    tokens, owner = tokens[keep], owner[keep]
+    tokens, owner, hot = tokens[keep], owner[keep], hot[keep]
     if not len(tokens):
         return
-    _, number = np.unique(tokens, return_inverse=True)
-    # one row per shingle and class, and per shingle and group
-    class_rows = pd.DataFrame({"t": number, "node": info[owner, 0], "n": info[owner, 1], "group": info[owner, 2],
-                               "members": info[owner, 3], "least": info[owner, 4], "most": info[owner, 5]}).drop_duplicates(["t", "node", "group"])
-    groups = class_rows.drop_duplicates(["t", "group"])
-    wide = groups.groupby("t")["group"].transform("size") > 1  # shingles of one group only can't link two
-    groups = groups[wide]
-    class_rows = class_rows[class_rows["t"].isin(groups["t"].unique())]
-    if not len(groups):
-        return
-    counts: list[pd.DataFrame] = []
-    pending = 0
-    g = groups[["t", "group", "members", "least", "most"]].rename(columns={"group": "to", "members": "size", "least": "lo", "most": "hi"})
-    for _, part in class_rows.groupby(class_rows["t"] // 512):  # a bounded number of shingles at a time
-        pairs = part.merge(g[g["t"].isin(part["t"].unique())], on="t")
-        smaller = (pairs["members"] < pairs["size"]) | ((pairs["members"] == pairs["size"]) & (pairs["group"] < pairs["to"]))
-        pairs = pairs[smaller & (5 * pairs["n"] >= 4 * pairs["lo"]) & (5 * pairs["hi"] >= 4 * pairs["n"])]
-        if len(pairs):
-            counts.append(pairs.groupby(["node", "n", "to", "lo", "hi"], as_index=False).size())
-            pending += len(counts[-1])
-        if pending > 500_000:
-            yield _summed(counts)
-            counts, pending = [], 0
-    if counts:
-        yield _summed(counts)
-
-
-def _summed(counts):
-    out = pd.concat(counts).groupby(["node", "n", "to", "lo", "hi"], as_index=False)["size"].sum()
-    out.columns = ["node", "n", "group", "least", "most", "c"]
-    return out
+    number = np.cumsum(np.concatenate(([0], tokens[1:] != tokens[:-1])))
+    # one row per shingle, group and class
+    node, group = info[owner, 0], info[owner, 2]
+    order = np.lexsort((node, group, number))
+    number, owner, node, group, hot = (x[order] for x in (number, owner, node, group, hot))
+    new_group = np.concatenate(([True], (number[1:] != number[:-1]) | (group[1:] != group[:-1])))
+    new_row = new_group | np.concatenate(([True], node[1:] != node[:-1]))
+    at_group = owner[new_group]  # a class of every (shingle, group): it knows the group
+    group_number = number[new_group]
+    number, owner, hot = number[new_row], owner[new_row], hot[new_row]
+    first = np.searchsorted(group_number, number, side="left")
+    count = np.searchsorted(group_number, number, side="right") - first
+    wide = count > 1  # shingles of one group only can't link two
+    owner, hot, first, count = owner[wide], hot[wide], first[wide], count[wide]
+    found: list[pd.DataFrame] = []
+    pending, start = 0, 0
+    ends = np.cumsum(count)
+    while start < len(owner):  # a bounded number of pairs at a time
+        done = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, done + PAIRS_AT_ONCE, side="right")))
+        n = count[start:stop]
+        which = np.repeat(np.arange(start, stop), n)
+        to = info[at_group[np.repeat(first[start:stop] - (np.cumsum(n) - n), n) + np.arange(n.sum())]]
+        own, is_hot = info[owner[which]], hot[which]
+        ok = (own[:, 3] < to[:, 3]) | ((own[:, 3] == to[:, 3]) & (own[:, 2] < to[:, 2]))
+        ok &= (5 * own[:, 1] >= 4 * to[:, 4]) & (5 * to[:, 5] >= 4 * own[:, 1])
+        own, to, is_hot = own[ok], to[ok], is_hot[ok]
+        need = _needed(own[:, 1], to[:, 4], to[:, 5])
+        uncounted = own[:, 6] < need  # too few frequent ones to do without another
+        ok = ~(is_hot & uncounted)
+        least = np.where(uncounted, need - own[:, 6], need)
+        if ok.any():
+            found.append(pd.DataFrame({"node": own[ok, 0], "group": to[ok, 2], "least": least[ok]})
+                         .groupby(["node", "group", "least"], as_index=False).size().rename(columns={"size": "c"}))
+            pending += len(found[-1])
+        if pending > PAIRS_AT_ONCE:
+            yield _summed(found)
+            found, pending = [], 0
+        start = stop
+    if found:
+        yield _summed(found)
+
+
+def _summed(found):
+    return pd.concat(found).groupby(["node", "group", "least"], as_index=False)["c"].sum()
 
 
 def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
