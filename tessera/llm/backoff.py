@@ -210,9 +210,8 @@ def explode_pairs(docs: DataFrame, n_buckets: int, hot) -> DataFrame:
                 pair_at = np.flatnonzero(np.concatenate(([True], (pw[1:] != pw[:-1]) | (pv[1:] != pv[:-1]))))
                 word_at = _runs(pw[pair_at])
                 found.append((b, name,
-                              pw[pair_at][word_at].tobytes() + np.diff(np.append(word_at, len(pair_at))).astype(np.uint32).tobytes(),
-                              pv[pair_at].tobytes() + np.diff(np.append(pair_at, len(part))).astype(np.uint32).tobytes(),
-                              _small(pd_), _small(pt)))
+                              _with_counts(pw[pair_at][word_at], np.diff(np.append(word_at, len(pair_at)))),
+                              _coded(pv[pair_at], np.diff(np.append(pair_at, len(part)))), _small(pd_), _small(pt)))
             yield _rows(found)
 
     return docs.mapInArrow(run, PACKED)
@@ -230,9 +229,27 @@ def _unsmall(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, {1: "<u1", 2: "<u2", 4: "<u4"}[raw[0]], offset=1).astype(np.int64)
 
 
-def _with_counts(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
-    n = len(raw) // 12
-    return np.frombuffer(raw, np.uint64, n), np.frombuffer(raw, np.uint32, n, 8 * n).astype(np.int64)
+def _with_counts(values: np.ndarray, counts: np.ndarray) -> bytes:
+    """Hashes with a number each."""
+    return len(values).to_bytes(8, "little") + values.tobytes() + _small(counts)
+
+
+def _split_counts(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = int.from_bytes(raw[:8], "little")
+    return np.frombuffer(raw, np.uint64, n, 8), _unsmall(raw[8 + 8 * n:])
+
+
+def _coded(values: np.ndarray, counts: np.ndarray) -> bytes:
+    """Hashes, many of them repeated, with a number each: the distinct ones and which one each is."""
+    distinct, at = np.unique(values, return_inverse=True)
+    which = _small(at)
+    return (len(distinct).to_bytes(8, "little") + len(which).to_bytes(8, "little") + distinct.tobytes() + which + _small(counts))
+
+
+def _decoded(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n, m = int.from_bytes(raw[:8], "little"), int.from_bytes(raw[8:16], "little")
+    end = 16 + 8 * n
+    return np.frombuffer(raw, np.uint64, n, 16)[_unsmall(raw[end:end + m])], _unsmall(raw[end + m:])
 
 
 def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", alpha: float = ALPHA,
@@ -281,7 +298,7 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 w, c = counts
                 out = []
                 for r in entries:
-                    v, m = _with_counts(r.a)
+                    v, m = _split_counts(r.a)
                     at, there = _find(w, v)
                     if not there.all():
                         raise ValueError("a word without a count")
@@ -350,8 +367,8 @@ def _score_targets(counts, entries, hot, log_alpha, log_total, min_count, n_buck
     words, log_words, _, _ = hot
     unpacked, sizes = [], []
     for r in entries:
-        w, per_word = _with_counts(r.a)
-        v, per_pair = _with_counts(r.b)
+        w, per_word = _split_counts(r.a)
+        v, per_pair = _decoded(r.b)
         docs, times = _unsmall(r.c), _unsmall(r.d)
         owner = np.repeat(np.arange(len(v)), per_pair)
         unpacked.append((np.repeat(w, per_word), v, docs, times, owner, np.bincount(owner, times, len(v))))
@@ -383,6 +400,6 @@ def _score_targets(counts, entries, hot, log_alpha, log_total, min_count, n_buck
             pv, pdoc, pt = pv[order], pdoc[order], pt[order]
             for b, part in _cut(_bucket(pv, n_buckets), n_buckets):
                 at = _runs(pv[part])
-                out.append((1, b, r.block, pv[part][at].tobytes() + np.diff(np.append(at, len(part))).astype(np.uint32).tobytes(),
+                out.append((1, b, r.block, _with_counts(pv[part][at], np.diff(np.append(at, len(part)))),
                             b"", _small(pdoc[part]), _small(pt[part])))
         yield _frame(out)
