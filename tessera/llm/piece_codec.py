@@ -30,8 +30,8 @@ from pyspark.sql import types as T
 from tessera.llm.text_blocks import no_cycle_search, text_blocks
 
 MARKER = "▁"
-BLOCK_BYTES = 16 << 20
-MAX_CACHED_UNITS = 300_000
+BLOCK_BYTES = 8 << 20
+MAX_CACHED_UNITS = 100_000
 THREADS = 2
 _UNITS = re.compile(" +[^ ]*")
 
