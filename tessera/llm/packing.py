@@ -27,7 +27,7 @@ from tessera.llm.word_tokens import encode_block
 SEQUENCE_TOKENS = 2048
 OPEN_BINS = 16_384
 PIECES_PER_PARTITION = 32_768
-BLOCK_BYTES = 16 << 20  # larger blocks hold fewer distinct words a MB
+BLOCK_BYTES = 8 << 20  # larger blocks hold fewer distinct words a MB
 
 
 def token_pieces(df: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",

@@ -9,6 +9,7 @@ distinct word.
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -19,26 +20,39 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MAX_BLOCK_BYTES = 8 << 20
+MAX_BLOCK_BYTES = 4 << 20
 
 
 def text_blocks(batches: Iterator[pa.RecordBatch], text_col: str = "text",
                 max_bytes: int = MAX_BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Yield slices of the batches with at most ``max_bytes`` of text each; null texts become empty."""
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        at = batch.schema.get_field_index(text_col)
-        text = pc.fill_null(batch.column(at).cast(pa.large_string()), "")
-        arrays = list(batch.columns)
-        arrays[at] = text
-        batch = pa.RecordBatch.from_arrays(arrays, names=batch.schema.names)
-        ends = np.cumsum(pc.binary_length(text).to_numpy(zero_copy_only=False).astype(np.int64))
-        start, done = 0, 0
-        while start < len(ends):
-            end = max(start + 1, int(np.searchsorted(ends, done + max_bytes, side="right")))
-            yield batch.slice(start, end - start)
-            start, done = end, int(ends[end - 1])
+    """Yield slices of the batches with at most ``max_bytes`` of text each; null texts become empty.
+
+    When a task ends, memory that its blocks needed goes back to the system:
+    Spark keeps the Python process for later tasks.
+    """
+    try:
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            at = batch.schema.get_field_index(text_col)
+            ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+            start, done = 0, 0
+            while start < len(ends):
+                end = max(start + 1, int(np.searchsorted(ends, done + max_bytes, side="right")))
+                arrays = list(batch.slice(start, end - start).columns)
+                arrays[at] = pc.fill_null(arrays[at].cast(pa.large_string()), "")
+                yield pa.RecordBatch.from_arrays(arrays, names=batch.schema.names)
+                start, done = end, int(ends[end - 1])
+    finally:
+        release_memory()
+
+
+def release_memory() -> None:
+    """Give unused memory of Arrow and the C allocator back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 @contextmanager
