@@ -38,6 +38,7 @@ MIN_COUNT = 2
 HOT_WORDS = 1 << 14
 HOT_PAIRS = 1 << 11
 WORDS_PER_BUCKET = 2_000_000
+BLOCK_BYTES = 12 << 20  # larger blocks share more pairs among their documents
 PACKED = "bucket int, block string, a binary, b binary, c binary, d binary"
 
 
@@ -93,7 +94,7 @@ def word_counts(docs: DataFrame, n_buckets: int) -> DataFrame:
     """Per block of documents: its words' counts by bucket, and as bucket -1 its frequent pairs."""
 
     def run(batches):
-        for block in text_blocks(batches, "text"):
+        for block in text_blocks(batches, "text", BLOCK_BYTES):
             h, starts = _words(block.column("text"))
             if not len(h):
                 continue
@@ -177,7 +178,7 @@ def explode_pairs(docs: DataFrame, n_buckets: int, hot) -> DataFrame:
 
     def run(batches):
         words, log_words, pairs, log_pairs = hot.value
-        for block in text_blocks(batches, "text"):
+        for block in text_blocks(batches, "text", BLOCK_BYTES):
             h, starts = _words(block.column("text"))
             n = np.diff(starts)
             v, w, doc = _neighbours(h, starts)
