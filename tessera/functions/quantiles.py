@@ -39,14 +39,18 @@ def _attach(df: DataFrame, small: DataFrame, g: list[str]) -> DataFrame:
     return df.withColumns({c: row[c] for c in cols})
 
 
-def value_counts_by_group(df: DataFrame, group_cols: Sequence[str], value_col: str) -> DataFrame:
-    """``(group..., value, n)`` with NULL and NaN values dropped (pandas semantics)."""
+def value_counts_by_group(df: DataFrame, group_cols: Sequence[str], value_col: str,
+                          weight_col: str | None = None) -> DataFrame:
+    """``(group..., value, n)`` with NULL and NaN values dropped (pandas semantics).
+
+    With ``weight_col`` a row stands for that many (a pre-aggregated input).
+    """
     g = _groups(group_cols)
     src = df if group_cols else df.withColumn(_ONE, F.lit(0))
     if src.schema[value_col].dataType.typeName() in ("double", "float"):
         src = src.withColumn(value_col, F.nanvl(value_col, F.lit(None).cast(src.schema[value_col].dataType)))
     return (src.where(F.col(value_col).isNotNull())
-            .groupBy(*g, value_col).agg(F.count(F.lit(1)).alias("__n")))
+            .groupBy(*g, value_col).agg((F.sum(weight_col) if weight_col else F.count(F.lit(1))).alias("__n")))
 
 
 # Distinct values of one group that a single task may rank in one window.
@@ -54,7 +58,8 @@ MAX_DISTINCT_PER_TASK = 1_000_000
 
 
 def exact_median(df: DataFrame, group_cols: Sequence[str], value_col: str,
-                 out: str = "median", max_per_task: int = MAX_DISTINCT_PER_TASK) -> DataFrame:
+                 out: str = "median", max_per_task: int = MAX_DISTINCT_PER_TASK,
+                 weight_col: str | None = None) -> DataFrame:
     """Exact median (mean of the two middle values) per group, NULLs and NaN skipped.
 
     ``(group, value, n)`` pre-aggregation, then the rows below each value
@@ -63,7 +68,7 @@ def exact_median(df: DataFrame, group_cols: Sequence[str], value_col: str,
     all missing are absent from the result; a NULL group is a group.
     """
     g = _groups(group_cols)
-    vc = value_counts_by_group(df, group_cols, value_col).withColumn(value_col, F.col(value_col).cast("double"))
+    vc = value_counts_by_group(df, group_cols, value_col, weight_col).withColumn(value_col, F.col(value_col).cast("double"))
     tot = vc.groupBy(*g).agg(F.sum("__n").alias("__tot"))
     ranks = tot.select(*g, F.floor((F.col("__tot") - 1) / 2).alias("__lo"), F.floor(F.col("__tot") / 2).alias("__hi"))
     pos = rows_before(vc, [] if g == [_ONE] else g, value_col, "__n", out="__start", max_per_task=max_per_task)
@@ -90,9 +95,11 @@ def group_median(df: DataFrame, group_cols: Sequence[str], value_col: str, out:
     return src.groupBy(*group_cols).agg(agg) if group_cols else src.agg(agg)
 
 
-def global_median(df: DataFrame, value_col: str, max_per_task: int = MAX_DISTINCT_PER_TASK) -> Column:
+def global_median(df: DataFrame, value_col: str, max_per_task: int = MAX_DISTINCT_PER_TASK,
+                  weight_col: str | None = None) -> Column:
     """Scalar-subquery column holding the exact median of ``value_col``."""
-    return exact_median(df.select(value_col), [], value_col, "m", max_per_task).select("m").scalar()
+    cols = [value_col, weight_col] if weight_col else [value_col]
+    return exact_median(df.select(*cols), [], value_col, "m", max_per_task, weight_col).select("m").scalar()
 
 
 def group_modes(df: DataFrame, group_cols: Sequence[str], value_col: str) -> DataFrame:
@@ -108,9 +115,10 @@ def group_modes(df: DataFrame, group_cols: Sequence[str], value_col: str) -> Dat
     return res if group_cols else res.drop(_ONE)
 
 
-def global_mode(df: DataFrame, value_col: str) -> Column:
+def global_mode(df: DataFrame, value_col: str, weight_col: str | None = None) -> Column:
     """Scalar-subquery column: most frequent non-NULL value, smallest of ties."""
-    vc = df.where(F.col(value_col).isNotNull()).groupBy(value_col).agg(F.count(F.lit(1)).alias("__n"))
+    n = F.sum(weight_col) if weight_col else F.count(F.lit(1))
+    vc = df.where(F.col(value_col).isNotNull()).groupBy(value_col).agg(n.alias("__n"))
     return vc.orderBy(F.desc("__n"), F.asc(value_col)).limit(1).select(value_col).scalar()
 
 

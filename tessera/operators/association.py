@@ -18,6 +18,7 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
 from tessera.functions.quantiles import rows_before
+from tessera.operators.clean import any_null
 from tessera.session import cut_lineage
 
 
@@ -26,8 +27,7 @@ def column_pairs(cols: Sequence[str]) -> list[tuple[str, str]]:
     return list(itertools.combinations(cols, 2))
 
 
-def _pairs_long(df: DataFrame, cols: Sequence[str], cast: str) -> DataFrame:
-    pairs = column_pairs(cols)
+def _pairs_long(df: DataFrame, pairs: Sequence[tuple[str, str]], cast: str) -> DataFrame:
     return df.select(F.explode(F.array(*[
         F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2"),
                  F.col(a).cast(cast).alias("a"), F.col(b).cast(cast).alias("b"))
@@ -36,7 +36,7 @@ def _pairs_long(df: DataFrame, cols: Sequence[str], cast: str) -> DataFrame:
 
 def crosstabs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """E9 for every pair: ``(var1, var2, a, b, n)``, rows with a NULL in the pair dropped."""
-    long = _pairs_long(df, cols, "string")
+    long = _pairs_long(df, column_pairs(cols), "string")
     return (long.where(F.col("a").isNotNull() & F.col("b").isNotNull())
             .groupBy("var1", "var2", "a", "b").agg(F.count(F.lit(1)).alias("n")))
 
@@ -96,7 +96,7 @@ def cramers_v(df: DataFrame, cols: Sequence[str], threshold: float = 0.5) -> Dat
     return out.where(F.col("cramers_v") >= threshold).orderBy(F.desc("cramers_v"), "var1", "var2")
 
 
-def _rank_cells(df: DataFrame, cols: Sequence[str], nulls: str) -> DataFrame:
+def _rank_cells(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """``(var1, var2, a, b, n, ra, rb)``: distinct value pairs per column pair
     with their multiplicity and the average ranks of each side.
 
@@ -105,10 +105,9 @@ def _rank_cells(df: DataFrame, cols: Sequence[str], nulls: str) -> DataFrame:
     travel twice and no consumer re-reads the input.
     """
     keys = ["var1", "var2"]
-    long = _pairs_long(df, cols, "double").withColumns(
+    long = _pairs_long(df, pairs, "double").withColumns(
         {s: F.nanvl(F.col(s), F.lit(None).cast("double")) for s in ("a", "b")})
-    if nulls == "drop":
-        long = long.where(F.col("a").isNotNull() & F.col("b").isNotNull())
+    long = long.where(F.col("a").isNotNull() & F.col("b").isNotNull())
     cells = cut_lineage(long.groupBy(*keys, "a", "b").agg(F.count(F.lit(1)).alias("n")))
     out = cells
     for side in ("a", "b"):
@@ -127,28 +126,66 @@ def spearman_pairs(df: DataFrame, cols: Sequence[str], threshold: float = 0.1,
     Ranks are average ranks over the rows where both values are present
     (``nulls="drop"``); ``"propagate"`` returns NULL rho for a pair with any
     missing value, as the reference's default did.  rho is the Pearson
-    correlation of the ranks, weighted by cell multiplicity.
+    correlation of the ranks.
+
+    A column without missing values has the same ranks in every pair with
+    another such column: it is ranked once, and all these pairs are one
+    aggregate.  Only pairs with a missing value are exploded and ranked by pair.
     """
     if nulls not in ("drop", "propagate"):
         raise ValueError("nulls must be 'drop' or 'propagate'")
-    rc = _rank_cells(df, cols, nulls)
+    cols = list(cols)
+    flags = df.select(*[F.max(any_null(df, [c]).cast("int")).alias(c) for c in cols]).first()
+    whole = [c for c in cols if not flags[c]]
+    pairs = column_pairs(cols)
+    own = [p for p in pairs if not (p[0] in whole and p[1] in whole)]
+    parts = []
+    if len(whole) > 1:
+        parts.append(_rho_of_ranked_columns(df, whole, [p for p in pairs if p not in own]))
+    if own and nulls == "drop":
+        parts.append(_rho_by_pair(df, own))
+    if not parts:
+        parts.append(df.sparkSession.createDataFrame([], "var1 string, var2 string, rho double, n bigint"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    out = out.where(F.abs("rho") >= threshold)
+    cols_out = ["var1", "var2", F.signum("rho").alias("sign"), F.abs("rho").alias("abs_rho"), "n"]
+    if with_p:
+        cols_out.append(t_test_p(F.col("rho"), F.col("n")).alias("p_value"))
+    return out.select(*cols_out).orderBy(F.desc("abs_rho"), "var1", "var2")
+
+
+def _rho_of_ranked_columns(df: DataFrame, cols: Sequence[str], pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """``(var1, var2, rho, n)`` for columns without missing values."""
+    ranked = df.select(*[F.col(c).cast("double").alias(f"__v{i}") for i, c in enumerate(cols)])
+    at = {c: i for i, c in enumerate(cols)}
+    for i in range(len(cols)):
+        vc = ranked.groupBy(f"__v{i}").agg(F.count(F.lit(1)).alias("__n"))
+        rank = rows_before(vc, [], f"__v{i}", "__n").select(
+            F.col(f"__v{i}").alias("__k"), (F.col("__before") + (F.col("__n") + 1) / 2.0).alias(f"__r{i}"))
+        ranked = ranked.join(rank, F.col(f"__v{i}") == F.col("__k")).drop("__k")
+    wide = ranked.agg(F.count(F.lit(1)).alias("n"), *[
+        F.corr(f"__r{at[a]}", f"__r{at[b]}").alias(f"c{k}") for k, (a, b) in enumerate(pairs)])
+    return wide.select(F.explode(F.array(*[
+        F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2"), F.least(F.lit(1.0), F.greatest(F.lit(-1.0), F.col(f"c{k}"))).alias("rho"),
+                 F.col("n")) for k, (a, b) in enumerate(pairs)])).alias("p")).select("p.*").where(~F.isnan("rho") & F.col("rho").isNotNull())
+
+
+def _rho_by_pair(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """``(var1, var2, rho, n)`` over the rows where both values of a pair are present, weighted by cell multiplicity."""
+    rc = _rank_cells(df, pairs)
     n, ra, rb = F.col("n"), F.col("ra"), F.col("rb")
     agg = rc.groupBy("var1", "var2").agg(
         F.sum(n).alias("__w"), F.sum(n * ra).alias("__sa"), F.sum(n * rb).alias("__sb"),
-        F.sum(n * ra * ra).alias("__saa"), F.sum(n * rb * rb).alias("__sbb"), F.sum(n * ra * rb).alias("__sab"),
-        F.sum(F.when(F.col("a").isNull() | F.col("b").isNull(), n).otherwise(0)).alias("__miss"))
+        F.sum(n * ra * ra).alias("__saa"), F.sum(n * rb * rb).alias("__sbb"), F.sum(n * ra * rb).alias("__sab"))
     w = F.col("__w")
     cov = F.col("__sab") - F.col("__sa") * F.col("__sb") / w
     va = F.col("__saa") - F.col("__sa") * F.col("__sa") / w
     vb = F.col("__sbb") - F.col("__sb") * F.col("__sb") / w
-    rho = F.when((F.col("__miss") > 0) | (va <= 0) | (vb <= 0), F.lit(None)).otherwise(
+    rho = F.when((va <= 0) | (vb <= 0), F.lit(None)).otherwise(
         F.least(F.lit(1.0), F.greatest(F.lit(-1.0), cov / F.sqrt(va * vb))))
-    out = agg.select("var1", "var2", rho.alias("rho"), w.alias("n"))
-    out = out.where(F.abs("rho") >= threshold)
-    cols_out = ["var1", "var2", F.signum("rho").alias("sign"), F.abs("rho").alias("abs_rho"), "n"]
-    if with_p:
-        cols_out.append(t_test_p(F.col("rho"), F.col("n")).alias("p_value"))
-    return out.select(*cols_out).orderBy(F.desc("abs_rho"), "var1", "var2")
+    return agg.select("var1", "var2", rho.alias("rho"), w.alias("n"))
 
 
 def pearson_matrix(df: DataFrame, cols: Sequence[str], lower_only: bool = True) -> DataFrame:

@@ -14,13 +14,13 @@ from tessera.session import cut_lineage
 
 
 def price_lookup(df: DataFrame, class_col: str, price_col: str, out: str = "median_price",
-                 materialize: bool = False) -> DataFrame:
+                 materialize: bool = False, weight_col: str | None = None) -> DataFrame:
     """E4 as a fitted table: ``(class, median price)`` over rows with a class.
 
     ``materialize`` writes the fitted table once to the shared checkpoint
     folder, so the several joins that read it do not recompute it.
     """
-    lk = exact_median(df.where(F.col(class_col).isNotNull()), [class_col], price_col, out)
+    lk = exact_median(df.where(F.col(class_col).isNotNull()), [class_col], price_col, out, weight_col=weight_col)
     return cut_lineage(lk) if materialize else lk
 
 
@@ -48,10 +48,12 @@ def repair_labels(df: DataFrame, class_col: str, price_col: str, tol: float = 0.
     price_out = price_out or price_col
     df = nan_to_null(df, [price_col])
     c, p = F.col(class_col), F.col(price_col)
-    lookup = price_lookup(df, class_col, price_col, "__med", materialize=True)
+    # every statistic comes from one pre-aggregated table of (class, price, n)
+    cells = cut_lineage(df.groupBy(c.alias(class_col), p.alias(price_col)).agg(F.count(F.lit(1)).alias("__cells")))
+    lookup = price_lookup(cells, class_col, price_col, "__med", materialize=True, weight_col="__cells")
     # the two fitted defaults: one small job, then plain literals in both streams
-    dflt = df.sparkSession.range(1).select(global_mode(df, class_col).alias("c"),
-                                           global_median(df, price_col).alias("p")).first()
+    dflt = df.sparkSession.range(1).select(global_mode(cells, class_col, "__cells").alias("c"),
+                                           global_median(cells, price_col, weight_col="__cells").alias("p")).first()
     dflt_class = F.lit(dflt["c"]).cast(df.schema[class_col].dataType)
     dflt_price = F.lit(dflt["p"]).cast("double")
     keep = [x for x in df.columns if x not in (class_out, price_out)]
@@ -79,8 +81,9 @@ def impute_price_by_class(df: DataFrame, class_col: str, price_col: str,
     """I2 alone: adds ``out``; the class column is left as it is."""
     df = nan_to_null(df, [price_col])
     c, p = F.col(class_col), F.col(price_col)
-    lookup = price_lookup(df, class_col, price_col, "__med").withColumnRenamed(class_col, "__c")
-    dflt = global_median(df, price_col)
+    cells = cut_lineage(df.where(p.isNotNull()).groupBy(class_col, price_col).agg(F.count(F.lit(1)).alias("__cells")))
+    lookup = price_lookup(cells, class_col, price_col, "__med", weight_col="__cells").withColumnRenamed(class_col, "__c")
+    dflt = global_median(cells, price_col, weight_col="__cells")
     known = df.where(p.isNotNull() | c.isNull()).withColumn(out, F.coalesce(p, dflt))
     todo = (df.where(p.isNull() & c.isNotNull()).join(lookup, c == F.col("__c"), "left")
             .withColumn(out, F.coalesce(F.col("__med"), dflt)).drop("__c", "__med"))

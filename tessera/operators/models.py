@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import IndexToString, StringIndexer
 from pyspark.ml.functions import vector_to_array
@@ -32,6 +32,14 @@ def class_model(features: str = "features", label: str = "label_idx", reg: float
                               predictionCol="class_pred", rawPredictionCol="class_raw")
 
 
+def hidden_class_model(n_features: int, n_classes: int, hidden: Sequence[int] = (32,), features: str = "features",
+                       label: str = "label_idx", max_iter: int = 100, seed: int = 42) -> MultilayerPerceptronClassifier:
+    """K1 with hidden layers: a feed-forward network with a softmax output (same output columns as ``class_model``)."""
+    return MultilayerPerceptronClassifier(featuresCol=features, labelCol=label, layers=[n_features, *hidden, n_classes],
+                                          maxIter=max_iter, seed=seed, probabilityCol="prob",
+                                          predictionCol="class_pred", rawPredictionCol="class_raw")
+
+
 def price_model(features: str = "features", label: str = "price_z", reg: float = 0.001,
                 epsilon: float = 1.35, max_iter: int = 100) -> LinearRegression:
     """K2: linear price head with Huber loss (Spark estimates the scale; epsilon > 1)."""

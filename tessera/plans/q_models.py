@@ -177,6 +177,18 @@ def q_class_model_check(spark, d):
     return m.agg(F.count("*").alias("n"), (right > 0.9).alias("good"))
 
 
+@query("class_model_hidden_check", "SELECT count(*) AS n, true AS good FROM part")
+def q_class_model_hidden_check(spark, d):
+    """K1 with a hidden layer learns bands that are not linear in the features."""
+    from pyspark.ml.feature import StandardScaler, StringIndexer
+    df, _ = _model_frame(spark, d)
+    df = df.withColumn("band", F.when(F.abs(F.col("size") - 25) < 12, "inner").otherwise("outer"))
+    df = StringIndexer(inputCol="band", outputCol="label_idx", stringOrderType="alphabetAsc").fit(df).transform(df)
+    df = StandardScaler(inputCol="features", outputCol="scaled", withMean=True).fit(df).transform(df)
+    out = K.hidden_class_model(2, 2, (8,), "scaled", max_iter=200).fit(df).transform(df)
+    return out.agg(F.count("*").alias("n"), (F.avg((F.col("class_pred") == F.col("label_idx")).cast("double")) > 0.9).alias("good"))
+
+
 @query("price_model_check", "SELECT count(*) AS n, true AS finite, true AS fits FROM part")
 def q_price_model_check(spark, d):
     """A price that is a line of the features plus nothing is predicted to a hundredth of its spread."""

@@ -226,3 +226,26 @@ def test_price_head_learns_from_rows_without_a_class(spark):
     model = models.two_target_model(df, "c", "z")
     out = model.stages[-1].transform(df.where("x > 50")).select("z", "price_pred").collect()
     assert all(abs(r.z - r.price_pred) < 0.5 for r in out)
+
+
+@pytest.mark.parametrize("size", [1000, 1001])
+def test_value_maps_on_both_sides_of_inlining(spark, size):
+    df = spark.createDataFrame([(i, f"k{i}") for i in range(5)] + [(9, None), (10, "other")], "id long, k string")
+    out = clean.map_values(df, "k", {f"k{i}": f"v{i}" for i in range(size)})
+    assert {r.id: r.k for r in out.collect()} == {**{i: f"v{i}" for i in range(5)}, 9: None, 10: "other"}
+
+
+def test_spearman_of_whole_and_gappy_columns(spark):
+    import pandas as pd
+
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 20, 200).astype(float)
+    data = pd.DataFrame({"a": x, "b": x * 2 + rng.normal(size=200), "c": rng.normal(size=200), "d": np.where(rng.random(200) < 0.2, np.nan, x)})
+    df = spark.createDataFrame(data)
+    want = data.corr(method="spearman")
+    got = {(r.var1, r.var2): (r.sign * r.abs_rho, r.n) for r in association.spearman_pairs(df, list("abcd"), 0.0).collect()}
+    assert len(got) == 6
+    for (u, v), (rho, n) in got.items():
+        assert rho == pytest.approx(want.loc[u, v], abs=1e-9) and n == data[[u, v]].dropna().shape[0]
+    both = association.spearman_pairs(df, list("abcd"), 0.0, nulls="propagate").collect()
+    assert {(r.var1, r.var2) for r in both} == {("a", "b"), ("a", "c"), ("b", "c")}
