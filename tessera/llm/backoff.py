@@ -219,15 +219,17 @@ def explode_pairs(docs: DataFrame, n_buckets: int, hot) -> DataFrame:
 
 
 def _small(x: np.ndarray) -> bytes:
-    """Numbers in as few bytes each as the largest needs; the first byte says how many."""
+    """Numbers, each in as few bytes as the largest needs, compressed; before them that size and their length in bytes."""
     for size, kind in ((1, "<u1"), (2, "<u2"), (4, "<u4")):
         if not len(x) or x.max() < 1 << (8 * size):
-            return bytes([size]) + x.astype(kind).tobytes()
+            raw = x.astype(kind).tobytes()
+            return bytes([size]) + len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
     raise ValueError("too large")
 
 
 def _unsmall(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, {1: "<u1", 2: "<u2", 4: "<u4"}[raw[0]], offset=1).astype(np.int64)
+    plain = pa.decompress(raw[9:], int.from_bytes(raw[1:9], "little"), "zstd", asbytes=True)
+    return np.frombuffer(plain, {1: "<u1", 2: "<u2", 4: "<u4"}[raw[0]]).astype(np.int64)
 
 
 def _with_counts(values: np.ndarray, counts: np.ndarray) -> bytes:
@@ -291,10 +293,18 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     scored = (exploded.union(tables).repartition(n_buckets, _spread(n_buckets)).sortWithinPartitions("bucket", F.col("block") != "")
               .mapInPandas(by_target, "kind int, " + PACKED))
-    scored = cut_lineage(scored)
 
     def by_context(frames):
-        for _, (counts, entries) in _buckets(frames):
+        ready = []
+
+        def waiting():
+            for pdf in frames:
+                ready.append(pdf[pdf["kind"] == 0])  # parts that are finished pass through
+                yield pdf[pdf["kind"] == 1].drop(columns="kind")
+
+        for _, (counts, entries) in _buckets(waiting()):
+            while ready:
+                yield ready.pop()
             if entries:
                 w, c = counts
                 out = []
@@ -305,10 +315,11 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                         raise ValueError("a word without a count")
                     out.append((0, 0, r.block, *_summed(np.repeat(np.log(c[at].astype(np.float64)), m) * -_unsmall(r.d), _unsmall(r.c)), b"", b""))
                 yield _frame(out)
+        yield from ready
 
-    contexts = (scored.where("kind = 1").drop("kind").union(tables).repartition(n_buckets, "bucket")
-                .sortWithinPartitions("bucket", F.col("block") != "").mapInPandas(by_context, "kind int, " + PACKED))
-    parts = scored.where("kind = 0").union(contexts)
+    place = F.when(F.col("kind") == 1, F.col("bucket").cast("string")).otherwise(F.col("block"))
+    parts = (scored.union(tables.select(F.lit(1).alias("kind"), "*")).repartition(n_buckets, place)
+             .sortWithinPartitions("kind", "bucket", F.col("block") != "").mapInPandas(by_context, "kind int, " + PACKED))
 
     def total_of(pdf: pd.DataFrame) -> pd.DataFrame:
         head = pdf[pdf["bucket"] == -1]

@@ -35,13 +35,15 @@ def text_blocks(batches: Iterator[pa.RecordBatch], text_col: str = "text",
             if batch.num_rows == 0:
                 continue
             at = batch.schema.get_field_index(text_col)
-            ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+            # cast first and slice then: a cast slice has offsets that some kernels read wrongly
+            arrays = list(batch.columns)
+            arrays[at] = pc.fill_null(arrays[at].cast(pa.large_string()), "")
+            batch = pa.RecordBatch.from_arrays(arrays, names=batch.schema.names)
+            ends = np.cumsum(pc.binary_length(arrays[at]).to_numpy(zero_copy_only=False).astype(np.int64))
             start, done = 0, 0
             while start < len(ends):
                 end = max(start + 1, int(np.searchsorted(ends, done + max_bytes, side="right")))
-                arrays = list(batch.slice(start, end - start).columns)
-                arrays[at] = pc.fill_null(arrays[at].cast(pa.large_string()), "")
-                yield pa.RecordBatch.from_arrays(arrays, names=batch.schema.names)
+                yield batch.slice(start, end - start)
                 start, done = end, int(ends[end - 1])
     finally:
         release_memory()
