@@ -23,33 +23,42 @@ from tessera.llm.labelled import score_texts
 from tessera.llm.packing import pack_documents
 from tessera.llm.quality import fit_quality
 from tessera.llm.queries import held_out
-from tessera.llm.secrets import fit_secrets, redact, scan_secrets
+from tessera.llm.secrets import fit_secrets, scan_secrets
 from tessera.llm.token_counts import tokenizer_path
 from tessera.llm.toxicity import fit_toxicity
 from tessera.session import checkpoint_dir
 from tessera.sources.tables import table
 
 SCORE = "pipeline score"
-SPANS = "spans"
+#: Rows a batch between Spark and Python: the first stages hand whole texts back and forth.
+BATCH_ROWS = 2000
+
+
+def small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     model = fit_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").where(~held_out(5, 0)))
     return score_texts(docs, model, docs.columns, out=SCORE).where(F.col(SCORE) < 0.5).drop(SCORE)
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     model = fit_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").where(~held_out(4, 2)))
     return score_texts(docs, model, docs.columns, out=SCORE).where(F.col(SCORE) >= 0.7).drop(SCORE)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return one_per_component(docs)
 
 
 def remove_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = scan_secrets(docs, fit_secrets(docs), docs.columns)
-    return redact(found.select(*docs.columns, SPANS)).select(*docs.columns)
+    small_batches(spark)
+    found = scan_secrets(docs, fit_secrets(docs), docs.columns, mark="[SECRET]")
+    return found.select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -26,6 +26,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.llm.crf import BEGIN, INSIDE, OUTSIDE, LinearChain
 from tessera.llm.text_blocks import no_cycle_search, split_words, text_blocks
@@ -309,56 +310,46 @@ def fit_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return SecretModel(chain)
 
 
-def scan_secrets(df: DataFrame, model: SecretModel, keep: list[str], text_col: str = "text") -> DataFrame:
+def scan_secrets(df: DataFrame, model: SecretModel, keep: list[str], text_col: str = "text",
+                 mark: str | None = None) -> DataFrame:
     """The columns ``keep`` of every input row, ``n_assign``, ``n_access``, ``n_hex``, ``base_sha256`` and ``spans``.
 
     Null texts are scanned as empty ones: no spans, and the hash of an empty
     list.  Columns of ``keep`` called like a new one are replaced.  An empty
-    table gives no rows.
+    table gives no rows.  With ``mark``, every span is replaced by it in the kept
+    ``text_col`` (overlapping spans together; a null text stays null).
     """
-    from pyspark.sql import types as T
-
     new = ["n_assign", "n_access", "n_hex", "base_sha256", "spans"]
     keep = [c for c in keep if c not in new]
-    rows = df.select(*keep, F.col(text_col).cast("string").alias("text to scan"))
-    schema = T.StructType([*rows.schema.fields[:-1], *(T.StructField(c, T.LongType()) for c in new[:3]),
+    kept_text = keep.index(text_col) if mark is not None and text_col in keep else None
+    rows = df.select(*[c for c in keep if c != text_col or kept_text is None], F.col(text_col).cast("string").alias("text to scan"),
+                     F.col(text_col).isNull().alias("no text"))
+    schema = T.StructType([*(df.schema[c] for c in keep), *(T.StructField(c, T.LongType()) for c in new[:3]),
                            *(T.StructField(c, T.StringType()) for c in new[3:])])
 
     def run(batches):
         for block in text_blocks(batches, "text to scan"):
+            text = block.column("text to scan")
             with no_cycle_search():
-                found = model.spans(block.column(len(keep)))
+                found = model.spans(text)
+            kept = list(block.columns[:-2])
+            if kept_text is not None:
+                texts = [t if not every else redacted(t, every, mark) for t, (_, every) in zip(text.to_pylist(), found, strict=True)]
+                texts = pc.if_else(block.column("no text"), pa.scalar(None, pa.string()), pa.array(texts, pa.string()))
+                kept.insert(kept_text, texts)
             counts = [[sum(s[0] == k for s in base) for base, _ in found] for k in KINDS[:3]]
             yield pa.RecordBatch.from_arrays(
-                [*block.columns[:-1], *(pa.array(c, pa.int64()) for c in counts),
+                [*kept, *(pa.array(c, pa.int64()) for c in counts),
                  pa.array([hashlib.sha256(joined(base).encode()).hexdigest() for base, _ in found], pa.string()),
                  pa.array([joined(every) for _, every in found], pa.string())], names=[*keep, *new])
 
     return rows.mapInArrow(run, schema)
 
 
-def redact(df: DataFrame, spans_col: str = "spans", text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
-    """``text_col`` with every span of ``spans_col`` replaced by ``mark``; overlapping spans are replaced together."""
-    from pyspark.sql import types as T
-
-    at, spans_at = df.columns.index(text_col), df.columns.index(spans_col)
-    schema = T.StructType([f if f.name != text_col else T.StructField(f.name, T.StringType()) for f in df.schema.fields])
-
-    def run(batches):
-        for batch in batches:
-            texts = []
-            for t, spans in zip(batch.column(at).to_pylist(), batch.column(spans_at).to_pylist(), strict=True):
-                texts.append(redacted(t, spans, mark) if t and spans else t)
-            arrays = list(batch.columns)
-            arrays[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(arrays, names=batch.schema.names)
-
-    return df.mapInArrow(run, schema)
-
-
-def redacted(text: str, spans: str, mark: str) -> str:
+def redacted(text: str, spans: list[tuple[str, int, int]], mark: str) -> str:
+    """``text`` with ``mark`` in the place of every span, or of spans that overlap."""
     merged: list[list[int]] = []
-    for a, b in sorted((int(a), int(b)) for _, a, b in (s.split(":") for s in spans.split(","))):
+    for a, b in sorted(s[1:] for s in spans):
         if merged and a < merged[-1][1]:
             merged[-1][1] = max(b, merged[-1][1])
         else:

@@ -85,10 +85,13 @@ def test_scan_adds_spans_and_keeps_base(spark, model):
     assert secrets.scan_secrets(df.limit(0), model, ["doc_id"]).count() == 0
 
 
-def test_redaction(spark):
-    assert secrets.redacted("abcdefgh", "assign:1:4,hex:2:5,crf:6:7", "*") == "a*f*h"
-    df = spark.createDataFrame([(1, "abcdef", "hex:1:3"), (2, "ab", ""), (3, None, "")], "doc_id long, text string, spans string")
-    assert [r.text for r in secrets.redact(df).orderBy("doc_id").collect()] == ["a[SECRET]def", "ab", None]
+def test_redaction(spark, model):
+    assert secrets.redacted("abcdefgh", [("assign", 1, 4), ("hex", 2, 5), ("crf", 6, 7)], "*") == "a*f*h"
+    rows = [(1, f"é token = {HEX40} x", "s"), (2, "river stone", "s"), (3, None, "s"), (4, "", "s")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = secrets.scan_secrets(df, model, ["doc_id", "text", "source"], mark="[SECRET]").orderBy("doc_id").collect()
+    assert [tuple(r)[:3] for r in out] == [(1, "é [SECRET] x", "s"), (2, "river stone", "s"), (3, None, "s"), (4, "", "s")]
+    assert out[0].n_assign == out[0].n_hex == 1
 
 
 def test_fit_without_documents(spark):
