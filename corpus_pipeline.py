@@ -31,7 +31,7 @@ from tessera.sources.tables import table
 
 SCORE = "pipeline score"
 #: Rows a batch between Spark and Python: the first stages hand whole texts back and forth.
-BATCH_ROWS = 2000
+BATCH_ROWS = 4000
 
 
 def small_batches(spark: SparkSession) -> None:

@@ -42,6 +42,7 @@ from tessera.session import cut_lineage
 SIGNATURE = 16
 BAND_ROWS = 2
 FREQUENT_IN_BLOCK = 3
+DESCRIBED_BYTES = 16 << 20  # larger blocks tell more frequent shingles
 MAX_FREQUENT = 1 << 17
 ENTRIES_PER_BUCKET = 1_000_000
 PAIRS_AT_ONCE = 200_000
@@ -74,7 +75,7 @@ def describe(docs: DataFrame) -> DataFrame:
     """One row per document (``id``, ``n``, ``node``, ``signature``), and per block of them a row with ``n`` -1 and its frequent shingles."""
 
     def run(batches):
-        for block in text_blocks(batches, "text"):
+        for block in text_blocks(batches, "text", DESCRIBED_BYTES):
             sets = _sets(block.column("text"))
             full = [len(s) > 0 for s in sets]
             yield pa.RecordBatch.from_arrays([
@@ -331,8 +332,8 @@ def _by_bucket(frames):
 def _shared(rows):
     """Numbers of shared first shingles of (class, group) within one bucket; the class is of the smaller group.
 
-    A class with fewer frequent shingles among its first ones than a link with
-    the group needs must share one that isn't frequent.  For such a pair only
+    A class (or one that is a group of its own) with fewer frequent shingles among
+    its first ones than a link needs must share one that isn't frequent.  For such a pair only
     those are counted, and its frequent ones are taken as shared; so passages
     that very many documents share bring no pairs of documents that have more
     of their own.
@@ -377,9 +378,10 @@ def _shared(rows):
         ok &= (5 * own[:, 1] >= 4 * to[:, 4]) & (5 * to[:, 5] >= 4 * own[:, 1])
         own, to, is_hot = own[ok], to[ok], is_hot[ok]
         need = _needed(own[:, 1], to[:, 4], to[:, 5])
-        uncounted = own[:, 6] < need  # too few frequent ones to do without another
+        frequent = np.where(to[:, 3] == 1, np.minimum(own[:, 6], to[:, 6]), own[:, 6])  # shared ones at most
+        uncounted = frequent < need  # too few frequent ones to do without another
         ok = ~(is_hot & uncounted)
-        least = np.where(uncounted, need - own[:, 6], need)
+        least = np.where(uncounted, need - frequent, need)
         if ok.any():
             found.append(pd.DataFrame({"node": own[ok, 0], "group": to[ok, 2], "least": least[ok]})
                          .groupby(["node", "group", "least"], as_index=False).size().rename(columns={"size": "c"}))
