@@ -37,7 +37,9 @@ ALPHA = 0.4
 MIN_COUNT = 2
 HOT_WORDS = 1 << 14
 HOT_PAIRS = 1 << 11
-WORDS_PER_BUCKET = 2_000_000
+WORDS_PER_BUCKET = 8_000_000
+PAIRS_AT_ONCE = 1_500_000
+MIN_BUCKETS = 16
 BLOCK_BYTES = 12 << 20  # larger blocks share more pairs among their documents
 PACKED = "bucket int, block string, a binary, b binary, c binary, d binary"
 
@@ -229,7 +231,7 @@ def _small(x: np.ndarray) -> bytes:
 
 def _unsmall(raw: bytes) -> np.ndarray:
     plain = pa.decompress(raw[9:], int.from_bytes(raw[1:9], "little"), "zstd", asbytes=True)
-    return np.frombuffer(plain, {1: "<u1", 2: "<u2", 4: "<u4"}[raw[0]]).astype(np.int64)
+    return np.frombuffer(plain, {1: "<u1", 2: "<u2", 4: "<u4"}[raw[0]])
 
 
 def _with_counts(values: np.ndarray, counts: np.ndarray) -> bytes:
@@ -249,10 +251,15 @@ def _coded(values: np.ndarray, counts: np.ndarray) -> bytes:
     return (len(distinct).to_bytes(8, "little") + len(which).to_bytes(8, "little") + distinct.tobytes() + which + _small(counts))
 
 
-def _decoded(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+def _decoded(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct hashes, which one each pair has, and the pairs' numbers."""
     n, m = int.from_bytes(raw[:8], "little"), int.from_bytes(raw[8:16], "little")
     end = 16 + 8 * n
-    return np.frombuffer(raw, np.uint64, n, 16)[_unsmall(raw[end:end + m])], _unsmall(raw[end + m:])
+    return np.frombuffer(raw, np.uint64, n, 16), _unsmall(raw[end:end + m]), _unsmall(raw[end + m:])
+
+
+def _offsets(counts: np.ndarray) -> np.ndarray:
+    return np.concatenate((np.zeros(1, np.int64), np.cumsum(counts, dtype=np.int64)))
 
 
 def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", alpha: float = ALPHA,
@@ -267,7 +274,7 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     spark = df.sparkSession
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     size = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    n_buckets = max(8, math.ceil(size / 6 / words_per_bucket))
+    n_buckets = max(MIN_BUCKETS, math.ceil(size / 6 / words_per_bucket))
     counted = cut_lineage(word_counts(docs, n_buckets).repartition(n_buckets, "bucket").sortWithinPartitions("bucket")
                           .mapInPandas(_merged, "bucket int, words binary, counts binary"))
     table = counted.where("bucket >= 0")
@@ -313,7 +320,7 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     at, there = _find(w, v)
                     if not there.all():
                         raise ValueError("a word without a count")
-                    out.append((0, 0, r.block, *_summed(np.repeat(np.log(c[at].astype(np.float64)), m) * -_unsmall(r.d), _unsmall(r.c)), b"", b""))
+                    out.append((0, 0, r.block, *_summed(np.repeat(np.log(c[at].astype(np.float64)), m) * -_unsmall(r.d).astype(np.float64), _unsmall(r.c)), b"", b""))
                 yield _frame(out)
         yield from ready
 
@@ -374,18 +381,62 @@ def _buckets(frames):
         yield now, (counts, entries)
 
 
+class _Entries:
+    """A packed row: words in order, the pairs that each ends, and the texts that have each pair."""
+
+    def __init__(self, r):
+        self.block = r.block
+        self.w, per_word = _split_counts(r.a)
+        self.distinct, self.which, per_pair = _decoded(r.b)
+        self.docs, self.times = _unsmall(r.c), _unsmall(r.d)
+        self.pair_at, self.entry_at = _offsets(per_word), _offsets(per_pair)
+        self.scores = np.zeros(int(self.docs.max()) + 1 if len(self.docs) else 0)
+        self.texts = np.zeros(len(self.scores), bool)
+        self.waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # v, text, times
+
+    def part(self, low: int, high: int):
+        """``w`` and ``v`` of the pairs of the words between two places, and their texts: pair, text, times."""
+        p0, p1 = self.pair_at[low], self.pair_at[high]
+        e0, e1 = self.entry_at[p0], self.entry_at[p1]
+        w = np.repeat(self.w[low:high], np.diff(self.pair_at[low:high + 1]))
+        pair = np.repeat(np.arange(p1 - p0), np.diff(self.entry_at[p0:p1 + 1]))
+        return w, self.distinct[self.which[p0:p1]], pair, self.docs[e0:e1].astype(np.int64), self.times[e0:e1].astype(np.int64)
+
+
 def _score_targets(counts, entries, hot, log_alpha, log_total, min_count, n_buckets):
-    """Scores of one bucket's pairs but for ``c(v)`` of contexts that aren't hot, which go to the bucket of ``v``."""
+    """Scores of one bucket's pairs but for ``c(v)`` of contexts that aren't hot, which go to the bucket of ``v``.
+
+    The bucket is worked off by ranges of ``w``, a bounded number of pairs at a
+    time; all rows of a pair are in one range.
+    """
+    rows = [_Entries(r) for r in entries]
+    total = sum(len(x.which) for x in rows)
+    n_ranges = max(1, -(-total // PAIRS_AT_ONCE))
+    cuts = [int(i * 2 ** 64 / n_ranges) for i in range(1, n_ranges)]
+    places = [np.concatenate(([0], np.searchsorted(x.w, np.array(cuts, np.uint64)), [len(x.w)])).astype(np.int64) for x in rows]
+    for k in range(n_ranges):
+        _score_range(counts, [(x, x.part(p[k], p[k + 1])) for x, p in zip(rows, places, strict=True)], hot, log_alpha, log_total, min_count)
+    for x in rows:
+        seen = np.flatnonzero(x.texts)
+        out = [(0, 0, x.block, _small(seen), x.scores[seen].tobytes(), b"", b"")]
+        if x.waiting:
+            pv, pdoc, pt = (np.concatenate([u[i] for u in x.waiting]) for i in range(3))
+            order = np.lexsort((pdoc, pv))
+            pv, pdoc, pt = pv[order], pdoc[order], pt[order]
+            for b, part in _cut(_bucket(pv, n_buckets), n_buckets):
+                at = _runs(pv[part])
+                out.append((1, b, x.block, _with_counts(pv[part][at], np.diff(np.append(at, len(part)))),
+                            b"", _small(pdoc[part]), _small(pt[part])))
+        yield _frame(out)
+
+
+def _score_range(counts, parts, hot, log_alpha, log_total, min_count):
+    """Adds the scores of one range of words to its rows."""
     words, log_words, _, _ = hot
-    unpacked, sizes = [], []
-    for r in entries:
-        w, per_word = _split_counts(r.a)
-        v, per_pair = _decoded(r.b)
-        docs, times = _unsmall(r.c), _unsmall(r.d)
-        owner = np.repeat(np.arange(len(v)), per_pair)
-        unpacked.append((np.repeat(w, per_word), v, docs, times, owner, np.bincount(owner, times, len(v))))
-        sizes.append(len(v))
-    w, v, n = (np.concatenate([u[i] for u in unpacked]) for i in (0, 1, 5))
+    w, v = (np.concatenate([p[i] for _, p in parts]) for i in (0, 1))
+    if not len(w):
+        return
+    n = np.concatenate([np.bincount(p[2], p[4], len(p[0])) for _, p in parts])
     _, which = np.unique(_pair(v, w), return_inverse=True)
     count = np.bincount(which, n)[which]
     at, there = _find(words, w)
@@ -402,16 +453,14 @@ def _score_targets(counts, entries, hot, log_alpha, log_total, min_count, n_buck
     seen = ~start & ~backs_off
     value[seen & hot_v] -= log_words[at[seen & hot_v]]
     wait = seen & ~hot_v
-    begin = np.cumsum([0] + sizes)
-    for r, (_, own_v, docs, times, owner, _), lo, hi in zip(entries, unpacked, begin[:-1], begin[1:], strict=True):
-        out = [(0, 0, r.block, *_summed(value[lo:hi][owner] * times, docs), b"", b"")]
-        pick = wait[lo:hi][owner]
+    begin = 0
+    for x, (own_w, own_v, pair, docs, times) in parts:
+        mine = slice(begin, begin + len(own_w))
+        begin += len(own_w)
+        if not len(pair):
+            continue
+        x.scores += np.bincount(docs, value[mine][pair] * times, len(x.scores))
+        x.texts[docs] = True
+        pick = wait[mine][pair]
         if pick.any():
-            pv, pdoc, pt = own_v[owner][pick], docs[pick], times[pick]
-            order = np.lexsort((pdoc, pv))
-            pv, pdoc, pt = pv[order], pdoc[order], pt[order]
-            for b, part in _cut(_bucket(pv, n_buckets), n_buckets):
-                at = _runs(pv[part])
-                out.append((1, b, r.block, _with_counts(pv[part][at], np.diff(np.append(at, len(part)))),
-                            b"", _small(pdoc[part]), _small(pt[part])))
-        yield _frame(out)
+            x.waiting.append((own_v[pair][pick], docs[pick], times[pick]))

@@ -40,6 +40,8 @@ def corpus(seed):
 def test_scores_equal_brute_force(spark, monkeypatch, hot_words, hot_pairs, per_bucket):
     monkeypatch.setattr(backoff, "HOT_WORDS", hot_words)
     monkeypatch.setattr(backoff, "HOT_PAIRS", hot_pairs)
+    monkeypatch.setattr(backoff, "PAIRS_AT_ONCE", per_bucket // 9)
+    monkeypatch.setattr(backoff, "MIN_BUCKETS", 3)
     rows = corpus(hot_words)
     df = spark.createDataFrame([(*r, "c", "c") for r in rows], SCHEMA).repartition(5)
     got = sorted(((r.doc_id, r.n_words, round(r.log_score, 6)) for r in backoff.score_documents(df, words_per_bucket=per_bucket).collect()), key=str)
