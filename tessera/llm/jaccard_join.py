@@ -42,12 +42,12 @@ from tessera.session import cut_lineage
 SIGNATURE = 16
 BAND_ROWS = 2
 FREQUENT_IN_BLOCK = 3
-DESCRIBED_BYTES = 16 << 20  # larger blocks tell more frequent shingles
+DESCRIBED_BYTES = 8 << 20  # larger blocks tell more frequent shingles
 MAX_FREQUENT = 1 << 17
 ENTRIES_PER_BUCKET = 1_000_000
 PAIRS_AT_ONCE = 200_000
-MEMBERS_PER_BLOCK = 256
-ASKED_PER_BLOCK = 512
+MEMBERS_PER_BLOCK = 128
+ASKED_PER_BLOCK = 256
 FILTER_BITS = 26
 
 _rng = np.random.default_rng(31)
@@ -126,12 +126,29 @@ def ids_filter(ids: DataFrame, bits: int = FILTER_BITS):
         table[r.c * (chunk // 8):(r.c + 1) * (chunk // 8)] = np.frombuffer(r.bits, np.uint8)
     shared = spark.sparkContext.broadcast(table)
 
-    @F.pandas_udf(T.BooleanType())
-    def contains(values: pd.Series) -> pd.Series:
-        v = values.to_numpy(np.int64)
-        return pd.Series((shared.value[v >> 3] >> (7 - (v & 7)).astype(np.uint8) & 1).astype(bool))
+    return IdsFilter(shared, bits)
 
-    return lambda column: contains(F.pmod(F.xxhash64(column), F.lit(1 << bits)))
+
+class IdsFilter:
+    """Test of ids by the bit at their hash: as a column, or inside a task on the column ``place``."""
+
+    def __init__(self, shared, bits: int):
+        self.shared, self.bits = shared, bits
+
+    def place(self, column):
+        return F.pmod(F.xxhash64(column), F.lit(1 << self.bits))
+
+    def at(self, places: np.ndarray) -> np.ndarray:
+        return (self.shared.value[places >> 3] >> (7 - (places & 7)).astype(np.uint8) & 1).astype(bool)
+
+    def __call__(self, column):
+        test = self.at
+
+        @F.pandas_udf(T.BooleanType())
+        def contains(values: pd.Series) -> pd.Series:
+            return pd.Series(test(values.to_numpy(np.int64)))
+
+        return contains(self.place(column))
 
 
 def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -232,10 +249,11 @@ def group_classes(classes: DataFrame, docs: DataFrame) -> DataFrame:
     return links
 
 
-def prefix_entries(rows: DataFrame, frequent, n_buckets: int) -> DataFrame:
+def prefix_entries(rows: DataFrame, frequent, n_buckets: int, without: IdsFilter | None = None) -> DataFrame:
     """First shingles of every class by bucket of the shingle, packed.
 
     ``rows``: ``text`` and, for classes in groups, ``node``, ``group``, ``members``, ``least``, ``most``.
+    Rows whose ``place`` is in ``without`` are left out.
     """
 
     def run(batches):
@@ -243,6 +261,8 @@ def prefix_entries(rows: DataFrame, frequent, n_buckets: int) -> DataFrame:
         by_value = np.argsort(order)
         sorted_values = order[by_value]
         for block in text_blocks(batches, "text"):
+            if without is not None:
+                block = block.filter(pa.array(~without.at(block.column("place").to_numpy(zero_copy_only=False))))
             sets = _sets(block.column("text"))
             known = [block.column(c).to_pylist() for c in ("node", "group", "members", "least", "most")]
             info, tokens, owner, frequent_, seen = [], [], [], [], set()
@@ -426,9 +446,9 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     frequent = spark.sparkContext.broadcast(frequent_shingles(described))  # at most MAX_FREQUENT numbers
     tagged = cut_lineage(usable.select("id", "node").join(grouped, "node").distinct())
     may = ids_filter(tagged.select("id"))
-    alone = found.where(~may("id")).select("text", *(F.lit(None).cast("long").alias(c) for c in ("node", "group", "members", "least", "most")))
+    alone = found.select("text", may.place("id").alias("place"), *(F.lit(None).cast("long").alias(c) for c in ("node", "group", "members", "least", "most")))
     together = found.where(may("id")).join(tagged, "id", "left").select("text", "node", "group", "members", "least", "most")
-    entries = prefix_entries(alone, frequent, n_buckets).union(prefix_entries(together, frequent, n_buckets))
+    entries = prefix_entries(alone, frequent, n_buckets, may).union(prefix_entries(together, frequent, n_buckets))
     asked = cut_lineage(qualifying(entries, n_buckets))
 
     wanted = asked.select("group").distinct()

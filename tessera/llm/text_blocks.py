@@ -51,6 +51,7 @@ def text_blocks(batches: Iterator[pa.RecordBatch], text_col: str = "text",
 
 def release_memory() -> None:
     """Give unused memory of Arrow and the C allocator back to the system."""
+    gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 
 from tessera.llm.text_blocks import no_cycle_search, split_words
 
-MAX_CACHED_WORDS = 300_000
+MAX_CACHED_WORDS = 100_000
 
 
 @lru_cache(maxsize=4)
