@@ -326,13 +326,16 @@ def _needed(n: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
 
     Two sets need ``ceil(4 (n + m) / 9)`` shared ones, and at most the last
     ``ceil(4 n / 5) - 1`` (or that of ``m``) of them are not among the first.
-    Between the two sizes the number is least at an end.
+    The first term grows by 4/9 a size and, from ``m`` = ``n`` on, the second by 4/5 but
+    not at multiples of 5; so between the two sizes the number is least at an
+    end or one below the upper end.
     """
 
     def at(m):
         return -(-4 * (n + m) // 9) - np.maximum(-(-4 * n // 5), -(-4 * m // 5)) + 1
 
-    return np.minimum(at(np.maximum(low, -(-4 * n // 5))), at(np.minimum(high, 5 * n // 4)))
+    low, high = np.maximum(low, -(-4 * n // 5)), np.minimum(high, 5 * n // 4)
+    return np.minimum(np.minimum(at(low), at(high)), at(np.maximum(low, high - 1)))
 
 
 def _by_bucket(frames):

@@ -85,6 +85,16 @@ def test_without_helpful_groups_the_links_are_the_same(spark, monkeypatch):
     assert got == brute(rows)
 
 
+def test_needed_is_the_least_over_all_sizes():
+    for n in range(1, 121):
+        sizes = np.arange(-(-4 * n // 5), 5 * n // 4 + 1)
+        each = -(-4 * (n + sizes) // 9) - np.maximum(-(-4 * n // 5), -(-4 * sizes // 5)) + 1
+        for i in range(len(sizes)):
+            least = np.minimum.accumulate(each[i:])
+            got = jj._needed(np.full(len(least), n), np.full(len(least), sizes[i]), sizes[i:])
+            assert (got == least).all(), (n, sizes[i])
+
+
 def test_empty_tables(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert jj.jaccard_components(df).count() == 0
