@@ -7,7 +7,7 @@ each; 16 bits of each are the fingerprint, and the share of equal ones
 estimates the Jaccard similarity of two shingle sets.
 
 ``near_duplicates`` joins bands of the signatures in Spark and verifies the
-Jaccard similarity of every candidate pair on the whole shingle sets.
+Jaccard similarity of every pair that shares one on the whole shingle sets.
 ``edited_fingerprints`` compares every text with an edited version of itself
 and with the next one in id order.
 """
@@ -28,9 +28,12 @@ from tessera.session import cut_lineage
 
 SHINGLE_WORDS = 5
 PERMUTATIONS = 128
-BANDS = 16
+BANDS = 32
 THRESHOLD = 0.8
 ROWS_PER_RANGE = 8_000
+CLASSES_PER_BLOCK = 512
+SETS_PER_BLOCK = 256
+PAIRS_AT_ONCE = 1 << 18
 _CHUNK = 1 << 18
 
 _rng = np.random.default_rng(20)
@@ -184,63 +187,196 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     bands: int = BANDS) -> DataFrame:
     """Verified links ``id_a`` < ``id_b`` with their ``jaccard``, and every row's class of equal shingle sets.
 
-    Returns one row per link between class representatives and, with a null
-    ``jaccard``, one per row that is not its own class's representative (``id_a``:
-    the representative).  Rows without shingles or ids have no link.
-
-    In every band, rows with the same band value are compared with the smallest
-    of them only (never all pairs of a group); those that are not similar to it
-    go on to the next round without it, until none is left.
+    Returns one row per link between class representatives (the smallest id of
+    the class) and, with a null ``jaccard``, one per row that is not its own
+    class's representative (``id_a``: the representative).  Rows without
+    shingles or ids have no link.  An id with different texts is in the class of
+    each; an id is not linked with itself.
+
+    Every pair of classes that share a band value is verified, once, whichever
+    other links the two have.  So the links of a group of ``n`` near copies grow
+    with ``n * n``; ``jaccard_join`` gives its component without listing them.  A
+    pair at similarity ``s`` shares no band with probability
+    ``(1 - s ** rows) ** bands`` for independent hash values: 5e-8 at 0.8 with 32
+    bands of 4 rows.  ``jaccard_join`` leaves nothing to chance.
+
+    A crowded band value is dealt as pairs of blocks of its classes, and the pairs
+    to verify as pairs of blocks too, so no task holds a whole group.
     """
+    from tessera.llm.jaccard_join import _node, texts_of  # which uses the shingles above
+
     docs = df.where(F.col(id_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
+    def sets_of(text):
+        x, starts = shingles(text)
+        return [np.unique(x[starts[i]:starts[i + 1]]) for i in range(len(starts) - 1)]
+
     def sign(batches):
         for block in text_blocks(batches, "text"):
             text = block.column("text")
-            x, starts = shingles(text)
-            sets = [np.unique(x[starts[i]:starts[i + 1]]) for i in range(block.num_rows)]
-            sig, n = signatures(text)
-            rows = sig.shape[1] // bands
-            band = [[hashlib.blake2b(sig[i, b * rows:(b + 1) * rows].tobytes(), digest_size=8).hexdigest()
-                     for b in range(bands)] if n[i] else [] for i in range(len(n))]
+            sets, (sig, n) = sets_of(text), signatures(text)
+            values = band_values(sig, bands)
+            full = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays([
-                block.column("id"), pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest() for s in sets]),
-                pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(band, pa.list_(pa.string()))],
-                names=["id", "set_key", "shingles", "bands"])
-
-    signed = cut_lineage(docs.mapInArrow(sign, "id long, set_key string, shingles binary, bands array<string>")
-                         .where(F.size("bands") > 0))
-    classes = signed.groupBy("set_key").agg(F.min("id").alias("rep"))
-    members = signed.select("id", "set_key").join(classes, "set_key").where("id <> rep")
-    reps = signed.join(classes, "set_key").where("id = rep").dropDuplicates(["id"])
-    sets = reps.select("id", "shingles")
-    waiting = cut_lineage(reps.select("id", F.posexplode("bands").alias("band", "value")))
-    links = []
-
-    @F.pandas_udf(T.DoubleType())
-    def jaccard(a: pd.Series, b: pd.Series) -> pd.Series:
-        out = []
-        for x, y in zip(a, b, strict=True):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            out.append(both / (len(x) + len(y) - both))
-        return pd.Series(out, dtype="float64")
-
-    while True:
-        heads = waiting.groupBy("band", "value").agg(F.min("id").alias("head"), F.count("*").alias("n")).where("n > 1")
-        grouped = cut_lineage(waiting.join(heads.drop("n"), ["band", "value"]).where("id <> head"))
-        pairs = grouped.select("head", "id").distinct()
-        checked = cut_lineage(
-            pairs.join(sets.withColumnRenamed("shingles", "b"), "id")
-            .join(sets.select(F.col("id").alias("head"), F.col("shingles").alias("a")), "head")
-            .select("head", "id", jaccard("a", "b").alias("jaccard")))
-        if checked.isEmpty():
-            break
-        links.append(checked.where(F.col("jaccard") >= threshold))
-        waiting = cut_lineage(grouped.join(checked.where(F.col("jaccard") < threshold), ["head", "id"])
-                              .select("id", "band", "value"))
-    out = members.select(F.col("rep").alias("id_a"), F.col("id").alias("id_b"), F.lit(None).cast("double").alias("jaccard"))
-    for part in links:
-        out = out.union(part.select(F.col("head").alias("id_a"), F.col("id").alias("id_b"), "jaccard"))
-    return out.distinct()
+                block.column("id").take(pa.array(full)), pa.array([_node(sets[i]) for i in full], pa.int64()),
+                pa.array([len(sets[i]) for i in full], pa.int64()), pa.array([values[i].tobytes() for i in full], pa.binary())],
+                names=["id", "node", "n", "bands"])
+
+    signed = cut_lineage(docs.mapInArrow(sign, "id long, node long, n long, bands binary"))
+    classes = cut_lineage(signed.groupBy("node").agg(F.min("id").alias("rep"), F.min("n").alias("n"), F.min("bands").alias("bands")))
+    names = classes.select("node", "rep")
+    members = signed.select("id", "node").join(names, "node").where("id <> rep")
+
+    pairs = cut_lineage(band_pairs(classes, bands, threshold))
+    concerned = cut_lineage(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
+    n_blocks = max(1, -(-concerned.count() // SETS_PER_BLOCK))
+
+    def verified_sets(batches):
+        for block in text_blocks(batches, "text"):
+            for node, s in zip(block.column("node").to_pylist(), sets_of(block.column("text")), strict=True):
+                if _node(s) == node:  # an id may stand for several texts
+                    yield pa.RecordBatch.from_arrays([pa.array([node], pa.int64()), pa.array([s.tobytes()], pa.binary())], names=["node", "shingles"])
+
+    sets = (texts_of(docs, concerned.join(names, "node").select("node", F.col("rep").alias("id")))
+            .mapInArrow(verified_sets, "node long, shingles binary").dropDuplicates(["node"]))
+
+    def place(column):
+        return F.pmod(F.xxhash64(column, F.lit(3)), F.lit(n_blocks)).cast("int")
+
+    placed = pairs.select("a", "b", F.least(place("a"), place("b")).alias("i"), F.greatest(place("a"), place("b")).alias("j"))
+    needed = placed.select(F.col("a").alias("node"), "i", "j").union(placed.select("b", "i", "j")).distinct()
+    rows = needed.join(sets, "node").select("i", "j", F.lit(False).alias("pair"), F.col("node").alias("a"), F.lit(0).cast("long").alias("b"), "shingles").union(
+        placed.select("i", "j", F.lit(True), "a", "b", F.lit(None).cast("binary")))
+
+    def verify(frames):
+        for own, wanted in _by_block(frames):
+            found = [(a, b, x) for a, b, x in similarities(own, wanted) if x >= threshold]
+            if found:
+                yield pd.DataFrame(found, columns=["a", "b", "jaccard"])
+
+    links = (rows.repartition("i", "j").sortWithinPartitions("i", "j", "pair")
+             .mapInPandas(verify, "a long, b long, jaccard double"))
+    links = (links.join(names.withColumnsRenamed({"node": "a", "rep": "id_1"}), "a").join(names.withColumnsRenamed({"node": "b", "rep": "id_2"}), "b")
+             .where("id_1 <> id_2").select(F.least("id_1", "id_2").alias("id_a"), F.greatest("id_1", "id_2").alias("id_b"), "jaccard"))
+    return (members.select(F.col("rep").alias("id_a"), F.col("id").alias("id_b"), F.lit(None).cast("double").alias("jaccard"))
+            .union(links).distinct())
+
+
+def band_values(signature: np.ndarray, bands: int) -> np.ndarray:
+    """32 bits for every band of every signature; equal bands have equal ones."""
+    rows = signature.shape[1] // bands
+    out = np.zeros((len(signature), bands), np.uint64)
+    for r in range(rows):
+        out = mix64(out * np.uint64(0x9E3779B97F4A7C15) + signature[:, r:bands * rows:rows].astype(np.uint64))
+    return (out >> np.uint64(32)).astype(np.uint32)
+
+
+def band_pairs(classes: DataFrame, bands: int, threshold: float) -> DataFrame:
+    """Pairs (``a``, ``b``) of classes (``node``, ``n``, ``bands``) that share a band and whose sizes allow a link, each pair once."""
+
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def keys(values: pd.Series) -> pd.Series:
+        x = np.frombuffer(b"".join(values), np.uint32).reshape(-1, bands).astype(np.int64)
+        return pd.Series(list(x | np.arange(bands, dtype=np.int64) << 32))
+
+    every = classes.select("node", F.explode(keys("bands")).alias("key"))
+    crowd = every.groupBy("key").agg(F.count("*").alias("k")).where("k > 1")
+    blocks = F.ceil(F.col("k") / CLASSES_PER_BLOCK).cast("int")
+    keyed = cut_lineage(every.join(crowd, "key").select("node", "key", blocks.alias("blocks")))
+    own = keyed.withColumn("own", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int"))
+    first = own.select("node", "key", F.col("own").alias("i"), F.explode(F.sequence("own", F.col("blocks") - 1)).alias("j"), F.lit(0).alias("side"))
+    second = own.select("node", "key", F.explode(F.sequence(F.lit(0), F.col("own"))).alias("i"), F.col("own").alias("j"), F.lit(1).alias("side"))
+    both = first.union(second.where("i < j")).join(classes.select("node", "n", "bands"), "node")
+
+    def run(frames):
+        rest = None
+        for pdf in frames:
+            pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
+            last = int(_new_groups(pdf)[-1]) if len(pdf) else 0
+            yield from _pairs(pdf.iloc[:last], bands, threshold)
+            rest = pdf.iloc[last:]
+        if rest is not None:
+            yield from _pairs(rest, bands, threshold)
+
+    return (both.select("key", "i", "j", "side", "node", "n", "bands").repartition("key", "i", "j")
+            .sortWithinPartitions("key", "i", "j", "side").mapInPandas(run, "a long, b long"))
+
+
+def _new_groups(pdf: pd.DataFrame) -> np.ndarray:
+    """Where each run of equal ``key``, ``i`` and ``j`` begins."""
+    x = pdf[["key", "i", "j"]].to_numpy(np.int64)
+    return np.flatnonzero(np.concatenate(([True], (x[1:] != x[:-1]).any(axis=1))))
+
+
+def _pairs(pdf: pd.DataFrame, bands: int, threshold: float):
+    """Pairs within whole groups whose first shared band is that of the group, a bounded number at a time."""
+    if not len(pdf):
+        return
+    begin = _new_groups(pdf)
+    size = np.diff(np.append(begin, len(pdf)))
+    node, n, side = (pdf[c].to_numpy(np.int64) for c in ("node", "n", "side"))
+    band = pdf["key"].to_numpy(np.int64) >> 32
+    values = np.frombuffer(b"".join(pdf["bands"]), np.uint32).reshape(-1, bands)
+    alone = pdf["i"].to_numpy() == pdf["j"].to_numpy()  # a block with itself
+    stop = np.repeat(begin + size, size)
+    start = np.where(alone, np.arange(len(pdf)) + 1, np.repeat(begin + size - np.add.reduceat(side, begin), size))
+    count = np.where(alone | (side == 0), stop - start, 0)
+    ends = np.cumsum(count)
+    at = 0
+    while at < len(pdf):
+        done = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, done + PAIRS_AT_ONCE, side="right")))
+        c = count[at:to]
+        a = np.repeat(np.arange(at, to), c)
+        b = np.repeat(start[at:to] - (np.cumsum(c) - c), c) + np.arange(c.sum())
+        fits = np.minimum(n[a], n[b]) >= threshold * np.maximum(n[a], n[b]) * (1 - 1e-9)
+        a, b = a[fits], b[fits]
+        earliest = (values[a] == values[b]).argmax(axis=1) == band[a]
+        if earliest.any():
+            yield pd.DataFrame({"a": node[a[earliest]], "b": node[b[earliest]]})
+        at = to
+
+
+def _by_block(frames):
+    """The sets and the pairs of every pair of blocks; the sets come first."""
+    now, own, wanted = None, {}, []
+    for pdf in frames:
+        for i, j, pair, a, b, raw in pdf.itertuples(index=False):
+            if (i, j) != now:
+                if wanted:
+                    yield own, wanted
+                now, own, wanted = (i, j), {}, []
+            if pair:
+                wanted.append((a, b))
+            else:
+                own[a] = np.frombuffer(raw, np.uint64)
+    if wanted:
+        yield own, wanted
+
+
+def similarities(sets: dict[int, np.ndarray], pairs: list[tuple[int, int]]) -> list[tuple[int, int, float]]:
+    """Jaccard similarity of every pair; of many pairs by the token matrix of their second sets."""
+    out = []
+    if len(pairs) < 64:
+        for a, b in pairs:
+            both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+            out.append((a, b, both / (len(sets[a]) + len(sets[b]) - both)))
+        return out
+    names = sorted({b for _, b in pairs})
+    column = {name: k for k, name in enumerate(names)}
+    sizes = np.array([len(sets[b]) for b in names])
+    tokens, owner = np.concatenate([sets[b] for b in names]), np.repeat(np.arange(len(names)), sizes)
+    order = np.argsort(tokens, kind="stable")
+    tokens, owner = tokens[order], owner[order]
+    partners: dict[int, list[int]] = {}
+    for a, b in pairs:
+        partners.setdefault(a, []).append(b)
+    for a, those in partners.items():
+        lo = np.searchsorted(tokens, sets[a])
+        c = np.searchsorted(tokens, sets[a], side="right") - lo
+        hit = owner[np.repeat(lo - (np.cumsum(c) - c), c) + np.arange(c.sum())]
+        at = np.array([column[b] for b in those])
+        both = np.bincount(hit, minlength=len(names))[at]
+        out += zip([a] * len(those), those, (both / (len(sets[a]) + sizes[at] - both)).tolist(), strict=True)
+    return out

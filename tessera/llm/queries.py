@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tessera.llm.backoff import score_documents
 from tessera.llm.jaccard_join import jaccard_components
 from tessera.llm.labelled import fold, score_texts
-from tessera.llm.minhash import edited_fingerprints
+from tessera.llm.minhash import edited_fingerprints, near_duplicates
 from tessera.llm.multi_index import nearest
 from tessera.llm.packing import pack_documents
 from tessera.llm.piece_codec import encode_pieces
@@ -74,6 +74,11 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+@query("op6_near_duplicates")
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query("op8_multi_index")
 def op8_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)

@@ -93,3 +93,41 @@ def test_near_duplicates(spark):
     assert linked >= set(range(1, 40)) and not linked & set(range(100, 303))
     assert {(r.id_a, r.id_b) for r in got if r.jaccard is None} == {(100, 200), (100, 201)}
     assert minhash.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+@pytest.mark.parametrize("blocks", [(512, 256), (3, 4)])
+def test_near_duplicates_equal_brute_force(spark, monkeypatch, blocks):
+    """Chains of edits, a group of edited copies, texts that share a band but aren't similar, and an id with two texts."""
+    monkeypatch.setattr(minhash, "CLASSES_PER_BLOCK", blocks[0], raising=False)
+    monkeypatch.setattr(minhash, "SETS_PER_BLOCK", blocks[1], raising=False)
+    rng = random.Random(5)
+    texts = {}
+    for chain in range(12):  # the first is not similar to the last
+        words = [f"w{rng.randint(0, 10 ** 6)}" for _ in range(200)]
+        for step in range(5):
+            texts[chain * 10 + step] = " ".join(words)
+            for k in rng.sample(range(0, 200, 5), 3):
+                words[k] = f"e{chain} {step} {k}".replace(" ", "x")
+    base = [f"w{rng.randint(0, 10 ** 6)}" for _ in range(150)]
+    for i in range(40):
+        words = list(base)
+        for k in rng.sample(range(0, 150, 5), 2):
+            words[k] = f"c{i}x{k}"
+        texts[300 + i] = " ".join(words)
+    passage = [f"p{rng.randint(0, 10 ** 6)}" for _ in range(100)]
+    for i in range(30):
+        texts[400 + i] = " ".join([f"q{rng.randint(0, 10 ** 6)}" for _ in range(60)] + passage)
+    rows = [*texts.items(), (0, texts[300] + " more words at the end of it"), (900, texts[10]), (901, texts[310]), (901, None)]
+    want = set()
+    for i, (d, t) in enumerate(rows):
+        for e, u in rows[:i]:
+            x = jaccard(t or "", u or "")
+            if d != e and t and u and 0.8 <= x < 1:
+                want.add((min(d, e), max(d, e), round(x, 12)))
+    copies = {900: 10, 901: 310}  # not the representatives of their classes
+    want = {w for w in want if w[0] not in copies and w[1] not in copies}
+    got = minhash.near_duplicates(spark.createDataFrame([(*r, "c", "c") for r in rows], SCHEMA)).collect()
+    assert {(r.id_a, r.id_b) for r in got if r.jaccard is None} == {(v, k) for k, v in copies.items()}
+    links = [(r.id_a, r.id_b, round(r.jaccard, 12)) for r in got if r.jaccard is not None]
+    assert len(links) == len(set(links)) and set(links) == want
+    assert all((c, c + 1) in {w[:2] for w in want} and (c, c + 4) not in {w[:2] for w in want} for c in range(0, 120, 10))
