@@ -49,6 +49,7 @@ PAIRS_AT_ONCE = 200_000
 MEMBERS_PER_BLOCK = 128
 ASKED_PER_BLOCK = 256
 FILTER_BITS = 26
+TEXTS_AT_ONCE = 256
 
 _rng = np.random.default_rng(31)
 _A = _rng.integers(0, 2 ** 31, SIGNATURE, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -253,7 +254,7 @@ def prefix_entries(rows: DataFrame, frequent, n_buckets: int, without: IdsFilter
     """First shingles of every class by bucket of the shingle, packed.
 
     ``rows``: ``text`` and, for classes in groups, ``node``, ``group``, ``members``, ``least``, ``most``.
-    Rows whose ``place`` is in ``without`` are left out.
+    A row with a ``node`` that isn't its text's is skipped.  Rows whose ``place`` is in ``without`` are left out.
     """
 
     def run(batches):
@@ -270,8 +271,8 @@ def prefix_entries(rows: DataFrame, frequent, n_buckets: int, without: IdsFilter
                 if not len(s):
                     continue
                 node = _node(s)
-                grouped = known[0][i] is not None
-                if (grouped and known[0][i] != node) or (node, grouped) in seen:
+                grouped = known[1][i] is not None
+                if known[0][i] not in (None, node) or (node, grouped) in seen:
                     continue
                 seen.add((node, grouped))
                 n, rank, hot = len(s), s >> np.uint64(1), np.zeros(len(s), bool)
@@ -429,6 +430,12 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     component.  Rows without an id take no part in links and have a null
     component.  An empty table gives no rows; other columns are not read.
     """
+    return _components(df, id_col, text_col).select(
+        F.col("id").cast(df.schema[id_col].dataType).alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+
+
+def _components(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """One row per input row: ``id``, ``n``, ``node``, ``label`` (a node of the component) and ``component_id``."""
     spark = df.sparkSession
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     described = cut_lineage(describe(docs))
@@ -447,7 +454,12 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     total = classes.agg(F.sum("n")).first()[0] or 0
     n_buckets = max(8, -(-(total // 5) // ENTRIES_PER_BUCKET))
     frequent = spark.sparkContext.broadcast(frequent_shingles(described))  # at most MAX_FREQUENT numbers
-    tagged = cut_lineage(usable.select("id", "node").join(grouped, "node").distinct())
+    tagged = usable.select("id", "node").join(grouped, "node").distinct()
+    # an id with different texts: those without a group get a row too, so that every text meets its own
+    several = usable.groupBy("id").agg(F.min("node").alias("one"), F.max("node").alias("other")).where("one <> other").select("id")
+    untagged = usable.select("id", "node").distinct().join(several, "id").join(grouped.select("node"), "node", "left_anti")
+    tagged = cut_lineage(tagged.select("id", "node", "group", "members", "least", "most").union(
+        untagged.select("id", "node", *(F.lit(None).cast("long") for _ in range(4)))))
     may = ids_filter(tagged.select("id"))
     alone = found.select("text", may.place("id").alias("place"), *(F.lit(None).cast("long").alias(c) for c in ("node", "group", "members", "least", "most")))
     together = found.where(may("id")).join(tagged, "id", "left").select("text", "node", "group", "members", "least", "most")
@@ -461,32 +473,42 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     label = connected_components(links)
     smallest = label.join(ids, "node").groupBy("label").agg(F.min("id").alias("component_id"))
-    component = ids.join(label.join(smallest, "label").select("node", "component_id"), "node", "left").select(
-        "node", F.coalesce("component_id", "id").alias("component_id"))
+    component = ids.join(label.join(smallest, "label").select("node", "label", "component_id"), "node", "left").select(
+        "node", F.coalesce("label", "node").alias("label"), F.coalesce("component_id", "id").alias("component_id"))
     return rows.join(component, "node", "left").select(
-        F.col("id").cast(df.schema[id_col].dataType).alias(id_col), F.col("n").alias("n_shingles"),
-        F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"))
+        "id", "n", "node", "label", F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"))
 
 
 def one_per_component(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Of every component the row with the smallest id, with all columns of ``df``.
 
-    Rows that share an id count as one document: they go or stay together, and
-    of those that stay the smallest row is kept.  Rows without an id and texts
-    without shingles are linked with nothing and stay.
+    Rows that share an id go or stay by the component of their own text; of
+    those that stay, one is kept per id and component (the smallest row), and
+    of those whose texts have no shingles one per id and text.  Rows without an
+    id and texts without shingles are linked with nothing and stay.
     """
     columns = [F.col(f"`{c}`") for c in df.columns]
-    component = cut_lineage(jaccard_components(df, id_col, text_col).select(F.col(id_col).cast("long").alias("id"), "component_id")
-                            .where(F.col("id").isNotNull()))
-    going = component.where(F.col("component_id") < F.col("id")).select("id")
-    repeated = component.groupBy("id").agg(F.count("*").alias("k")).where("k > 1").select("id")
+
+    @F.pandas_udf(T.LongType())
+    def node_of(texts: pd.Series) -> pd.Series:
+        out = []
+        for at in range(0, len(texts), TEXTS_AT_ONCE):
+            out += [_node(s) if len(s) else None for s in _sets(pa.array(texts.iloc[at:at + TEXTS_AT_ONCE], pa.large_string()))]
+        return pd.Series(out, dtype="Int64")
+
+    component = cut_lineage(_components(df, id_col, text_col).where(F.col("id").isNotNull())
+                            .select("id", "node", "label", (F.col("component_id") < F.col("id")).alias("goes")))
     # only rows that may be concerned are shuffled
-    concerned = going.select("id", F.lit(True).alias("goes")).union(repeated.select("id", F.lit(False).alias("goes")))
-    concerned = cut_lineage(concerned.groupBy("id").agg(F.max("goes").alias("goes")))
-    may = ids_filter(concerned.select("id"))
-    rows = df.select(F.struct(*columns).alias("row"), F.col(id_col).cast("long").alias("id"))
+    ids = component.groupBy("id").agg(F.max("goes").alias("goes"), F.count("*").alias("k")).where("goes or k > 1").select("id")
+    concerned = component.join(ids, "id").groupBy("id", "node").agg(F.max("goes").alias("goes"), F.min("label").alias("label"))
+    concerned = cut_lineage(concerned.withColumnsRenamed({"id": "known", "node": "of"}))
+    may = ids_filter(concerned.select(F.col("known").alias("id")))
+    rows = df.select(F.struct(*columns).alias("row"), F.col(id_col).cast("long").alias("id"),
+                     F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     clear = rows.where(F.col("id").isNull() | ~may("id"))
-    checked = rows.where(F.col("id").isNotNull() & may("id")).join(concerned, "id", "left")
+    checked = (rows.where(F.col("id").isNotNull() & may("id")).select("row", "id", "text", node_of("text").alias("node"))
+               .join(concerned, (F.col("id") == F.col("known")) & F.col("node").eqNullSafe(F.col("of")), "left"))
     others = checked.where(F.col("goes").isNull())
-    once = checked.where(~F.col("goes")).groupBy("id").agg(F.min("row").alias("row"))
+    own = F.coalesce(F.col("label").cast("string"), F.concat(F.lit("text "), "text"))
+    once = checked.where(~F.col("goes")).groupBy("id", own.alias("own")).agg(F.min("row").alias("row"))
     return clear.select("row.*").union(others.select("row.*")).union(once.select("row.*"))

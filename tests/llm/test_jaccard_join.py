@@ -102,6 +102,44 @@ def test_empty_tables(spark):
     assert sorted(map(tuple, jj.jaccard_components(df).collect()), key=str) == [(3, 0, 3), (None, 0, None)]
 
 
+def test_an_id_with_two_texts(spark):
+    rng = random.Random(8)
+
+    def words(n):
+        return [f"w{rng.randint(0, 10 ** 6)}" for _ in range(n)]
+
+    def edited(text, k):
+        return [*text[:k], "edit", *text[k + 1:]]
+
+    a, b, c, e = words(100), words(100), words(100), words(80)
+    near_b = [*b[:30], "o", *b[31:60], "p", *b[61:]]  # similar to b by 86 of 106 shingles
+    rows = [(1, a), (2, edited(a, 50)), (5, a), (5, b), (6, near_b), (5, c), (9, e), (9, edited(e, 40)), (9, b), (9, c), (9, c), (10, ""), (10, " ")]
+    rows = [(i, t if isinstance(t, str) else " ".join(t)) for i, t in rows]
+    df = spark.createDataFrame([(*r, "c", "c") for r in rows], SCHEMA)
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jj.jaccard_components(df).collect()), key=str)
+    assert got == brute(rows)
+    kept = sorted((r.doc_id, r.text) for r in jj.one_per_component(df).collect())
+    first_e = min(rows[6][1], rows[7][1])
+    assert kept == sorted([rows[0], rows[3], rows[5], (9, first_e), rows[11], rows[12]])
+
+
+def test_links_of_a_text_under_the_id_of_a_grouped_one(spark, monkeypatch):
+    """One text of an id is in a group, the other in none, and its only link is left to the matrix."""
+    rng = random.Random(3)
+    a, b = ([f"w{rng.randint(0, 10 ** 6)}" for _ in range(100)] for _ in range(2))
+    rows = [(1, " ".join(a)), (2, " ".join([*a, "more"])), (1, " ".join(b)), (7, " ".join([*b, "more"]))]
+    real = jj.group_classes
+
+    def only_a(classes, docs):
+        ids = {jj._node(jj._sets(jj.pa.array([t], jj.pa.large_string()))[0]) for _, t in rows[:2]}
+        return real(classes, docs).where(jj.F.col("a").isin(list(ids)))
+
+    monkeypatch.setattr(jj, "group_classes", only_a)
+    df = spark.createDataFrame([(*r, "c", "c") for r in rows], SCHEMA)
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jj.jaccard_components(df).collect()), key=str)
+    assert got == brute(rows)
+
+
 def test_large_group_of_near_copies(spark):
     rng = random.Random(4)
     base = [f"w{i}" for i in range(200)]
