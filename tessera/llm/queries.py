@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tessera.llm.backoff import score_documents
 from tessera.llm.jaccard_join import jaccard_components
 from tessera.llm.labelled import fold, score_texts
+from tessera.llm.merkle import proofs
 from tessera.llm.minhash import edited_fingerprints, near_duplicates
 from tessera.llm.multi_index import nearest
 from tessera.llm.packing import pack_documents
@@ -129,3 +130,64 @@ FROM documents d LEFT JOIN s ON s.doc_id = d.doc_id
 """)
 def op9_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents")).withColumn("log_score", F.round("log_score", 4))
+
+
+#: DuckDB: crc32 of the UTF-8 bytes of a string, by a table of 256 made from the polynomial.
+CRC32_SQL = """
+crc_table AS (SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+  lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS crc_of),
+"""
+
+
+def crc32_sql(text: str) -> str:
+    """The crc32 of the string ``text``, in a query that has ``crc_of`` of ``crc_table`` in reach."""
+    code = f"hex(encode({text}))"
+    return (f"xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, octet_length(encode({text})) + 1), "
+            f"lambda i: ('0x' || substr({code}, 2 * i - 1, 2))::BIGINT)), "
+            "lambda c, b: xor(crc_of[xor(c, b) % 256 + 1], c // 256)))")
+
+
+@query("op12_merkle", rf"""
+WITH RECURSIVE {CRC32_SQL.strip()}
+d AS (SELECT row_number() OVER () AS rid, documents.*, {crc32_sql("doc_id::VARCHAR")} % 7 = 0 AS hit FROM documents, crc_table),
+f AS (SELECT rid, doc_id, lang, hit,
+  coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+  || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+  coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS chars,
+  coalesce(strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1), '-') AS other,
+  coalesce(strlen(text) || ':' || text, '-') AS body FROM d),
+h AS (SELECT rid, doc_id, lang, sha256(head || chars || body) AS leaf,
+             CASE WHEN hit THEN sha256(head || other || body) ELSE sha256(head || chars || body) END AS changed FROM f),
+k AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+             count(*) OVER (PARTITION BY lang) AS n FROM h),
+t AS (SELECT coalesce('=' || lang, '') AS tree, 0 AS lvl, pos AS idx, leaf AS digest, n FROM k
+  UNION ALL
+  SELECT tree, lvl + 1, idx // 2, sha256(digest || coalesce(lead(digest) OVER (PARTITION BY tree ORDER BY idx), '')), (n + 1) // 2
+  FROM t WHERE n > 1 QUALIFY idx % 2 = 0),
+s AS (SELECT tree, lvl AS tall, digest AS subroot, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n
+      FROM t WHERE n = 1),
+u AS (SELECT 0 AS lvl, pos AS idx, subroot AS digest, n FROM s
+  UNION ALL
+  SELECT lvl + 1, idx // 2, sha256(digest || coalesce(lead(digest) OVER (ORDER BY idx), '')), (n + 1) // 2
+  FROM u WHERE n > 1 QUALIFY idx % 2 = 0),
+w AS (SELECT k.rid, k.doc_id, k.leaf, k.changed, k.pos, coalesce('=' || k.lang, '') AS tree, s.tall, s.subroot, s.pos AS own
+      FROM k JOIN s ON s.tree = coalesce('=' || k.lang, '')),
+p AS (SELECT w.rid, t.lvl AS step, t.digest, t.idx < w.pos >> t.lvl AS before
+      FROM w JOIN t ON t.tree = w.tree AND t.lvl < w.tall AND t.idx = xor(w.pos >> t.lvl, 1)
+  UNION ALL
+  SELECT w.rid, w.tall + u.lvl, u.digest, u.idx < w.own >> u.lvl
+  FROM w JOIN u ON u.n > 1 AND u.idx = xor(w.own >> u.lvl, 1)),
+r AS (SELECT digest AS root, lvl AS top FROM u WHERE n = 1),
+g AS (SELECT rid, 0 AS step, changed AS digest FROM w
+  UNION ALL
+  SELECT g.rid, g.step + 1, sha256(CASE WHEN p.before THEN p.digest || g.digest ELSE g.digest || coalesce(p.digest, '') END)
+  FROM g JOIN w ON w.rid = g.rid JOIN r ON g.step < w.tall + r.top LEFT JOIN p ON p.rid = g.rid AND p.step = g.step),
+z AS (SELECT w.rid, sha256(coalesce(string_agg(p.digest, '' ORDER BY p.step), '')) AS proof_sha256
+      FROM w LEFT JOIN p ON p.rid = w.rid GROUP BY w.rid)
+SELECT w.doc_id, w.leaf, w.subroot, r.root, z.proof_sha256, g.digest AS folded_root, g.digest = r.root AS verified
+FROM w JOIN r ON true JOIN z ON z.rid = w.rid JOIN g ON g.rid = w.rid AND g.step = w.tall + r.top
+""")
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    return proofs(table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"], "lang", "doc_id",
+                  changed={"n_chars": F.when(hit, F.col("n_chars") + 1).otherwise(F.col("n_chars"))})
