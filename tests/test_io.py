@@ -41,3 +41,17 @@ def test_encoder_and_model_persistence(spark):
     assert again == model.transform(df).select(F.round("prediction", 6)).collect()
     with pytest.raises(FileNotFoundError):
         io.load_pipeline(p2 + "-missing")
+
+
+def test_remove_folder(spark):
+    import uuid
+
+    from tessera.session import checkpoint_dir, remove_folder
+
+    path = f"{checkpoint_dir(spark)}/gone-{uuid.uuid4().hex}"
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+    remove_folder(spark, path)
+    remove_folder(spark, path)  # nothing there: nothing to do
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
