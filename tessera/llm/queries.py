@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.backoff import score_documents
+from tessera.llm.importance import resample
 from tessera.llm.jaccard_join import jaccard_components
 from tessera.llm.labelled import fold, score_texts
+from tessera.llm.line_dedup import dedup_lines
 from tessera.llm.merkle import proofs
 from tessera.llm.minhash import edited_fingerprints, near_duplicates
 from tessera.llm.multi_index import nearest
@@ -191,3 +193,46 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
     return proofs(table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"], "lang", "doc_id",
                   changed={"n_chars": F.when(hit, F.col("n_chars") + 1).otherwise(F.col("n_chars"))})
+
+
+@query("op13_line_dedup", r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+u AS (SELECT rid, doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM d),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM u),
+g AS (SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT rid) >= 3),
+m AS (SELECT k.*, g.key IS NOT NULL AND g.last IS DISTINCT FROM k.doc_id AS goes FROM k LEFT JOIN g ON g.key = k.key)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (goes) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT goes), '')) AS kept_sha256
+FROM m GROUP BY rid
+""")
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op11_importance", rf"""
+WITH {CRC32_SQL.strip()}
+a AS (SELECT 0 AS side, row_number() OVER () AS rid, doc_id, text FROM documents UNION ALL SELECT 1, item_id, item_id, text FROM benchmark),
+b AS (SELECT side, rid, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM a),
+c AS (SELECT side, rid, ws, unnest(generate_series(1, len(ws))) AS i FROM b),
+e AS (SELECT side, rid, unnest([array_to_string(ws[i:i + k - 1], ' ') FOR k IN [1, 2, 3] IF i + k - 1 <= len(ws)]) AS feature FROM c),
+q AS (SELECT side, rid, feature, count(*) AS n FROM e GROUP BY ALL),
+v AS (SELECT DISTINCT feature FROM q),
+x AS (SELECT feature, {crc32_sql("feature")} % 10000 AS bucket FROM v, crc_table),
+y AS (SELECT side, bucket, sum(n) AS n FROM q JOIN x USING (feature) GROUP BY ALL),
+n AS (SELECT coalesce(sum(n) FILTER (side = 0), 0)::DOUBLE AS s_all, coalesce(sum(n) FILTER (side = 1), 0)::DOUBLE AS t_all FROM y),
+gain AS (SELECT bucket, floor(1000 * ln((coalesce(max(n) FILTER (side = 1), 0) + 1)::DOUBLE * (max(s_all) + 10000)
+                / ((coalesce(max(n) FILTER (side = 0), 0) + 1)::DOUBLE * (max(t_all) + 10000))))::BIGINT AS g FROM y, n GROUP BY bucket),
+w AS (SELECT rid, sum(q.n)::BIGINT AS n_features, sum(q.n * g)::BIGINT AS weight
+      FROM q JOIN x USING (feature) JOIN gain USING (bucket) WHERE side = 0 GROUP BY rid),
+d AS (SELECT a.rid, a.doc_id, len(b.ws) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+             ('0x' || substr(sha256('42:' || a.doc_id), 1, 8))::BIGINT AS h
+      FROM a JOIN b ON b.side = 0 AND b.rid = a.rid LEFT JOIN w ON w.rid = a.rid WHERE a.side = 0),
+z AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5) / 4294967296)))::BIGINT AS score, n_words >= 20 AND doc_id IS NOT NULL AS able FROM d),
+o AS (SELECT *, row_number() OVER (PARTITION BY able ORDER BY score DESC, doc_id) AS pos, count(*) OVER (PARTITION BY able) AS k FROM z)
+SELECT doc_id, n_features, weight, score, CASE WHEN able AND pos <= 5 * k // 100 THEN pos END AS rank FROM o
+""")
+def op11_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
