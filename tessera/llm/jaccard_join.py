@@ -3,21 +3,23 @@
 Two documents link when 100 * intersection >= 80 * union of their shingle sets.
 
 1. *Classes.* Documents with equal sets are one class; its smallest id stands for it.
-2. *Groups.* Classes that share a band of MinHash values are compared with one
-   of them, the one whose bands most others share (the likely original of edited
-   copies), and put together if they link with it; a group is a connected set of
-   such links.  Other classes are groups of their own.
+2. *Groups.* Classes that share a band of MinHash values with the class whose
+   bands most others share (the likely original of edited copies) and look at least
+   half like it are its group, whether or not they link.  Those that link with it
+   are its core; the rest ask the whole group as in step 4.  Other classes are groups of
+   their own.
 3. *Matrix.* Shingles are put in one order (frequent ones last).  To link, two
    sets must share one of the first ``n - ceil(4n/5) + 1`` shingles of each.  The
    matrix holds, for every shingle, the groups whose union of such beginnings
    contains it, partitioned by shingle.  Summed over shingles it gives how many
    of a class's first shingles a group has, which bounds their overlap with any
    member; only groups whose bound reaches the threshold qualify.
-4. *Opening.* A qualifying group's members are put into a small matrix of whole
-   shingles; the class's overlap with its union and then with each member is
-   counted exactly.
-5. *Components* of all links found.  Within a group all members are connected
-   already, so no pair inside a group is looked at again.
+4. *Opening.* A qualifying group's members are put into matrices of whole
+   shingles, a bounded number of shingles each; the class's overlap with the union and
+   then with each member is counted exactly.  Of the links in a matrix those
+   that join different parts of it are kept, so their number is at most that of the classes.
+5. *Components* of all links found.  Within a core all members are connected
+   already, so no pair inside a core is looked at again.
 
 The order of the shingles and the MinHash bands only decide how much work is
 left for steps 3 and 4, not which links are found.
@@ -46,8 +48,9 @@ DESCRIBED_BYTES = 8 << 20  # larger blocks tell more frequent shingles
 MAX_FREQUENT = 1 << 17
 ENTRIES_PER_BUCKET = 1_000_000
 PAIRS_AT_ONCE = 200_000
-MEMBERS_PER_BLOCK = 128
-ASKED_PER_BLOCK = 256
+SHINGLES_PER_BLOCK = 400_000
+DENSE_CELLS = 1 << 24
+ASKED_AT_ONCE = 256
 FILTER_BITS = 26
 TEXTS_AT_ONCE = 256
 
@@ -159,18 +162,17 @@ def texts_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return docs.where(may("id")).join(wanted, "id").select("node", "text")
 
 
-def open_groups(asked: DataFrame, members: DataFrame, docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Links (``a``, ``b``) of asked classes with members of groups.
+def in_blocks(asked: DataFrame, members: DataFrame, classes: DataFrame) -> DataFrame:
+    """Members of groups and those who ask (both ``node``, ``group``), dealt to the pairs of blocks in which they meet.
 
-    ``asked``: ``node``, ``group``; ``members``: ``node``, ``group``; ``ids``: ``node``, ``id`` of a
-    document of the class.  A group's members and those who ask come in blocks,
-    so that neither a large group nor one that many ask meets in one task.  One
-    link per asked class and block of members is given.
+    A block has about ``SHINGLES_PER_BLOCK`` shingles, so neither a large group nor one that many ask meets in one task.
     """
-    size = members.groupBy("group").agg(F.count("*").alias("m"))
-    crowd = asked.groupBy("group").agg(F.count("*").alias("q"))
+    n = classes.select("node", "n")
+    members, asked = cut_lineage(members.join(n, "node")), cut_lineage(asked.join(n, "node"))
+    size = members.groupBy("group").agg(F.sum("n").alias("m"))
+    crowd = asked.groupBy("group").agg(F.sum("n").alias("q"))
     shape = cut_lineage(size.join(crowd, "group").select(
-        "group", F.ceil(F.col("m") / MEMBERS_PER_BLOCK).cast("int").alias("mb"), F.ceil(F.col("q") / ASKED_PER_BLOCK).cast("int").alias("qb")))
+        "group", *[F.ceil(F.col(c) / SHINGLES_PER_BLOCK).cast("int").alias(b) for c, b in (("m", "mb"), ("q", "qb"))]))
 
     def block(seed, count):
         return F.pmod(F.xxhash64("node", F.lit(seed)), F.col(count)).cast("int")
@@ -180,8 +182,17 @@ def open_groups(asked: DataFrame, members: DataFrame, docs: DataFrame, ids: Data
 
     inside = members.join(shape, "group").select("node", "group", block(1, "mb").alias("mb"), every("qb").alias("qb"), F.lit(True).alias("member"))
     outside = asked.join(shape, "group").select("node", "group", every("mb").alias("mb"), block(2, "qb").alias("qb"), F.lit(False).alias("member"))
-    both = cut_lineage(inside.union(outside))
-    text = texts_of(docs, both.select("node").distinct().join(ids, "node"))
+    return cut_lineage(inside.union(outside))
+
+
+def open_groups(asked: DataFrame, members: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (``a``, ``b``) of asked classes with members of groups that connect what is linked.
+
+    ``asked``: ``node``, ``group``; ``members``: ``node``, ``group``; ``classes``: ``node``, ``n`` and ``id``, a
+    document of the class.  A class may ask the group that it is a member of.
+    """
+    both = in_blocks(asked, members, classes)
+    text = texts_of(docs, both.select("node").distinct().join(classes.select("node", "id"), "node"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         sets = _sets(pa.array(pdf["text"], pa.large_string()))
@@ -194,34 +205,64 @@ def open_groups(asked: DataFrame, members: DataFrame, docs: DataFrame, ids: Data
 
 
 def matches(members: dict[int, np.ndarray], asked: dict[int, np.ndarray]) -> list[tuple[int, int]]:
-    """For every asked set the first member that it links with, by the members' token matrix."""
+    """Links of asked sets with members, by the members' token matrix: all but those between what others connect already.
+
+    Tokens that many members have are columns of a dense matrix of bounded size, the others lists of members.
+    """
     if not members or not asked:
         return []
-    names = sorted(members)
-    sizes = np.array([len(members[n]) for n in names])
-    tokens = np.concatenate([members[n] for n in names])
+    names = np.array(sorted(members), np.int64)
+    sizes = np.array([len(members[n]) for n in names.tolist()])
+    tokens = np.concatenate([members[n] for n in names.tolist()])
     owner = np.repeat(np.arange(len(names)), sizes)
     order = np.argsort(tokens, kind="stable")
     tokens, owner = tokens[order], owner[order]
     union, starts = np.unique(tokens, return_index=True)
     starts = np.append(starts, len(tokens))
-    out = []
-    for node, s in asked.items():
-        at = np.searchsorted(union, s)
-        at = at[(at < len(union)) & (union[np.minimum(at, len(union) - 1)] == s)]
-        if 5 * len(at) < 4 * len(s):  # the overlap with the whole group is too small for any member
-            continue
-        lo, n = starts[at], starts[at + 1] - starts[at]
-        ends = np.cumsum(n)
-        hit = owner[np.arange(ends[-1]) + np.repeat(lo - (ends - n), n)]
-        overlap = np.bincount(hit, minlength=len(names))
-        linked = np.flatnonzero(9 * overlap >= 4 * (sizes + len(s)))
-        out += [(node, names[k]) for k in linked[:1] if names[k] != node]
+    held = np.diff(starts)
+    often = np.argsort(-held, kind="stable")[:DENSE_CELLS // len(names)]
+    often = often[held[often] >= 8]
+    column = np.full(len(union), -1)
+    column[often] = np.arange(len(often))
+    of_token = np.repeat(column, held)
+    dense = np.zeros((len(names), len(often)), np.float32)
+    dense[owner[of_token >= 0], of_token[of_token >= 0]] = 1
+    part, out = np.arange(len(names)), []  # members with the same number are connected
+    waiting = sorted(asked)
+    for start in range(0, len(waiting), ASKED_AT_ONCE):
+        now, found = waiting[start:start + ASKED_AT_ONCE], []
+        rows = np.zeros((len(now), len(often)), np.float32)
+        overlap = np.zeros((len(now), len(names)), np.float32)
+        for i, node in enumerate(now):
+            s = asked[node]
+            at = np.searchsorted(union, s)
+            at = at[(at < len(union)) & (union[np.minimum(at, len(union) - 1)] == s)]
+            if 5 * len(at) < 4 * len(s):  # the overlap with the whole group is too small for any member
+                continue
+            found.append(i)
+            rows[i, column[at[column[at] >= 0]]] = 1
+            at = at[column[at] < 0]
+            lo, n = starts[at], starts[at + 1] - starts[at]
+            if len(at):
+                ends = np.cumsum(n)
+                hit = owner[np.arange(ends[-1]) + np.repeat(lo - (ends - n), n)]
+                overlap[i] = np.bincount(hit, minlength=len(names))
+        overlap += rows @ dense.T
+        for i in found:
+            node = now[i]
+            linked = np.flatnonzero((9 * overlap[i] >= 4 * (sizes + len(asked[node]))) & (names != node))
+            parts, first = np.unique(part[linked], return_index=True)
+            itself = np.flatnonzero(names == node)
+            own = part[itself]
+            out += [(node, int(names[linked[f]])) for p, f in zip(parts, first) if p not in own]
+            parts = np.union1d(parts, own)
+            if len(parts) > 1:
+                part[np.isin(part, parts)] = parts[0]
     return out
 
 
-def group_classes(classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """Links (``a``, ``b``) of classes with the class of their band that most others agree with."""
+def group_classes(classes: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Groups (``node``, ``group``) of similar classes, named by their centre, and the links (``a``, ``b``) with the centres."""
 
     @F.pandas_udf(T.ArrayType(T.LongType()))
     def bands(signatures: pd.Series) -> pd.Series:
@@ -243,11 +284,15 @@ def group_classes(classes: DataFrame, docs: DataFrame) -> DataFrame:
              .agg(F.min(F.struct("order", "node", "signature")).alias("c")).select("band", "key", "c"))
     pairs = cut_lineage(
         keyed.join(first, ["band", "key"]).where(F.col("node") != F.col("c.node"))
-        .where(agree("signature", F.col("c.signature")) >= SIGNATURE // 2)  # others are left to the exact steps
-        .select("node", F.col("c.node").alias("group")).distinct())
-    centres = pairs.select(F.col("group").alias("node"), "group").distinct()
-    links = cut_lineage(open_groups(pairs, centres, docs, classes.select("node", "id")))
-    return links
+        .select("node", F.col("c.node").alias("group"), agree("signature", F.col("c.signature")).alias("like"))
+        .where(F.col("like") >= SIGNATURE // 2).distinct())  # others are left to the exact steps
+    # a centre that has a centre itself has no group, so groups don't run together
+    centres = pairs.select(F.col("group").alias("node")).distinct().join(pairs.select("node").distinct(), "node", "left_anti")
+    centres = cut_lineage(centres.select("node", F.col("node").alias("group")))
+    best = (pairs.join(centres.select("group"), "group").groupBy("node")
+            .agg(F.min(F.struct(-F.col("like"), "group")).alias("b")).select("node", F.col("b.group").alias("group")))
+    best = cut_lineage(best)
+    return best.union(centres), cut_lineage(open_groups(best, centres, docs, classes))
 
 
 def prefix_entries(rows: DataFrame, frequent, n_buckets: int, without: IdsFilter | None = None) -> DataFrame:
@@ -308,17 +353,23 @@ def prefix_entries(rows: DataFrame, frequent, n_buckets: int, without: IdsFilter
     return rows.mapInArrow(run, "bucket int, tokens binary, owner binary, info binary")
 
 
-def qualifying(entries: DataFrame, n_buckets: int) -> DataFrame:
-    """Classes and groups whose shared first shingles leave a link possible: ``node``, ``group``."""
+def shared_counts(entries: DataFrame, n_buckets: int) -> DataFrame:
+    """Shared first shingles of classes and groups, by bucket: ``node``, ``group``, ``least``, ``c``.
+
+    ``least``: shared first shingles that a link needs, less those that were not counted.
+    """
 
     def run(frames):
         for bucket in _by_bucket(frames):
             yield from _shared(bucket)
 
-    shared = (entries.repartition(n_buckets, "bucket").sortWithinPartitions("bucket")
-              .mapInPandas(run, "node long, group long, least long, c long"))
-    # ``least``: shared first shingles that a link needs, less those that were not counted
-    total = shared.groupBy("node", "group", "least").agg(F.sum("c").alias("c"))
+    return (entries.repartition(n_buckets, "bucket").sortWithinPartitions("bucket")
+            .mapInPandas(run, "node long, group long, least long, c long"))
+
+
+def qualifying(entries: DataFrame, n_buckets: int) -> DataFrame:
+    """Classes and groups whose shared first shingles leave a link possible: ``node``, ``group``."""
+    total = shared_counts(entries, n_buckets).groupBy("node", "group", "least").agg(F.sum("c").alias("c"))
     return total.where(F.col("c") >= F.col("least")).select("node", "group")
 
 
@@ -445,8 +496,7 @@ def _components(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     ids = classes.select("node", "id")
     found = docs.where(F.col("id").isNotNull())
 
-    first_links = group_classes(classes, found)
-    groups = connected_components(first_links).withColumnRenamed("label", "group")
+    groups, first_links = group_classes(classes, found)
     sizes = groups.join(classes.select("node", "n"), "node").groupBy("group").agg(
         F.count("*").alias("members"), F.min("n").alias("least"), F.max("n").alias("most"))
     grouped = cut_lineage(groups.join(sizes, "group").select("node", "group", "members", "least", "most"))
@@ -469,7 +519,12 @@ def _components(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     wanted = asked.select("group").distinct()
     single = wanted.join(grouped.select("group").distinct(), "group", "left_anti").select(F.col("group").alias("node"), "group")
     members = grouped.select("node", "group").join(wanted, "group").select("node", "group").union(single)
-    links = cut_lineage(first_links.union(open_groups(asked, members, found, ids)))
+    # members that don't link with their group's centre may link with others of the group
+    core = first_links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    apart = grouped.select("node", "group").where("node <> group").join(core, "node", "left_anti")
+    links = cut_lineage(first_links.union(open_groups(asked, members, found, classes))
+                        .union(open_groups(apart, grouped.select("node", "group").join(apart.select("group").distinct(), "group").select("node", "group"),
+                                           found, classes)))
 
     label = connected_components(links)
     smallest = label.join(ids, "node").groupBy("label").agg(F.min("id").alias("component_id"))

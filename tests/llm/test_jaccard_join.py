@@ -66,8 +66,7 @@ def corpus(seed, n_words=60):
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_components_equal_brute_force(spark, monkeypatch, seed):
     monkeypatch.setattr(jj, "ENTRIES_PER_BUCKET", 300)
-    monkeypatch.setattr(jj, "MEMBERS_PER_BLOCK", 2)
-    monkeypatch.setattr(jj, "ASKED_PER_BLOCK", 3)
+    monkeypatch.setattr(jj, "SHINGLES_PER_BLOCK", 60)
     rows = corpus(seed) + [(None, "a b c"), (None, None), (20_000, None), (20_001, "long words go on " * 8000)]
     rows += [(rows[3][0], rows[3][1]), (rows[4][0], rows[9][1])]  # a repeated row, and an id with two texts
     df = spark.createDataFrame([(*r, "c", "c") for r in rows], SCHEMA)
@@ -79,7 +78,8 @@ def test_without_helpful_groups_the_links_are_the_same(spark, monkeypatch):
     """Steps 3 and 4 find every link on their own: with bands that never agree and no frequent shingles."""
     rows = corpus(7)
     df = spark.createDataFrame([(*r, "c", "c") for r in rows], SCHEMA)
-    monkeypatch.setattr(jj, "group_classes", lambda classes, docs: classes.sparkSession.createDataFrame([], "a long, b long"))
+    monkeypatch.setattr(jj, "group_classes", lambda classes, docs: tuple(
+        classes.sparkSession.createDataFrame([], f"{a} long, {b} long") for a, b in (("node", "group"), ("a", "b"))))
     monkeypatch.setattr(jj, "frequent_shingles", lambda described: np.zeros(0, np.uint64))
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jj.jaccard_components(df).collect()), key=str)
     assert got == brute(rows)
@@ -132,7 +132,8 @@ def test_links_of_a_text_under_the_id_of_a_grouped_one(spark, monkeypatch):
 
     def only_a(classes, docs):
         ids = {jj._node(jj._sets(jj.pa.array([t], jj.pa.large_string()))[0]) for _, t in rows[:2]}
-        return real(classes, docs).where(jj.F.col("a").isin(list(ids)))
+        groups, links = real(classes, docs)
+        return groups.where(jj.F.col("node").isin(list(ids))), links.where(jj.F.col("a").isin(list(ids)))
 
     monkeypatch.setattr(jj, "group_classes", only_a)
     df = spark.createDataFrame([(*r, "c", "c") for r in rows], SCHEMA)
@@ -152,6 +153,67 @@ def test_large_group_of_near_copies(spark):
     assert {r.component_id for r in jj.jaccard_components(df).collect()} == {10}
 
 
+def test_rows_grow_with_near_copies_that_mostly_do_not_link(spark, monkeypatch):
+    """Copies of one text with two words changed: few pairs link, and no step lists the pairs."""
+    base = [f"w{i}" for i in range(60)]
+    made = {}
+    shared, blocks = jj.shared_counts, jj.in_blocks
+
+    def counted(name, real):
+        def run(*args):
+            df = jj.cut_lineage(real(*args))
+            made[name] = made.get(name, 0) + df.count()
+            return df
+        return run
+
+    monkeypatch.setattr(jj, "shared_counts", counted("shared", shared))
+    monkeypatch.setattr(jj, "in_blocks", counted("blocks", blocks))
+    totals = []
+    for n in (200, 400, 800):
+        rng, rows = random.Random(n), []
+        for i in range(n):
+            w = list(base)
+            for at in rng.sample(range(60), 2):
+                w[at] = f"x{i}y{at}"
+            rows.append((i, " ".join(w)))
+        made.clear()
+        df = spark.createDataFrame([(*r, "c", "c") for r in rows], SCHEMA)
+        got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jj.jaccard_components(df).collect()), key=str)
+        if n < 800:
+            assert got == brute(rows)
+        totals.append(sum(made.values()))
+    assert totals[1] <= 2.5 * totals[0] and totals[2] <= 2.5 * totals[1], totals
+
+
+@pytest.mark.parametrize("cells", [0, 50, 1 << 24])
+def test_matches_connect_what_all_links_connect(monkeypatch, cells):
+    monkeypatch.setattr(jj, "DENSE_CELLS", cells)
+    monkeypatch.setattr(jj, "ASKED_AT_ONCE", 7)
+    rng = random.Random(cells)
+    sets = {}
+    for i in range(120):
+        own = set(range(40)) if i % 2 else set(range(60, 90))
+        for _ in range(rng.randint(0, 5)):
+            own.discard(rng.choice(sorted(own)))
+            own.add(rng.randint(1000, 1030))
+        sets[i * 7 - 300] = jj.np.array(sorted(own), jj.np.uint64)
+    names = sorted(sets)
+    members, asked = names[:80], names[50:]
+    links = [(a, b) for a in asked for b in members if a != b
+             and 9 * len(set(sets[a].tolist()) & set(sets[b].tolist())) >= 4 * (len(sets[a]) + len(sets[b]))]
+    got = jj.matches({n: sets[n] for n in members}, {n: sets[n] for n in asked})
+    assert set(got) <= set(links) and len(got) < len(names)
+
+    def parts(edges):
+        label = {n: n for n in names}
+        for _ in names:
+            for a, b in edges:
+                label[a] = label[b] = min(label[a], label[b])
+        return label
+
+    assert parts(got) == parts(links)
+
+
 def test_connected_components(spark):
     rng = random.Random(1)
     links = [(i, i + 1) for i in range(0, 90)] + [(200, 100 + rng.randrange(100)) for _ in range(60)] + [(500, 501), (7, 7)]
