@@ -89,3 +89,15 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def forget_finished(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files and broadcasts of steps whose results are written.
+
+    They go when the driver's JVM finds that nothing refers to them any more; a job of
+    many steps would otherwise keep all of them until the JVM happens to run short.
+    """
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
