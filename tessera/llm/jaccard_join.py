@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 from tessera.llm.components import connected_components
 from tessera.llm.minhash import shingles
 from tessera.llm.text_blocks import text_blocks
-from tessera.session import cut_lineage
+from tessera.session import cut_lineage, forget_finished
 
 SIGNATURE = 16
 BAND_ROWS = 2
@@ -168,7 +168,7 @@ def in_blocks(asked: DataFrame, members: DataFrame, classes: DataFrame) -> DataF
     A block has about ``SHINGLES_PER_BLOCK`` shingles, so neither a large group nor one that many ask meets in one task.
     """
     n = classes.select("node", "n")
-    members, asked = cut_lineage(members.join(n, "node")), cut_lineage(asked.join(n, "node"))
+    members, asked = members.join(n, "node"), asked.join(n, "node")
     size = members.groupBy("group").agg(F.sum("n").alias("m"))
     crowd = asked.groupBy("group").agg(F.sum("n").alias("q"))
     shape = cut_lineage(size.join(crowd, "group").select(
@@ -497,6 +497,7 @@ def _components(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     found = docs.where(F.col("id").isNotNull())
 
     groups, first_links = group_classes(classes, found)
+    forget_finished(spark)
     sizes = groups.join(classes.select("node", "n"), "node").groupBy("group").agg(
         F.count("*").alias("members"), F.min("n").alias("least"), F.max("n").alias("most"))
     grouped = cut_lineage(groups.join(sizes, "group").select("node", "group", "members", "least", "most"))
@@ -514,17 +515,17 @@ def _components(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     alone = found.select("text", may.place("id").alias("place"), *(F.lit(None).cast("long").alias(c) for c in ("node", "group", "members", "least", "most")))
     together = found.where(may("id")).join(tagged, "id", "left").select("text", "node", "group", "members", "least", "most")
     entries = prefix_entries(alone, frequent, n_buckets, may).union(prefix_entries(together, frequent, n_buckets))
-    asked = cut_lineage(qualifying(entries, n_buckets))
+    # members that don't link with their group's centre may link with others of the group
+    core = first_links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    apart = grouped.select("node", "group").where("node <> group").join(core, "node", "left_anti")
+    asked = cut_lineage(qualifying(entries, n_buckets).union(apart))
+    forget_finished(spark)
 
     wanted = asked.select("group").distinct()
     single = wanted.join(grouped.select("group").distinct(), "group", "left_anti").select(F.col("group").alias("node"), "group")
     members = grouped.select("node", "group").join(wanted, "group").select("node", "group").union(single)
-    # members that don't link with their group's centre may link with others of the group
-    core = first_links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    apart = grouped.select("node", "group").where("node <> group").join(core, "node", "left_anti")
-    links = cut_lineage(first_links.union(open_groups(asked, members, found, classes))
-                        .union(open_groups(apart, grouped.select("node", "group").join(apart.select("group").distinct(), "group").select("node", "group"),
-                                           found, classes)))
+    links = cut_lineage(first_links.union(open_groups(asked, members, found, classes)))
+    forget_finished(spark)
 
     label = connected_components(links)
     smallest = label.join(ids, "node").groupBy("label").agg(F.min("id").alias("component_id"))
