@@ -539,7 +539,7 @@ def one_per_component(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """Of every component the row with the smallest id, with all columns of ``df``.
 
     Rows that share an id go or stay by the component of their own text; of
-    those that stay, one is kept per id and component (the smallest row), and
+    those that stay, one is kept per id and component (that with the smallest hash), and
     of those whose texts have no shingles one per id and text.  Rows without an
     id and texts without shingles are linked with nothing and stay.
     """
@@ -566,5 +566,5 @@ def one_per_component(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
                .join(concerned, (F.col("id") == F.col("known")) & F.col("node").eqNullSafe(F.col("of")), "left"))
     others = checked.where(F.col("goes").isNull())
     own = F.coalesce(F.col("label").cast("string"), F.concat(F.lit("text "), "text"))
-    once = checked.where(~F.col("goes")).groupBy("id", own.alias("own")).agg(F.min("row").alias("row"))
+    once = checked.where(~F.col("goes")).groupBy("id", own.alias("own")).agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row"))
     return clear.select("row.*").union(others.select("row.*")).union(once.select("row.*"))

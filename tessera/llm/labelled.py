@@ -35,6 +35,14 @@ def class_sample(labels: DataFrame, label_col: str, max_per_class: int, id_col:
     return one.withColumn("w", F.lit(1.0)).limit(0) if picked is None else picked
 
 
+def free_name(name: str, columns: list[str]) -> str:
+    """``name``, longer if a column of the input is called so (whatever its case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def score_texts(df: DataFrame, model, keep: list[str], text_col: str = "text", out: str = "score") -> DataFrame:
     """The columns ``keep`` of every input row and ``out``, the model's score of its whole text.
 
@@ -43,11 +51,12 @@ def score_texts(df: DataFrame, model, keep: list[str], text_col: str = "text", o
     called ``out`` is replaced; an empty table gives no rows.
     """
     keep = [c for c in keep if c != out]
-    rows = df.select(*keep, F.col(text_col).cast("string").alias("text to score"))
+    scored = free_name("text to score", df.columns)
+    rows = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").cast("string").alias(scored))
     schema = T.StructType([*rows.schema.fields[:-1], T.StructField(out, T.DoubleType())])
 
     def run(batches):
-        for block in text_blocks(batches, "text to score"):
+        for block in text_blocks(batches, scored):
             scores = pa.array(model.score(block.column(len(keep))), pa.float64())
             yield pa.RecordBatch.from_arrays([*block.columns[:-1], scores], names=[*keep, out])
 

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm.crf import BEGIN, INSIDE, OUTSIDE, LinearChain
+from tessera.llm.labelled import free_name
 from tessera.llm.text_blocks import no_cycle_search, split_words, text_blocks
 
 MAX_TRAIN_DOCS = 6000
@@ -285,8 +286,13 @@ def token_features(words: list[str], file: tuple[int, int, int]) -> list[list[in
     return out
 
 
-def fit_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_docs: int = MAX_TRAIN_DOCS) -> SecretModel:
-    """Fit on windows of at most ``max_docs`` documents, and on generated examples (alone, if there are no documents)."""
+def fit_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_docs: int = MAX_TRAIN_DOCS,
+                max_with: int = 1000, max_without: int = 3000) -> SecretModel:
+    """Fit on windows of at most ``max_docs`` documents, and on generated examples (alone, if there are no documents).
+
+    Of the windows at most ``max_with`` hold a secret and ``max_without`` hold none, both
+    picked by a hash of the document's id and the words.  Only the fit is bounded: every text is scanned whole.
+    """
     ids = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id")).distinct()
     picked = ids.orderBy(F.xxhash64("id", F.lit(3)), "id").limit(max_docs)
 
@@ -302,10 +308,10 @@ def fit_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = (docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
             .join(F.broadcast(picked), "id")  # max_docs ids
             .mapInArrow(run, "id string, words array<string>, states array<int>, file array<int>").collect())
-    rows = sorted((r.id, list(r.words), list(r.states), tuple(r.file)) for r in rows)
+    rows = sorted((hashlib.sha256(f"{r.id} {' '.join(r.words)}".encode()).digest(), list(r.words), list(r.states), tuple(r.file)) for r in rows)
     with_secret = [r[1:] for r in rows if any(r[2])]
     without = [r[1:] for r in rows if not any(r[2])]
-    examples = with_secret[:1000] + without[:3000] + generated_examples()
+    examples = with_secret[:max_with] + without[:max_without] + generated_examples()
     chain = LinearChain(N_FEATURES).fit([token_features(w, f) for w, _, f in examples], [s for _, s, _ in examples])
     return SecretModel(chain)
 
@@ -322,20 +328,21 @@ def scan_secrets(df: DataFrame, model: SecretModel, keep: list[str], text_col: s
     new = ["n_assign", "n_access", "n_hex", "base_sha256", "spans"]
     keep = [c for c in keep if c not in new]
     kept_text = keep.index(text_col) if mark is not None and text_col in keep else None
-    rows = df.select(*[c for c in keep if c != text_col or kept_text is None], F.col(text_col).cast("string").alias("text to scan"),
-                     F.col(text_col).isNull().alias("no text"))
+    scanned, missing = free_name("text to scan", df.columns), free_name("no text", df.columns)
+    rows = df.select(*[F.col(f"`{c}`") for c in keep if c != text_col or kept_text is None],
+                     F.col(f"`{text_col}`").cast("string").alias(scanned), F.col(f"`{text_col}`").isNull().alias(missing))
     schema = T.StructType([*(df.schema[c] for c in keep), *(T.StructField(c, T.LongType()) for c in new[:3]),
                            *(T.StructField(c, T.StringType()) for c in new[3:])])
 
     def run(batches):
-        for block in text_blocks(batches, "text to scan"):
-            text = block.column("text to scan")
+        for block in text_blocks(batches, scanned):
+            text = block.column(scanned)
             with no_cycle_search():
                 found = model.spans(text)
             kept = list(block.columns[:-2])
             if kept_text is not None:
                 texts = [t if not every else redacted(t, every, mark) for t, (_, every) in zip(text.to_pylist(), found, strict=True)]
-                texts = pc.if_else(block.column("no text"), pa.scalar(None, pa.string()), pa.array(texts, pa.string()))
+                texts = pc.if_else(block.column(missing), pa.scalar(None, pa.string()), pa.array(texts, pa.string()))
                 kept.insert(kept_text, texts)
             counts = [[sum(s[0] == k for s in base) for base, _ in found] for k in KINDS[:3]]
             yield pa.RecordBatch.from_arrays(
