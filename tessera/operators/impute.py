@@ -139,6 +139,7 @@ def impute_knn(df: DataFrame, id_col: str, cols, k: int = 5, fit_on: DataFrame |
     distance uses the features both rows have, scaled by
     ``sqrt(n_features / n_shared)``; the ``k`` nearest donors (ties to the
     smaller id) are averaged.  No donor sharing a feature -> the fit mean.
+    Rows with the same id, or none, are rows of their own.
 
     Rows are grouped by missing-value pattern, and each (receiver pattern,
     donor pattern) pair is one exact grid-blocked KNN join in the shared
@@ -158,8 +159,13 @@ def impute_knn_many(df: DataFrame, id_col: str, cols, ks, fit_on: DataFrame | No
     cols = list(cols)
     ks = sorted(set(int(k) for k in ks))
     kmax = ks[-1]
-    df = nan_to_null(df, cols)
-    fit = nan_to_null(fit_on, cols) if fit_on is not None else df
+    def numbered(frame):
+        """Every row gets a key of its own (ids may repeat or be missing), and as a donor one that ties by the id."""
+        keyed = cut_lineage(nan_to_null(frame, cols).withColumn("__key", F.monotonically_increasing_id()))
+        return keyed.withColumn("__tie", F.struct(F.col(id_col).alias("id"), F.col("__key").alias("n")))
+
+    df = numbered(df)
+    fit = numbered(fit_on) if fit_on is not None else df
     n_feat = len(cols)
     pat = F.array(*[F.col(c).isNotNull() for c in cols])
     # missing-value patterns: at most 2^len(cols) rows reach the driver
@@ -189,7 +195,7 @@ def impute_knn_many(df: DataFrame, id_col: str, cols, ks, fit_on: DataFrame | No
                     continue
                 q = partial.where(pat == F.array(*[F.lit(b) for b in rp]))
                 r = fit.where(pat == F.array(*[F.lit(b) for b in dp]))
-                nn = knn_join(q, r, id_col, id_col, shared, kmax, scale=math.sqrt(n_feat / len(shared)),
+                nn = knn_join(q, r, "__key", "__tie", shared, kmax, scale=math.sqrt(n_feat / len(shared)),
                               out_id="__donor", r_carry=[f])
                 parts.append(nn.withColumnRenamed(f"nb_{f}", "__fv"))
         for k in ks:
@@ -197,10 +203,10 @@ def impute_knn_many(df: DataFrame, id_col: str, cols, ks, fit_on: DataFrame | No
                 nn = parts[0]
                 for p in parts[1:]:
                     nn = nn.unionByName(p)
-                w = Window.partitionBy(id_col).orderBy("dist", "__donor")
+                w = Window.partitionBy("__key").orderBy("dist", "__donor")
                 nn = nn.withColumn("__rk", F.row_number().over(w)).where(F.col("__rk") <= k)
-                est = nn.groupBy(id_col).agg(F.avg("__fv").alias(f"__est_{j}"))
-                filled[k] = filled[k].join(est, id_col, "left")
+                est = nn.groupBy("__key").agg(F.avg("__fv").alias(f"__est_{j}"))
+                filled[k] = filled[k].join(est, "__key", "left")
             else:
                 filled[k] = filled[k].withColumn(f"__est_{j}", F.lit(None).cast("double"))
             filled[k] = filled[k].withColumn(f"__est_{j}", F.coalesce(F.col(f"__est_{j}"), means[f]))
@@ -212,7 +218,7 @@ def impute_knn_many(df: DataFrame, id_col: str, cols, ks, fit_on: DataFrame | No
             est = F.col(f"__est_{j}") if has_est and f"__est_{j}" in frame.columns else F.lit(None)
             exprs[c] = F.coalesce(F.col(c).cast("double"), est)
         out = frame.withColumns(exprs)
-        return out.drop(*[x for x in out.columns if x.startswith("__est_")])
+        return out.drop("__key", "__tie", *[x for x in out.columns if x.startswith("__est_")])
 
     return {k: finish(complete, False).unionByName(finish(filled[k], True)) for k in ks}
 

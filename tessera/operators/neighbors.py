@@ -119,7 +119,7 @@ def knn_join(queries: DataFrame, refs: DataFrame, qid: str, rid: str, features:
                   *[F.stddev_pop(F.when(F.col("__isr") == 1, F.col(f"__f{i}"))).alias(f"sd{i}") for i in range(d)],
                   F.sum("__isr").alias("n"), F.count(F.lit(1)).alias("m")).first()
     if st is None or not st["n"] or st["m"] == st["n"]:
-        empty = queries.select(F.col(qid), F.lit(None).cast("bigint").alias(out_id),
+        empty = queries.select(F.col(qid), F.lit(None).cast(refs.schema[rid].dataType).alias(out_id),
                                F.lit(None).cast("double").alias("dist"), F.lit(None).cast("int").alias("rank"),
                                *q_carry, *[F.lit(None).alias(f"nb_{c}") for c in r_carry])
         return empty.limit(0)

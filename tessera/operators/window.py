@@ -68,6 +68,9 @@ def average_rank(df: DataFrame, col: str, out: str = "rank", group_cols: Sequenc
     else:
         missing = F.col(col).isNull()
     vc = df.where(~missing).groupBy(*g, col).agg(F.count(F.lit(1)).alias("__n"))
-    ranks = rows_before(vc, g, col, "__n").select(
-        *g, col, (F.col("__before") + (F.col("__n") + 1) / 2.0).alias(out))
-    return df.join(ranks, [*g, col], "left")
+    keys = [F.col(c).alias(f"__k{i}") for i, c in enumerate([*g, col])]
+    ranks = rows_before(vc, g, col, "__n").select(*keys, (F.col("__before") + (F.col("__n") + 1) / 2.0).alias(out))
+    on = F.col(col) == F.col(f"__k{len(g)}")
+    for i, c in enumerate(g):  # a NULL group is a group
+        on = on & F.col(c).eqNullSafe(F.col(f"__k{i}"))
+    return df.join(ranks, on, "left").drop(*[f"__k{i}" for i in range(len(keys))])
