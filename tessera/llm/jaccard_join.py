@@ -48,8 +48,8 @@ DESCRIBED_BYTES = 8 << 20  # larger blocks tell more frequent shingles
 MAX_FREQUENT = 1 << 17
 ENTRIES_PER_BUCKET = 1_000_000
 PAIRS_AT_ONCE = 200_000
-SHINGLES_PER_BLOCK = 400_000
-DENSE_CELLS = 1 << 24
+SHINGLES_PER_BLOCK = 200_000
+DENSE_CELLS = 1 << 22
 ASKED_AT_ONCE = 256
 FILTER_BITS = 26
 TEXTS_AT_ONCE = 256
