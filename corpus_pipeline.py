@@ -26,12 +26,12 @@ from tessera.llm.queries import held_out
 from tessera.llm.secrets import fit_secrets, scan_secrets
 from tessera.llm.token_counts import tokenizer_path
 from tessera.llm.toxicity import fit_toxicity
-from tessera.session import checkpoint_dir
+from tessera.session import checkpoint_dir, forget_finished
 from tessera.sources.tables import table
 
 SCORE = "pipeline score"
 #: Rows a batch between Spark and Python: the first stages hand whole texts back and forth.
-BATCH_ROWS = 4000
+BATCH_ROWS = 1000
 
 
 def small_batches(spark: SparkSession) -> None:
@@ -87,4 +87,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = f"{folder}/{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        forget_finished(spark)
     return STAGES[-1][1](spark, docs, sf_dir)
