@@ -19,13 +19,14 @@ Plan, per call:
    one without a crowded cell is the first.  Clusters and far outliers so
    change the width, not the answer, and no cell holds more than a bounded
    number of references as long as locations differ.
-4. **Exactness test, ring growth.**  Every point within distance ``W`` of
-   the query sits in the probed cells, so a query whose ``cap``-th best
-   candidate is within ``W`` is final.  All others, those without any
-   candidate too, go to the next round with wider cells.  A round whose
-   cells cover the whole bounding box is final for everyone.  Deduplicated
-   inputs and each round's candidates and open queries are checkpointed to
-   the shared checkpoint folder, so no round is recomputed.
+4. **Exactness test.**  Every point within distance ``W`` of the query sits
+   in the probed cells, so a query whose ``cap``-th best candidate is within
+   ``W`` is final.  All others, those without any candidate too, are answered
+   by ``kd_probe``: boxes of a tree of cuts, pruned by their distance.  A
+   search within classes (``by``) goes on with wider cells instead, until its
+   cells cover the whole bounding box.  Deduplicated inputs and each round's
+   candidates and open queries are checkpointed to the shared checkpoint
+   folder, so no round is recomputed.
 5. **Expand back** to query rows, drop self matches, keep the first ``k``
    by ``(distance, id)``.
 
@@ -41,6 +42,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.clean import finite_only
+from tessera.operators.kd_probe import kd_top
 from tessera.session import cut_lineage
 
 _GRID_DIMS = 3
@@ -144,7 +146,7 @@ def knn_join(queries: DataFrame, refs: DataFrame, qid: str, rid: str, features:
         wq = Window.partitionBy(*key, *fq).orderBy("__d2", "__rid")
         top = cand.withColumn("__rk", F.row_number().over(wq)).where(F.col("__rk") <= cap)
         if last:
-            resolved.append(top)
+            resolved.append(top.drop("__rk"))
             break
         # same partitioning as the ranking window: no further shuffle
         wl = Window.partitionBy(*key, *fq)
@@ -152,7 +154,7 @@ def knn_join(queries: DataFrame, refs: DataFrame, qid: str, rid: str, features:
             "__ok", (F.count(F.lit(1)).over(wl) >= cap) & (F.max("__d2").over(wl) <= width * width))
         if checkpoint:
             flagged = cut_lineage(flagged)  # candidates computed once per round
-        final = flagged.where("__ok").drop("__ok")
+        final = flagged.where("__ok").drop("__ok", "__rk")
         resolved.append(final)
         # whoever isn't final stays, queries without any candidate included
         todo = todo.join(final.select(*key, *fq).distinct(), [*key, *fq], "left_anti")
@@ -160,6 +162,9 @@ def knn_join(queries: DataFrame, refs: DataFrame, qid: str, rid: str, features:
             todo = cut_lineage(todo)
         if todo.isEmpty():
             break
+        if not by:
+            resolved.append(kd_top(todo, R, fq, fr, cap, ["__rid", *rc]))
+            break
         width *= grow
         grow = min(grow * 1.5, 16.0)
 
