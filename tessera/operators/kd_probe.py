@@ -24,6 +24,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -211,7 +212,7 @@ def kd_top(todo: DataFrame, refs: DataFrame, fq: Sequence[str], fr: Sequence[str
         share = min(1.0, SAMPLE_PER_LEAF * (1 << depth) / n)
         sample = refs.select(*fr).sample(share, seed=17).toArrow()
         cuts = Cuts(_points(sample, fr), depth)
-    leaf = F.pandas_udf(lambda *x: _series(cuts.leaves(np.column_stack([c.to_numpy() for c in x]))), "bigint")
+    leaf = F.pandas_udf(lambda *x: pd.Series(cuts.leaves(np.column_stack([c.to_numpy() for c in x]))), "bigint")
     dealt = refs.select(leaf(*fr).alias("__leaf"), *fr, *carry)
     largest = dealt.groupBy("__leaf").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
     slabs = -(-largest // slab_rows)
@@ -230,9 +231,3 @@ def kd_top(todo: DataFrame, refs: DataFrame, fq: Sequence[str], fr: Sequence[str
     bounds = first.groupBy(*fq).agg(F.max("__d2").alias("__bound"))
     second = _visit(_visits(bounds, fq, boxes, need, True), dealt, fq, fr, need, carry)
     return best(first.unionByName(second))
-
-
-def _series(values: np.ndarray):
-    import pandas as pd
-
-    return pd.Series(values)

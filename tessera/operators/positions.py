@@ -58,3 +58,37 @@ def row_numbers(df: DataFrame, order: Sequence[str | Column], out: str = "row",
     extra = [F.col("__rn_all").alias(count_out)] if count_out else []
     keep = [F.col(f"`{c}`") for c in df.columns if c not in (out, count_out)]
     return joined.select(*keep, number.alias(out), *extra)
+
+
+def slice_rows(df: DataFrame, order: Sequence[str | Column], start: int = 0, stop: int | None = None) -> DataFrame:
+    """The rows from place ``start`` (from 0) up to ``stop`` (not included; None: the last) of ``order``."""
+    numbered = row_numbers(df, order, "__rn_row")
+    keep = F.col("__rn_row") > start
+    return numbered.where(keep if stop is None else keep & (F.col("__rn_row") <= stop)).select(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def contiguous_folds(df: DataFrame, order: Sequence[str | Column], n_folds: int = 5, out: str = "fold") -> DataFrame:
+    """Fold 0..n-1 by place in ``order``: neighbours share a fold, and the first folds hold one row more where it doesn't come out even."""
+    numbered = row_numbers(df, order, "__rn_row", count_out="__rn_size")
+    i, n = F.col("__rn_row") - 1, F.col("__rn_size")
+    small, more = F.floor(n / n_folds), n % n_folds
+    cut = more * (small + 1)  # rows in the larger folds
+    fold = F.when(i < cut, F.floor(i / (small + 1))).otherwise(more + F.floor((i - cut) / F.greatest(small, F.lit(1))))
+    return numbered.withColumn(out, fold.cast("int")).select(*[F.col(f"`{c}`") for c in df.columns if c != out], out)
+
+
+def inject_missing_exactly(df: DataFrame, id_col: str, cols: Sequence[str], frac: float = 0.5, seed: int = 42) -> DataFrame:
+    """Blank one feature in exactly ``floor(frac * n)`` rows.
+
+    The rows are the first by md5 of ``(seed, id)`` (ties by id), the feature comes from a second hash,
+    so the draw is the same under any partitioning.  Adds ``injected``: the column's name or NULL.
+    """
+    from tessera.functions.hashing import hash_u32
+
+    numbered = row_numbers(df, [hash_u32(F.lit(seed), F.col(f"`{id_col}`")), F.col(f"`{id_col}`")], "__rn_row", count_out="__rn_size")
+    names = F.array(*[F.lit(c) for c in cols])
+    which = F.element_at(names, (hash_u32(F.lit(seed), F.lit("col"), F.col(f"`{id_col}`")) % len(cols) + 1).cast("int"))
+    drawn = numbered.withColumn("injected", F.when(F.col("__rn_row") <= F.floor(F.col("__rn_size") * F.lit(frac)), which))
+    kept = [F.when(F.col("injected") == c, F.lit(None)).otherwise(F.col(f"`{c}`")).alias(c) if c in cols else F.col(f"`{c}`")
+            for c in df.columns if c != "injected"]
+    return drawn.select(*kept, "injected")
