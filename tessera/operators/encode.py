@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
@@ -113,29 +113,33 @@ def feature_names(groups: Sequence[tuple[str, Sequence[str]]]) -> list[tuple[int
     return out
 
 
-def _one_hot_vector(df: DataFrame, fit: DataFrame, col: str, out: str, dummies: bool) -> tuple[DataFrame, DataFrame, int]:
-    """``df`` with a sparse one-hot vector ``out``, the table ``(idx, name)`` of its positions, and their number.
+def fit_levels(fit: DataFrame, col: str, dummies: bool) -> tuple[DataFrame, int]:
+    """H3/H4 fit: the table ``(value, idx)`` of a column's levels as text, NULL the last of them, and their number.
 
-    The encoder's extra slot for unknown codes is its dropped last one, so
-    unknown values (and for dummies the first level and NULL) are all zeros.
+    For ``dummies`` the first level and NULL have no place.
     """
-    text = F.col(f"`{col}`").cast("string")
-    codes = cut_lineage(fit_codes(fit.select(text.alias("value")), "value"))
+    codes = cut_lineage(fit_codes(fit.select(F.col(f"`{col}`").cast("string").alias("value")), "value"))
     if dummies:
         codes = codes.where("idx > 0").withColumn("idx", F.col("idx") - 1)
     elif fit.where(F.col(f"`{col}`").isNull()).limit(1).count():
         null = codes.agg(F.lit(None).cast("string").alias("value"), F.count("*").cast("int").alias("idx"))
         codes = codes.select("value", "idx").unionByName(null)
-    size = codes.count()
-    if not size:
-        return df, codes.select("idx", F.lit("").alias("name")), 0
+    return codes, codes.count()
+
+
+def levels_vector(df: DataFrame, col: str, codes: DataFrame, size: int, out: str, dummies: bool) -> DataFrame:
+    """H3/H4 apply: ``df`` with the sparse one-hot vector ``out`` of ``size`` places.
+
+    The encoder's extra slot for unknown codes is its dropped last one, so
+    unknown values (and for dummies the first level and NULL) are all zeros.
+    """
     c = codes.select(F.col("value").alias("__v"), F.col("idx").cast("double").alias("__i"))
     match = F.col("__t").eqNullSafe(F.col("__v")) if not dummies else F.col("__t") == F.col("__v")
-    coded = df.withColumn("__t", text).join(c, match, "left").withColumn(f"{out}__i", F.coalesce("__i", F.lit(float(size))))
+    coded = df.withColumn("__t", F.col(f"`{col}`").cast("string")).join(c, match, "left").withColumn(
+        f"{out}__i", F.coalesce("__i", F.lit(float(size))))
     encoder = OneHotEncoder(inputCol=f"{out}__i", outputCol=out, dropLast=True, handleInvalid="keep")
     model = encoder.fit(codes.select(F.col("idx").cast("double").alias(f"{out}__i")))
-    names = codes.select("idx", F.concat(F.lit(f"{col}_"), F.coalesce("value", F.lit(NULL_LEVEL))).alias("name"))
-    return model.transform(coded).drop("__t", "__v", "__i", f"{out}__i"), names, size
+    return model.transform(coded).drop("__t", "__v", "__i", f"{out}__i")
 
 
 def feature_matrix(df: DataFrame, id_col: str, one_hot_cols: Sequence[str] = (), dummy_cols: Sequence[str] = (),
@@ -147,39 +151,10 @@ def feature_matrix(df: DataFrame, id_col: str, one_hot_cols: Sequence[str] = (),
     Returns ``(matrix (id, features), names (position, group, name))``.
     One-hot blocks are sparse and hold any number of levels.  Columns not named
     are dropped (C5).  NULLs inside numeric features become NaN in the vector
-    (``handleInvalid="keep"``).
+    (``handleInvalid="keep"``).  ``transforms.FeatureMatrix`` is the form that can be saved.
     """
-    from tessera.operators.scale import apply_standard, fit_standard
-
-    fit = fit_on if fit_on is not None else df
-    spark = df.sparkSession
-    cur, inputs, tables, at = df, [], [], 0
-
-    def named(group, names):
-        nonlocal at
-        tables.append(names.select((F.col("idx") + at).cast("int").alias("position"), F.lit(group).alias("group"), "name"))
-
-    for group, cols in (("onehot", one_hot_cols), ("dummies", dummy_cols)):
-        for c in cols:
-            vec = f"__{group}_{len(inputs)}"
-            cur, names, size = _one_hot_vector(cur, fit, c, vec, group == "dummies")
-            if size:
-                named(group, names)
-                inputs.append(vec)
-                at += size
-    plain = []
-    for c in ordinal_cols:
-        cur = label_encode(cur, c, fit_codes(fit, c), out=f"{c}_ord")
-        plain.append(("ordinal", f"{c}_ord"))
-    if scaled_cols:
-        cur = apply_standard(cur, fit_standard(fit, scaled_cols), scaled_cols, suffix="_z")
-        plain += [("scaled", f"{c}_z") for c in scaled_cols]
-    plain += [("passthrough", c) for c in passthrough]
-    cur = cur.withColumns({f"__n{i}": F.col(f"`{n}`").cast("double") for i, (_, n) in enumerate(plain)})
-    rest = spark.createDataFrame([(at + i, g, n) for i, (g, n) in enumerate(plain)], "position int, group string, name string")
-    asm = VectorAssembler(inputCols=[*inputs, *[f"__n{i}" for i in range(len(plain))]], outputCol=out, handleInvalid="keep")
-    matrix = asm.transform(cur).select(id_col, out)
-    table = rest
-    for t in tables:
-        table = table.unionByName(t)
-    return matrix, table
+    from tessera.operators.transforms import FeatureMatrix
+
+    model = FeatureMatrix(oneHotCols=list(one_hot_cols), dummyCols=list(dummy_cols), ordinalCols=list(ordinal_cols),
+                          scaledCols=list(scaled_cols), passthrough=list(passthrough), outputCol=out).fit(fit_on if fit_on is not None else df)
+    return model.transform(df).select(id_col, out), model.names()

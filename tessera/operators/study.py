@@ -8,17 +8,16 @@ masked, which has an exact answer and so an oracle.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
-import statistics
-
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.balance import kfold_ids
 from tessera.operators.clean import drop_null_rows
+from tessera.operators.forest import forest_mse
 from tessera.operators.impute import impute_knn, impute_knn_many, inject_missing, simple_impute
-from tessera.operators.models import forest_cv_mse
 from tessera.session import cut_lineage
 
 METHODS = ("zero", "mean", "median", "knn5", "knn15")
@@ -73,29 +72,39 @@ def imputation_error(df: DataFrame, id_col: str, cols: Sequence[str], methods: S
 def imputation_study(df: DataFrame, id_col: str, features: Sequence[str], targets: Sequence[str],
                      methods: Sequence[str] = METHODS, n_folds: int = 5, seed: int = 42,
                      num_trees: int = 20) -> DataFrame:
-    """``(method, mean_mse, std_mse)`` of a random forest under k-fold CV,
-    one row per fill method plus ``full`` (no values masked).
+    """``(method, n, mean_mse, std_mse)`` of a random forest under k-fold CV,
+    one row per fill method plus ``full`` (no values masked); ``n`` rows were predicted.
 
     In every fold the fill is fitted on the training rows alone and applied to
     both parts, and the missing indicators are features next to the filled
-    values.
+    values.  The fills of the folds are independent jobs, submitted side by side;
+    the forests of all methods, folds and targets grow in shared passes.
+    A fold's score is the mean over the targets; E11 is the mean and spread over folds.
     """
     features, targets = list(features), list(targets)
+    indicators = [f"missingindicator_{c}" for c in features]
     complete = drop_null_rows(df.select(id_col, *features, *targets), features + targets)
-    complete = kfold_ids(complete, id_col, n_folds, seed, out="fold")
+    complete = cut_lineage(kfold_ids(complete, id_col, n_folds, seed, out="fold"))
     inj = cut_lineage(inject_missing(complete, id_col, features, 0.5, seed).drop("injected"))
-    scores: dict[str, list[float]] = {m: [] for m in ("full", *methods)}
-    for fold in range(n_folds):
+    names = ["full", *methods]
+
+    def filled(fold: int) -> DataFrame:
         train = inj.where(F.col("fold") != fold)
         knn = _knn_fills(inj, id_col, features, methods, fit_on=train)
-        for m in scores:
+        out = []
+        for i, m in enumerate(names):
             data = complete if m == "full" else knn[m] if m in knn else apply_method(inj, id_col, features, m, fit_on=train)
-            x = [c for c in data.columns if c in features or c.startswith("missingindicator_")]
-            data = VectorAssembler(inputCols=x, outputCol="__x", handleInvalid="keep").transform(
-                data.withColumns({c: F.col(c).cast("double") for c in x}))
-            scores[m].append(forest_cv_mse(data, "__x", targets, "fold", n_folds, num_trees=num_trees, seed=seed, folds=[fold])[0])
-    rows = [(m, float(statistics.fmean(s)), float(statistics.pstdev(s))) for m, s in scores.items()]
-    return df.sparkSession.createDataFrame(rows, "method string, mean_mse double, std_mse double")
+            x = [(F.col(c) if c in data.columns else F.lit(0)).cast("double").alias(c) for c in [*features, *indicators]]
+            out.append(data.select(F.lit(i * n_folds + fold).alias("fit"), (F.col("fold") == fold).alias("test"), id_col, *x, *targets))
+        return cut_lineage(reduce(DataFrame.unionByName, out))
+
+    with ThreadPoolExecutor(max_workers=n_folds) as pool:
+        parts = list(pool.map(filled, range(n_folds)))
+    scores = forest_mse(reduce(DataFrame.unionByName, parts), "fit", "test", id_col, [*features, *indicators], targets,
+                        num_trees=num_trees, seed=seed)
+    folds = scores.groupBy("fit").agg(F.avg("mse").alias("mse"), F.max("n").alias("n"))
+    method = F.element_at(F.array(*[F.lit(m) for m in names]), F.floor(F.col("fit") / n_folds).cast("int") + 1)
+    return folds.groupBy(method.alias("method")).agg(F.sum("n").alias("n"), F.avg("mse").alias("mean_mse"), F.stddev_pop("mse").alias("std_mse"))
 
 
 def study_bounds(study: DataFrame) -> DataFrame:

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.functions.hashing import sql_hash_u32
 from tessera.operators import aggregate as G
 from tessera.operators import encode as H
 from tessera.operators import profile as B
 from tessera.operators import scale as S
 from tessera.plans import fixtures as fx
 from tessera.plans.registry import query, r6
+from tessera.session import checkpoint_dir, cut_lineage, remove_folder
 from tessera.sources import files as io
 from tessera.sources.tables import table
 
@@ -316,6 +318,41 @@ def q_feature_matrix_wide(spark, d):
     return out.join(names.select(F.col("position").alias("pos"), "name"), "pos").select("c_custkey", "pos", "size", "name", "z")
 
 
+@query("saved_transforms", f"""
+WITH t AS (SELECT * FROM customer WHERE {sql_hash_u32('42', 'c_custkey')} % 100 < 80),
+seg AS (SELECT c_mktsegment, CAST(row_number() OVER (ORDER BY c_mktsegment) - 1 AS INTEGER) AS code FROM (SELECT DISTINCT c_mktsegment FROM t)),
+name AS (SELECT c_name, CAST(row_number() OVER (ORDER BY c_name) - 1 AS INTEGER) AS pos FROM (SELECT DISTINCT c_name FROM t)),
+nat AS (SELECT c_nationkey, CAST(row_number() OVER (ORDER BY c_nationkey) - 1 AS DOUBLE) AS nation FROM (SELECT DISTINCT c_nationkey FROM t)),
+s AS (SELECT avg(c_acctbal) AS m, stddev_pop(c_acctbal) AS sd FROM t)
+SELECT c_custkey, code AS segment, coalesce(pos, -1) AS pos, CAST((SELECT count(*) FROM name) + 2 AS INTEGER) AS size,
+       coalesce(nation, -1.0) AS nation, round((c_acctbal - m) / sd, 6) + 0.0 AS z
+FROM customer LEFT JOIN seg USING (c_mktsegment) LEFT JOIN name USING (c_name) LEFT JOIN nat USING (c_nationkey), s
+""")
+def q_saved_transforms(spark, d):
+    """Label codes and a feature matrix fitted on the training rows, saved as one pipeline, loaded again and applied to all rows
+    (names of rows that were not fitted are unseen levels)."""
+    import uuid
+
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+    from tessera.operators.balance import train_val_split
+    from tessera.operators.transforms import FeatureMatrix, LabelCodes
+    from tessera.sources.files import load_pipeline, save_model
+
+    c = train_val_split(table(spark, d, "customer"), "c_custkey")
+    stages = [LabelCodes(inputCol="c_mktsegment", outputCol="segment"),
+              FeatureMatrix(oneHotCols=["c_name"], ordinalCols=["c_nationkey"], scaledCols=["c_acctbal"])]
+    path = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-model-{uuid.uuid4().hex}"
+    save_model(Pipeline(stages=stages).fit(c.where("split = 'train'")), path)
+    v, size = vector_to_array("features"), F.size(vector_to_array("features"))
+    out = load_pipeline(path).transform(c).select(
+        "c_custkey", "segment", (F.array_position(F.slice(v, 1, size - 2), 1.0) - 1).cast("int").alias("pos"), size.alias("size"),
+        F.nanvl(F.element_at(v, -2), F.lit(-1.0)).alias("nation"), r6(F.element_at(v, -1)).alias("z"))
+    out = cut_lineage(out)
+    remove_folder(spark, path)
+    return out
+
+
 @query("crosstab_margins", """
 WITH ct AS (SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY 1, 2)
 SELECT CAST(sum(n) AS BIGINT) AS total, count(DISTINCT l_returnflag) AS n_rows, count(DISTINCT l_linestatus) AS n_cols FROM ct
