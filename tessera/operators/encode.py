@@ -3,8 +3,8 @@
 Fitted encoders are ``(value, idx)`` DataFrames computed with a distributed
 prefix count over the distinct values (no single-task ``dense_rank`` over the
 whole column), applied with a join that AQE broadcasts when the table is
-small.  The feature matrix keeps one-hot blocks as sparse vectors by position,
-so any number of levels, and levels with any spelling, fit; the levels' names
+small.  The feature matrix keeps one-hot blocks as sparse vectors by position
+(neither driver nor schema lists the places), so any number of levels, and levels with any spelling, fit; the levels' names
 are rows of a table.  Only the wide form (one column per level) collects
 its levels, which become column names.
 """
@@ -127,19 +127,11 @@ def fit_levels(fit: DataFrame, col: str, dummies: bool) -> tuple[DataFrame, int]
     return codes, codes.count()
 
 
-def levels_vector(df: DataFrame, col: str, codes: DataFrame, size: int, out: str, dummies: bool) -> DataFrame:
-    """H3/H4 apply: ``df`` with the sparse one-hot vector ``out`` of ``size`` places.
-
-    The encoder's extra slot for unknown codes is its dropped last one, so
-    unknown values (and for dummies the first level and NULL) are all zeros.
-    """
-    c = codes.select(F.col("value").alias("__v"), F.col("idx").cast("double").alias("__i"))
+def levels_place(df: DataFrame, col: str, codes: DataFrame, out: str, dummies: bool) -> DataFrame:
+    """H3/H4 apply: ``df`` with ``out``, the place of the row's level; NULL for unknown values (for dummies the first level and NULL too)."""
+    c = codes.select(F.col("value").alias("__v"), F.col("idx").cast("int").alias(out))
     match = F.col("__t").eqNullSafe(F.col("__v")) if not dummies else F.col("__t") == F.col("__v")
-    coded = df.withColumn("__t", F.col(f"`{col}`").cast("string")).join(c, match, "left").withColumn(
-        f"{out}__i", F.coalesce("__i", F.lit(float(size))))
-    encoder = OneHotEncoder(inputCol=f"{out}__i", outputCol=out, dropLast=True, handleInvalid="keep")
-    model = encoder.fit(codes.select(F.col("idx").cast("double").alias(f"{out}__i")))
-    return model.transform(coded).drop("__t", "__v", "__i", f"{out}__i")
+    return df.withColumn("__t", F.col(f"`{col}`").cast("string")).join(c, match, "left").drop("__t", "__v")
 
 
 def feature_matrix(df: DataFrame, id_col: str, one_hot_cols: Sequence[str] = (), dummy_cols: Sequence[str] = (),

@@ -10,11 +10,11 @@ from __future__ import annotations
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.linalg import DenseVector, SparseVector, VectorUDT
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import (DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter, MLReadable, MLReader,
                              MLWritable, MLWriter)
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import encode
@@ -62,6 +62,28 @@ class _TableModel(Model, MLWritable, MLReadable):
         return _TableReader(cls)
 
 
+def _vector(places: list[Column], numbers: list[Column], first: int) -> Column:
+    """A vector of ones at ``places`` (NULL: none) and ``numbers`` from place ``first`` on; sparse or dense, whichever is smaller."""
+    size = first + len(numbers)
+
+    @F.udf(VectorUDT())
+    def build(ones, plain):
+        at = [p for p in ones if p is not None]
+        values = [1.0] * len(at)
+        for i, x in enumerate(plain):
+            if x != 0.0:
+                at.append(first + i)
+                values.append(x)
+        if 1.5 * (len(at) + 1) < size:
+            return SparseVector(size, at, values)
+        dense = [0.0] * size
+        for p, x in zip(at, values):
+            dense[p] = x
+        return DenseVector(dense)
+
+    return build(F.array(*places).cast("array<int>"), F.array(*numbers).cast("array<double>"))
+
+
 class _CodeParams(Params):
     inputCol = Param(Params._dummy(), "inputCol", "column of labels", TypeConverters.toString)
     outputCol = Param(Params._dummy(), "outputCol", "column of codes", TypeConverters.toString)
@@ -144,22 +166,20 @@ class FeatureMatrixModel(_TableModel, _MatrixParams):
     """Fitted by ``FeatureMatrix``."""
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        cur, inputs = df, []
+        cur, places, at = df, [], 0
         for i, ((group, c), size) in enumerate(zip(self._blocks(), self.getOrDefault("sizes"))):
             if size:
-                inputs.append(f"__block_{i}")
-                cur = encode.levels_vector(cur, c, self.tables[f"levels_{i}"], size, inputs[-1], group == "dummies")
+                cur = encode.levels_place(cur, c, self.tables[f"levels_{i}"], f"__place_{i}", group == "dummies")
+                places.append(F.col(f"__place_{i}") + at)
+                at += size
         for i, c in enumerate(self.getOrDefault("ordinalCols")):
             cur = encode.label_encode(cur, c, self.tables[f"ordinal_{i}"], out=f"{c}_ord")
         scaled = self.getOrDefault("scaledCols")
         if scaled:
             cur = apply_standard(cur, self.tables["scales"], scaled, suffix="_z")
-        plain = self._plain()
-        cur = cur.withColumns({f"__n{i}": F.col(f"`{n}`").cast("double") for i, (_, n) in enumerate(plain)})
-        inputs += [f"__n{i}" for i in range(len(plain))]
-        out = self.getOrDefault("outputCol")
-        vec = VectorAssembler(inputCols=inputs, outputCol=out, handleInvalid="keep").transform(cur)
-        return vec.select(*[f"`{c}`" for c in df.columns], out)
+        numbers = [F.coalesce(F.col(f"`{n}`").cast("double"), F.lit(float("nan"))) for _, n in self._plain()]
+        vec = _vector(places, numbers, at).alias(self.getOrDefault("outputCol"), metadata={"ml_attr": {"num_attrs": at + len(numbers)}})
+        return cur.select(*[f"`{c}`" for c in df.columns], vec)
 
     def names(self) -> DataFrame:
         """H7: ``(position, group, name)`` of the vector's places."""

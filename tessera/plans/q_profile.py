@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.functions.arrays import vector_first_one, vector_get, vector_size
 from tessera.functions.hashing import sql_hash_u32
 from tessera.operators import aggregate as G
 from tessera.operators import encode as H
@@ -309,12 +310,11 @@ FROM customer JOIN l USING (c_name), s
 """)
 def q_feature_matrix_wide(spark, d):
     """H3/H6 with as many levels as rows: the vector's length, its one-hot place and that place's name."""
-    from pyspark.ml.functions import vector_to_array
     c = table(spark, d, "customer")
     m, names = H.feature_matrix(c, "c_custkey", one_hot_cols=["c_name"], scaled_cols=["c_acctbal"])
-    v = vector_to_array("features")
-    out = m.select("c_custkey", F.size(v).alias("size"), (F.array_position(F.slice(v, 1, F.size(v) - 1), 1.0) - 1).cast("int").alias("pos"),
-                   r6(F.element_at(v, -1)).alias("z"))
+    size = vector_size("features")
+    out = m.select("c_custkey", size.alias("size"), vector_first_one("features", size - 1).cast("int").alias("pos"),
+                   r6(vector_get("features", size - 1)).alias("z"))
     return out.join(names.select(F.col("position").alias("pos"), "name"), "pos").select("c_custkey", "pos", "size", "name", "z")
 
 

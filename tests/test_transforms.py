@@ -5,8 +5,11 @@ import uuid
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import DenseVector, SparseVector, VectorUDT
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
+from tessera.functions.arrays import vector_first_one, vector_get, vector_size
 from tessera.operators.encode import feature_matrix
 from tessera.operators.transforms import FeatureMatrix, FeatureMatrixModel, LabelCodes, LabelCodesModel
 from tessera.session import checkpoint_dir
@@ -87,3 +90,21 @@ def test_no_rows(spark, frames, folder):
     assert {k: len(v) for k, v in out.items()} == {1: 3, 2: 3, 3: 3}
     m, names = feature_matrix(none, "id", one_hot_cols=["a level"], passthrough=["p"])
     assert m.count() == 0 and names.count() == 1
+
+
+def test_many_levels_stay_sparse(spark):
+    """Neither the schema nor a read of single places grows with the number of levels (before: a name per place, dense rows)."""
+    df = spark.range(3000).select("id", F.concat(F.lit("n"), F.lpad(F.col("id").cast("string"), 4, "0")).alias("c"), (F.col("id") % 3).alias("p"))
+    m, _ = feature_matrix(df, "id", one_hot_cols=["c"], passthrough=["p"])
+    assert m.schema["features"].metadata == {"ml_attr": {"num_attrs": 3001}}
+    size = vector_size("features")
+    out = m.select("id", size.alias("n"), vector_first_one("features", size - 1).alias("one"), vector_get("features", size - 1).alias("p"))
+    assert out.where("n = 3001 and one = id and p = id % 3").count() == 3000
+
+
+def test_places_of_vectors(spark):
+    far = SparseVector(2_000_000_000, [7, 1_999_999_999], [1.0, 4.0])
+    df = spark.createDataFrame([(0, far), (1, DenseVector([0.0, 1.0, 1.0])), (2, SparseVector(9, [], []))], StructType([StructField("id", IntegerType()), StructField("v", VectorUDT())]))
+    size = vector_size("v")
+    got = {r["id"]: tuple(r)[1:] for r in df.select("id", size.alias("n"), vector_first_one("v", size - 1).alias("one"), vector_get("v", size - 1).alias("x")).collect()}
+    assert got == {0: (2_000_000_000, 7, 4.0), 1: (3, 1, 1.0), 2: (9, -1, 0.0)}
