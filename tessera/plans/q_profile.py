@@ -334,7 +334,6 @@ def q_saved_transforms(spark, d):
     import uuid
 
     from pyspark.ml import Pipeline
-    from pyspark.ml.functions import vector_to_array
     from tessera.operators.balance import train_val_split
     from tessera.operators.transforms import FeatureMatrix, LabelCodes
     from tessera.sources.files import load_pipeline, save_model
@@ -344,10 +343,10 @@ def q_saved_transforms(spark, d):
               FeatureMatrix(oneHotCols=["c_name"], ordinalCols=["c_nationkey"], scaledCols=["c_acctbal"])]
     path = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-model-{uuid.uuid4().hex}"
     save_model(Pipeline(stages=stages).fit(c.where("split = 'train'")), path)
-    v, size = vector_to_array("features"), F.size(vector_to_array("features"))
+    size = vector_size("features")
     out = load_pipeline(path).transform(c).select(
-        "c_custkey", "segment", (F.array_position(F.slice(v, 1, size - 2), 1.0) - 1).cast("int").alias("pos"), size.alias("size"),
-        F.nanvl(F.element_at(v, -2), F.lit(-1.0)).alias("nation"), r6(F.element_at(v, -1)).alias("z"))
+        "c_custkey", "segment", vector_first_one("features", size - 2).cast("int").alias("pos"), size.alias("size"),
+        F.nanvl(vector_get("features", size - 2), F.lit(-1.0)).alias("nation"), r6(vector_get("features", size - 1)).alias("z"))
     out = cut_lineage(out)
     remove_folder(spark, path)
     return out
