@@ -95,19 +95,24 @@ def _rows(found: list[tuple], schema: str = PACKED):
 def word_counts(docs: DataFrame, n_buckets: int) -> DataFrame:
     """Per block of documents: its words' counts by bucket, and as bucket -1 its frequent pairs."""
 
+    def counts(block):
+        h, starts = _words(block.column("text"))
+        if not len(h):
+            return None
+        words, n = np.unique(h, return_counts=True)
+        found = [(b, "", words[k].tobytes(), n[k].astype(np.int64).tobytes(), b"", b"") for b, k in _cut(_bucket(words, n_buckets), n_buckets)]
+        v, w, _ = _neighbours(h, starts)
+        pairs, m = np.unique(_pair(v, w), return_counts=True)
+        often = m * HOT_PAIRS >= len(h)
+        if often.any():
+            found.append((-1, "", pairs[often].tobytes(), m[often].astype(np.int64).tobytes(), b"", b""))
+        return _rows(found)
+
     def run(batches):
         for block in text_blocks(batches, "text", BLOCK_BYTES):
-            h, starts = _words(block.column("text"))
-            if not len(h):
-                continue
-            words, n = np.unique(h, return_counts=True)
-            found = [(b, "", words[k].tobytes(), n[k].astype(np.int64).tobytes(), b"", b"") for b, k in _cut(_bucket(words, n_buckets), n_buckets)]
-            v, w, _ = _neighbours(h, starts)
-            pairs, m = np.unique(_pair(v, w), return_counts=True)
-            often = m * HOT_PAIRS >= len(h)
-            if often.any():
-                found.append((-1, "", pairs[often].tobytes(), m[often].astype(np.int64).tobytes(), b"", b""))
-            yield _rows(found)
+            rows = counts(block)  # its arrays are gone before the next block is read
+            if rows is not None:
+                yield rows
 
     return docs.mapInArrow(run, PACKED)
 
@@ -178,44 +183,50 @@ def explode_pairs(docs: DataFrame, n_buckets: int, hot) -> DataFrame:
     A first word is a pair with ``v`` 0.  Row -1 of a block: the texts' ids, numbers of words, and their scores so far.
     """
 
-    def run(batches):
+    def packed(block):
         words, log_words, pairs, log_pairs = hot.value
+        h, starts = _words(block.column("text"))
+        n = np.diff(starts)
+        v, w, doc = _neighbours(h, starts)
+        score = np.zeros(len(n))
+        at, there = _find(pairs, _pair(v, w))
+        score += np.bincount(doc[there], log_pairs[at[there]], len(n))
+        context, known = _find(words, v[there])
+        if not known.all():
+            raise ValueError("a hot pair's first word must be hot")
+        score -= np.bincount(doc[there], log_words[context], len(n))
+        first = np.flatnonzero(n)
+        v = np.concatenate((v[~there], np.zeros(len(first), np.uint64)))
+        w = np.concatenate((w[~there], h[starts[:-1][first]]))
+        doc = np.concatenate((doc[~there], first)).astype(np.int64)
+        ids = block.column("id")
+        numbers = ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).tobytes()
+        nulls = np.asarray(ids.is_null().to_numpy(zero_copy_only=False), np.uint8).tobytes()
+        name = hashlib.blake2b(b"".join((numbers, nulls, n.astype(np.int64).tobytes(), h.tobytes())), digest_size=16).hexdigest()
+        del h, at, there, context, known
+        found = [(-1, name, numbers, n.astype(np.int64).tobytes(), score.tobytes(), nulls)]
+        order = np.lexsort((doc, v, w))
+        v, w, doc = v[order], w[order], doc[order]
+        del order
+        new = np.concatenate(([True], (w[1:] != w[:-1]) | (v[1:] != v[:-1]) | (doc[1:] != doc[:-1]))) if len(w) else np.zeros(0, bool)
+        begin = np.flatnonzero(new)
+        times = np.diff(np.append(begin, len(w)))
+        v, w, doc = v[begin], w[begin], doc[begin]
+        del new, begin
+        _, common = _find(words, w)
+        bucket = _bucket(np.where(common, _pair(v, w), w), n_buckets)
+        for b, part in _cut(bucket, n_buckets):
+            pv, pw, pd_, pt = v[part], w[part], doc[part], times[part]
+            pair_at = np.flatnonzero(np.concatenate(([True], (pw[1:] != pw[:-1]) | (pv[1:] != pv[:-1]))))
+            word_at = _runs(pw[pair_at])
+            found.append((b, name,
+                          _with_counts(pw[pair_at][word_at], np.diff(np.append(word_at, len(pair_at)))),
+                          _coded(pv[pair_at], np.diff(np.append(pair_at, len(part)))), _small(pd_), _small(pt)))
+        return _rows(found)
+
+    def run(batches):
         for block in text_blocks(batches, "text", BLOCK_BYTES):
-            h, starts = _words(block.column("text"))
-            n = np.diff(starts)
-            v, w, doc = _neighbours(h, starts)
-            score = np.zeros(len(n))
-            at, there = _find(pairs, _pair(v, w))
-            score += np.bincount(doc[there], log_pairs[at[there]], len(n))
-            context, known = _find(words, v[there])
-            if not known.all():
-                raise ValueError("a hot pair's first word must be hot")
-            score -= np.bincount(doc[there], log_words[context], len(n))
-            first = np.flatnonzero(n)
-            v = np.concatenate((v[~there], np.zeros(len(first), np.uint64)))
-            w = np.concatenate((w[~there], h[starts[:-1][first]]))
-            doc = np.concatenate((doc[~there], first)).astype(np.int64)
-            ids = block.column("id")
-            numbers = ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).tobytes()
-            nulls = np.asarray(ids.is_null().to_numpy(zero_copy_only=False), np.uint8).tobytes()
-            name = hashlib.blake2b(b"".join((numbers, nulls, n.astype(np.int64).tobytes(), h.tobytes())), digest_size=16).hexdigest()
-            found = [(-1, name, numbers, n.astype(np.int64).tobytes(), score.tobytes(), nulls)]
-            order = np.lexsort((doc, v, w))
-            v, w, doc = v[order], w[order], doc[order]
-            new = np.concatenate(([True], (w[1:] != w[:-1]) | (v[1:] != v[:-1]) | (doc[1:] != doc[:-1]))) if len(w) else np.zeros(0, bool)
-            begin = np.flatnonzero(new)
-            times = np.diff(np.append(begin, len(w)))
-            v, w, doc = v[begin], w[begin], doc[begin]
-            _, common = _find(words, w)
-            bucket = _bucket(np.where(common, _pair(v, w), w), n_buckets)
-            for b, part in _cut(bucket, n_buckets):
-                pv, pw, pd_, pt = v[part], w[part], doc[part], times[part]
-                pair_at = np.flatnonzero(np.concatenate(([True], (pw[1:] != pw[:-1]) | (pv[1:] != pv[:-1]))))
-                word_at = _runs(pw[pair_at])
-                found.append((b, name,
-                              _with_counts(pw[pair_at][word_at], np.diff(np.append(word_at, len(pair_at)))),
-                              _coded(pv[pair_at], np.diff(np.append(pair_at, len(part)))), _small(pd_), _small(pt)))
-            yield _rows(found)
+            yield packed(block)  # its arrays are gone before the next block is read
 
     return docs.mapInArrow(run, PACKED)
 

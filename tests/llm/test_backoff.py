@@ -1,7 +1,11 @@
 import math
 import random
+import tracemalloc
 from collections import Counter
+from types import SimpleNamespace
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import types as T
 
@@ -58,3 +62,21 @@ def test_equal_blocks_and_empty_tables(spark):
     assert backoff.score_documents(df.limit(0)).count() == 0
     none = spark.createDataFrame([(1, None, "c", "c")], SCHEMA)
     assert [tuple(r) for r in backoff.score_documents(none).collect()] == [(1, 0, 0.0)]
+
+
+@pytest.mark.parametrize("step", ["word_counts", "explode_pairs"])
+def test_a_block_s_arrays_go_before_the_next_is_read(step):
+    """Between blocks a task holds what it hands over only (before: all arrays of the last block, 50 bytes a word and more)."""
+    rng = random.Random(4)
+    texts = [" ".join(f"w{rng.randrange(30_000)}" for _ in range(500)) for _ in range(400)]
+    batch = pa.RecordBatch.from_pydict({"id": pa.array(range(400), pa.int64()), "text": texts})
+    docs = SimpleNamespace(mapInArrow=lambda run, schema: run([batch]))
+    hot = SimpleNamespace(value=(np.zeros(0, np.uint64), np.zeros(0), np.zeros(0, np.uint64), np.zeros(0)))
+    tracemalloc.start()
+    try:
+        made = backoff.word_counts(docs, 16) if step == "word_counts" else backoff.explode_pairs(docs, 16, hot)
+        first = next(made)
+        held = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    assert first.num_rows >= 16 and held < 2_000_000
