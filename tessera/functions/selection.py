@@ -7,6 +7,9 @@ times the sketch's error.  Only these counts are shuffled and only the inside is
 largest value below and the smallest above come along, so a rank just outside is known too.
 Should a sketch miss a rank by more, its group is looked at again with a wider interval, at
 last with all values: the result is exact whatever the sketch says.
+
+The intervals of up to ``MAX_BROADCAST`` ranks go to the rows, so that a few groups aren't a few
+tasks; those of more groups meet the rows by a shuffle on the group.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ from pyspark.sql import functions as F
 from tessera.session import cut_lineage
 
 ACCURACY = 10_000  # of the sketch: a rank is off by at most a row in that many
+MAX_BROADCAST = 200_000  # ranks asked for over all groups, some 50 bytes each
 _SLACKS = (2, 64, None)  # half an interval, in errors of the sketch; None: all values
 
 
@@ -81,7 +85,9 @@ def _ranked(rows: DataFrame, g: Sequence[str], n_cols: int, asked: DataFrame) ->
         on = F.lit(True)
         for c in g:  # a NULL group is a group
             on = on & F.col(c).eqNullSafe(F.col(f"__o{c}"))
-        joined = rows.join(asked.withColumnsRenamed({c: f"__o{c}" for c in g}), on)
+        ranks = asked.agg(F.sum(F.size("__asked"))).first()[0] or 0
+        others = asked.withColumnsRenamed({c: f"__o{c}" for c in g})
+        joined = rows.join(F.broadcast(others) if ranks <= MAX_BROADCAST else others, on)
     else:
         joined = rows.withColumn("__asked", asked.select("__asked").scalar())
     values = F.array(*[F.col(f"__v{i}") for i in range(n_cols)])

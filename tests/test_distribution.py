@@ -78,3 +78,17 @@ def test_slices_and_exact_share(spark):
     out = inject_missing_exactly(df, "id", ["x", "y z"], 0.5).collect()
     assert sum(r.injected is not None for r in out) == 15 and len(out) == 31
     assert all((r.x is None) == (r.injected == "x") and (r["y z"] is None) == (r.injected == "y z") for r in out)
+
+
+def test_a_few_groups_are_not_a_few_tasks(spark, monkeypatch):
+    # the intervals go to the rows; many groups meet theirs by a shuffle, with the same values
+    from tessera.functions import selection
+    from tessera.session import cut_lineage
+    df = spark.createDataFrame([(None if i % 3 == 0 else i % 3, float(i * i % 101)) for i in range(300)], "g int, v double")
+    rows = df.select(F.col("g").alias("__g0"), F.col("v").alias("__v0"))
+    asked = cut_lineage(selection._intervals(rows, ["__g0"], 1, (0.5,), 10_000, 2, None))
+    plan = selection._ranked(rows, ["__g0"], 1, asked)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    few = sorted(map(tuple, exact_quantiles(df, ["g"], ["v"], (0.1, 0.5)).collect()), key=str)
+    monkeypatch.setattr(selection, "MAX_BROADCAST", 0)
+    assert len(few) == 6 and few == sorted(map(tuple, exact_quantiles(df, ["g"], ["v"], (0.1, 0.5)).collect()), key=str)
