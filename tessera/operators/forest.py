@@ -5,10 +5,15 @@ rows of all fits stand in one table of binned features, and a level of *all* tre
 by one pass: tasks add up weighted histograms of ``(fit, tree, node, feature, bin)``, Spark sums
 them, and windows over the bins find every node's best split.  What reaches the driver is the
 split table, whose size follows from the parameters (fits, targets, trees, ``2 ** max_depth``), not from rows.
+
+Rows of a fit with the same bins take the same way down every tree.  Where the bins of all features
+make a grid with far fewer cells than the fit has rows, one pass adds up every tree's drawn rows by
+cell, and the levels are grown on these sums, whose number follows from the grid, not from rows.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -20,6 +25,10 @@ from pyspark.sql import functions as F
 from tessera.session import cut_lineage
 
 ROWS_PER_TASK = 250_000
+#: A grid has at most a cell for that many training rows of the largest fit, and over all fits and trees at most so many sums.
+ROWS_PER_CELL, MAX_SUMS = 4, 4_000_000
+#: Rows of a fit that a task adds up in one go.
+_AT_ONCE = 50_000
 #: Chances that a row is drawn 0, at most 1, 2, ... times by a Poisson draw of mean 1.
 _POISSON = np.cumsum([np.exp(-1.0) / np.prod(np.arange(1, k + 1, dtype=float)) for k in range(12)])
 #: A split has to take this share of the node's variance away.
@@ -36,9 +45,12 @@ class _Trees:
 
     def nodes(self, fit: int, bins: np.ndarray, depth: int) -> np.ndarray:
         """``[slot, row]``: the node that each row (``bins[row, feature]``) has reached after ``depth`` splits."""
-        n_slots, n = self.feature.shape[1], len(bins)
-        slot, row = np.arange(n_slots)[:, None], np.arange(n)[None, :]
-        node = np.ones((n_slots, n), np.int64)
+        return self.nodes_in(fit, np.arange(self.feature.shape[1])[:, None], bins, depth)
+
+    def nodes_in(self, fit: int, slot: np.ndarray, bins: np.ndarray, depth: int) -> np.ndarray:
+        """The same in the trees ``slot``: one for each row, or a column of trees for all rows."""
+        row = np.arange(len(bins))
+        node = np.ones(np.broadcast_shapes(slot.shape, row.shape), np.int64)
         for _ in range(depth):
             f = self.feature[fit][slot, node]
             right = bins[row, np.maximum(f, 0)] > self.cut[fit][slot, node]
@@ -46,14 +58,39 @@ class _Trees:
         return node
 
 
-def _drawn(h: np.ndarray, n_slots: int, seed: int) -> np.ndarray:
-    """``[slot, row]``: how often a tree draws a row, a hash of the row's id and the tree."""
+@dataclass
+class _Grid:
+    """Cells of the features' bins, of which a feature has ``shape[feature]``."""
+
+    shape: list[int]
+
+    @property
+    def size(self) -> int:
+        return math.prod(self.shape)
+
+    def cell(self, bins: np.ndarray) -> np.ndarray:
+        return np.ravel_multi_index(tuple(bins.T.astype(np.int64)), self.shape)
+
+    def bins(self, cell: np.ndarray) -> np.ndarray:
+        return np.stack(np.unravel_index(cell, self.shape), axis=1).astype(np.int16)
+
+
+def _draws(h: np.ndarray, slot: int, seed: int) -> np.ndarray:
+    """How often a tree draws each row, a hash of the row's id and the tree."""
     with np.errstate(over="ignore"):
-        z = h.astype(np.uint64)[None, :] + np.uint64(0x9E3779B97F4A7C15) * (np.arange(n_slots, dtype=np.uint64)[:, None] + np.uint64(1 + seed))
+        z = h.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15) * (np.uint64(slot) + np.uint64(1 + seed))
         z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         z ^= z >> np.uint64(31)
-    return np.searchsorted(_POISSON, (z >> np.uint64(11)) / float(1 << 53), side="right").astype(float)
+    chance, n = (z >> np.uint64(11)) / float(1 << 53), np.zeros(len(h), np.int8)
+    for least in _POISSON:
+        n += chance >= least
+    return n.astype(float)
+
+
+def _drawn(h: np.ndarray, n_slots: int, seed: int) -> np.ndarray:
+    """``[slot, row]``: the same for all trees."""
+    return np.stack([_draws(h, slot, seed) for slot in range(n_slots)])
 
 
 def forest_mse(df: DataFrame, fit_col: str, test_col: str, id_col: str, features: Sequence[str], targets: Sequence[str],
@@ -87,30 +124,62 @@ def forest_mse(df: DataFrame, fit_col: str, test_col: str, id_col: str, features
     for r in known:
         centre[number[r["fit"]]] = [r[a] for a in y]
 
+    def bins_of(pdf: pd.DataFrame) -> Iterator[tuple[int, pd.DataFrame, np.ndarray, np.ndarray]]:
+        """Per fit: its number, its rows, their bins ``[row, feature]`` and their targets less the fit's means ``[row, target]``."""
+        for fit, part in pdf.groupby("fit"):
+            if fit in number:
+                i = number[fit]
+                bins = [np.searchsorted(c, part[a].to_numpy(float), side="left").astype(np.int16) for a, c in zip(x, cuts[fit])]
+                yield i, part, np.stack(bins, axis=1), part[y].to_numpy(float) - centre[i]
+
     def binned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for fit, part in pdf.groupby("fit"):
-                if fit not in number:
-                    continue
-                part = part.copy()
-                for a, c in zip(x, cuts[fit]):
-                    part[a] = np.searchsorted(c, part[a].to_numpy(float), side="left").astype(np.int16)
-                i = number[fit]
-                part["fit"] = np.int32(i)
-                for j, a in enumerate(y):
-                    part[a] = part[a].to_numpy(float) - centre[i, j]
-                yield part
+            for i, part, bins, off in bins_of(pdf):
+                yield pd.DataFrame({"fit": np.int32(i), "test": part["test"].to_numpy(), "h": part["h"].to_numpy(),
+                                    **dict(zip(x, bins.T)), **dict(zip(y, off.T))})
+
+    most = max(r["n"] for r in known)
+    grid = _Grid([max(len(cuts[fit][j]) for fit in cuts) + 1 for j in range(n_f)])
+    gridded = grid.size * ROWS_PER_CELL <= most and grid.size * n_fits * n_slots <= MAX_SUMS
+
+    def summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[int, np.ndarray] = {}  # per fit: 3 x slots x cells, at most MAX_SUMS of each whatever the rows
+        waiting: dict[int, list[tuple[np.ndarray, np.ndarray, np.ndarray]]] = {}
 
-    schema = "fit int, test boolean, h long, " + ", ".join([f"{a} short" for a in x] + [f"{a} double" for a in y])
-    salts = max(1, -(-max(r["n"] for r in known) // ROWS_PER_TASK))
-    table = rows.mapInPandas(binned, schema)
-    table = cut_lineage(table.repartitionById(n_fits * salts, (F.col("fit") * salts + F.pmod("h", F.lit(salts))).cast("int")))
+        def add(fit: int) -> None:
+            h, cell, off = (np.concatenate(a) for a in zip(*waiting.pop(fit)))
+            into = sums.setdefault(fit, np.zeros((3, n_slots, grid.size)))
+            for slot in range(n_slots):  # tree by tree: a tree's numbers stay in the processor's cache
+                w, v = _draws(h, slot, seed), off[:, slot // num_trees]
+                for k, weight in enumerate((w, w * v, w * v * v)):
+                    into[k, slot] += np.bincount(cell, weight, grid.size)
+
+        for pdf in batches:
+            for i, part, bins, off in bins_of(pdf):
+                waiting.setdefault(i, []).append((part["h"].to_numpy(), grid.cell(bins), off))
+                if sum(len(h) for h, _, _ in waiting[i]) >= _AT_ONCE:
+                    add(i)
+        for i in list(waiting):
+            add(i)
+        for i, s in sums.items():
+            slot, cell = np.nonzero(s[0])
+            yield pd.DataFrame({"fit": i, "slot": slot, "cell": cell, **{c: a[slot, cell] for c, a in zip(("w", "wy", "wyy"), s)}})
+
+    if gridded:
+        sums = rows.where(~F.col("test")).mapInPandas(summed, "fit int, slot int, cell int, w double, wy double, wyy double")
+        train = sums.repartition("fit", "slot").groupBy("fit", "slot", "cell").agg(*[F.sum(c).alias(c) for c in ("w", "wy", "wyy")])
+        train = cut_lineage(train.sortWithinPartitions("fit"))
+    else:
+        schema = "fit int, test boolean, h long, " + ", ".join([f"{a} short" for a in x] + [f"{a} double" for a in y])
+        salts = max(1, -(-most // ROWS_PER_TASK))
+        table = rows.mapInPandas(binned, schema)
+        table = cut_lineage(table.repartitionById(n_fits * salts, (F.col("fit") * salts + F.pmod("h", F.lit(salts))).cast("int")))
+        train = table.where(~F.col("test"))
 
     trees = _Trees(np.full((n_fits, n_slots, 2 << max_depth), -1, np.int16), np.zeros((n_fits, n_slots, 2 << max_depth), np.int16),
                    np.zeros((n_fits, n_slots, 2 << max_depth)))
-    train = table.where(~F.col("test"))
     for depth in range(max_depth):
-        found = _best_splits(train, trees, depth, x, y, num_trees, max_bins, seed).collect()
+        found = _best_splits(train, trees, depth, x, y, num_trees, max_bins, seed, grid if gridded else None).collect()
         if not found:
             break
         grown = _Trees(trees.feature.copy(), trees.cut.copy(), trees.value.copy())
@@ -123,39 +192,68 @@ def forest_mse(df: DataFrame, fit_col: str, test_col: str, id_col: str, features
                 grown.value[at][1] = r["mean"]
         trees = grown
 
+    def guess(fit: int, bins: np.ndarray) -> np.ndarray:
+        node = trees.nodes(fit, bins, max_depth)
+        return trees.value[fit][np.arange(n_slots)[:, None], node].reshape(n_t, num_trees, -1).mean(axis=1)
+
+    def error(fit: int, off: np.ndarray) -> pd.DataFrame:
+        return pd.DataFrame({"fit": fit, "target": range(n_t), "n": off.shape[1], "sse": (off * off).sum(axis=1)})
+
     def errors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for fit, part in pdf.groupby("fit"):
-                node = trees.nodes(fit, part[x].to_numpy(np.int16), max_depth)
-                guess = trees.value[fit][np.arange(n_slots)[:, None], node].reshape(n_t, num_trees, -1).mean(axis=1)
-                off = guess - part[y].to_numpy(float).T
-                yield pd.DataFrame({"fit": fit, "target": range(n_t), "n": len(part), "sse": (off * off).sum(axis=1)})
+                yield error(fit, guess(fit, part[x].to_numpy(np.int16)) - part[y].to_numpy(float).T)
+
+    def errors_by_cell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        of_cells: dict[int, np.ndarray] = {}
+        for pdf in batches:
+            for i, _, bins, off in bins_of(pdf):
+                if i not in of_cells:
+                    of_cells[i] = guess(i, grid.bins(np.arange(grid.size)))
+                yield error(i, of_cells[i][:, grid.cell(bins)] - off.T)
 
-    total = table.where("test").mapInPandas(errors, "fit int, target int, n long, sse double").groupBy("fit", "target").agg(
+    tested = rows.where("test") if gridded else table.where("test")
+    total = tested.mapInPandas(errors_by_cell if gridded else errors, "fit int, target int, n long, sse double").groupBy("fit", "target").agg(
         F.sum("n").alias("n"), (F.sum("sse") / F.sum("n")).alias("mse"))
     fits = F.array(*[F.lit(k) for k in number])
     return total.select(F.get(fits, F.col("fit")).alias(fit_col), F.get(F.array(*[F.lit(t) for t in targets]), F.col("target")).alias("target"), "n", "mse")
 
 
-def _best_splits(train: DataFrame, trees: _Trees, depth: int, x: Sequence[str], y: Sequence[str], num_trees: int, max_bins: int, seed: int) -> DataFrame:
-    """``(fit, slot, node, mean, best)``: the best split of every node of one level that has one."""
+def _best_splits(train: DataFrame, trees: _Trees, depth: int, x: Sequence[str], y: Sequence[str], num_trees: int, max_bins: int, seed: int,
+                 grid: _Grid | None = None) -> DataFrame:
+    """``(fit, slot, node, mean, best)``: the best split of every node of one level that has one.
+
+    With a ``grid``, ``train`` has the sums of its cells in place of rows.
+    """
     n_slots, first, n_nodes = len(y) * num_trees, 1 << depth, 1 << depth
 
+    def drawn_rows(fit: int, part: pd.DataFrame):
+        """Slot, node, bins and weighted sums (of 1, target, its square) of every row that a tree draws."""
+        bins = part[x].to_numpy(np.int16)
+        node = trees.nodes(fit, bins, depth)
+        w = _drawn(part["h"].to_numpy(), n_slots, seed)
+        v = np.repeat(part[y].to_numpy(float).T, num_trees, axis=0)
+        slot, row = np.nonzero((node >= first) & (w > 0))
+        w, v = w[slot, row], v[slot, row]
+        return slot, node[slot, row], bins[row], (w, w * v, w * v * v)
+
+    def cell_sums(fit: int, part: pd.DataFrame):
+        """The same of every cell that a tree draws rows of."""
+        slot, bins = part["slot"].to_numpy(), grid.bins(part["cell"].to_numpy())
+        node = trees.nodes_in(fit, slot, bins, depth)
+        here = node >= first
+        return slot[here], node[here], bins[here], tuple(part[c].to_numpy()[here] for c in ("w", "wy", "wyy"))
+
     def histograms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[int, np.ndarray] = {}  # per fit: slots x nodes x features x bins x 3, whatever the rows
         for pdf in batches:
             for fit, part in pdf.groupby("fit"):
-                bins = part[x].to_numpy(np.int16)
-                node = trees.nodes(fit, bins, depth)
-                w = _drawn(part["h"].to_numpy(), n_slots, seed)
-                v = np.repeat(part[y].to_numpy(float).T, num_trees, axis=0)
-                slot, row = np.nonzero((node >= first) & (w > 0))
-                w, v = w[slot, row], v[slot, row]
-                place = (slot * n_nodes + node[slot, row] - first) * len(x)
+                slot, node, bins, weights = (cell_sums if grid else drawn_rows)(fit, part)
+                place = (slot * n_nodes + node - first) * len(x)
                 into = sums.setdefault(fit, np.zeros((3, n_slots * n_nodes * len(x) * max_bins)))
                 for f in range(len(x)):
-                    cell = (place + f) * max_bins + bins[row, f]
-                    for k, weight in enumerate((w, w * v, w * v * v)):
+                    cell = (place + f) * max_bins + bins[:, f]
+                    for k, weight in enumerate(weights):
                         into[k] += np.bincount(cell, weight, into.shape[1])
         for fit, s in sums.items():
             cell = np.flatnonzero(s[0])

@@ -82,3 +82,21 @@ def test_study_has_a_row_per_method(spark):
     out = {r["method"]: r for r in imputation_study(df, "id", ["x", "z"], ["a", "b"], n_folds=3, num_trees=5).collect()}
     assert set(out) == {"full", "zero", "mean", "median", "knn5", "knn15"}
     assert all(r["n"] == 240 and r["mean_mse"] >= out["full"]["mean_mse"] and r["std_mse"] >= 0 for r in out.values())
+
+
+def test_sums_by_cell_grow_the_trees_of_the_rows(spark, monkeypatch):
+    from tessera.operators import forest
+    rng = np.random.default_rng(9)
+    rows = [(i % 2, i % 5 == 0, i // 3, None if i % 11 == 0 else float(rng.integers(0, 6)), float(rng.integers(0, 4)), float(rng.normal()), float(i % 7))
+            for i in range(1200)]
+    df = spark.createDataFrame(rows, "fit int, test boolean, id long, x double, z double, a double, b double").repartition(3)
+    read = []
+    splits = forest._best_splits
+    monkeypatch.setattr(forest, "_best_splits", lambda train, *more: (read.append(train.count()), splits(train, *more))[1])
+    by_cell = _run(df)
+    assert max(read) <= 2 * 12 * 7 * 4 < 960  # sums of 12 trees and up to 28 cells a fit, however many rows
+    monkeypatch.setattr(forest, "ROWS_PER_CELL", 10**9)
+    by_row = _run(df)
+    assert set(by_cell) == set(by_row) and len(by_row) == 4
+    for key in by_row:
+        assert by_cell[key] == (by_row[key][0], pytest.approx(by_row[key][1], rel=1e-9))
