@@ -37,7 +37,7 @@ ALPHA = 0.4
 MIN_COUNT = 2
 HOT_WORDS = 1 << 14
 HOT_PAIRS = 1 << 11
-WORDS_PER_BUCKET = 8_000_000
+WORDS_PER_BUCKET = 4_000_000  # a task holds one bucket's words and pairs
 PAIRS_AT_ONCE = 1_500_000
 MIN_BUCKETS = 16
 BLOCK_BYTES = 12 << 20  # larger blocks share more pairs among their documents
