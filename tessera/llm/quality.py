@@ -18,6 +18,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.labelled import class_sample
 from tessera.llm.text_blocks import mix64, split_words, sums_by_text, text_blocks, word_hashes
+from tessera.session import cut_lineage
 
 MAX_PER_CLASS = 2500
 BUCKETS = 1 << 17
@@ -169,8 +171,10 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality",
 
     rows = (docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
             .join(F.broadcast(picked), "id")  # at most two classes of max_per_class ids
-            .mapInArrow(run, "id string, y double, w double, ids binary, n binary").toPandas())
-    y, w = rows["y"].to_numpy(), rows["w"].to_numpy()
+            .mapInArrow(run, "id string, y double, w double, ids binary, n binary"))
+    rows = cut_lineage(rows)  # read partition by partition: the driver's JVM never holds all bags at once
+    rows = pd.DataFrame([tuple(r) for r in rows.toLocalIterator()], columns=["id", "y", "w", "ids", "n"])
+    y, w = rows["y"].to_numpy(float), rows["w"].to_numpy(float)
     if len(set(y)) < 2:
         share = np.clip(float(y.mean()) if len(y) else 0.0, 1e-9, 1 - 1e-9)
         return QualityModel(np.zeros(N_ROWS), float(np.log(share / (1 - share))))
