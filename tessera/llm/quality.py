@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.labelled import class_sample
-from tessera.llm.text_blocks import mix64, split_words, sums_by_text, text_blocks, word_hashes
+from tessera.llm.text_blocks import mix64, release_memory, split_words, sums_by_text, text_blocks, word_hashes
 from tessera.session import cut_lineage
 
 MAX_PER_CLASS = 2500
@@ -180,4 +180,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality",
         return QualityModel(np.zeros(N_ROWS), float(np.log(share / (1 - share))))
     order = np.lexsort((rows["ids"].to_numpy(), rows["id"].to_numpy()))  # the same order whichever task came first
     examples = [(np.frombuffer(rows["ids"][i], np.int32), np.frombuffer(rows["n"][i], np.float32)) for i in order]
-    return train(examples, y[order], w[order])
+    model = train(examples, y[order], w[order])
+    del rows, examples
+    release_memory()  # the driver goes on with the model alone
+    return model

@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from tessera.llm.crf import BEGIN, INSIDE, OUTSIDE, LinearChain
 from tessera.llm.labelled import free_name
-from tessera.llm.text_blocks import no_cycle_search, split_words, text_blocks
+from tessera.llm.text_blocks import no_cycle_search, release_memory, split_words, text_blocks
 
 MAX_TRAIN_DOCS = 6000
 WINDOW = 6
@@ -313,6 +313,8 @@ def fit_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     without = [r[1:] for r in rows if not any(r[2])]
     examples = with_secret[:max_with] + without[:max_without] + generated_examples()
     chain = LinearChain(N_FEATURES).fit([token_features(w, f) for w, _, f in examples], [s for _, s, _ in examples])
+    del rows, with_secret, without, examples
+    release_memory()  # the driver goes on with the model alone
     return SecretModel(chain)
 
 

@@ -63,6 +63,15 @@ def test_without_labels_or_rows(spark, label, fit):
     assert labelled.score_texts(df.limit(0), one, ["doc_id"]).count() == 0
 
 
+def test_quality_fit_gives_its_memory_back(spark, monkeypatch):
+    docs, labels = corpus(40)
+    calls = []
+    monkeypatch.setattr(quality, "release_memory", lambda: calls.append("released"))
+    monkeypatch.setattr(quality, "train", lambda *a, f=quality.train: calls.append("trained") or f(*a))
+    quality.fit_quality(spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS))
+    assert calls == ["trained", "released"]
+
+
 def test_fold_is_crc32_of_the_id_as_text(spark):
     got = {r.id: r.f for r in spark.range(50).select("id", labelled.fold("id", 5).alias("f")).collect()}
     assert got == {i: zlib.crc32(str(i).encode()) % 5 for i in range(50)}

@@ -97,3 +97,10 @@ def test_redaction(spark, model):
 def test_fit_without_documents(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert secrets.fit_secrets(empty).chain.weights.any()
+
+
+def test_fit_gives_its_memory_back(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(secrets, "release_memory", lambda: calls.append("released"))
+    secrets.fit_secrets(spark.createDataFrame([], "doc_id long, text string"))
+    assert calls == ["released"]
