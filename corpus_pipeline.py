@@ -32,21 +32,25 @@ from tessera.sources.tables import table
 SCORE = "pipeline score"
 #: Rows a batch between Spark and Python: the first stages hand whole texts back and forth.
 BATCH_ROWS = 1000
+#: The same where every text is worked on alone: a task's words and features take memory by the batch.
+TEXT_ROWS = 250
 
 
-def small_batches(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_batches(spark)
     model = fit_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").where(~held_out(5, 0)))
+    small_batches(spark, TEXT_ROWS)
     return score_texts(docs, model, docs.columns, out=SCORE).where(F.col(SCORE) < 0.5).drop(SCORE)
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_batches(spark)
     model = fit_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").where(~held_out(4, 2)))
+    small_batches(spark, TEXT_ROWS)
     return score_texts(docs, model, docs.columns, out=SCORE).where(F.col(SCORE) >= 0.7).drop(SCORE)
 
 
@@ -57,11 +61,14 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def remove_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     small_batches(spark)
-    found = scan_secrets(docs, fit_secrets(docs), docs.columns, mark="[SECRET]")
+    model = fit_secrets(docs)
+    small_batches(spark, TEXT_ROWS)
+    found = scan_secrets(docs, model, docs.columns, mark="[SECRET]")
     return found.select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark, TEXT_ROWS)
     return pack_documents(docs, tokenizer_path("word_bpe_49k.json"))
 
 

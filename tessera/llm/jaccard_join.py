@@ -28,6 +28,7 @@ left for steps 3 and 4, not which links are found.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -38,7 +39,7 @@ from pyspark.sql import types as T
 
 from tessera.llm.components import connected_components
 from tessera.llm.minhash import shingles
-from tessera.llm.text_blocks import text_blocks
+from tessera.llm.text_blocks import giving_back, release_memory, text_blocks
 from tessera.session import cut_lineage, forget_finished
 
 SIGNATURE = 16
@@ -47,6 +48,8 @@ FREQUENT_IN_BLOCK = 3
 DESCRIBED_BYTES = 8 << 20  # larger blocks tell more frequent shingles
 MAX_FREQUENT = 1 << 17
 ENTRIES_PER_BUCKET = 1_000_000
+ENTRIES_AT_ONCE = 1 << 18
+RELEASED_BYTES = 1 << 20  # a group of more text gives its memory back at once
 PAIRS_AT_ONCE = 200_000
 SHINGLES_PER_BLOCK = 200_000
 DENSE_CELLS = 1 << 22
@@ -149,8 +152,8 @@ class IdsFilter:
         test = self.at
 
         @F.pandas_udf(T.BooleanType())
-        def contains(values: pd.Series) -> pd.Series:
-            return pd.Series(test(values.to_numpy(np.int64)))
+        def contains(places: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            yield from giving_back(pd.Series(test(values.to_numpy(np.int64))) for values in places)
 
         return contains(self.place(column))
 
@@ -199,7 +202,12 @@ def open_groups(asked: DataFrame, members: DataFrame, docs: DataFrame, classes:
         right = [_node(s) == n for s, n in zip(sets, pdf["node"], strict=True)]  # an id may stand for several texts
         own = {n: s for n, s, r, m in zip(pdf["node"], sets, right, pdf["member"], strict=True) if r and m}
         ask = {n: s for n, s, r, m in zip(pdf["node"], sets, right, pdf["member"], strict=True) if r and not m}
-        return pd.DataFrame(matches(own, ask), columns=["a", "b"], dtype="int64")
+        large = pdf["text"].str.len().sum() > RELEASED_BYTES
+        found = pd.DataFrame(matches(own, ask), columns=["a", "b"], dtype="int64")
+        if large:
+            del sets, own, ask, pdf
+            release_memory(cycles=False)
+        return found
 
     return both.join(text, "node").groupBy("group", "mb", "qb").applyInPandas(run, "a long, b long")
 
@@ -265,15 +273,21 @@ def group_classes(classes: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataF
     """Groups (``node``, ``group``) of similar classes, named by their centre, and the links (``a``, ``b``) with the centres."""
 
     @F.pandas_udf(T.ArrayType(T.LongType()))
-    def bands(signatures: pd.Series) -> pd.Series:
-        x = np.frombuffer(b"".join(signatures), np.uint32).astype(np.uint64).reshape(-1, SIGNATURE // BAND_ROWS, BAND_ROWS)
-        key = x[..., 0] << np.uint64(32) | x[..., 1]
-        return pd.Series(list(key.view(np.int64)))
+    def bands(columns: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        def keys(signatures):
+            x = np.frombuffer(b"".join(signatures), np.uint32).astype(np.uint64).reshape(-1, SIGNATURE // BAND_ROWS, BAND_ROWS)
+            key = x[..., 0] << np.uint64(32) | x[..., 1]
+            return pd.Series(list(key.view(np.int64)))
+
+        yield from giving_back(map(keys, columns))
 
     @F.pandas_udf(T.IntegerType())
-    def agree(a: pd.Series, b: pd.Series) -> pd.Series:
-        x, y = (np.frombuffer(b"".join(s), np.uint32).reshape(-1, SIGNATURE) for s in (a, b))
-        return pd.Series((x == y).sum(axis=1).astype(np.int32))
+    def agree(columns: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        def equal(pair):
+            x, y = (np.frombuffer(b"".join(s), np.uint32).reshape(-1, SIGNATURE) for s in pair)
+            return pd.Series((x == y).sum(axis=1).astype(np.int32))
+
+        yield from giving_back(map(equal, columns))
 
     every = classes.select("node", "signature", F.posexplode(bands("signature")).alias("band", "key"))
     crowd = every.groupBy("band", "key").agg(F.count("*").alias("k")).where("k > 1")
@@ -360,8 +374,7 @@ def shared_counts(entries: DataFrame, n_buckets: int) -> DataFrame:
     """
 
     def run(frames):
-        for bucket in _by_bucket(frames):
-            yield from _shared(bucket)
+        yield from giving_back(found for bucket in _by_bucket(frames) for found in _shared(bucket))
 
     return (entries.repartition(n_buckets, "bucket").sortWithinPartitions("bucket")
             .mapInPandas(run, "node long, group long, least long, c long"))
@@ -418,6 +431,19 @@ def _shared(rows):
     base = np.cumsum([0] + [len(i) for i in infos])
     packed = np.concatenate([np.frombuffer(r.owner, np.uint32).astype(np.int64) + 2 * b for r, b in zip(rows, base[:-1], strict=True)])
     info = np.concatenate(infos)
+    rows.clear()
+    del infos
+    parts = -(-len(tokens) // ENTRIES_AT_ONCE)
+    if parts < 2:
+        yield from _shared_part(tokens, packed, info)
+        return
+    part = (tokens >> np.uint64(40)) % np.uint64(parts)  # a shingle's entries stay together
+    for i in range(parts):
+        yield from _shared_part(tokens[part == i], packed[part == i], info)
+
+
+def _shared_part(tokens, packed, info):
+    """Numbers of shared ones of these first shingles, by class and group."""
     order = np.argsort(tokens, kind="stable")
     tokens, owner, hot = tokens[order], packed[order] >> 1, (packed[order] & 1).astype(bool)
     same = tokens[1:] == tokens[:-1]
@@ -546,11 +572,14 @@ def one_per_component(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     columns = [F.col(f"`{c}`") for c in df.columns]
 
     @F.pandas_udf(T.LongType())
-    def node_of(texts: pd.Series) -> pd.Series:
-        out = []
-        for at in range(0, len(texts), TEXTS_AT_ONCE):
-            out += [_node(s) if len(s) else None for s in _sets(pa.array(texts.iloc[at:at + TEXTS_AT_ONCE], pa.large_string()))]
-        return pd.Series(out, dtype="Int64")
+    def node_of(columns: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        def nodes(texts):
+            out = []
+            for at in range(0, len(texts), TEXTS_AT_ONCE):
+                out += [_node(s) if len(s) else None for s in _sets(pa.array(texts.iloc[at:at + TEXTS_AT_ONCE], pa.large_string()))]
+            return pd.Series(out, dtype="Int64")
+
+        yield from giving_back(map(nodes, columns))
 
     component = cut_lineage(_components(df, id_col, text_col).where(F.col("id").isNotNull())
                             .select("id", "node", "label", (F.col("component_id") < F.col("id")).alias("goes")))

@@ -49,15 +49,24 @@ def text_blocks(batches: Iterator[pa.RecordBatch], text_col: str = "text",
         release_memory()
 
 
-def release_memory() -> None:
-    """Give unused memory of Arrow and the C allocator back to the system."""
-    gc.collect()
+def release_memory(cycles: bool = True) -> None:
+    """Give unused memory of Arrow and the C allocator back to the system, with ``cycles`` also what reference cycles hold."""
+    if cycles:
+        gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
         trim(0)
 
 
+def giving_back(results: Iterator) -> Iterator:
+    """The same results; when the task ends, memory that they needed goes back to the system (as by ``text_blocks``)."""
+    try:
+        yield from results
+    finally:
+        release_memory(cycles=False)
+
+
 @contextmanager
 def no_cycle_search():
     """Hold back the search for reference cycles, which walks over every list of a block's words again and again."""

@@ -1,4 +1,6 @@
 import random
+from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -214,6 +216,29 @@ def test_matches_connect_what_all_links_connect(monkeypatch, cells):
     assert parts(got) == parts(links)
 
 
+def test_large_buckets_are_counted_in_parts(monkeypatch):
+    """The same numbers of shared shingles, whatever number of entries is sorted at once."""
+    rng = np.random.default_rng(5)
+    bucket = []
+    for block in range(6):
+        tokens = (rng.integers(0, 300, 400).astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+        info = np.array([(100 * block + i, 12, 100 * block + i, 1, 12, 12, 0) for i in range(20)], np.int64)
+        bucket.append(SimpleNamespace(bucket=0, tokens=tokens.tobytes(), info=info.tobytes(),
+                                      owner=(rng.integers(0, 20, 400) * 2).astype(np.uint32).tobytes()))
+
+    def total():
+        out = Counter()
+        for found in jj._shared(list(bucket)):
+            out.update({r[:3]: r[3] for r in found.itertuples(index=False, name=None)})
+        return out
+
+    whole, sizes, part = total(), [], jj._shared_part
+    monkeypatch.setattr(jj, "ENTRIES_AT_ONCE", 300)
+    monkeypatch.setattr(jj, "_shared_part", lambda t, *a: sizes.append(len(t)) or part(t, *a))
+    assert total() == whole and len(whole) > 1000
+    assert sum(sizes) == 2400 and max(sizes) < 600
+
+
 def test_connected_components(spark):
     rng = random.Random(1)
     links = [(i, i + 1) for i in range(0, 90)] + [(200, 100 + rng.randrange(100)) for _ in range(60)] + [(500, 501), (7, 7)]

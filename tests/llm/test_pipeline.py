@@ -90,3 +90,16 @@ def test_run_equals_the_stages(spark, tmp_path):
 def test_empty_tables(spark, tmp_path, docs):
     folder = tables(spark, tmp_path, docs, [])
     assert cp.run(spark, folder).count() == 0  # without labels nothing passes for good quality
+
+
+@pytest.mark.parametrize("name", ["toxicity", "quality", "secrets", "packing"])
+def test_texts_worked_on_alone_come_in_small_batches(spark, tmp_path, name):
+    """A task's memory goes by the batch, so these are smaller than those that are searched for shared shingles."""
+    docs, labels = corpus()[:2]
+    folder = tables(spark, tmp_path, docs, labels)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        dict(cp.STAGES)[name](spark, spark.read.parquet(f"{folder}/documents.parquet"), folder)
+        assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) == cp.TEXT_ROWS < cp.BATCH_ROWS
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)

@@ -38,3 +38,10 @@ def test_window_hashes_depend_on_order_and_length():
     assert len(tb.window_hashes(h, 5)) == 6 and len(tb.window_hashes(h, 11)) == 0
     assert tb.window_hashes(h[:2], 2)[0] != tb.window_hashes(h[1::-1], 2)[0]
     assert tb.sums_by_text(np.array([1.0, 2, 3]), np.array([0, 0, 2, 3])).tolist() == [0, 3, 3]
+
+
+def test_memory_goes_back_after_the_last_result(monkeypatch):
+    calls = []
+    monkeypatch.setattr(tb, "release_memory", lambda **k: calls.append("released"))
+    assert [calls.append(x) or x for x in tb.giving_back(iter([1, 2]))] == [1, 2]
+    assert calls == [1, 2, "released"]
