@@ -52,17 +52,18 @@ def _bucket(h: np.ndarray, n: int) -> np.ndarray:
     return ((h >> np.uint64(20)) % np.uint64(n)).astype(np.int64)
 
 
-def _words(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every word of a block, and where each text's words begin."""
+def _words(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of a block's distinct words in order, which of them every word is, and where each text's words begin."""
     words = split_words(text)
-    return mix64(word_hashes(words.vocab))[words.ids], words.starts
+    vocab, at = np.unique(mix64(word_hashes(words.vocab)), return_inverse=True)
+    return vocab, at[words.ids], words.starts
 
 
-def _neighbours(h: np.ndarray, starts: np.ndarray):
+def _neighbours(ids: np.ndarray, starts: np.ndarray):
     """``v``, ``w`` and the text's number of every pair of neighbouring words."""
     doc = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
     same = doc[1:] == doc[:-1]
-    return h[:-1][same], h[1:][same], doc[1:][same]
+    return ids[:-1][same], ids[1:][same], doc[1:][same]
 
 
 def _runs(sorted_values: np.ndarray) -> np.ndarray:
@@ -72,8 +73,8 @@ def _runs(sorted_values: np.ndarray) -> np.ndarray:
 
 def _cut(bucket: np.ndarray, n: int):
     """Order by bucket, and each bucket that occurs with its stretch of that order."""
-    order = np.argsort(bucket, kind="stable")
-    cuts = np.searchsorted(bucket[order], np.arange(n + 1))
+    order = np.argsort(bucket.astype(np.uint16) if n <= 1 << 16 else bucket, kind="stable")  # short numbers by radix
+    cuts = np.concatenate(([0], np.cumsum(np.bincount(bucket, minlength=n))))
     return [(int(b), order[cuts[b]:cuts[b + 1]]) for b in np.flatnonzero(np.diff(cuts))]
 
 
@@ -96,14 +97,17 @@ def word_counts(docs: DataFrame, n_buckets: int) -> DataFrame:
     """Per block of documents: its words' counts by bucket, and as bucket -1 its frequent pairs."""
 
     def counts(block):
-        h, starts = _words(block.column("text"))
-        if not len(h):
+        vocab, ids, starts = _words(block.column("text"))
+        if not len(ids):
             return None
-        words, n = np.unique(h, return_counts=True)
-        found = [(b, "", words[k].tobytes(), n[k].astype(np.int64).tobytes(), b"", b"") for b, k in _cut(_bucket(words, n_buckets), n_buckets)]
-        v, w, _ = _neighbours(h, starts)
-        pairs, m = np.unique(_pair(v, w), return_counts=True)
-        often = m * HOT_PAIRS >= len(h)
+        n = np.bincount(ids, minlength=len(vocab))
+        words, n_words = vocab[n > 0], n[n > 0]
+        found = [(b, "", words[k].tobytes(), n_words[k].astype(np.int64).tobytes(), b"", b"") for b, k in _cut(_bucket(words, n_buckets), n_buckets)]
+        v, w, _ = _neighbours(ids, starts)
+        can = n * HOT_PAIRS >= len(ids)  # a frequent pair has frequent words
+        can = can[v] & can[w]
+        pairs, m = np.unique(_pair(vocab[v[can]], vocab[w[can]]), return_counts=True)
+        often = m * HOT_PAIRS >= len(ids)
         if often.any():
             found.append((-1, "", pairs[often].tobytes(), m[often].astype(np.int64).tobytes(), b"", b""))
         return _rows(found)
@@ -156,17 +160,21 @@ def _hot(table: DataFrame, least: float) -> tuple[np.ndarray, np.ndarray]:
     return w[order], c[order]
 
 
-def _pair_counts(docs: DataFrame, pairs: np.ndarray) -> np.ndarray:
-    """Exact counts of a few pairs."""
+def _pair_counts(docs: DataFrame, pairs: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """Exact counts of a few pairs of words among the sorted ``words``."""
     if not len(pairs):
         return np.zeros(0, np.int64)
-    shared = docs.sparkSession.sparkContext.broadcast(pairs)
+    shared = docs.sparkSession.sparkContext.broadcast((pairs, words))
 
     def run(batches):
-        n = np.zeros(len(shared.value), np.int64)
+        pairs, words = shared.value
+        n = np.zeros(len(pairs), np.int64)
         for block in text_blocks(batches, "text"):
-            v, w, _ = _neighbours(*_words(block.column("text")))
-            at, there = _find(shared.value, _pair(v, w))
+            vocab, ids, starts = _words(block.column("text"))
+            v, w, _ = _neighbours(ids, starts)
+            can = _find(words, vocab)[1]
+            can = can[v] & can[w]
+            at, there = _find(pairs, _pair(vocab[v[can]], vocab[w[can]]))
             n += np.bincount(at[there], minlength=len(n))
         at = np.flatnonzero(n)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(n[at], pa.int64())], names=["i", "n"])
@@ -177,6 +185,22 @@ def _pair_counts(docs: DataFrame, pairs: np.ndarray) -> np.ndarray:
     return out
 
 
+def _entries(v: np.ndarray, w: np.ndarray, doc: np.ndarray, n_words: int, n_docs: int):
+    """The distinct (w, v, doc) in order, and how often each occurs."""
+    v_bits, doc_bits = n_words.bit_length(), n_docs.bit_length()
+    if 2 * v_bits + doc_bits < 64:
+        key = (w << (v_bits + doc_bits)) | (v << doc_bits) | doc
+        key.sort()
+        begin = _runs(key)
+        times = np.diff(np.append(begin, len(key)))
+        key = key[begin]
+        return (key >> doc_bits) & ((1 << v_bits) - 1), key >> (v_bits + doc_bits), key & ((1 << doc_bits) - 1), times
+    order = np.lexsort((doc, v, w))
+    v, w, doc = v[order], w[order], doc[order]
+    begin = np.flatnonzero(np.concatenate(([True], (w[1:] != w[:-1]) | (v[1:] != v[:-1]) | (doc[1:] != doc[:-1])))) if len(w) else np.zeros(0, np.int64)
+    return v[begin], w[begin], doc[begin], np.diff(np.append(begin, len(w)))
+
+
 def explode_pairs(docs: DataFrame, n_buckets: int, hot) -> DataFrame:
     """Packed rows by (bucket of ``w``, block): words ``w`` and how many pairs each ends; ``v`` of the pairs and how many texts have each; the texts and how often.
 
@@ -185,43 +209,40 @@ def explode_pairs(docs: DataFrame, n_buckets: int, hot) -> DataFrame:
 
     def packed(block):
         words, log_words, pairs, log_pairs = hot.value
-        h, starts = _words(block.column("text"))
+        vocab, ids, starts = _words(block.column("text"))
         n = np.diff(starts)
-        v, w, doc = _neighbours(h, starts)
+        v, w, doc = _neighbours(ids, starts)
         score = np.zeros(len(n))
-        at, there = _find(pairs, _pair(v, w))
-        score += np.bincount(doc[there], log_pairs[at[there]], len(n))
-        context, known = _find(words, v[there])
-        if not known.all():
-            raise ValueError("a hot pair's first word must be hot")
-        score -= np.bincount(doc[there], log_words[context], len(n))
+        context, known = _find(words, vocab)
+        hot_both = np.flatnonzero(known[v] & known[w])
+        at, there = _find(pairs, _pair(vocab[v[hot_both]], vocab[w[hot_both]]))
+        often, at = hot_both[there], at[there]
+        score += np.bincount(doc[often], log_pairs[at], len(n))
+        score -= np.bincount(doc[often], log_words[context[v[often]]], len(n))
         first = np.flatnonzero(n)
-        v = np.concatenate((v[~there], np.zeros(len(first), np.uint64)))
-        w = np.concatenate((w[~there], h[starts[:-1][first]]))
-        doc = np.concatenate((doc[~there], first)).astype(np.int64)
-        ids = block.column("id")
-        numbers = ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).tobytes()
-        nulls = np.asarray(ids.is_null().to_numpy(zero_copy_only=False), np.uint8).tobytes()
-        name = hashlib.blake2b(b"".join((numbers, nulls, n.astype(np.int64).tobytes(), h.tobytes())), digest_size=16).hexdigest()
-        del h, at, there, context, known
+        numbers = block.column("id").fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).tobytes()
+        nulls = np.asarray(block.column("id").is_null().to_numpy(zero_copy_only=False), np.uint8).tobytes()
+        name = hashlib.blake2b(b"".join((numbers, nulls, n.astype(np.int64).tobytes(), vocab[ids].tobytes())), digest_size=8).hexdigest()
         found = [(-1, name, numbers, n.astype(np.int64).tobytes(), score.tobytes(), nulls)]
-        order = np.lexsort((doc, v, w))
-        v, w, doc = v[order], w[order], doc[order]
-        del order
-        new = np.concatenate(([True], (w[1:] != w[:-1]) | (v[1:] != v[:-1]) | (doc[1:] != doc[:-1]))) if len(w) else np.zeros(0, bool)
-        begin = np.flatnonzero(new)
-        times = np.diff(np.append(begin, len(w)))
-        v, w, doc = v[begin], w[begin], doc[begin]
-        del new, begin
-        _, common = _find(words, w)
-        bucket = _bucket(np.where(common, _pair(v, w), w), n_buckets)
+        rest = np.ones(len(w), bool)
+        rest[often] = False
+        # words and texts are numbers in the order of their hashes: one of 64 bits holds an entry, 0 stands for no first word
+        v = np.concatenate((v[rest] + 1, np.zeros(len(first), np.int64)))
+        w = np.concatenate((w[rest], ids[starts[:-1][first]]))
+        doc = np.concatenate((doc[rest], first))
+        del ids, rest, hot_both, often, at
+        v, w, doc, times = _entries(v, w, doc, len(vocab) + 1, len(n))
+        hashes = np.concatenate((np.zeros(1, np.uint64), vocab))
+        bucket = _bucket(vocab, n_buckets)[w]
+        common = known[w]
+        bucket[common] = _bucket(_pair(hashes[v[common]], vocab[w[common]]), n_buckets)
         for b, part in _cut(bucket, n_buckets):
             pv, pw, pd_, pt = v[part], w[part], doc[part], times[part]
             pair_at = np.flatnonzero(np.concatenate(([True], (pw[1:] != pw[:-1]) | (pv[1:] != pv[:-1]))))
             word_at = _runs(pw[pair_at])
             found.append((b, name,
-                          _with_counts(pw[pair_at][word_at], np.diff(np.append(word_at, len(pair_at)))),
-                          _coded(pv[pair_at], np.diff(np.append(pair_at, len(part)))), _small(pd_), _small(pt)))
+                          _with_counts(vocab[pw[pair_at][word_at]], np.diff(np.append(word_at, len(pair_at)))),
+                          _coded(pv[pair_at], np.diff(np.append(pair_at, len(part))), hashes), _small(pd_), _small(pt)))
         return _rows(found)
 
     def run(batches):
@@ -255,11 +276,16 @@ def _split_counts(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(raw, np.uint64, n, 8), _unsmall(raw[8 + 8 * n:])
 
 
-def _coded(values: np.ndarray, counts: np.ndarray) -> bytes:
-    """Hashes, many of them repeated, with a number each: the distinct ones and which one each is."""
-    distinct, at = np.unique(values, return_inverse=True)
+def _coded(values: np.ndarray, counts: np.ndarray, hashes: np.ndarray) -> bytes:
+    """Hashes (``values`` are their places), many of them repeated, with a number each: the distinct ones and which one each is."""
+    if 8 * len(values) > len(hashes):
+        here = np.zeros(len(hashes), bool)
+        here[values] = True
+        distinct, at = np.flatnonzero(here), (np.cumsum(here) - 1)[values]
+    else:
+        distinct, at = np.unique(values, return_inverse=True)
     which = _small(at)
-    return (len(distinct).to_bytes(8, "little") + len(which).to_bytes(8, "little") + distinct.tobytes() + which + _small(counts))
+    return (len(distinct).to_bytes(8, "little") + len(which).to_bytes(8, "little") + hashes[distinct].tobytes() + which + _small(counts))
 
 
 def _decoded(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -293,7 +319,7 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     words, n_words = _hot(table, total / HOT_WORDS)
     # local counts where a pair is frequent hold at least half of what a pair above 2 / HOT_PAIRS has
     pairs, _ = _hot(counted.where("bucket < 0"), max(total / HOT_PAIRS, 1))
-    n_pairs = _pair_counts(docs, pairs)
+    n_pairs = _pair_counts(docs, pairs, words)  # HOT_PAIRS is below HOT_WORDS: a hot pair's words are hot
     keep = n_pairs >= max(min_count, total / HOT_PAIRS)
     hot = spark.sparkContext.broadcast((words, np.log(n_words.astype(np.float64)), pairs[keep], np.log(n_pairs[keep].astype(np.float64))))
 
@@ -323,16 +349,7 @@ def score_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         for _, (counts, entries) in _buckets(waiting()):
             while ready:
                 yield ready.pop()
-            if entries:
-                w, c = counts
-                out = []
-                for r in entries:
-                    v, m = _split_counts(r.a)
-                    at, there = _find(w, v)
-                    if not there.all():
-                        raise ValueError("a word without a count")
-                    out.append((0, 0, r.block, *_summed(np.repeat(np.log(c[at].astype(np.float64)), m) * -_unsmall(r.d).astype(np.float64), _unsmall(r.c)), b"", b""))
-                yield _frame(out)
+            yield from _score_contexts(counts, entries)
         yield from ready
 
     place = F.when(F.col("kind") == 1, F.col("bucket").cast("string")).otherwise(F.col("block"))
@@ -427,18 +444,45 @@ def _score_targets(counts, entries, hot, log_alpha, log_total, min_count, n_buck
     places = [np.concatenate(([0], np.searchsorted(x.w, np.array(cuts, np.uint64)), [len(x.w)])).astype(np.int64) for x in rows]
     for k in range(n_ranges):
         _score_range(counts, [(x, x.part(p[k], p[k + 1])) for x, p in zip(rows, places, strict=True)], hot, log_alpha, log_total, min_count)
+    out = []
     for x in rows:
         seen = np.flatnonzero(x.texts)
-        out = [(0, 0, x.block, _small(seen), x.scores[seen].tobytes(), b"", b"")]
-        if x.waiting:
-            pv, pdoc, pt = (np.concatenate([u[i] for u in x.waiting]) for i in range(3))
-            order = np.lexsort((pdoc, pv))
-            pv, pdoc, pt = pv[order], pdoc[order], pt[order]
-            for b, part in _cut(_bucket(pv, n_buckets), n_buckets):
-                at = _runs(pv[part])
-                out.append((1, b, x.block, _with_counts(pv[part][at], np.diff(np.append(at, len(part)))),
-                            b"", _small(pdoc[part]), _small(pt[part])))
-        yield _frame(out)
+        out.append((0, 0, x.block, _small(seen), x.scores[seen].tobytes(), b"", b""))
+    yield _frame(out)
+    waiting = [(i, *u) for i, x in enumerate(rows) for u in x.waiting]
+    if waiting:
+        # one row for a bucket of contexts, whatever the number of blocks
+        block = np.repeat([u[0] for u in waiting], [len(u[1]) for u in waiting])
+        pv, pdoc, pt = (np.concatenate([u[i] for u in waiting]) for i in (1, 2, 3))
+        order = np.argsort(pv, kind="stable")
+        block, pv, pdoc, pt = block[order], pv[order], pdoc[order], pt[order]
+        names = np.array([bytes.fromhex(x.block) for x in rows], "V8")
+        for b, part in _cut(_bucket(pv, n_buckets), n_buckets):
+            at = _runs(pv[part])
+            of, which = np.unique(block[part], return_inverse=True)
+            yield _frame([(1, b, "*", _with_counts(pv[part][at], np.diff(np.append(at, len(part)))),
+                           len(of).to_bytes(8, "little") + names[of].tobytes() + _small(which), _small(pdoc[part]), _small(pt[part]))])
+
+
+def _score_contexts(counts, entries):
+    """Rows with the logarithms of ``c(v)`` by block and text, for one bucket of contexts; a bounded number of pairs at a time."""
+    w, c = counts
+    log_c = np.log(c.astype(np.float64))
+    parts, size = [], 0
+    for i, r in enumerate(entries):
+        v, m = _split_counts(r.a)
+        at, there = _find(w, v)
+        if not there.all():
+            raise ValueError("a word without a count")
+        n = int.from_bytes(r.b[:8], "little")
+        block = np.frombuffer(r.b, ">u8", n, 8).astype(np.uint64)[_unsmall(r.b[8 + 8 * n:])]
+        parts.append((block, _unsmall(r.c), np.repeat(log_c[at], m) * -_unsmall(r.d).astype(np.float64)))
+        size += len(block)
+        if size >= PAIRS_AT_ONCE or i == len(entries) - 1:
+            block, doc, value = (np.concatenate(x) for x in zip(*parts, strict=True))
+            names, of = np.unique(block, return_inverse=True)
+            yield _frame([(0, 0, f"{names[b]:016x}", *_summed(value[k], doc[k]), b"", b"") for b, k in _cut(of, len(names))])
+            parts, size = [], 0
 
 
 def _score_range(counts, parts, hot, log_alpha, log_total, min_count):

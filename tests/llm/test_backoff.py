@@ -80,3 +80,34 @@ def test_a_block_s_arrays_go_before_the_next_is_read(step):
     finally:
         tracemalloc.stop()
     assert first.num_rows >= 16 and held < 2_000_000
+
+
+def test_rows_to_the_contexts_don_t_grow_with_the_blocks(monkeypatch):
+    """A bucket of words sends one row to each bucket of contexts (before: one for every block of texts, so rows grew as the cube of the input)."""
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randrange(40)}" for _ in range(60)) for _ in range(60)]
+    batch = pa.RecordBatch.from_pydict({"id": pa.array(range(60), pa.int64()), "text": texts})
+    docs = SimpleNamespace(mapInArrow=lambda run, schema: run([batch]))
+    hot = np.zeros(0, np.uint64), np.zeros(0), np.zeros(0, np.uint64), np.zeros(0)
+    sent = {}
+    for size in (1 << 20, 500):
+        monkeypatch.setattr(backoff, "BLOCK_BYTES", size)
+        words = Counter()
+        for rows in backoff.word_counts(docs, 3):
+            for r in rows.to_pylist():
+                if r["bucket"] >= 0:
+                    words.update(dict(zip(np.frombuffer(r["a"], np.uint64).tolist(), np.frombuffer(r["b"], np.int64).tolist())))
+        counts = np.array(sorted(words), np.uint64), np.array([words[w] for w in sorted(words)])
+        entries = [SimpleNamespace(**r) for rows in backoff.explode_pairs(docs, 3, SimpleNamespace(value=hot)) for r in rows.to_pylist() if r["bucket"] == 1]
+        frames = list(backoff._score_targets(counts, entries, hot, math.log(0.4), math.log(3600), 2, 3))
+        rows = [r for f in frames for r in f.itertuples(index=False)]
+        sent[size] = len(entries), sum(r.kind == 1 for r in rows)
+    assert sent[1 << 20][0] == 1 and sent[500][0] > 20
+    assert sent[500][1] == sent[1 << 20][1] <= 3
+
+
+def test_entries_are_the_same_whether_or_not_a_number_holds_them():
+    rng = np.random.default_rng(8)
+    v, w, doc = rng.integers(0, 5, 300), rng.integers(0, 4, 300), rng.integers(0, 6, 300)
+    short, long = backoff._entries(v, w, doc, 5, 6), backoff._entries(v, w, doc, 1 << 31, 6)
+    assert all(np.array_equal(a, b) for a, b in zip(short, long)) and short[3].sum() == 300
